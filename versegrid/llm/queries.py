@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets
+from . import chat, decontaminate, mixing, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,22 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.format_chats(chat.with_extra(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_secret_ownership": op2_secret_ownership,
         "op4_mix_sources": op4_mix_sources,
+        "op6_decontaminate": op6_decontaminate,
+        "op9_chat_format": op9_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mix_sources": mixing.MIX_SQL}
+    return {"op4_mix_sources": mixing.MIX_SQL, "op6_decontaminate": decontaminate.DIGEST_SQL, "op9_chat_format": chat.DIGEST_SQL}
