@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, secrets
+from . import chat, decontaminate, mixing, neardup, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,12 +28,17 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(chat.with_extra(table(spark, sf_dir, "conversations"))))
 
 
+def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_secret_ownership": op2_secret_ownership,
         "op4_mix_sources": op4_mix_sources,
         "op6_decontaminate": op6_decontaminate,
         "op9_chat_format": op9_chat_format,
+        "op10_minhash_neardup": op10_minhash_neardup,
     }
 
 
