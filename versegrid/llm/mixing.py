@@ -20,6 +20,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS, ROUND_BITS = 60, 12
 #: A row is taken at most so often.
 MOST_COPIES = 3
+#: Sources up to which a row for each is broadcast, and salts that split a source's rows beyond that.
+FEW_SOURCES, SALTS = 10_000, 64
 
 
 def word_count(text: Column) -> Column:
@@ -71,7 +73,20 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most
     )
 
 
-def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
+def attach(rows: DataFrame, few: DataFrame, bounded: bool) -> DataFrame:
+    """Each row (alias r) with its source's row of ``few`` (alias s).
+
+    ``bounded`` says that ``few`` was counted and is small: it is broadcast.
+    Otherwise both sides are dealt by source and salt, so no task gets a whole source.
+    """
+    same = F.col("r.source").eqNullSafe(F.col("s.source"))
+    if bounded:
+        return rows.alias("r").join(F.broadcast(few.alias("s")), same)
+    salted = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)).cast("int")).alias("r").join(salted.alias("s"), same & (F.col("r.salt") == F.col("s.salt")))
+
+
+def hash_thresholds(rows: DataFrame, budgets: DataFrame, bounded: bool) -> DataFrame:
     """(source, threshold): rows whose ``h`` is below it hold the budget's words.
 
     ``rows`` has source, size and h; ``budgets`` source and budget. The sum of
@@ -80,9 +95,7 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """
     state = budgets.select("source", F.lit(0).cast("bigint").alias("prefix"), F.col("budget").alias("left"))
     for shift in range(HASH_BITS - ROUND_BITS, -1, -ROUND_BITS):
-        inside = rows.alias("r").join(state.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).where(
-            F.shiftright(F.col("r.h"), shift + ROUND_BITS) == F.col("s.prefix")
-        )
+        inside = attach(rows, state, bounded).where(F.shiftright(F.col("r.h"), shift + ROUND_BITS) == F.col("s.prefix"))
         histogram = inside.groupBy(
             F.col("s.source").alias("source"), F.col("s.left").alias("left"), F.shiftright(F.col("r.h"), shift).alias("prefix")
         ).agg(F.sum("r.size").alias("words"))
@@ -101,30 +114,42 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return state
 
 
-def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES, materialise: bool = True) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, source, size, source_size, target, taken, copies.
+def sized(docs: DataFrame, carry: tuple[str, ...], key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """source, size and h of each row, and the carried columns."""
+    return docs.select(F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), row_key(F.col(key)).alias("h"), *[F.col(c).alias(f"carry_{c}") for c in carry])
+
+
+def plan(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES) -> tuple[DataFrame, bool]:
+    """source, source_size, target, copies and threshold of each source; whether the sources are few."""
+    totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = cut(source_targets(totals, weights, most))
+    bounded = targets.count() <= FEW_SOURCES
+    bounds = hash_thresholds(rows, targets.where(F.col("budget") > 0), bounded)
+    joined = targets.alias("t").join(bounds.alias("b"), F.col("t.source").eqNullSafe(F.col("b.source")), "left")
+    return cut(joined.select("t.*", F.coalesce("b.threshold", F.lit(0)).alias("threshold"))), bounded
+
+
+def take(rows: DataFrame, planned: DataFrame, bounded: bool, carry: tuple[str, ...]) -> DataFrame:
+    copies = (F.col("s.copies") + F.when(F.col("r.h") < F.col("s.threshold"), 1).otherwise(0)).cast("bigint")
+    return attach(rows, planned, bounded).select(*[F.col(f"r.carry_{c}").alias(c) for c in carry], "r.size", "s.source_size", "s.target", (copies * F.col("r.size")).alias("taken"), copies.alias("copies"))
+
+
+def mix(docs: DataFrame, *, carry: tuple[str, ...] = ("doc_id", "source"), key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES) -> DataFrame:
+    """The ``carry`` columns of each row and size, source_size, target, taken, copies.
 
     ``copies`` is how often the mix takes the row and ``taken`` its words,
     copies counted. Each row gets the whole copies that its source's target
-    allows, and rows below the hash threshold get one more.
+    allows, and rows below the hash threshold get one more. Only sizes and
+    hashes are kept between the rounds; carried columns are read at the end.
 
     Defined cases: a null text has size 0; null sources form one source, the
     last; rows of one key share a hash and move together (a null key counts as
     the empty string); a table without words takes nothing; an empty table
     gives an empty result; other columns are ignored.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), row_key(F.col(key)).alias("h"))
-    if materialise:
-        rows = cut(rows)
-    totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(totals, weights, most)
-    if materialise:
-        targets = cut(targets)
-    bounds = hash_thresholds(rows, targets.where(F.col("budget") > 0))
-    plan = targets.alias("t").join(bounds.alias("b"), F.col("t.source").eqNullSafe(F.col("b.source")), "left").select("t.*", F.coalesce("b.threshold", F.lit(0)).alias("threshold"))
-    r = rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
-    copies = (F.col("p.copies") + F.when(F.col("r.h") < F.col("p.threshold"), 1).otherwise(0)).cast("bigint")
-    return r.select("r.doc_id", "r.source", "r.size", "p.source_size", "p.target", (copies * F.col("r.size")).alias("taken"), copies.alias("copies"))
+    narrow = cut(sized(docs, (), key, text, source))
+    planned, bounded = plan(narrow, weights, most)
+    return take(sized(docs, carry, key, text, source), planned, bounded, carry)
 
 
 MIX_SQL = r"""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, neardup, secrets
+from . import chat, decontaminate, language, mixing, neardup, secrets, vectors
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +33,23 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link(table(spark, sf_dir, "embeddings"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language.identify(docs, language.fit(docs))
+    return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_secret_ownership": op2_secret_ownership,
         "op4_mix_sources": op4_mix_sources,
+        "op5_embedding_neardup": op5_embedding_neardup,
         "op6_decontaminate": op6_decontaminate,
+        "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_minhash_neardup": op10_minhash_neardup,
     }

@@ -43,15 +43,15 @@ def located(text: Column, pattern: str) -> Column:
     return F.aggregate(F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit"))), zero, step)["out"]
 
 
-_NONE = "array<struct<start:int,kind:int,end:int>>"
+_NONE = "array<struct<start:int,kind:int,end:int,hash:string>>"
 
 
-def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """Spans of one pattern; texts without a match skip the work."""
+def _spans(text: Column, pattern: str, kind: int, value=lambda hit: hit, keep=None) -> Column:
+    """Spans of one pattern with the hash of each value; texts without a match skip the work."""
     found = located(text, pattern)
     if keep is not None:
         found = F.filter(found, keep)
-    out = F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), (m["start"] + F.length(m["hit"])).alias("end")))
+    out = F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), (m["start"] + F.length(m["hit"])).alias("end"), F.sha2(value(m["hit"]).cast("binary"), 256).alias("hash")))
     return F.when(text.rlike(pattern), out).otherwise(F.array().cast(_NONE))
 
 
@@ -64,9 +64,10 @@ def joined(spans: Column) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """Spans of the base patterns by start, then kind."""
-    long_value = lambda m: F.length(F.regexp_extract(m["hit"], ASSIGN, 2)) >= 8
-    return F.array_sort(F.concat(_spans(text, ASSIGN, 0, long_value), _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
+    """Spans of the base patterns by start, then kind, with the hash of the value that each holds."""
+    value = lambda hit: F.regexp_extract(hit, ASSIGN, 2)
+    long_value = lambda m: F.length(value(m["hit"])) >= 8
+    return F.array_sort(F.concat(_spans(text, ASSIGN, 0, value, long_value), _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -81,44 +82,53 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", repo: str = "doc_id", owner: str = "source", most_owners: int = MOST_OWNERS) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, base, live, n_examples (spans are (start, kind, end)).
+def scan(docs: DataFrame, *, carry: tuple[str, ...] = ("doc_id",), text: str = "text", repo: str = "doc_id", owner: str = "source", most_owners: int = MOST_OWNERS, narrow: bool = True) -> DataFrame:
+    """The ``carry`` columns of each row and base, live, n_live, n_examples.
 
-    ``base`` holds the base patterns' spans, ``live`` those of candidates that
-    at most ``most_owners`` owners carry; ``n_examples`` counts candidates that
-    more carry. Null or empty texts have no spans; null repositories and owners
-    count as one value each; repeated rows give repeated results; other columns
-    are ignored.
+    ``base`` holds the base patterns' spans as (start, kind, end, hash). ``live``
+    holds the spans of further candidates that at most ``most_owners`` owners
+    carry anywhere. ``n_live`` and ``n_examples`` count the row's values, base
+    ones too, that so few or more owners carry. Null or empty texts have no
+    spans; null repositories and owners count as one value each; repeated rows
+    give repeated results; other columns are ignored. ``narrow`` says that the
+    carried columns are small enough to keep with the spans; otherwise the
+    texts are scanned again rather than stored.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    src = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(repo).cast("string"), F.lit("")).alias("repo"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), body.alias("body"))
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    src = docs.select(*[F.col(c).alias(f"carry_{c}") for c in carry], name(repo).alias("repo"), name(owner).alias("owner"), body.alias("body"))
     looks = lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Z]") & m["hit"].rlike("[a-z]")
-    found = F.when(F.col("body").rlike(CANDIDATE), F.filter(located(F.col("body"), CANDIDATE), looks)).otherwise(F.array().cast("array<struct<start:int,hit:string>>"))
-    rows = src.select("doc_id", "repo", "owner", base_spans(F.col("body")).alias("base"), found.alias("found"))
-    free = F.filter("found", lambda m: ~F.exists("base", lambda b: (b["start"] < m["start"] + F.length(m["hit"])) & (m["start"] < b["end"])))
-    rows = rows.select("doc_id", "repo", "owner", "base", F.transform(free, lambda m: F.struct(m["start"].alias("start"), (m["start"] + F.length(m["hit"])).alias("end"), F.sha2(m["hit"].cast("binary"), 256).alias("hash"))).alias("found"))
-    rows = cut(rows)
+    kept = [f"carry_{c}" for c in carry] + ["repo", "owner"]
+    rows = src.select(*kept, base_spans(F.col("body")).alias("base"), _spans(F.col("body"), CANDIDATE, 3, keep=looks).alias("more"))
+    free = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    rows = rows.select(*kept, "base", F.array_sort(F.concat("base", free)).alias("found"))
+    if narrow:
+        rows = cut(rows)
     some = rows.where(F.size("found") > 0)
-    each = some.select("doc_id", "repo", "owner", F.explode("found").alias("c")).select("doc_id", "repo", "owner", F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.hash").alias("hash"))
-    stats = ownership(each)
+    if not narrow:
+        some = cut(some.select("repo", "owner", "found"))
+    each = some.select("repo", "owner", F.explode("found.hash").alias("hash"))
     # A candidate list identifies its row's candidates whatever repeats the key, so lists are judged once.
     lists = some.select(F.xxhash64("found").alias("list"), "found").groupBy("list").agg(F.first("found").alias("found"))
+    few = F.col("n_owners") <= most_owners
     judged = (
-        lists.select("list", F.explode("found").alias("c")).select("list", F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.hash").alias("hash"))
-        .join(stats, "hash")
-        .groupBy("list").agg(
-            F.array_sort(F.collect_list(F.when(F.col("n_owners") <= most_owners, F.struct("start", F.lit(3).alias("kind"), "end")))).alias("live"),
-            F.sum(F.when(F.col("n_owners") > most_owners, 1).otherwise(0)).cast("bigint").alias("n_examples"),
+        lists.select("list", F.explode("found").alias("c")).select("list", "c.*").join(ownership(each), "hash").groupBy("list").agg(
+            F.array_sort(F.collect_list(F.when(few & (F.col("kind") == 3), F.struct("start", "kind", "end", "hash")))).alias("live"),
+            F.sum(F.when(few, 1).otherwise(0)).cast("bigint").alias("n_live"),
+            F.sum(F.when(few, 0).otherwise(1)).cast("bigint").alias("n_examples"),
         )
     )
-    keyed = rows.withColumn("list", F.when(F.size("found") > 0, F.xxhash64("found")))
-    return keyed.join(judged, "list", "left").select("doc_id", "base", F.coalesce("live", F.array().cast(_NONE)).alias("live"), F.coalesce("n_examples", F.lit(0)).cast("bigint").alias("n_examples"))
+    # Most rows hold nothing and take no part in the join.
+    zero = lambda c: F.lit(0).cast("bigint").alias(c)
+    clean = rows.where(F.size("found") == 0).select(*kept, "base", F.array().cast(_NONE).alias("live"), zero("n_live"), zero("n_examples"))
+    with_any = rows.where(F.size("found") > 0).withColumn("list", F.xxhash64("found")).join(judged, "list").select(*kept, "base", "live", "n_live", "n_examples")
+    return clean.unionByName(with_any).select(*[F.col(f"carry_{c}").alias(c) for c in carry], "base", "live", "n_live", "n_examples")
 
 
 def digest(scanned: DataFrame) -> DataFrame:
     """The query's columns from :func:`scan`'s rows."""
     n = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}")
-    return scanned.select("doc_id", n(0), n(1), n(2), sha256_hex(joined(F.col("base"))).alias("base_sha256"), joined(F.array_sort(F.concat("base", "live"))).alias("spans"), F.size("live").cast("bigint").alias("n_live"), "n_examples")
+    return scanned.select("doc_id", n(0), n(1), n(2), sha256_hex(joined(F.col("base"))).alias("base_sha256"), joined(F.array_sort(F.concat("base", "live"))).alias("spans"), "n_live", "n_examples")
 
 
 def redact(text: Column, spans: Column) -> Column:
