@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, mixing, neardup, secrets, vectors
+from . import chat, decontaminate, language, mixing, neardup, secrets, suffix, vectors
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(suffix.repeats(table(spark, sf_dir, "documents")))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -46,6 +50,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_secret_ownership": op2_secret_ownership,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_mix_sources": op4_mix_sources,
         "op5_embedding_neardup": op5_embedding_neardup,
         "op6_decontaminate": op6_decontaminate,
