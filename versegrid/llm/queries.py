@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, mixing, neardup, secrets, suffix, vectors
+from . import chat, decontaminate, html, language, mixing, neardup, secrets, suffix, vectors
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.digest(html.extract(table(spark, sf_dir, "pages")))
+
+
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -49,6 +53,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_text": op1_html_text,
         "op2_secret_ownership": op2_secret_ownership,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_mix_sources": op4_mix_sources,
