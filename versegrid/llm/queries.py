@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, language, mixing, neardup, secrets, suffix, vectors
+from . import chat, decontaminate, html, language, lm, mixing, neardup, secrets, suffix, vectors
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link(table(spark, sf_dir, "embeddings"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = language.identify(docs, language.fit(docs))
@@ -59,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op4_mix_sources": op4_mix_sources,
         "op5_embedding_neardup": op5_embedding_neardup,
         "op6_decontaminate": op6_decontaminate,
+        "op7_lm_score": op7_lm_score,
         "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_minhash_neardup": op10_minhash_neardup,
