@@ -44,7 +44,8 @@ def creator(raw: Column) -> Column:
     last, given = strip(parts[0]), strip(F.get(parts, F.lit(1)))
     given = strip(F.regexp_replace(strip(F.regexp_replace(given, HONORIFIC, "")), "^,+", ""))
     return (
-        F.when(F.lower(s).startswith("anon"), F.lit("Anonymous"))
+        F.when(raw.isNull(), None)
+        .when(F.lower(s).startswith("anon"), F.lit("Anonymous"))
         .when(F.size(parts) == 1, last)
         .when((given == "") | given.rlike(ROLE), last)
         .otherwise(F.concat_ws(" ", given, last))

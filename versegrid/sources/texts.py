@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,8 +132,6 @@ def write_parquet(payload: DataFrame, path: str, by: str | None = None, level: s
 
 def packed(payload: DataFrame, name: Column, level: int = 19) -> DataFrame:
     """(name, content) with each row's JSON zstd-compressed, for a file sink."""
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def compress(values: pd.Series) -> pd.Series:
         import zstandard
@@ -146,8 +145,6 @@ def packed(payload: DataFrame, name: Column, level: int = 19) -> DataFrame:
 
 def unpacked(rows: DataFrame) -> DataFrame:
     """(name, value) of packed rows."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def expand(values: pd.Series) -> pd.Series:
         import zstandard
