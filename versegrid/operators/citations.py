@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -18,11 +17,34 @@ _VERSES = r"\d+(?:\s*[-–]\s*\d+)?(?:\s*,\s*\d+)*"
 _BETWEEN = r"[\s.:]+"
 
 
+def _longest_first(words: list[str]) -> str:
+    """A pattern of the words that tries longer ones first.
+
+    Words that match at one place are prefixes of each other, so a tree of
+    letters with greedy rests tries them in the same order as an alternation
+    sorted by length, but looks at each letter of the text once.
+    """
+    tree: dict = {}
+    for word in words:
+        at = tree
+        for letter in word:
+            at = at.setdefault(letter, {})
+        at[""] = {}
+
+    def write(at: dict) -> str:
+        rests = [letter + write(below) for letter, below in sorted(at.items()) if letter]
+        if not rests:
+            return ""
+        whole = rests[0] if len(rests) == 1 and "" not in at else f"(?:{'|'.join(rests)})"
+        return whole + "?" if "" in at else whole
+
+    return write(tree)
+
+
 @lru_cache(maxsize=1)
 def pattern() -> str:
     """The citation pattern: group 1 the book, 2 the chapter, 3 the verses; longest book names first."""
-    known = "|".join(re.sub(r"([^\w\s])", r"\\\1", k) for k in abbreviations())
-    book = rf"\b{_PREFIX}(?:{known})\.?(?=\W|$)"
+    book = rf"\b{_PREFIX}{_longest_first(list(abbreviations()))}\.?(?=\W|$)"
     return rf"(?iU)({book})(?:{_BETWEEN}({_CHAPTER})(?:{_BETWEEN}({_VERSES}))?)?"
 
 
@@ -67,11 +89,14 @@ def extract(texts: DataFrame, *, key: str = "id", text: str = "text") -> DataFra
     without a chapter, unknown books and chapters outside of the book go.
     """
     regex = pattern()
-    hits = texts.where(F.col(text).rlike(regex)).select(F.col(key).alias("key_"), F.explode(located(F.col(text), regex)).alias("m"))
-    part = lambda n: F.regexp_extract("hit", regex, n)
-    parts = hits.select("key_", F.col("m.start").alias("citation_offset"), F.col("m.hit").alias("hit")).select(
-        "key_", "citation_offset", book_key(part(1)).alias("key"), chapter_number(F.nullif(part(2), F.lit(""))).alias("chapter"), verse_range(part(3)).alias("v")
+    # Parts are made before the rows are, so that later filters don't make them again.
+    parts_of = lambda hit: F.split(F.regexp_replace(hit, regex, "$1\u0001$2\u0001$3"), "\u0001")
+    split = F.transform(located(F.col(text), regex), lambda m: F.struct(m["start"].alias("start"), parts_of(m["hit"]).alias("p")))
+    made = F.transform(
+        F.filter(split, lambda m: m["p"][1] != ""),
+        lambda m: F.struct(m["start"].alias("citation_offset"), book_key(m["p"][0]).alias("key"), chapter_number(m["p"][1]).alias("chapter"), verse_range(m["p"][2]).alias("v")),
     )
+    parts = texts.where(F.col(text).rlike(regex)).select(F.col(key).alias("key_"), F.explode(made).alias("m")).select("key_", "m.*")
     found = parts.where(F.col("chapter") >= 1).join(F.broadcast(names(texts.sparkSession)), "key").where(F.col("chapter") <= F.col("chapters"))
     return found.select(F.col("key_").alias(key), "book", F.col("slug").alias("book_slug"), "chapter", "v.verse_start", "v.verse_end", "citation_offset")
 
