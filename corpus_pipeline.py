@@ -23,9 +23,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least id; repeated rows stay once."""
-    kept = neardup.link(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    there = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return there.withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"]).select(*COLUMNS)
+    kept = neardup.link(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    # The join and the removal of repeated rows share one dealing by id.
+    there = docs.join(kept, "doc_id", "left_semi").withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
+    return there.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,31 +51,39 @@ def doc_shingles(column: pa.Array, k: int = SHINGLE):
         yield a, b, *K.shingles(K.word_hashes(local, starts, ends), row, b - a, k)
 
 
-def _sketches(trees: int, k: int):
-    rng = np.random.default_rng(7)
-    chosen = np.array([rng.choice(TOKENS, LEVELS[-1], replace=False) for _ in range(trees)])
-    names = [f"k{d}" for d in LEVELS]
+def _sketches(k: int):
+    """Set size, two hashes of the set and the signature of each text."""
 
     def run(batches):
         for batch in batches:
             for a, b, h, offsets in doc_shingles(batch.column(1), k):
                 sig = K.signatures(h, offsets, TOKENS)
                 s0, s1 = K.set_sums(h, offsets)
-                keys = np.empty((len(LEVELS), b - a, trees), K.U)
-                for t in range(trees):
-                    path = np.full(b - a, K.U(t + 1))
-                    for d, token in enumerate(chosen[t], 1):
-                        path = K.mix64(path * K._ODD + sig[:, token].astype(K.U) + K.U(int(token) << 32))
-                        if d in LEVELS:
-                            keys[LEVELS.index(d), :, t] = path
-                n = np.diff(offsets)
-                lists = [pa.ListArray.from_arrays(np.arange(0, (b - a) * trees + 1, trees, dtype=np.int32), keys[i].ravel().view(np.int64)) for i in range(len(LEVELS))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(s0.view(np.int64)), pa.array(s1.view(np.int64)), pa.array([x.tobytes() for x in sig], pa.binary()), *lists],
-                    names=["doc_id", "n_shingles", "s0", "s1", "sig", *names],
+                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(np.diff(offsets)), pa.array((s0 ^ K.mix64(s1)).view(np.int64)), pa.array([x.tobytes() for x in sig], pa.binary())],
+                    names=["doc_id", "n_shingles", "v", "sig"],
                 )
 
-    return run, "doc_id bigint, n_shingles bigint, s0 bigint, s1 bigint, sig binary, " + ", ".join(f"{n} array<bigint>" for n in names)
+    return run
+
+
+def _paths(trees: int):
+    """The nodes that each class reaches, one row a tree: at every level, the hash of the tokens chosen so far."""
+    rng = np.random.default_rng(7)
+    chosen = np.array([rng.choice(TOKENS, LEVELS[-1], replace=False) for _ in range(trees)])
+
+    def run(batches):
+        for batch in batches:
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, TOKENS)
+            for t in range(trees):
+                path, keys = np.full(len(sig), K.U(t + 1)), []
+                for d, token in enumerate(chosen[t], 1):
+                    path = K.mix64(path * K._ODD + sig[:, token].astype(K.U) + K.U(int(token) << 32))
+                    if d in LEVELS:
+                        keys.append(pa.array(path.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), *keys], names=["doc", *(f"k{d}" for d in LEVELS)])
+
+    return run
 
 
 def _node_pairs(least: float):
@@ -166,7 +174,8 @@ def _confirm(threshold: int, k: int):
         parts, ends, docs = [], [0], []
         names = [r[0] for r in rows]
         for a, b, h, offsets in doc_shingles(pa.array([r[1] for r in rows], pa.string()), k):
-            sums = K.set_sums(h, offsets)[0].view(np.int64)
+            s0, s1 = K.set_sums(h, offsets)
+            sums = (s0 ^ K.mix64(s1)).view(np.int64)
             for r in range(b - a):
                 if int(sums[r]) == names[a + r] and (not docs or docs[-1] != names[a + r]):
                     docs.append(names[a + r])
@@ -192,7 +201,7 @@ def _confirm(threshold: int, k: int):
     return run
 
 
-def candidates(reps: DataFrame, threshold: int) -> DataFrame:
+def candidates(reps: DataFrame, threshold: int, trees: int) -> DataFrame:
     """Candidate links (a, b) between classes from all trees.
 
     Small nodes give the pairs that their signatures leave possible; a node
@@ -202,7 +211,7 @@ def candidates(reps: DataFrame, threshold: int) -> DataFrame:
     t = threshold / 100
     least = t - MARGIN * math.sqrt(t * (1 - t) / TOKENS)
     names = [f"k{d}" for d in LEVELS]
-    rest = reps.select(F.explode(F.arrays_zip(*names)).alias("n"), F.col("v").alias("doc")).select("n.*", "doc")
+    rest = reps.select("v", "sig").mapInArrow(_paths(trees), "doc bigint, " + ", ".join(f"{n} bigint" for n in names))
     small, links = [], []
     for i, level in enumerate(names):
         size = rest.groupBy(level).agg(F.count("*").alias("n"), F.min("doc").alias("least")).where("n > 1")
@@ -229,15 +238,11 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = S
     is outside of the join and a component of its own (component_id null, kept
     true). Other columns are ignored.
     """
-    run, schema = _sketches(tree_count(threshold, miss), k)
     src = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = cut(src.mapInArrow(run, schema))
-    names = [f"k{d}" for d in LEVELS]
+    rows = cut(src.mapInArrow(_sketches(k), "doc_id bigint, n_shingles bigint, v bigint, sig binary"))
     live = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(live.groupBy(F.col("s0").alias("v")).agg(F.min("doc_id").alias("rep")))
-    reps = rows.join(classes, (F.col("doc_id") == F.col("rep")) & (F.col("s0") == F.col("v"))).select("v", "rep", "n_shingles", "sig", *names).dropDuplicates(["v"])
-    reps = cut(reps)
-    coarse = components(candidates(reps, threshold))
+    reps = cut(live.groupBy("v").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "sig"), "doc_id").alias("s")).select("v", "rep", "s.*"))
+    coarse = components(candidates(reps, threshold, tree_count(threshold, miss)))
     sized = coarse.join(reps.select("v", "rep", "n_shingles"), "v")
     blocks = sized.groupBy("label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total")).select(
         "label", F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")
@@ -249,10 +254,13 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = S
     texts = src.join(placed.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
     work = tasks.join(texts, F.col("rep") == F.col("doc_id")).select("task", "v", "text").repartition("task").sortWithinPartitions("task", "v")
     found = components(work.mapInArrow(_confirm(threshold, k), "a bigint, b bigint"))
-    groups = cut(classes.join(found, "v", "left").select("v", "rep", F.coalesce("label", "v").alias("label")))
+    groups = cut(reps.join(found, "v", "left").select("v", "rep", F.coalesce("label", "v").alias("label")))
     least = groups.groupBy("label").agg(F.min("rep").alias("component"))
-    names_of = groups.join(least, "label").select(F.col("v").alias("s0"), "component")
-    out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("s0")).alias("s0")).join(names_of, "s0", "left")
+    names_of = groups.join(least, "label").select("v", "component")
+    out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("v")).alias("v"))
+    # Texts without words have no class and stay out of the join.
+    alone = out.where("v is null").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component"))
+    out = out.where("v is not null").join(names_of, "v", "left").select("doc_id", "n_shingles", "component").unionByName(alone)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
