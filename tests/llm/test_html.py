@@ -19,6 +19,7 @@ def test_odd_markup():
     assert html.certain(html.blocks("<main><header><h2>H</h2></header><p>m</p></main><p>o</p>")) == ["H", "m"]
     assert html.certain(html.blocks("<article><nav>n<p>q</article><p>after</p>")) is None
     assert html.certain(html.blocks("<article><table><tr><td>a</td><td>b</td></tr></table></article>")) == ["a b"]
+    assert html.certain(html.blocks('<body class="nav-open"><article class="post sidebar-left"><p class="no-sidebar">x</p><article class="comment">c</article></article>')) == ["x"]
     assert len(html.blocks("<div>" * 20_000 + "deep")) == 1
 
 

@@ -40,3 +40,11 @@ def test_empty_and_wordless(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
     got = mixing.mix(documents(spark, [(1, None), (2, ""), (None, " ")])).collect()
     assert [(r.taken, r.target) for r in got] == [(0, 0.0)] * 3
+
+
+def test_many_sources_take_the_salted_way(spark, monkeypatch):
+    rows = [(i, "w " * (i * 31 % 23), "en", f"s{i % 7}" if i % 5 else None) for i in range(200)]
+    want = sorted(map(str, mixing.mix(documents(spark, rows)).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    monkeypatch.setattr(mixing, "SALTS", 3)
+    assert sorted(map(str, mixing.mix(documents(spark, rows)).collect())) == want

@@ -39,6 +39,9 @@ NOISE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer "
     "cookie cookies consent gdpr notice alert newsletter subscribe comment comments respond disqus related share sharing social popup modal login signup pagination pager widget toolbar masthead".split()
 )
+#: Of these, the ones that tell on an article element itself; and words of modifiers that only speak of such containers.
+ARTICLE_NOISE = frozenset("ad ads advert adverts advertisement sponsored promo comment comments related".split())
+MODIFIERS = frozenset("has with no without".split())
 OWN = frozenset("article post entry content story".split())
 CONTENT = frozenset("articlebody content maincontent postcontent entrycontent storybody post entry story".split())
 
@@ -69,7 +72,8 @@ def _kind(name: str, attrs: str, inside: bool) -> int | None:
             else:
                 words.update(w.lower() for w in _WORD.findall(value))
                 whole.update(re.sub(r"[^a-z]", "", v.lower()) for v in value.split())
-    if role in ROLES or words & NOISE and name not in ("body", "html", "main"):
+    noise = ARTICLE_NOISE if name == "article" else frozenset() if name in ("body", "html", "main") else NOISE
+    if role in ROLES or words & noise and not words & MODIFIERS:
         return CHROME_TEXT
     if (name == "header" or "header" in words and not words & OWN) and not inside:
         return CHROME_TEXT
