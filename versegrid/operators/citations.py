@@ -51,11 +51,14 @@ def pattern() -> str:
 def located(text: Column, regex: str) -> Column:
     """Array of (start, hit) of all matches; starts in code points.
 
-    Matches and the gaps that ``split`` leaves between them alternate, so the
-    running sum of their lengths is each match's start.
+    Matches and the gaps between them alternate, so the running sum of their
+    lengths is each match's start. Gaps are cut at a mark that takes the
+    matches' place (a mark in the text gives way to its like), since splitting
+    by the pattern itself would compile it for every row.
     """
+    text = F.translate(text, "\u0001", "\u0002")
     hits = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
-    gaps = F.slice(F.split(text, regex, -1), 1, F.size(hits))
+    gaps = F.slice(F.split(F.regexp_replace(text, regex, "\u0001"), "\u0001", -1), 1, F.size(hits))
     lengths = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("size"), h.alias("hit")))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,hit:string>>").alias("out"))
     done = F.aggregate(
@@ -82,6 +85,12 @@ def chapter_number(raw: Column) -> Column:
     return F.coalesce(roman_to_int(raw), raw.try_cast("int"))
 
 
+def spread(texts: DataFrame) -> DataFrame:
+    """Texts of fewer files than there are cores, dealt out to all cores; larger inputs stay as they are."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(cores) if len(texts.inputFiles()) < cores else texts
+
+
 def extract(texts: DataFrame, *, key: str = "id", text: str = "text") -> DataFrame:
     """One row a citation: key, book, book_slug, chapter, verse_start, verse_end, citation_offset.
 
@@ -96,7 +105,7 @@ def extract(texts: DataFrame, *, key: str = "id", text: str = "text") -> DataFra
         F.filter(split, lambda m: m["p"][1] != ""),
         lambda m: F.struct(m["start"].alias("citation_offset"), book_key(m["p"][0]).alias("key"), chapter_number(m["p"][1]).alias("chapter"), verse_range(m["p"][2]).alias("v")),
     )
-    parts = texts.where(F.col(text).rlike(regex)).select(F.col(key).alias("key_"), F.explode(made).alias("m")).select("key_", "m.*")
+    parts = spread(texts.select(key, text)).where(F.col(text).rlike(regex)).select(F.col(key).alias("key_"), F.explode(made).alias("m")).select("key_", "m.*")
     found = parts.where(F.col("chapter") >= 1).join(F.broadcast(names(texts.sparkSession)), "key").where(F.col("chapter") <= F.col("chapters"))
     return found.select(F.col("key_").alias(key), "book", F.col("slug").alias("book_slug"), "chapter", "v.verse_start", "v.verse_end", "citation_offset")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import creator
+from ..operators.citations import spread
 
 # Elements whose content is no running text, and dates that beat others.
 SKIPPED = frozenset(("ThML.head", "head", "note", "scripCom", "index", "pb", "milestone"))
@@ -112,7 +113,7 @@ def parse(docs: DataFrame, *, path: str = "path", content: str = "content") -> D
                 rows.append({"path": p, **got})
             yield pa.RecordBatch.from_pylist(rows, schema=_WALKED)
 
-    return docs.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInArrow(run, WALKED)
+    return spread(docs.select(F.col(path).alias("path"), F.col(content).alias("content"))).mapInArrow(run, WALKED)
 
 
 def year(dates: Column) -> Column:
