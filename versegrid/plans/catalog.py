@@ -11,7 +11,7 @@ from ..functions import scalars as S
 from ..functions.canon import canon, int_to_roman, roman_to_int
 from ..operators import citations, classify, explore, highlight, rollups, store, windows
 from ..sources import texts, thml
-from .synth import Views, oracle
+from .synth import SAID, Views, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -454,3 +454,52 @@ def document_citations(v: Views) -> DataFrame:
 @query("SELECT name AS book, slug AS book_slug, book_order, chapters, book_group FROM canon")
 def book_dimension(v: Views) -> DataFrame:
     return canon(v.spark).select(F.col("name").alias("book"), F.col("slug").alias("book_slug"), "book_order", "chapters", "book_group")
+
+
+@query("SELECT doc_id, replace(left(text, 80), chr(10), ' ') AS preview, CASE WHEN length(text) > 140 THEN left(text, 139) || '…' ELSE text END AS short, replace(replace(replace(replace(left(text, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM documents")
+def text_previews(v: Views) -> DataFrame:
+    text = F.col("text")
+    return v.raw("documents").select("doc_id", S.preview(text).alias("preview"), S.shortened(text, 140).alias("short"), S.escaped(F.substring(text, 1, 200)).alias("escaped"))
+
+
+@query("""SELECT id, 'F' || id || ' L' || id AS author, title, year, CASE WHEN id % 3 = 0 THEN 'early,history' ELSE '' END AS subjects FROM (
+  SELECT id, coalesce(title, 'No title') AS title, CASE WHEN year >= 1000 THEN year END AS year FROM works)""")
+def header_fields(v: Views) -> DataFrame:
+    rule, line = F.lit("_" * 30 + "\n"), F.lit("\n")
+    number = F.col("id").cast("string")
+    subjects = F.when(F.col("id") % 3 == 0, F.lit("   CCEL Subjects: Early; History;\n")).otherwise(F.lit(""))
+    text = F.concat(
+        F.lit("x\n"), rule, F.lit("  Title: "), F.coalesce("title", F.lit("No title")), line, F.lit("Creator(s): L"), number, F.lit(", Dr. F"), number, F.lit(" (1600-1650)\n"),
+        F.lit("Print Basis: London, "), F.coalesce(F.col("year").cast("string"), F.lit("n.d.")), line, subjects, rule, F.lit("body 1234\n"),
+    )
+    head = S.header(F.col("text"))
+    rows = v.works.select("id", text.alias("text"))
+    return rows.select("id", S.header_author(head).alias("author"), S.field(head, "Title").alias("title"), S.header_year(head).alias("year"), F.array_join(S.subjects(head), ",").alias("subjects"))
+
+
+@query("""SELECT span, CAST(CASE WHEN span / mag BETWEEN 2 AND 8 THEN mag WHEN span / (2 * mag) BETWEEN 2 AND 8 THEN 2 * mag WHEN span / (5 * mag) BETWEEN 2 AND 8 THEN 5 * mag ELSE 10 * mag END AS BIGINT) AS step
+FROM (SELECT span, pow(10, floor(log10(span / 5.0))) AS mag FROM (SELECT unnest(range(10, 3000, 7)) AS span))""")
+def tick_steps(v: Views) -> DataFrame:
+    return v.spark.range(10, 3000, 7).select(F.col("id").alias("span"), S.tick_step(F.col("id").cast("double")).cast("bigint").alias("step"))
+
+
+@query("SELECT slug, CAST(ch AS INT) AS chapter, CAST(vs AS INT) AS verse, name || ' ' || ch || ':' || vs AS text FROM (SELECT name, slug, unnest(range(1, least(3, chapters) + 1)) AS ch FROM canon) CROSS JOIN (VALUES (1), (2)) AS t(vs)")
+def verse_dictionary(v: Views) -> DataFrame:
+    label = lambda b, c, n: F.struct(F.lit(str(n)).alias("verse"), F.concat(F.lit(" "), b, F.lit(" "), c.cast("string"), F.lit(f":{n}")).alias("text"))
+    chapters = F.transform(F.sequence(F.lit(1), F.least(F.lit(3), F.col("chapters"))), lambda c: F.struct(c.cast("string").alias("chapter"), F.array(label(F.col("name"), c, 1), label(F.col("name"), c, 2)).alias("verses")))
+    docs = v.canon.select(F.to_json(F.struct(F.col("name").alias("book"), chapters.alias("chapters"))).alias("value"))
+    return texts.verse_texts(docs)
+
+
+@query(f"SELECT l_orderkey, l_linenumber, rpad(label, CAST(greatest(30, length(label)) AS INT), ' ') AS label FROM (SELECT l_orderkey, l_linenumber, book || ' ' || chapter || CASE WHEN verse_start > 0 THEN ':' || verse_start || CASE WHEN verse_end > 0 THEN '-' || verse_end ELSE '' END ELSE '' END AS label FROM said)")
+def reference_labels(v: Views) -> DataFrame:
+    said = v.spark.sql(SAID, lineitem=v.raw("lineitem"), canon=v.canon)
+    return said.select("l_orderkey", "l_linenumber", S.reference_label(F.col("book"), F.col("chapter"), F.col("verse_start"), F.col("verse_end")).alias("label"))
+
+
+@query(f"SELECT book_slug, chapter, {_LABEL} AS v, text AS verse_text FROM refs LEFT JOIN (SELECT slug, CAST(ch AS INT) AS ch, vs, name || ' ' || ch || ':' || vs AS text FROM (SELECT name, slug, unnest(range(1, least(3, chapters) + 1)) AS ch FROM canon) CROSS JOIN (VALUES (1), (2)) AS t(vs)) t ON t.slug = book_slug AND t.ch = chapter AND t.vs = verse_start WHERE manuscript_id = 11")
+def verse_text_join(v: Views) -> DataFrame:
+    label = S.verse_label(F.col("verse_start"), F.col("verse_end"))
+    keys = v.refs.where("manuscript_id = 11").select("book_slug", "chapter", label.alias("v"), S.verse_key(label).alias("verse_key"))
+    verses = QUERIES["verse_dictionary"](v.spark, v.sf_dir)
+    return explore.with_verse_text(keys, verses).select("book_slug", "chapter", "v", "verse_text")
