@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versegrid.llm import decontaminate, language, mixing, neardup, secrets
-from versegrid.llm.common import scratch, table
+from versegrid.llm.common import discard, scratch, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -60,10 +60,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn; each result is written to the shared folder and reread."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn; each result is written to the shared folder, reread, and removed once the next stands."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for n, (_, stage) in enumerate(STAGES):
         path = scratch(spark, f"pipeline-{n}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -151,7 +151,7 @@ def exact_links(h: np.ndarray, offsets: np.ndarray, threshold: int) -> list[tupl
     words, column, df = np.unique(h, return_inverse=True, return_counts=True)
     shared = df > 1
     number = np.cumsum(shared) - 1
-    both = np.zeros((n, n), np.float32)
+    both = np.zeros((n, n))
     keep = shared[column]
     owner, column = owner[keep], number[column[keep]]
     order = np.argsort(column, kind="stable")
