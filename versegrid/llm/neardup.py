@@ -264,3 +264,17 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = S
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+LINK_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, hash(w[i : i + 4]) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(2, CAST(len(w) AS BIGINT) - 3))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared s JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * s.n >= 85 * (a.n + b.n - s.n)),
+reach AS (SELECT doc_id, doc_id AS c FROM words UNION SELECT l.y, r.c FROM reach r JOIN links l ON l.x = r.doc_id),
+least AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept FROM words w JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""

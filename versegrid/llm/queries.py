@@ -71,4 +71,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mix_sources": mixing.MIX_SQL, "op6_decontaminate": decontaminate.DIGEST_SQL, "op9_chat_format": chat.DIGEST_SQL}
+    return {
+        "op3_suffix_dedup": suffix.DIGEST_SQL,
+        "op4_mix_sources": mixing.MIX_SQL,
+        "op5_embedding_neardup": vectors.LINK_SQL,
+        "op6_decontaminate": decontaminate.DIGEST_SQL,
+        "op9_chat_format": chat.DIGEST_SQL,
+        "op10_minhash_neardup": neardup.LINK_SQL,
+    }

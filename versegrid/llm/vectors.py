@@ -181,3 +181,21 @@ def link(vecs: DataFrame, *, key: str = "vec_id", vector: str = "embedding", thr
     alone = src.where(~fine).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = live.join(told, "x").select("vec_id", "n_links", "component_id").unionByName(alone)
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+LINK_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+), fine AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95
+), reach AS (
+  SELECT vec_id, vec_id AS c FROM v UNION SELECT l.y, r.c FROM reach r JOIN links l ON l.x = r.vec_id
+), least AS (SELECT vec_id, min(c) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT x AS vec_id, count(*) AS n_links FROM links GROUP BY x)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
