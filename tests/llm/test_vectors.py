@@ -67,3 +67,17 @@ def test_estimates_are_unbiased_and_bounded():
     off = ~np.eye(len(x), dtype=bool)
     assert abs((middle - true)[off].mean()) < 0.005
     assert (vectors.upper_bounds(code, factor, rotated) >= true - 1e-12).mean() > 0.999
+
+
+def test_stated_miss_holds_in_large_plans():
+    rng, d, n = np.random.default_rng(8), 64, 10_000
+    x = rng.standard_normal((n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.standard_normal((n, d))
+    z -= np.einsum("ij,ij->i", z, x)[:, None] * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    y = vectors.THRESHOLD * x + np.sqrt(1 - vectors.THRESHOLD**2) * z
+    for rows in (2_000, 1_000_000, 100_000_000):
+        bits, tables = vectors.plan(rows, d)
+        missed = (vectors.bucket_keys(x, bits, tables) != vectors.bucket_keys(y, bits, tables)).all(axis=1).mean()
+        assert missed < 2 * vectors.MISS

@@ -4,13 +4,15 @@ Vectors are normalised and rotated at random; the signs are a vector's code,
 stored with its correction factor <code, vector>. From a code, its factor and
 another vector in full, the inner product has an unbiased estimate with a
 confidence bound, and only pairs whose upper bound reaches the threshold are
-recomputed in double precision. Buckets over sampled bits of the codes, in as
-many tables as the wanted recall takes, bring the pairs together.
+recomputed in double precision. Buckets over the signs of random planes, in as
+many tables as the wanted recall takes, bring the pairs together. Each table
+has planes of its own, so its misses are independent of the others'.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -78,11 +80,7 @@ def _buckets(threshold: float, miss: float, total: int):
                 scale = np.abs(x).max(axis=1, keepdims=True)
                 x = x / scale
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
-                code = encode(x)[1] > 0
-                bits, tables = plan(total, int(d), threshold, miss)
-                out = np.empty((len(at), tables), np.int64)
-                for t, picked in enumerate(table_bits(int(d), bits, tables)):
-                    out[:, t] = code[:, picked] @ (1 << np.arange(bits, dtype=np.int64))
+                out = bucket_keys(x, *plan(total, int(d), threshold, miss))
                 ids.extend(at.tolist())
                 keys.extend(out.tolist())
             order = np.argsort(ids)
@@ -91,9 +89,19 @@ def _buckets(threshold: float, miss: float, total: int):
     return run
 
 
-def table_bits(d: int, bits: int, tables: int) -> list[np.ndarray]:
-    rng = np.random.default_rng(d * 1000 + bits)
-    return [rng.choice(d, bits, replace=False) for _ in range(tables)]
+@lru_cache(4)
+def planes(d: int, bits: int, tables: int) -> np.ndarray:
+    """d x tables x bits: the normals of each table's planes."""
+    return np.random.default_rng(d * 1000 + bits).standard_normal((tables, bits, d)).transpose(2, 0, 1).copy()
+
+
+def bucket_keys(unit: np.ndarray, bits: int, tables: int, upto: int | None = None) -> np.ndarray:
+    """Each vector's bucket in each table, or in the first ``upto`` ones."""
+    normals = planes(unit.shape[1], bits, tables)[:, :upto]
+    out = np.empty((len(unit), normals.shape[1]), np.int64)
+    for t in range(normals.shape[1]):
+        out[:, t] = (unit @ normals[:, t] >= 0) @ (1 << np.arange(bits, dtype=np.int64))
+    return out
 
 
 def _compare(threshold: float, miss: float, total: int):
@@ -109,7 +117,7 @@ def _compare(threshold: float, miss: float, total: int):
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
         rotated, code, factor = encode(unit)
         bits, tables = plan(total, x.shape[1], threshold, miss)
-        earlier = table_bits(x.shape[1], bits, tables)[:table]
+        earlier = bucket_keys(unit, bits, tables, table)
         left = np.arange(len(ids)) if same_block else np.flatnonzero(block == rows[0][4])
         right = left if same_block else np.flatnonzero(block != rows[0][4])
         a_out, b_out = [], []
@@ -123,8 +131,8 @@ def _compare(threshold: float, miss: float, total: int):
             exact = np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold
             i, j = i[exact], j[exact]
             fresh = np.ones(len(i), bool)
-            for picked in earlier:
-                fresh &= (code[i][:, picked] != code[j][:, picked]).any(axis=1)
+            for t in range(table):
+                fresh &= earlier[i, t] != earlier[j, t]
             a_out.append(i[fresh])
             b_out.append(j[fresh])
         i, j = np.concatenate(a_out) if a_out else none[0], np.concatenate(b_out) if b_out else none[0]
