@@ -462,6 +462,12 @@ def text_previews(v: Views) -> DataFrame:
     return v.raw("documents").select("doc_id", S.preview(text).alias("preview"), S.shortened(text, 140).alias("short"), S.escaped(F.substring(text, 1, 200)).alias("escaped"))
 
 
+@query("SELECT doc_id, replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM documents")
+def text_escaped(v: Views) -> DataFrame:
+    """Whole texts; ``text_previews`` escapes their first 200 characters."""
+    return v.raw("documents").select("doc_id", S.escaped(F.col("text")).alias("escaped"))
+
+
 @query("""SELECT id, 'F' || id || ' L' || id AS author, title, year, CASE WHEN id % 3 = 0 THEN 'early,history' ELSE '' END AS subjects FROM (
   SELECT id, coalesce(title, 'No title') AS title, CASE WHEN year >= 1000 THEN year END AS year FROM works)""")
 def header_fields(v: Views) -> DataFrame:
