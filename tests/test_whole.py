@@ -5,6 +5,7 @@ import os
 import pytest
 
 from versegrid.plans import catalog
+from versegrid.plans.synth import Views
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
@@ -15,3 +16,8 @@ def test_whole_texts_are_escaped(spark):
     for r in spark.read.parquet(f"{DATA}/documents.parquet").collect():
         assert got[r.doc_id] == (r.text or "").replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
     assert max(map(len, got.values())) > 1000
+
+
+def test_all_works_meet_their_verses(spark):
+    got = catalog.QUERIES["verse_text_join_all"](spark, DATA)
+    assert got.count() == Views(spark, DATA).refs.count() > catalog.QUERIES["verse_text_join"](spark, DATA).count()

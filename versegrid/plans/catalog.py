@@ -505,7 +505,17 @@ def reference_labels(v: Views) -> DataFrame:
 
 @query(f"SELECT book_slug, chapter, {_LABEL} AS v, text AS verse_text FROM refs LEFT JOIN (SELECT slug, CAST(ch AS INT) AS ch, vs, name || ' ' || ch || ':' || vs AS text FROM (SELECT name, slug, unnest(range(1, least(3, chapters) + 1)) AS ch FROM canon) CROSS JOIN (VALUES (1), (2)) AS t(vs)) t ON t.slug = book_slug AND t.ch = chapter AND t.vs = verse_start WHERE manuscript_id = 11")
 def verse_text_join(v: Views) -> DataFrame:
+    return _verse_texts(v, v.refs.where("manuscript_id = 11"))
+
+
+@query(f"SELECT book_slug, chapter, {_LABEL} AS v, text AS verse_text FROM refs LEFT JOIN (SELECT slug, CAST(ch AS INT) AS ch, vs, name || ' ' || ch || ':' || vs AS text FROM (SELECT name, slug, unnest(range(1, least(3, chapters) + 1)) AS ch FROM canon) CROSS JOIN (VALUES (1), (2)) AS t(vs)) t ON t.slug = book_slug AND t.ch = chapter AND t.vs = verse_start")
+def verse_text_join_all(v: Views) -> DataFrame:
+    """The references of all works; ``verse_text_join`` has one work's."""
+    return _verse_texts(v, v.refs)
+
+
+def _verse_texts(v: Views, refs: DataFrame) -> DataFrame:
     label = S.verse_label(F.col("verse_start"), F.col("verse_end"))
-    keys = v.refs.where("manuscript_id = 11").select("book_slug", "chapter", label.alias("v"), S.verse_key(label).alias("verse_key"))
+    keys = refs.select("book_slug", "chapter", label.alias("v"), S.verse_key(label).alias("verse_key"))
     verses = QUERIES["verse_dictionary"](v.spark, v.sf_dir)
     return explore.with_verse_text(keys, verses).select("book_slug", "chapter", "v", "verse_text")
