@@ -21,3 +21,16 @@ def test_whole_texts_are_escaped(spark):
 def test_all_works_meet_their_verses(spark):
     got = catalog.QUERIES["verse_text_join_all"](spark, DATA)
     assert got.count() == Views(spark, DATA).refs.count() > catalog.QUERIES["verse_text_join"](spark, DATA).count()
+
+
+def test_all_citations_are_placed_and_no_document_is_lost(spark, tmp_path):
+    v = Views(spark, DATA)
+    whole = "\n".join(r.text or "" for r in catalog._passage_works(v).collect())
+    said = {r.text for r in v.citation_texts.select("text").collect()}
+    assert len(said) > 1000 and all(t in whole for t in said)
+    for f in os.listdir(DATA):
+        if f != "lineitem.parquet":
+            os.symlink(f"{DATA}/{f}", tmp_path / f)
+    spark.read.parquet(f"{DATA}/lineitem.parquet").where("l_orderkey < 8").write.parquet(str(tmp_path / "lineitem.parquet"))
+    few, docs = catalog._passage_works(Views(spark, str(tmp_path))), spark.read.parquet(f"{DATA}/documents.parquet")
+    assert sorted(r.id for r in few.collect()) == sorted(r.doc_id for r in docs.collect())

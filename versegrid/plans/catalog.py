@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -398,11 +398,25 @@ def manifest_merge(v: Views) -> DataFrame:
     return texts.merged_manifest(old, new).select("author_id", "event_id")
 
 
+#: Groups in which documents are numbered.
+DEALT = 256
+
+
 def _passage_works(v: Views) -> DataFrame:
-    """Documents as texts of paragraphs, each with a citation behind it."""
-    said = v.citation_texts.groupBy((F.col("id.l_orderkey") % 1000).alias("slot")).agg(F.min("text").alias("c"))
-    docs = v.raw("documents").withColumn("slot", F.col("doc_id") % 1000).join(said, "slot")
-    return docs.select(F.col("doc_id").alias("id"), F.replace("text", F.lit("\n"), F.concat(F.lit(" "), F.col("c"), F.lit("\n\n"))).alias("text"))
+    """Documents as texts of paragraphs, each with citations behind it; all citation texts are dealt over all documents."""
+    docs = v.raw("documents").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(DEALT)).alias("part"))
+    sizes = docs.groupBy("part").agg(F.count("*").alias("n"))
+    first = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"), F.sum("n").over(Window.partitionBy()).alias("documents"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("doc_id", "text")) - 1
+    placed = docs.withColumn("place", place).join(F.broadcast(first), "part").withColumn("slot", F.col("first") + F.col("place"))
+    known = v.citation_texts.crossJoin(F.broadcast(sizes.agg(F.sum("n").alias("documents"))))
+    said = known.groupBy(F.pmod(F.xxhash64("id"), F.col("documents")).alias("slot")).agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda x: x["text"]).alias("said"))
+    rows = placed.join(said, "slot", "left").withColumn("parts", F.split("text", "\n", -1)).withColumn("said", F.coalesce("said", F.array().cast("array<string>")))
+    # Citations go round the paragraphs, or paragraphs round the citations, until each has met one.
+    last, step = F.greatest(F.size("parts"), F.size("said")) - 1, F.size("parts")
+    behind = lambda i: F.array_join(F.transform(F.sequence(i, last, step), lambda j: F.get(F.col("said"), j % F.size("said"))), " ")
+    cited = F.transform("parts", lambda x, i: F.when(F.size("said") > 0, F.concat(x, F.lit(" "), behind(i))).otherwise(x))
+    return rows.select(F.col("doc_id").alias("id"), F.array_join(cited, "\n\n").alias("text"))
 
 
 @query()
