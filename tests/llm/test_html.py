@@ -35,3 +35,13 @@ def test_host_boilerplate_decides_uncertain_blocks(spark):
     assert by[10].text == menu and by[11].text == by[12].text == "" and by[None].text == "x"
     assert by[13].text == by[14].text and by[13].n_chars == len(by[13].text) > 50
     assert html.extract(df.limit(0)).count() == 0
+
+
+def test_host_boilerplate_decides_in_main_zones(spark):
+    notice = "Sign up now for the daily letter of this site and win"
+    story = "Unique story number {0} with words w{0} x{0} y{0} z{0} told once"
+    rows = [(i, f"https://h.example/p{i}", f"<body><main><p>{notice}</p><p>{story.format(i)}</p><article><p>teaser {i}</p></article></main></body>") for i in range(5)]
+    rows += [(10, "https://h.example/a", f"<main><p>{notice}</p><article><p>{story.format(10)}</p></article></main>"), (11, "https://other.example/", f"<main>{notice}</main>")]
+    by = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(by[i] == story.format(i) + f"\nteaser {i}" for i in range(5))
+    assert by[10] == story.format(10) and by[11] == notice

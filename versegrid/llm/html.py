@@ -2,11 +2,12 @@
 
 A page is read into blocks of text in page order. Where the page marks its
 article, the article's blocks are the text, less what sits in menus, asides,
-forms and the like inside it. Elsewhere the blocks outside of such containers
-are uncertain, and the host's suffix array decides: the token streams of all
-its pages are laid out as suffixes, sorted by their first GRAM tokens and dealt
-by them, and strings that distinct pages share are boilerplate. A block mostly
-covered by them goes, unique runs stay.
+forms and the like inside it. Elsewhere the blocks outside of such containers,
+those in main zones first, are uncertain, and the host's repeated strings
+decide: the token streams of all its pages are laid out as suffixes, cut to
+their first GRAM tokens and dealt by them, and strings that distinct pages share
+are boilerplate. A block mostly covered by them goes, unique runs stay. A main
+zone that has more words left than the articles is the text with them.
 """
 
 from __future__ import annotations
@@ -165,6 +166,24 @@ def certain(found: list[tuple[int, str]]) -> list[str] | None:
     return None if any(z == OTHER for z, _ in found) else []
 
 
+def settled(found: list[tuple[int, str]]) -> list[str] | None:
+    """The text that needs no judgement by the host's repeated strings; None where there are blocks of a main zone or only uncertain ones."""
+    return None if any(z == MAIN for z, _ in found) else certain(found)
+
+
+def judged(found: list[tuple[int, str]], known: set[int], size: int = GRAM, covered: float = COVERED) -> list[str]:
+    """The text of a page that isn't settled, given the repeated strings of its host."""
+    zone = MAIN if any(z == MAIN for z, _ in found) else OTHER
+    fresh = [z == zone and _covered(t, known, size) < covered for z, t in found]
+    words = lambda keep: sum(len(t.split()) for (_, t), k in zip(found, keep, strict=True) if k)
+    article = [z == ARTICLE for z, _ in found]
+    if any(article):
+        fresh = article if words(article) >= words(fresh) else [a or f for a, f in zip(article, fresh, strict=True)]
+    elif not any(fresh):
+        fresh = [z == zone for z, _ in found]
+    return [t for (_, t), k in zip(found, fresh, strict=True) if k]
+
+
 def suffixes(text: str, size: int = GRAM) -> list[int]:
     """Hashes of the first ``size`` tokens of each suffix of a block; a shorter block is one."""
     tokens = text.split()
@@ -189,7 +208,7 @@ def _streams(size: int):
             rows, heads, stream, unsure = [], [], [], []
             for i, html in enumerate(batch.column("html").to_pylist()):
                 found = blocks(html)
-                sure = certain(found)
+                sure = settled(found)
                 outside = [h for z, t in found if z != ARTICLE for h in suffixes(t, size)]
                 if outside:
                     rows.append(i)
@@ -212,13 +231,11 @@ def _texts(wanted_sure: bool, size: int, covered: float):
             out = []
             for i, u, html, k in zip(ids, urls, htmls, known, strict=True):
                 found = blocks(html)
-                text = certain(found)
+                text = settled(found)
                 if (text is not None) != wanted_sure:
                     continue
                 if text is None:
-                    loose = [t for z, t in found if z == OTHER]
-                    have = set(k or ())
-                    text = [t for t in loose if _covered(t, have, size) < covered] or loose
+                    text = judged(found, set(k or ()), size, covered)
                 out.append((i, u, "\n".join(text)))
             a, b, c = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.string()), pa.array(c, pa.string())], names=["page_id", "url", "text"])
@@ -230,8 +247,8 @@ def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: s
     """page_id, url and text of each page.
 
     Null or empty html gives an empty text. Marked articles are kept whole,
-    also where pages share passages; only uncertain blocks are judged by the
-    host's repeated strings, and a page that would lose all of them keeps them.
+    also where pages share passages; blocks of main zones and uncertain ones are
+    judged by the host's repeated strings, and a page that would lose all of them keeps them.
     Pages with equal streams count once in what distinct pages share; a null
     url is a host of its own; repeated rows give repeated results; other
     columns are ignored. A host is never gathered: its suffixes are dealt by
