@@ -39,3 +39,13 @@ def test_without_labels_or_rows(spark):
     model = language.fit(docs)
     assert [tuple(r) for r in language.identify(docs, model).collect()] == [(1, "und", 0.0, True)]
     assert language.identify(documents(spark, []), model).count() == 0
+
+
+def test_no_language_is_left_out(spark):
+    rng = random.Random(6)
+    sounds = {f"l{i:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(5)] for i in range(230)}
+    docs = documents(spark, [(i, " ".join(rng.choices(sounds[lang], k=30)), lang) for i, lang in enumerate(sorted(sounds) * 6)])
+    model = language.fit(docs)
+    assert set(model.languages) == set(sounds)
+    got = language.identify(docs, model, carry=("doc_id", "lang")).collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got)

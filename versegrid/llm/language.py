@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .common import cut
 
 #: Hashed n-gram dimensions, n-gram lengths in bytes, centroids a language.
 DIMENSIONS, GRAMS, CENTROIDS = 1 << 13, (1, 2, 3), 3
-#: Labelled rows that the classifier is fitted on, a language at most (about), and languages in all.
-TRAIN_ROWS, MOST_LANGUAGES = 400, 200
+#: Labelled rows that the classifier is fitted on, a language at most (about); every language is fitted.
+TRAIN_ROWS = 400
 #: Rejection: below this share of the cosine that all but one in a hundred training texts of the language reach.
 REJECT_SHARE = 0.5
 UNKNOWN = "und"
@@ -102,16 +103,29 @@ def training_sample(docs: DataFrame, key: str, text: str, lang: str, rows: int)
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key))).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 20)).alias("h")
     )
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not sizes:
-        return labelled.limit(0).select("lang", "text")
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     # A language's hash limit lets about ``rows`` of its rows through.
-    limits = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, rows / r["count"]) * (1 << 20)))])
-    return labelled.where(F.col("h") < F.coalesce(F.element_at(limits, F.col("lang")), F.lit(0))).select("lang", "text")
+    limit = F.floor(F.least(F.lit(1.0), F.lit(float(rows)) / F.col("n")) * float(1 << 20))
+    return labelled.join(F.broadcast(sizes), "lang").where(F.col("h") < limit).select("lang", "text")
+
+
+def _by_language(batches):
+    """(language, n-gram counts of its texts) of rows that are sorted by language."""
+    now, rows = None, []
+    for batch in batches:
+        for lang, at, tf in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if lang != now:
+                if rows:
+                    yield now, np.array(rows)
+                now, rows = lang, []
+            rows.append(np.zeros(DIMENSIONS, np.float32))
+            rows[-1][np.frombuffer(at, np.int32)] = np.frombuffer(tf, np.float32)
+    if rows:
+        yield now, np.array(rows)
 
 
 def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = TRAIN_ROWS) -> Model:
-    """Fit on a bounded sample (``rows`` labelled texts a language); vectors are made on the executors."""
+    """Fit on a bounded sample (``rows`` labelled texts a language); languages are clustered on the executors."""
 
     def vectors(batches):
         for batch in batches:
@@ -121,29 +135,33 @@ def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str =
                 at = [np.flatnonzero(x) for x in tf]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.string()), pa.array([x.astype(np.int32).tobytes() for x in at], pa.binary()), pa.array([tf[i, x].tobytes() for i, x in enumerate(at)], pa.binary())], names=["lang", "at", "tf"])
 
-    # At most MOST_LANGUAGES * rows sparse vectors reach the driver.
-    got = training_sample(docs, key, text, lang, rows).mapInArrow(vectors, "lang string, at binary, tf binary").toLocalIterator()
-    by: dict[str, list[np.ndarray]] = {}
-    for r in got:
-        tf = np.zeros(DIMENSIONS, np.float32)
-        tf[np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["tf"], np.float32)
-        if len(r["at"]):
-            by.setdefault(r["lang"], []).append(tf)
-    names = sorted(by)
-    if not names:
-        return Model(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], np.zeros(0))
+    def frequencies(batches):
+        for lang, tf in _by_language(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([np.mean(tf > 0, axis=0).tobytes()], pa.binary())], names=["lang", "df"])
+
+    def clusters(batches):
+        for lang, tf in _by_language(batches):
+            x = weighted(np.array(sorted(tf, key=lambda v: v.tobytes())), idf)
+            c = _cluster(x, CENTROIDS)
+            reach = float(np.quantile((x @ c.T).max(axis=1), 0.01))
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([c.astype(np.float32).tobytes()], pa.binary()), pa.array([reach])], names=["lang", "c", "reach"])
+
+    got = training_sample(docs, key, text, lang, rows).mapInArrow(vectors, "lang string, at binary, tf binary").where(F.length("at") > 0)
+    got = cut(got.repartition("lang").sortWithinPartitions("lang"))
     # Each language counts alike in the document frequencies.
-    df = np.mean([np.mean([x > 0 for x in by[n]], axis=0) for n in names], axis=0)
-    idf = np.log(1 + 1 / (df + 1e-3)).astype(np.float32)
+    df, n = np.zeros(DIMENSIONS), 0
+    for r in got.mapInArrow(frequencies, "lang string, df binary").toLocalIterator():
+        df, n = df + np.frombuffer(r["df"], np.float64), n + 1
+    if not n:
+        return Model(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], np.zeros(0))
+    idf = np.log(1 + 1 / (df / n + 1e-3)).astype(np.float32)
     centroids, languages, floor = [], [], []
-    for name in names:
-        x = weighted(np.array(sorted(by[name], key=lambda v: v.tobytes())), idf)
-        c = _cluster(x, CENTROIDS)
-        reach = np.quantile((x @ c.T).max(axis=1), 0.01)
-        centroids.extend(c)
-        languages.extend([name] * len(c))
-        floor.extend([REJECT_SHARE * reach] * len(c))
-    return Model(idf, np.array(centroids, np.float32), languages, np.array(floor))
+    for r in sorted(got.mapInArrow(clusters, "lang string, c binary, reach double").toLocalIterator(), key=lambda r: r["lang"]):
+        c = np.frombuffer(r["c"], np.float32).reshape(-1, DIMENSIONS)
+        centroids.append(c)
+        languages.extend([r["lang"]] * len(c))
+        floor.extend([REJECT_SHARE * r["reach"]] * len(c))
+    return Model(idf, np.concatenate(centroids), languages, np.array(floor))
 
 
 def identify(docs: DataFrame, model: Model, *, carry: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
