@@ -9,6 +9,8 @@ from versegrid.llm import decontaminate, language, mixing, neardup, secrets
 from versegrid.llm.common import discard, scratch, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Percent of shared shingles from which texts are near copies here; op10 has its own threshold.
+NEAR = 80
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -23,7 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least id; repeated rows stay once."""
-    kept = neardup.link(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = neardup.link(docs, threshold=NEAR).where("kept and doc_id is not null").select("doc_id").distinct()
     # The join and the removal of repeated rows share one dealing by id.
     there = docs.join(kept, "doc_id", "left_semi").withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
     return there.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))

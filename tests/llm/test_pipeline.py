@@ -87,3 +87,15 @@ def test_stage_columns(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).dtypes == docs.dtypes
     assert corpus_pipeline.STAGES[2][1](spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_near_copies_from_080_go(spark, tmp_path):
+    rng = random.Random(9)
+    rows = []
+    for i in range(20):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        near = [f"x{i}_{n}" if n in (30, 70, 110, 150) else w for n, w in enumerate(words)]
+        rows += [(i, " ".join(words)), (100 + i, " ".join(near))]
+    docs = spark.createDataFrame([(d, t, "aa", "s", len(t)) for d, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == list(range(20))
