@@ -5,7 +5,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from versegrid.operators import citations, windows
-from versegrid.operators.highlight import mark, roman
+from pyspark.sql import functions as F
+
+from versegrid.operators.highlight import highlight_passage
 
 
 def test_sentences():
@@ -72,8 +74,35 @@ def test_passages(spark):
     assert got == [("a.txt", -5, "a"), ("a.txt", 0, "ab\n\ncd"), ("a.txt", 9, ""), ("b.txt", 0, "[source file not found: b.txt]")]
 
 
-def test_highlight():
+def _marked(spark, *rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, text string, chapter int, key string")
+    return [r.m for r in df.select("i", highlight_passage(F.col("text"), F.col("chapter"), F.col("key")).alias("m")).orderBy("i").collect()]
+
+
+def test_highlight(spark):
     text = "Before it. He says (Rom. viii. 13) so. After <it>."
-    assert mark(text, 8, "13") == "Before it. <mark>He says (Rom. viii. 13) so.</mark> After &lt;it&gt;."
-    assert mark(text, 8, "whole") == mark(text, 8, None) == mark(text, 9, "13") == 'Before it. He says (Rom. viii. 13) so. After &lt;it&gt;.'
-    assert mark(None, 1, "1") == "" and roman(149) == "cxlix"
+    plain = "Before it. He says (Rom. viii. 13) so. After &lt;it&gt;."
+    got = _marked(
+        spark, (text, 8, "13"), (text, 8, "whole"), (text, 8, None), (text, 9, "13"), (None, 1, "1"), ("Ps. cxix. 3", 119, "3-4"),
+        ("\U0001f600 One. \"Two 3:4,\" he said. Three", 3, "4"), ("a\n\n b 3. 4 c\n\nd", 3, "4"), ("\nx 3:4 y?') Z", 3, "4,5"), ("x 3:4! y 3:4.  ", 3, "4"), ("x 13:4", 3, "4"), ("x 3:45", 3, "4"), ("I. 3:4", 3, "4"),
+    )
+    assert got == [
+        "Before it. <mark>He says (Rom. viii. 13) so.</mark> After &lt;it&gt;.", plain, plain, plain, "", "<mark>Ps. cxix. 3</mark>",
+        "\U0001f600 One. <mark>&quot;Two 3:4,&quot; he said.</mark> Three", "a\n\n <mark>b 3. 4 c\n\n</mark>d", "\n<mark>x 3:4 y?</mark>') Z", "<mark>x 3:4! y 3:4.</mark>  ", "<mark>x 13:4</mark>", "x 3:45", "<mark>I. 3:4</mark>",
+    ]
+
+
+def test_spans_and_one_pass_agree(spark):
+    rng = random.Random(5)
+    say = lambda: rng.choice(["Rom. 8. 1", "Dr. No", "vol. 3 went", "So [2] it is", "Gen. i. 1, 2", "Ok", "John 3:16"]) + rng.choice([". ", "! ", "? (", '." ', "\n", "\n\n", "\n[2] ", " "])
+    rows = spark.createDataFrame([(i, "".join(say() for _ in range(rng.randrange(120)))) for i in range(30)] + [(99, None), (98, "")], "id int, text string")
+    want = windows.spans(rows, citations.extract(rows))
+    got = windows.cited(rows)
+    order = sorted(got.columns)
+    assert sorted(map(str, got.select(order).collect())) == sorted(map(str, want.select(order).collect())) and got.count() > 200
+
+
+def test_many_citations_in_one_text(spark):
+    text = "x " + "Rom. 8. 1; " * 3000
+    got = sorted(r.citation_offset for r in citations.extract(spark.createDataFrame([(1, text)], "id int, text string")).collect())
+    assert got == [2 + 11 * i for i in range(3000)]

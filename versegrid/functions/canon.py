@@ -8,98 +8,91 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Books in canonical order, with chapters and abbreviations.
-# In numbered families ``#x`` stands for "<n> x" and "<n>x", ``@x`` for the Roman form "<i> x".
-_PLAIN_OLD = """
-Genesis 50: gen, gn
-Exodus 40: exod, exo
-Leviticus 27: lev, lv
-Numbers 36: num, numb
-Deuteronomy 34: deut, deu, dt
-Joshua 24: josh, jos
-Judges 21: judg, jdg, jdgs
-Ruth 4: rth
-1 Samuel 31: #sam, #sa, @sam, @sa
-2 Samuel 24: #sam, #sa, @sam, @sa
-1 Kings 22: #kgs, #ki, @kgs, @ki
-2 Kings 25: #kgs, #ki, @kgs, @ki
-1 Chronicles 29: #chr, #chron, @chr, @chron
-2 Chronicles 36: #chr, #chron, @chr, @chron
-Ezra 10: ezr
-Nehemiah 13: neh
-Esther 10: esth, est
-Job 42:
-Psalms 150: ps, pss, psa, psalm
-Proverbs 31: prov, pro, prv
-Ecclesiastes 12: eccl, eccles, ecc, qoh, qoheleth
-Song of Solomon 8: song of sol, song of songs, canticles, cant
-Isaiah 66: isa
-Jeremiah 52: jer, jr
-Lamentations 5: lam
-Ezekiel 48: ezek, ezk
-Daniel 12: dan, dn
-Hosea 14: hos
-Joel 3:
-Amos 9: amo
-Obadiah 1: obad, oba
-Jonah 4: jon, jnh
-Micah 7: mic
-Nahum 3: nah
-Habakkuk 3: hab
-Zephaniah 3: zeph, zep
-Haggai 2: hag
-Zechariah 14: zech, zec
-Malachi 4: mal
+# Books in canonical order, each with its slug, chapters and abbreviations.
+_BOOKS = """
+Genesis | genesis | 50 | gen, gn
+Exodus | exodus | 40 | exod, exo
+Leviticus | leviticus | 27 | lev, lv
+Numbers | numbers | 36 | num, numb
+Deuteronomy | deuteronomy | 34 | deut, deu, dt
+Joshua | joshua | 24 | josh, jos
+Judges | judges | 21 | judg, jdg, jdgs
+Ruth | ruth | 4 | rth
+1 Samuel | 1-samuel | 31 | 1 sam, 1sam, 1 sa, 1sa, i sam, i sa
+2 Samuel | 2-samuel | 24 | 2 sam, 2sam, 2 sa, 2sa, ii sam, ii sa
+1 Kings | 1-kings | 22 | 1 kgs, 1kgs, 1 ki, 1ki, i kgs, i ki
+2 Kings | 2-kings | 25 | 2 kgs, 2kgs, 2 ki, 2ki, ii kgs, ii ki
+1 Chronicles | 1-chronicles | 29 | 1 chr, 1chr, 1 chron, 1chron, i chr, i chron
+2 Chronicles | 2-chronicles | 36 | 2 chr, 2chr, 2 chron, 2chron, ii chr, ii chron
+Ezra | ezra | 10 | ezr
+Nehemiah | nehemiah | 13 | neh
+Esther | esther | 10 | esth, est
+Job | job | 42 | 
+Psalms | psalms | 150 | ps, pss, psa, psalm
+Proverbs | proverbs | 31 | prov, pro, prv
+Ecclesiastes | ecclesiastes | 12 | eccl, eccles, ecc, qoh, qoheleth
+Song of Solomon | song-of-solomon | 8 | song of sol, song of songs, canticles, cant
+Isaiah | isaiah | 66 | isa
+Jeremiah | jeremiah | 52 | jer, jr
+Lamentations | lamentations | 5 | lam
+Ezekiel | ezekiel | 48 | ezek, ezk
+Daniel | daniel | 12 | dan, dn
+Hosea | hosea | 14 | hos
+Joel | joel | 3 | 
+Amos | amos | 9 | amo
+Obadiah | obadiah | 1 | obad, oba
+Jonah | jonah | 4 | jon, jnh
+Micah | micah | 7 | mic
+Nahum | nahum | 3 | nah
+Habakkuk | habakkuk | 3 | hab
+Zephaniah | zephaniah | 3 | zeph, zep
+Haggai | haggai | 2 | hag
+Zechariah | zechariah | 14 | zech, zec
+Malachi | malachi | 4 | mal
+Tobit | tobit | 14 | tob
+Judith | judith | 16 | jdt
+1 Maccabees | 1-maccabees | 16 | 1 macc, 1macc, 1 mac, 1mac, i macc, i mac, 1 m
+2 Maccabees | 2-maccabees | 15 | 2 macc, 2macc, 2 mac, 2mac, ii macc, ii mac
+3 Maccabees | 3-maccabees | 7 | 3 macc, 3macc, 3 mac, 3mac, iii macc, iii mac
+4 Maccabees | 4-maccabees | 18 | 4 macc, 4macc, 4 mac, 4mac, iv macc, iv mac
+Wisdom of Solomon | wisdom | 19 | wis, wisd, wisdom of sol, wisdom
+Sirach | sirach | 51 | sir, ecclus, ecclesiasticus
+Baruch | baruch | 6 | bar
+Letter of Jeremiah | letter-of-jeremiah | 1 | let jer, ep jer, epistle of jer
+Prayer of Azariah | prayer-of-azariah | 1 | pr azar, sg three, song of three
+Susanna | susanna | 1 | 
+Bel and the Dragon | bel | 1 | bel, bel and dragon
+Prayer of Manasseh | prayer-of-manasseh | 1 | pr man, prayer of man
+1 Esdras | 1-esdras | 9 | 1 esd, 1esd, i esd, 3 ezra
+2 Esdras | 2-esdras | 16 | 2 esd, 2esd, ii esd, 4 ezra
+Matthew | matthew | 28 | matt, mat, mt
+Mark | mark | 16 | mar, mrk, mk
+Luke | luke | 24 | luk, lk
+John | john | 21 | joh, jhn, jn
+Acts | acts | 28 | act
+Romans | romans | 16 | rom, ro, rm
+1 Corinthians | 1-corinthians | 16 | 1 cor, 1cor, i cor, 1 co, 1co
+2 Corinthians | 2-corinthians | 13 | 2 cor, 2cor, ii cor, 2 co, 2co
+Galatians | galatians | 6 | gal, ga
+Ephesians | ephesians | 6 | eph, ephes
+Philippians | philippians | 4 | phil, php, pp
+Colossians | colossians | 4 | col
+1 Thessalonians | 1-thessalonians | 5 | 1 thess, 1thess, 1 thes, 1thes, i thess, i thes, 1 th
+2 Thessalonians | 2-thessalonians | 3 | 2 thess, 2thess, 2 thes, 2thes, ii thess, ii thes, 2 th
+1 Timothy | 1-timothy | 6 | 1 tim, 1tim, i tim, 1 ti, 1ti
+2 Timothy | 2-timothy | 4 | 2 tim, 2tim, ii tim, 2 ti, 2ti
+Titus | titus | 3 | tit, ti
+Philemon | philemon | 1 | phlm, phm, philem
+Hebrews | hebrews | 13 | heb
+James | james | 5 | jas, jam, jm
+1 Peter | 1-peter | 5 | 1 pet, 1pet, 1 pe, 1pe, i pet, i pe, 1 pt, 1pt
+2 Peter | 2-peter | 3 | 2 pet, 2pet, 2 pe, 2pe, ii pet, ii pe, 2 pt, 2pt
+1 John | 1-john | 5 | 1 john, 1john, 1 jn, 1jn, i john, i jn, 1 jo, 1jo
+2 John | 2-john | 1 | 2 john, 2john, 2 jn, 2jn, ii john, ii jn
+3 John | 3-john | 1 | 3 john, 3john, 3 jn, 3jn, iii john, iii jn
+Jude | jude | 1 | jud
+Revelation | revelation | 22 | rev, the revelation, apocalypse, apoc
 """
-_PLAIN_MIDDLE = """
-Tobit 14: tob
-Judith 16: jdt
-1 Maccabees 16: #macc, #mac, @macc, @mac, 1 m
-2 Maccabees 15: #macc, #mac, @macc, @mac
-3 Maccabees 7: #macc, #mac, @macc, @mac
-4 Maccabees 18: #macc, #mac, @macc, @mac
-Wisdom of Solomon 19: wis, wisd, wisdom of sol, wisdom
-Sirach 51: sir, ecclus, ecclesiasticus
-Baruch 6: bar
-Letter of Jeremiah 1: let jer, ep jer, epistle of jer
-Prayer of Azariah 1: pr azar, sg three, song of three
-Susanna 1:
-Bel and the Dragon 1: bel, bel and dragon
-Prayer of Manasseh 1: pr man, prayer of man
-1 Esdras 9: #esd, @esd, 3 ezra
-2 Esdras 16: #esd, @esd, 4 ezra
-"""
-_PLAIN_NEW = """
-Matthew 28: matt, mat, mt
-Mark 16: mar, mrk, mk
-Luke 24: luk, lk
-John 21: joh, jhn, jn
-Acts 28: act
-Romans 16: rom, ro, rm
-1 Corinthians 16: #cor, @cor, #co
-2 Corinthians 13: #cor, @cor, #co
-Galatians 6: gal, ga
-Ephesians 6: eph, ephes
-Philippians 4: phil, php, pp
-Colossians 4: col
-1 Thessalonians 5: #thess, #thes, @thess, @thes, 1 th
-2 Thessalonians 3: #thess, #thes, @thess, @thes, 2 th
-1 Timothy 6: #tim, @tim, #ti
-2 Timothy 4: #tim, @tim, #ti
-Titus 3: tit, ti
-Philemon 1: phlm, phm, philem
-Hebrews 13: heb
-James 5: jas, jam, jm
-1 Peter 5: #pet, #pe, @pet, @pe, #pt
-2 Peter 3: #pet, #pe, @pet, @pe, #pt
-1 John 5: #john, #jn, @john, @jn, #jo
-2 John 1: #john, #jn, @john, @jn
-3 John 1: #john, #jn, @john, @jn
-Jude 1: jud
-Revelation 22: rev, the revelation, apocalypse, apoc
-"""
-#: Slugs that don't follow from the name.
-_SLUGS = {"Wisdom of Solomon": "wisdom", "Bel and the Dragon": "bel"}
 #: Display groups by the first book of each, in the order of the books; the middle part is one group.
 _GROUP_STARTS = {
     "genesis": "Pentateuch", "joshua": "Historical", "job": "Poetic", "isaiah": "Maj. Prophets", "hosea": "Min. Prophets",
@@ -108,7 +101,6 @@ _GROUP_STARTS = {
 #: Further names in the parsed attribute of annotated XML.
 _MORE_NAMES = {"psalm": "psalms", "song of songs": "song-of-solomon", "canticle of canticles": "song-of-solomon", "revelations": "revelation", "apocalypse": "revelation"}
 ROMAN = {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}
-_LOWER_ROMAN = ("", "i", "ii", "iii", "iv")
 
 
 @dataclass(frozen=True)
@@ -122,26 +114,14 @@ class Book:
     group_order: int
 
 
-def _expand(number: str, part: str) -> list[str]:
-    if part.startswith("#"):
-        return [f"{number} {part[1:]}", f"{number}{part[1:]}"]
-    if part.startswith("@"):
-        return [f"{_LOWER_ROMAN[int(number)]} {part[1:]}"]
-    return [part]
-
-
 @lru_cache(maxsize=1)
 def books() -> tuple[Book, ...]:
     out, group, group_order = [], "", 0
-    lines = (_PLAIN_OLD + _PLAIN_MIDDLE + _PLAIN_NEW).split("\n")
-    for order, line in enumerate((x for x in lines if x), 1):
-        head, _, tail = line.partition(":")
-        name, _, chapters = head.rpartition(" ")
-        slug = _SLUGS.get(name, name.lower().replace(" ", "-"))
+    for order, line in enumerate(_BOOKS.strip().split("\n"), 1):
+        name, slug, chapters, short = (x.strip() for x in line.split("|"))
         if slug in _GROUP_STARTS:
             group, group_order = _GROUP_STARTS[slug], group_order + 1
-        short = [a for part in tail.split(",") if part.strip() for a in _expand(name[0], part.strip())]
-        out.append(Book(name, slug, order, int(chapters), tuple(short), group, group_order))
+        out.append(Book(name, slug, order, int(chapters), tuple(a.strip() for a in short.split(",") if a.strip()), group, group_order))
     return tuple(out)
 
 

@@ -147,3 +147,46 @@ def tick_step(span: Column) -> Column:
 
 def marker_radius(refs: Column, most: Column) -> Column:
     return F.least(F.lit(13.0), F.greatest(F.lit(3.0), 3 + refs / most * 10))
+
+
+#: Lengths that are summed up in one go; a text of n matches costs about n times this, and the square of n over this.
+_BLOCK = 128
+
+
+def once(value: Column, body) -> Column:
+    """``body`` over ``value``, which is evaluated once however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _upto(sizes: Column, start: Column) -> Column:
+    zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(sizes, zero, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+
+def running_starts(sizes: Column, start: Column) -> Column:
+    """``start`` plus the sum of the sizes before each; summed by blocks, so that no array grows with every element of a long one."""
+    last = F.greatest(F.ceil(F.size(sizes) / _BLOCK).cast("int"), F.lit(1)) - 1
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(sizes, b * _BLOCK + 1, F.lit(_BLOCK)))
+    total = lambda block: F.aggregate(block, F.lit(0), lambda a, x: a + x)
+    return once(blocks, lambda all_: F.flatten(F.zip_with(all_, _upto(F.transform(all_, total), start), _upto)))
+
+
+def located(text: Column, regex: str, groups: int = 0) -> Column:
+    """Array of (start, parts) of the leftmost non-overlapping matches: start in code points, parts the groups and last the whole.
+
+    One regex pass sets marks around every match; between them stand the gaps,
+    so running sums of lengths give the starts. Marks in the text itself give
+    way to a character of their like first.
+    """
+    fields = "".join(f"${g}\u0002" for g in range(1, groups + 1))
+    clean = F.translate(text, "\u0001\u0002\u0003", "\u0004\u0004\u0004")
+    marked = F.regexp_replace(clean, F.lit(regex), F.lit(f"\u0001{fields}$0\u0003"))
+    cut = lambda p: F.struct(F.split(F.substring_index(p, "\u0003", 1), "\u0002", -1).alias("parts"), F.length(F.substring_index(p, "\u0003", -1)).alias("gap"))
+
+    def starts(pieces: Column) -> Column:
+        found = F.transform(F.slice(pieces, 2, F.size(pieces)), cut)
+        sizes = lambda hits: F.transform(hits, lambda h: F.length(h["parts"][groups]) + h["gap"])
+        joined = lambda hits: F.zip_with(running_starts(sizes(hits), F.length(pieces[0])), hits, lambda at, h: F.struct(at.alias("start"), h["parts"].alias("parts")))
+        return once(found, joined)
+
+    return once(F.split(marked, "\u0001", -1), starts)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canon import abbreviations, canon, names, roman_to_int
-from ..functions.scalars import strip
+from ..functions.scalars import located, strip
 
 # Fixed patterns: the parts of a citation.
 _PREFIX = r"(?:(?:Saint|St\.?)\s+)?"
@@ -48,26 +48,6 @@ def pattern() -> str:
     return rf"(?iU)({book})(?:{_BETWEEN}({_CHAPTER})(?:{_BETWEEN}({_VERSES}))?)?"
 
 
-def located(text: Column, regex: str) -> Column:
-    """Array of (start, hit) of all matches; starts in code points.
-
-    Matches and the gaps between them alternate, so the running sum of their
-    lengths is each match's start. Gaps are cut at a mark that takes the
-    matches' place (a mark in the text gives way to its like), since splitting
-    by the pattern itself would compile it for every row.
-    """
-    text = F.translate(text, "\u0001", "\u0002")
-    hits = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
-    gaps = F.slice(F.split(F.regexp_replace(text, regex, "\u0001"), "\u0001", -1), 1, F.size(hits))
-    lengths = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("size"), h.alias("hit")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,hit:string>>").alias("out"))
-    done = F.aggregate(
-        lengths, zero,
-        lambda acc, e: F.struct((acc["at"] + e["gap"] + e["size"]).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + e["gap"]).alias("start"), e["hit"].alias("hit")))).alias("out")),
-    )
-    return done["out"]
-
-
 def verse_range(field: Column) -> Column:
     """(start, end) of a verse field: its first number, and its last where that differs."""
     numbers = F.transform(F.regexp_extract_all(F.coalesce(field, F.lit("")), F.lit(r"\d+"), F.lit(0)), lambda x: x.try_cast("int"))
@@ -85,29 +65,34 @@ def chapter_number(raw: Column) -> Column:
     return F.coalesce(roman_to_int(raw), raw.try_cast("int"))
 
 
-def spread(texts: DataFrame) -> DataFrame:
-    """Texts of fewer files than there are cores, dealt out to all cores; larger inputs stay as they are."""
-    cores = texts.sparkSession.sparkContext.defaultParallelism
-    return texts.repartition(cores) if len(texts.inputFiles()) < cores else texts
+#: Columns of a citation.
+FOUND = ("book", "book_slug", "chapter", "verse_start", "verse_end", "citation_offset")
+
+
+def _mentions(text: Column) -> Column:
+    """Array of what the pattern finds with a chapter: citation_offset, book_key, chapter, v; one regex pass over the text."""
+    found = F.filter(located(text, pattern(), 3), lambda m: m["parts"][1] != "")
+    return F.transform(found, lambda m: F.struct(m["start"].alias("citation_offset"), book_key(m["parts"][0]).alias("book_key"), chapter_number(m["parts"][1]).alias("chapter"), verse_range(m["parts"][2]).alias("v")))
+
+
+def mentions(texts: DataFrame, *, key: str = "id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, the ``keep`` columns and mentions (array) of each text."""
+    return texts.where(F.col(text).isNotNull()).select(key, *keep, _mentions(F.col(text)).alias("mentions"))
+
+
+def resolved(rows: DataFrame) -> DataFrame:
+    """Rows of exploded mentions as citations: unknown books and chapters outside of the book go."""
+    known = F.broadcast(names(rows.sparkSession).select(F.col("key").alias("book_key"), F.col("slug").alias("book_slug"), "book", "chapters"))
+    return rows.where("chapter >= 1").join(known, "book_key").where("chapter <= chapters").select(*[c for c in rows.columns if c not in ("book_key", "v")], "book", "book_slug", "v.verse_start", "v.verse_end")
 
 
 def extract(texts: DataFrame, *, key: str = "id", text: str = "text") -> DataFrame:
     """One row a citation: key, book, book_slug, chapter, verse_start, verse_end, citation_offset.
 
-    Texts without a book name are dropped before anything else; mentions
-    without a chapter, unknown books and chapters outside of the book go.
+    Mentions without a chapter, unknown books and chapters outside of the book go.
     """
-    regex = pattern()
-    # Parts are made before the rows are, so that later filters don't make them again.
-    parts_of = lambda hit: F.split(F.regexp_replace(hit, regex, "$1\u0001$2\u0001$3"), "\u0001")
-    split = F.transform(located(F.col(text), regex), lambda m: F.struct(m["start"].alias("start"), parts_of(m["hit"]).alias("p")))
-    made = F.transform(
-        F.filter(split, lambda m: m["p"][1] != ""),
-        lambda m: F.struct(m["start"].alias("citation_offset"), book_key(m["p"][0]).alias("key"), chapter_number(m["p"][1]).alias("chapter"), verse_range(m["p"][2]).alias("v")),
-    )
-    parts = spread(texts.select(key, text)).where(F.col(text).rlike(regex)).select(F.col(key).alias("key_"), F.explode(made).alias("m")).select("key_", "m.*")
-    found = parts.where(F.col("chapter") >= 1).join(F.broadcast(names(texts.sparkSession)), "key").where(F.col("chapter") <= F.col("chapters"))
-    return found.select(F.col("key_").alias(key), "book", F.col("slug").alias("book_slug"), "chapter", "v.verse_start", "v.verse_end", "citation_offset")
+    rows = texts.select(key, F.explode(_mentions(F.col(text))).alias("m_")).select(key, "m_.*")
+    return resolved(rows).select(key, *FOUND)
 
 
 def decode_attribute(hits: DataFrame, *, attribute: str = "parsed") -> DataFrame:

@@ -1,66 +1,44 @@
-"""Marking the sentence of a passage that holds a citation."""
+"""Marking the sentence of a passage that holds a citation, natively."""
 
 from __future__ import annotations
 
-import html
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NEXT = re.compile(r'\s+[A-Z"(\[]')
-_CLOSERS = re.compile(r"""['")\]]*""")
-_SIGNS = ((100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
-
-
-def roman(n: int) -> str:
-    out = ""
-    for value, sign in _SIGNS:
-        out += sign * (n // value)
-        n %= value
-    return out
+from ..functions.canon import int_to_roman
+from ..functions.scalars import escaped, once, strip
 
+# Fixed patterns: a sentence starts behind a stop that a capital, quote or bracket follows, or behind a blank line;
+# it ends with such a stop, closing quotes apart, with the text's last stop, or with a blank line.
+_NEXT = r'\s+[A-Z"(\[]'
+_UPTO_START = rf"(?sU)^(.*(?:(?<=\n\n)|(?<=^\n)|(?<=[.!?])(?={_NEXT})))"
+_UPTO_END = rf"""(?sU)^(.*?(?:\n\n|[.!?](?=["')\]]*(?:{_NEXT}|\s*\z))))"""
 
-def _escape(text: str) -> str:
-    return html.escape(text, quote=False).replace('"', "&quot;")
 
-
-def mark(text: str | None, chapter: int, verse_key: str | None) -> str:
-    """Escaped text with the sentence around ``chapter . verse`` in a mark; unmarked where there is none."""
-    if not text:
-        return ""
-    verse = re.split("[-,]", verse_key or "")[0].strip()
-    hit = re.search(rf"(?:{chapter}|{roman(chapter)})\s*[.:\s]+{verse}\b", text, re.I) if re.fullmatch("[0-9]+", verse) else None
-    if not hit:
-        return _escape(text)
-    start = hit.start()
-    while start > 0:
-        before = text[start - 1]
-        if before == "\n" and (start < 2 or text[start - 2] == "\n") or before in ".!?" and _NEXT.match(text, start):
-            break
-        start -= 1
-    while start < hit.start() and text[start] == " ":
-        start += 1
-    end = hit.end()
-    while end < len(text):
-        if text.startswith("\n\n", end):
-            end += 2
-            break
-        if text[end] in ".!?":
-            rest = _CLOSERS.match(text, end + 1).end()
-            if _NEXT.match(text, rest) or not text[rest:].strip():
-                end += 1
-                break
-        end += 1
-    return f"{_escape(text[:start])}<mark>{_escape(text[start:end])}</mark>{_escape(text[end:])}"
+def _reference(chapter: Column, verse_key: Column) -> Column:
+    """The pattern of ``chapter . verse`` in either numerals; null where the key holds no verse."""
+    verse = strip(F.split(F.coalesce(verse_key, F.lit("")), "[-,]", -1)[0])
+    return F.when(verse.rlike("^[0-9]+$"), F.concat(F.lit("(?iU)(?:"), chapter.cast("string"), F.lit("|"), int_to_roman(chapter), F.lit(r")\s*[.:\s]+"), verse, F.lit(r"\b")))
 
 
 def highlight_passage(text: Column, chapter: Column, verse_key: Column) -> Column:
-    """:func:`mark` over columns, in Arrow batches."""
-
-    @F.pandas_udf("string")
-    def run(texts: pd.Series, chapters: pd.Series, keys: pd.Series) -> pd.Series:
-        return pd.Series([mark(t, int(c), v) for t, c, v in zip(texts, chapters, keys, strict=True)])
-
-    return run(text, chapter, verse_key)
+    """Escaped text with the sentence around the first ``chapter . verse`` in a mark; unmarked where there is none."""
+    regex = _reference(chapter, verse_key)
+    found = F.struct(F.split(text, regex, 2)[0].alias("before"), F.regexp_substr(text, regex).alias("hit"))
+
+    def marked(m: Column) -> Column:
+        before, hit = m["before"], m["hit"]
+        # A start can only be told with the character that follows it, the hit's first at the latest.
+        start = F.length(F.regexp_extract(F.concat(before, F.left(hit, F.lit(1))), _UPTO_START, 1))
+        after = F.substring(text, F.length(before) + F.length(hit) + 1, F.length(text))
+
+        def put(x: Column) -> Column:
+            lead = F.substring(before, x["start"] + 1, F.length(before))
+            skipped = x["start"] + F.length(lead) - F.length(F.ltrim(lead))
+            size = F.when(x["told"] != "", F.length(x["told"])).otherwise(F.length(x["after"]))
+            inside = F.concat(F.substring(before, skipped + 1, F.length(before)), hit, F.left(x["after"], size))
+            return F.concat(escaped(F.left(before, skipped)), F.lit("<mark>"), escaped(inside), F.lit("</mark>"), escaped(F.substring(x["after"], size + 1, F.length(x["after"]))))
+
+        return once(F.struct(start.alias("start"), after.alias("after"), F.regexp_extract(after, _UPTO_END, 1).alias("told")), put)
+
+    return F.when(F.coalesce(F.rlike(text, regex), F.lit(False)), once(found, marked)).otherwise(escaped(F.coalesce(text, F.lit(""))))

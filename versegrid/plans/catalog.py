@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.canon import canon, int_to_roman, roman_to_int
+from ..functions.canon import abbreviations, canon, int_to_roman, roman_to_int
 from ..operators import citations, classify, explore, highlight, rollups, store, windows
 from ..sources import texts, thml
 from .synth import SAID, Views, oracle
@@ -421,27 +422,58 @@ def _passage_works(v: Views) -> DataFrame:
 
 @query()
 def passage_windows(v: Views) -> DataFrame:
-    rows = _passage_works(v)
-    return windows.spans(rows, citations.extract(rows))
+    return windows.cited(_passage_works(v))
 
 
 @query()
 def passage_texts(v: Views) -> DataFrame:
     rows = _passage_works(v)
-    found = windows.spans(rows, citations.extract(rows)).withColumnRenamed("id", "manuscript_id")
+    found = windows.cited(rows).withColumnRenamed("id", "manuscript_id")
     works = rows.select("id", F.concat(F.lit("d"), F.col("id").cast("string"), F.lit(".txt")).alias("filename"))
     return windows.passages(found, works, rows.select(F.concat(F.lit("d"), F.col("id").cast("string"), F.lit(".txt")).alias("filename"), "text"))
 
 
-@query()
+@query("""SELECT l_orderkey, l_linenumber, manuscript_id, o AS citation_offset, 0 AS passage_start_offset, CAST(30 + length(text) AS INT) AS passage_end_offset
+FROM (SELECT *, unnest([30 + citation_offset, CAST(39 + length(text) + citation_offset AS INT)]) AS o FROM cited)""")
 def footnote_hop(v: Views) -> DataFrame:
     body = F.concat(F.lit("Some words here [1] and more. "), F.col("text"), F.lit("\n\n   [1] "), F.col("text"))
     rows = v.citation_texts.select("id", body.alias("text"))
-    found = windows.spans(rows, citations.extract(rows))
-    return found.select("id.*", "citation_offset", "passage_start_offset", "passage_end_offset")
+    return windows.cited(rows).select("id.*", "citation_offset", "passage_start_offset", "passage_end_offset")
 
 
-@query()
+#: Sentences before and behind the citing one, which a joined break and a short sentence make harder; all have lengths that SQL can sum.
+_BEFORE, _BEHIND, _CITING = "Words of line {} go. ", " After {} it is.", "Dr. Zzed cites {} here. Ok."
+
+
+@query(
+    f"""SELECT l_orderkey, l_linenumber, manuscript_id, CAST(8 + 21 * a + 15 + citation_offset AS INT) AS citation_offset, CAST(8 + low AS INT) AS passage_start_offset, CAST(8 + high AS INT) AS passage_end_offset,
+  substr(body, CAST(low + 1 AS INT), CAST(high - low AS INT)) AS passage FROM (
+  SELECT *, CASE WHEN first <= a THEN 21 * first ELSE 21 * a + size + 1 + 16 * (first - a - 1) END AS low,
+    CASE WHEN last < a THEN 21 * last + 20 WHEN last = a THEN 21 * a + size ELSE 21 * a + size + 16 * (last - a) END AS high FROM (
+    SELECT *, CASE WHEN n <= 10 THEN 0 ELSE least(greatest(a - 5, 0), n - 10) END AS first, CASE WHEN n <= 10 THEN n - 1 ELSE least(greatest(a - 5, 0), n - 10) + 9 END AS last FROM laid))""",
+    """laid AS (SELECT *, a + 1 + b AS n, length(text) + 25 AS size,
+    coalesce(list_aggregate(list_transform(range(a), lambda i: 'Words of line ' || lpad(CAST(i AS VARCHAR), 2, '0') || ' go. '), 'string_agg', ''), '') || 'Dr. Zzed cites ' || text || ' here. Ok.'
+      || coalesce(list_aggregate(list_transform(range(b), lambda i: ' After ' || lpad(CAST(i AS VARCHAR), 2, '0') || ' it is.'), 'string_agg', ''), '') AS body
+  FROM (SELECT *, l_orderkey % 15 AS a, (l_orderkey + l_linenumber * 4) % 13 AS b FROM cited))""",
+)
+def sentence_windows(v: Views) -> DataFrame:
+    """Windows of ten sentences in a paragraph of up to 27, between two others, and their texts."""
+    number = lambda text: lambda i: F.concat(F.lit(text.split("{}")[0]), F.lpad(i.cast("string"), 2, "0"), F.lit(text.split("{}")[1]))
+    many = lambda n, text: F.array_join(F.transform(F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.array().cast("array<int>")), number(text)), "")
+    a, b = F.col("id.l_orderkey") % 15, (F.col("id.l_orderkey") + F.col("id.l_linenumber") * 4) % 13
+    citing = F.concat(F.lit(_CITING.split("{}")[0]), F.col("text"), F.lit(_CITING.split("{}")[1]))
+    body = F.concat(F.lit("Head.\n \n"), many(a, _BEFORE), citing, many(b, _BEHIND), F.lit("\n\nLast part."))
+    rows = v.citation_texts.select("id", body.alias("text"))
+    found = windows.cited(rows.select(F.struct("id", "text").alias("id"), "text"))
+    made = windows.passage_text(F.col("id.text"), F.col("passage_start_offset"), F.col("passage_end_offset"), F.lit("x"))
+    return found.select("id.id.*", "citation_offset", "passage_start_offset", "passage_end_offset", made.alias("passage"))
+
+
+_SEGMENTS = """segments AS (SELECT parsed, string_split(trim(s), '|') AS p, path FROM (SELECT 'a/' || l_orderkey || '.xml' AS path, parsed, unnest(string_split(parsed, ';')) AS s FROM attributes)),
+  decoded AS (SELECT path, parsed, c.name AS book, c.slug AS book_slug, TRY_CAST(p[3] AS INT) AS chapter, TRY_CAST(p[4] AS INT) AS vs, TRY_CAST(p[6] AS INT) AS ve FROM segments JOIN canon c ON len(p) = 6 AND lower(trim(p[2])) IN (lower(c.name), c.slug))"""
+
+
+@query("SELECT path, parsed, CAST(13 AS INT) AS citation_offset, book, book_slug, chapter, CASE WHEN vs > 0 THEN vs END AS verse_start, CASE WHEN ve > 0 AND ve <> vs THEN ve END AS verse_end FROM decoded WHERE chapter >= 1 AND vs IS NOT NULL AND ve IS NOT NULL", _SEGMENTS)
 def thml_walk(v: Views) -> DataFrame:
     xml = F.concat(
         F.lit("<?xml version='1.0'?><ThML><ThML.head><DC.Title>T</DC.Title><DC.Creator sub='Author'>Last, First (1-2)</DC.Creator><DC.Date sub='Published'>1650</DC.Date></ThML.head><body><p>Words &amp; <note>skipped</note>tail "),
@@ -452,17 +484,63 @@ def thml_walk(v: Views) -> DataFrame:
     return citations.decode_attribute(hits)
 
 
-@query()
+@query("""SELECT 'x/a' || doc_id % 7 || '/b' || doc_id || '.xml' AS path, 'x/a' || doc_id % 7 || '/b' || doc_id || '.txt' AS filename, coalesce(text, '') || ' see Rom!' AS clean_text, CAST(length(coalesce(text, '')) + 5 AS INT) AS citation_offset,
+  'First Last' AS author, 'On ' || doc_id AS title, CAST(CASE WHEN doc_id % 3 = 0 THEN 1650 ELSE 1700 END AS INT) AS year, 'https://site.example/a' || doc_id % 7 || '/' || CASE WHEN doc_id % 2 = 0 THEN 'own' || doc_id ELSE 'b' || doc_id END AS ccel_url FROM documents""")
+def thml_documents(v: Views) -> DataFrame:
+    """Whole documents as annotated XML: clean text, place of the annotation, metadata."""
+    number, text = F.col("doc_id").cast("string"), S.escaped(F.col("text"))
+    book = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<bookID>own"), number, F.lit("</bookID>"))).otherwise(F.lit("<bookID/>"))
+    sub = F.when(F.col("doc_id") % 3 == 0, F.lit("Published")).otherwise(F.lit("Digitised"))
+    xml = F.concat(
+        F.lit("<ThML><ThML.head><!-- c --><DC.Title>On "), number, F.lit("</DC.Title><DC.Creator>Last, First (1-2)</DC.Creator><DC.Date sub='Scanned'>c. 1700</DC.Date><DC.Date sub='"), sub, F.lit("'>1650</DC.Date>"), book,
+        F.lit("</ThML.head><ThML.body><p>"), text, F.lit("<note>skip &lt;this</note> see <scripRef parsed=\"|Romans|8|13|8|17\">Rom</scripRef>!<pb n='2'/></p></ThML.body></ThML>"),
+    )
+    docs = v.dealt("documents").select(F.concat(F.lit("x/a"), (F.col("doc_id") % 7).cast("string"), F.lit("/b"), number, F.lit(".xml")).alias("path"), xml.alias("content"))
+    parsed = thml.parse(docs)
+    return thml.works(parsed.withColumn("citation_offset", F.col("hits")[0]["citation_offset"]), "https://site.example", keep=("clean_text", "citation_offset")).drop("category", "source_format")
+
+
+@query("SELECT l_orderkey, l_linenumber, manuscript_id, CASE WHEN verse_start IS NULL THEN text ELSE '<mark>' || text || '</mark>' END AS marked FROM cited")
 def highlighted(v: Views) -> DataFrame:
-    rows = citations.extract(v.citation_texts).join(v.citation_texts, "id")
+    return _highlighted(v, F.col("text"))
+
+
+@query("SELECT l_orderkey, l_linenumber, manuscript_id, 'Not &lt;this&gt;. ' || CASE WHEN verse_start IS NULL THEN 'He says ' || text || ' so!' ELSE '<mark>He says ' || text || ' so!</mark>' END || '&quot; Then &amp; more.' AS marked FROM cited")
+def highlighted_sentences(v: Views) -> DataFrame:
+    return _highlighted(v, F.concat(F.lit("Not <this>. He says "), F.col("text"), F.lit(' so!" Then & more.')))
+
+
+def _highlighted(v: Views, text: Column) -> DataFrame:
+    # The text travels with its key, so nothing is joined back.
+    texts_ = v.citation_texts.withColumn("text", text)
+    rows = citations.extract(texts_.select(F.struct("id", "text").alias("id"), "text")).select("id.*", "chapter", "verse_start", "verse_end")
     key = S.verse_key(S.verse_label(F.col("verse_start"), F.col("verse_end")))
     return rows.select("id.*", highlight.highlight_passage(F.col("text"), F.col("chapter"), key).alias("marked"))
 
 
-@query()
+def _citation_sql() -> str:
+    """The extraction over documents: characters beyond ASCII become one letter or one sign each, so that word bounds are ASCII's."""
+    known = abbreviations()
+    book = "|".join(re.escape(k).replace("\\ ", " ") for k in known)
+    p = rf"(?i)\b((?:(?:saint|st\.?)\s+)?(?:{book}))\b(?:[\s.:]+([ivxlcdm]+|\d+)(?:[\s.:]+(\d+(?:\s*[-–]\s*\d+)?(?:\s*,\s*\d+)*))?)?"
+    rows = ", ".join(f"('{k}', '{b.slug}', '{b.name}', {b.chapters})" for k, b in known.items())
+    digit = "list_transform(string_split(upper(ch), ''), lambda x: CASE x WHEN 'I' THEN 1 WHEN 'V' THEN 5 WHEN 'X' THEN 10 WHEN 'L' THEN 50 WHEN 'C' THEN 100 WHEN 'D' THEN 500 ELSE 1000 END)"
+    return rf"""plain AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '\p{{Z}}', ' ', 'g'), '[^\x00-\x7F\P{{L}}]', 'q', 'g'), '[^\x00-\x7F–]', '~', 'g') AS t FROM documents),
+  hits AS (SELECT doc_id, unnest(regexp_extract_all(t, '{p}')) AS hit, unnest(string_split(regexp_replace(t, '{p}', chr(1), 'g'), chr(1))) AS gap, generate_subscripts(string_split(regexp_replace(t, '{p}', chr(1), 'g'), chr(1)), 1) AS i FROM plain),
+  placed AS (SELECT doc_id, hit, sum(length(gap) + length(coalesce(hit, ''))) OVER (PARTITION BY doc_id ORDER BY i) - length(coalesce(hit, '')) AS place FROM hits),
+  parts AS (SELECT doc_id, place, regexp_extract(hit, '{p}', 1) AS raw, regexp_extract(hit, '{p}', 2) AS ch, regexp_extract_all(regexp_extract(hit, '{p}', 3), '\d+') AS vs FROM placed WHERE hit IS NOT NULL),
+  told AS (SELECT *, trim(regexp_replace(replace(regexp_replace(lower(raw), '\bst(?:\.?\s+|aint\s+)', '', 'g'), '.', ''), '\s+', ' ', 'g')) AS k, {digit} AS d FROM parts WHERE ch <> ''),
+  numbered AS (SELECT *, CASE WHEN regexp_full_match(ch, '\d+') THEN TRY_CAST(ch AS INT) ELSE CAST(list_sum(list_transform(range(1, len(d) + 1), lambda i: CASE WHEN i < len(d) AND d[i] < d[i + 1] THEN -d[i] ELSE d[i] END)) AS INT) END AS chapter FROM told),
+  spelled AS (SELECT * FROM (VALUES {rows}) AS t(k, book_slug, book, chapters))"""
+
+
+@query(
+    "SELECT doc_id, book, book_slug, chapter, TRY_CAST(vs[1] AS INT) AS verse_start, CASE WHEN TRY_CAST(vs[len(vs)] AS INT) <> TRY_CAST(vs[1] AS INT) THEN TRY_CAST(vs[len(vs)] AS INT) END AS verse_end, CAST(place AS INT) AS citation_offset FROM numbered JOIN spelled USING (k) WHERE chapter BETWEEN 1 AND chapters",
+    _citation_sql(),
+)
 def document_citations(v: Views) -> DataFrame:
     """Citations, all of them chance hits, in the raw documents."""
-    return citations.extract(v.raw("documents"), key="doc_id")
+    return citations.extract(v.dealt("documents"), key="doc_id")
 
 
 @query("SELECT name AS book, slug AS book_slug, book_order, chapters, book_group FROM canon")

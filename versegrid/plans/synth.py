@@ -50,6 +50,18 @@ SELECT l_orderkey, l_linenumber, CASE (l_orderkey + l_linenumber) % 8
 FROM (SELECT *, l_orderkey % 7 + 1 AS ch, CAST(l_quantity AS INT) AS vs, CAST(l_quantity AS INT) + l_linenumber % 3 AS ve FROM {lineitem}) r JOIN {canon} c ON c.book_order = l_partkey % 82 + 1"""
 
 
+_TENS, _ONES = (["", *x.split()] for x in ("x xx xxx xl l lx lxx lxxx xc", "i ii iii iv v vi vii viii ix"))
+#: The citation texts as SQL for DuckDB, with numerals from tables of digits.
+CITED = f"""
+SELECT l_orderkey, l_linenumber, manuscript_id, s.book, s.book_slug, chapter, verse_start, verse_end, CASE WHEN l_orderkey % 5 = 0 THEN 5 ELSE 3 END AS citation_offset,
+  CASE WHEN l_orderkey % 5 = 0 THEN '😀 zz ' ELSE 'zz ' END || CASE
+    WHEN verse_start IS NULL THEN CASE WHEN form IN (0, 3) THEN s.book || ' ' || chapter WHEN form IN (1, 4) THEN first_abbrev || '. ' || roman ELSE upper(first_abbrev) || '. ' || chapter END
+    WHEN form = 0 THEN s.book || ' ' || chapter || ':' || verse_start WHEN form = 1 THEN first_abbrev || '. ' || roman || '. ' || verse_start WHEN form = 2 THEN upper(first_abbrev) || '. ' || chapter || '. ' || verse_start
+    WHEN form = 3 THEN first_abbrev || '. ' || roman || '. ' || verse_start || '-' || verse_end WHEN form = 4 THEN s.book || ' ' || chapter || ':' || verse_start || '–' || verse_end
+    ELSE first_abbrev || '. ' || chapter || '. ' || verse_start || ', ' || verse_end END || ' ;' AS text
+FROM (SELECT *, (l_orderkey + l_linenumber) % 6 AS form, repeat('c', CAST(chapter // 100 AS INT)) || ({_TENS})[chapter // 10 % 10 + 1] || ({_ONES})[chapter % 10 + 1] AS roman FROM said) s JOIN canon c ON c.slug = s.book_slug"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,6 +74,12 @@ class Views:
     def raw(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
+    def dealt(self, name: str) -> DataFrame:
+        """A table whose rows become much work each; one that is read in fewer parts than there are cores is dealt to all of them."""
+        rows = self.raw(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
     @property
     def canon(self) -> DataFrame:
         return F.broadcast(canon(self.spark))
@@ -84,12 +102,12 @@ class Views:
 
     @property
     def attributes(self) -> DataFrame:
-        return self.spark.sql(ATTRIBUTES, lineitem=self.raw("lineitem"), canon=self.canon)
+        return self.spark.sql(ATTRIBUTES, lineitem=self.dealt("lineitem"), canon=self.canon)
 
     @property
     def citation_texts(self) -> DataFrame:
         """One citation a text, written in one of six forms, some behind a character beyond the basic plane."""
-        said = self.spark.sql(SAID, lineitem=self.raw("lineitem"), canon=self.canon)
+        said = self.spark.sql(SAID, lineitem=self.dealt("lineitem"), canon=self.canon)
         short = self.canon.select(F.col("slug").alias("book_slug"), "first_abbrev")
         form = (F.col("l_orderkey") + F.col("l_linenumber")) % 6
         ch, roman = F.col("chapter").cast("string"), int_to_roman(F.col("chapter"))
@@ -107,12 +125,12 @@ class Views:
 
 
 def _canon_sql() -> str:
-    rows = ", ".join(f"('{b.name}', '{b.slug}', {b.order}, {b.chapters}, '{b.group}', {b.group_order})" for b in books())
-    return f"SELECT * FROM (VALUES {rows}) AS t(name, slug, book_order, chapters, book_group, group_order)"
+    rows = ", ".join(f"('{b.name}', '{b.slug}', {b.order}, {b.chapters}, '{(b.abbrevs or (b.name.lower(),))[0]}', '{b.group}', {b.group_order})" for b in books())
+    return f"SELECT * FROM (VALUES {rows}) AS t(name, slug, book_order, chapters, first_abbrev, book_group, group_order)"
 
 
 def oracle(body: str) -> str:
     """``body`` with the views that it may use in front."""
-    views = {"canon": _canon_sql(), "works": WORKS, "refs": REFS, "said": SAID, "years": YEARS, "outputs": OUTPUTS, "attributes": ATTRIBUTES}
+    views = {"canon": _canon_sql(), "works": WORKS, "refs": REFS, "said": SAID, "years": YEARS, "outputs": OUTPUTS, "attributes": ATTRIBUTES, "cited": None}
     names = {n: n for n in ("supplier", "lineitem", "canon", "works")}
-    return "WITH " + ",\n".join(f"{n} AS ({sql.format(**names) if n != 'canon' else sql})" for n, sql in views.items()) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS ({CITED if sql is None else sql if n == 'canon' else sql.format(**names)})" for n, sql in views.items()) + "\n" + body

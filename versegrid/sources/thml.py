@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import creator
-from ..operators.citations import spread
 
 # Elements whose content is no running text, and dates that beat others.
 SKIPPED = frozenset(("ThML.head", "head", "note", "scripCom", "index", "pb", "milestone"))
@@ -113,7 +112,7 @@ def parse(docs: DataFrame, *, path: str = "path", content: str = "content") -> D
                 rows.append({"path": p, **got})
             yield pa.RecordBatch.from_pylist(rows, schema=_WALKED)
 
-    return spread(docs.select(F.col(path).alias("path"), F.col(content).alias("content"))).mapInArrow(run, WALKED)
+    return docs.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInArrow(run, WALKED)
 
 
 def year(dates: Column) -> Column:
@@ -123,13 +122,13 @@ def year(dates: Column) -> Column:
     return F.coalesce(F.get(best, F.lit(0))["y"], F.get(dated, F.lit(0))["y"])
 
 
-def works(parsed: DataFrame, site: str) -> DataFrame:
-    """path, filename, author, title, year, ccel_url, category, source_format of walked documents."""
+def works(parsed: DataFrame, site: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The ``keep`` columns and path, filename, author, title, year, ccel_url, category, source_format of walked documents."""
     none = lambda c: F.nullif(F.col(c), F.lit(""))
     author_id = F.coalesce(none("author_id"), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
     book_id = F.coalesce(none("book_id"), F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1))
     return parsed.select(
-        "path", F.regexp_replace("path", r"\.[^./]*$", ".txt").alias("filename"), creator(none("creator")).alias("author"), none("title").alias("title"), year(F.col("dates")).alias("year"),
+        *keep, "path", F.regexp_replace("path", r"\.[^./]*$", ".txt").alias("filename"), creator(none("creator")).alias("author"), none("title").alias("title"), year(F.col("dates")).alias("year"),
         F.concat_ws("/", F.lit(site), author_id, book_id).alias("ccel_url"), F.lit("Other").alias("category"), F.lit("thml").alias("source_format"),
     )
 
