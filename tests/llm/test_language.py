@@ -34,6 +34,20 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert by[9004].lang_pred == "bb" and by[9005].lang_pred in SOUNDS and by[9005].rejected
 
 
+def test_every_size_of_a_language_has_a_sample(spark):
+    h = spark.range(100_000).select((F.pmod(F.xxhash64("id"), F.lit(1 << 53)) / float(1 << 53)).alias("h"))
+    least = lambda n: h.where(language.sampled(F.col("h") / 1e9, F.lit(float(n)), 400)).count()
+    # Hashes a billion times smaller stand for the least ones of a language of 1e14 rows.
+    assert least(1e14) > 200 and h.where(language.sampled(F.col("h"), F.lit(300.0), 400)).count() == 100_000
+
+
+def test_many_languages_are_joined_by_salt(spark, monkeypatch):
+    docs, _ = _docs(spark)
+    want = sorted(tuple(r) for r in language.training_sample(docs, "doc_id", "text", "lang", 20).collect())
+    monkeypatch.setattr(language, "FEW_LANGUAGES", 1)
+    assert sorted(tuple(r) for r in language.training_sample(docs, "doc_id", "text", "lang", 20).collect()) == want and want
+
+
 def test_without_labels_or_rows(spark):
     docs = documents(spark, [(1, "abc", None)])
     model = language.fit(docs)

@@ -23,6 +23,8 @@ from .common import cut
 DIMENSIONS, GRAMS, CENTROIDS = 1 << 13, (1, 2, 3), 3
 #: Labelled rows that the classifier is fitted on, a language at most (about); every language is fitted.
 TRAIN_ROWS = 400
+#: Languages whose sizes are broadcast, and salts that split a language's rows beyond that.
+FEW_LANGUAGES, SALTS = 10_000, 64
 #: Rejection: below this share of the cosine that all but one in a hundred training texts of the language reach.
 REJECT_SHARE = 0.5
 UNKNOWN = "und"
@@ -99,14 +101,22 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, key: str, text: str, lang: str, rows: int) -> DataFrame:
-    """About ``rows`` labelled training rows of each language, chosen by a hash of the key."""
+    """About ``rows`` labelled training rows of each language, chosen by a hash of the key, whatever its size."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key))).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 20)).alias("h")
+        F.col(lang).alias("lang"), F.col(text).alias("text"), (F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 53)) / F.lit(float(1 << 53))).alias("h")
     )
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    # A language's hash limit lets about ``rows`` of its rows through.
-    limit = F.floor(F.least(F.lit(1.0), F.lit(float(rows)) / F.col("n")) * float(1 << 20))
-    return labelled.join(F.broadcast(sizes), "lang").where(F.col("h") < limit).select("lang", "text")
+    sizes = cut(labelled.groupBy("lang").agg(F.count("*").alias("n")))
+    # A language's share lets about ``rows`` of its rows through; shares are doubles, so none is rounded to nothing.
+    fits = sampled(F.col("h"), F.col("n"), rows)
+    if sizes.count() <= FEW_LANGUAGES:
+        return labelled.join(F.broadcast(sizes), "lang").where(fits).select("lang", "text")
+    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return labelled.withColumn("salt", F.floor(F.col("h") * SALTS).cast("int")).join(salted, ["lang", "salt"]).where(fits).select("lang", "text")
+
+
+def sampled(h: Column, n: Column, rows: int) -> Column:
+    """Whether a row with hash ``h`` (0 to 1) is among the about ``rows`` of ``n``."""
+    return h < F.lit(float(rows)) / n
 
 
 def _by_language(batches):
