@@ -32,13 +32,23 @@ def test_rewriting_template_is_detected():
     last_only = lambda turns: "".join(f"<{r}>{t if i == len(turns) - 1 else '...'}" for i, (r, t) in enumerate(turns))
     done = chat.locate(last_only, [("user", "abc"), ("assistant", "def"), ("user", "ghi")])
     assert done.rewrites == [1, 2]
-    # A template that looks back further than a block is rendered whole.
+    # One that rewrites only once it is shown 20 turns, long conversations included.
+    late = lambda turns: "".join(f"<{t if len(turns) < 20 or i == len(turns) - 1 else '...'}>" for i, (_, t) in enumerate(turns))
+    assert chat.locate(late, [("user", f"t{i}") for i in range(40)]).rewrites == list(range(19, 40))
     counting = lambda turns: "".join(f"[{i}]{t}" for i, (_, t) in enumerate(turns))
     turns = [("user", "x")] * 40
     done = chat.locate(counting, turns)
     assert [done.output[a:b] for a, b in done.spans] == [f"[{i}]x" for i in range(40)]
 
 
+def test_long_conversation_and_long_turn(spark):
+    rows = [(1, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(600)] + [(2, 0, "user", "[INST] \\" * 300_000)]
+    got = {r.conv_id: r for r in chat.digest(chat.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))).collect()}
+    assert got[1].n_turns == 600 and got[1].loss_chars == sum(len(t) for _, i, _, t in rows[:600] if i % 2) and got[2].n_turns == 1 and not got[1].n_rewrites
+    assert got[1].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows[:600]).encode()).hexdigest()
+    assert got[2].turns_sha256 == hashlib.sha256(f"user\n{rows[600][3]}\n".encode()).hexdigest()
+
+
 def test_digest(spark):
     rows = [(1, 1, "assistant", "b</s>\\"), (1, 0, "user", "a"), (1, 2, None, None), (2, 0, "user", ""), (None, 0, "user", "n"), (3, 0, "assistant", "r"), (3, 0, "assistant", "r")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id bigint, turn bigint, role string, text string, formatted string")

@@ -12,6 +12,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,12 +25,18 @@ Template = Callable[[list[Turn]], str]
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]", "[NOROLE]")
 _CONTROL = re.compile("|".join(map(re.escape, sorted(CONTROL, key=len, reverse=True))))
 _MARK = re.compile(r"\\(\\?)")
-#: History that is rendered before a turn to locate it; the whole output is then checked against one full rendering.
-BLOCK = 16
+
+
+#: Texts up to this length are escaped once for the many prefixes that hold them; so many are kept.
+_KEPT_CHARS, _KEPT = 4096, 1 << 13
 
 
 def escape(text: str) -> str:
     """Reversible: no control string is left in the result."""
+    return _escape_once(text) if len(text) <= _KEPT_CHARS else _escape(text)
+
+
+def _escape(text: str) -> str:
     text = text.replace("\\", "\\\\")
     while True:
         # An inserted backslash may leave an overlapped control string behind; insert until none is left.
@@ -39,6 +46,9 @@ def escape(text: str) -> str:
         text = done
 
 
+_escape_once = lru_cache(maxsize=_KEPT)(_escape)
+
+
 def unescape(text: str) -> str:
     return _MARK.sub(r"\1", text)
 
@@ -95,32 +105,20 @@ def _common(a: str, b: str) -> int:
     return low
 
 
-def locate(template: Template, turns: list[Turn], block: int = BLOCK) -> Rendered:
-    """Render successive prefixes and compare consecutive outputs.
+def locate(template: Template, turns: list[Turn]) -> Rendered:
+    """Render every prefix of the turns, in whole, and compare consecutive outputs.
 
-    Beyond ``block`` turns only the last ``block`` turns of history are
-    rendered with each turn; if what they add up to isn't the full rendering,
-    the template looks further back, and whole prefixes are rendered instead.
+    The work grows with the square of a conversation's turns: nothing is known
+    of the template, so no shorter history than the whole can stand for it.
     """
-    out, at = Rendered(""), len(template([]))
-    before = ""
+    out = Rendered(template([]))
     for i in range(len(turns)):
-        low = max(0, i - block)
-        before = template(turns[low:i]) if low or not i else before
-        after = template(turns[low : i + 1])
-        if after.startswith(before):
-            out.spans.append((at, at + len(after) - len(before)))
+        before, out.output = out.output, template(turns[: i + 1])
+        if out.output.startswith(before):
+            out.spans.append((len(before), len(out.output)))
         else:
             out.rewrites.append(i)
-            shift = at - len(before)
-            out.spans.append((shift + _common(before, after), shift + len(after)))
-        at = out.spans[-1][1]
-        before = after
-    out.output = template(turns)
-    if len(turns) > block + 1:
-        local = [template(turns[max(0, i - block) : i + 1])[-(b - a) or len(out.output) :] for i, (a, b) in enumerate(out.spans)]
-        if out.rewrites or any(out.output[a:b] != x for (a, b), x in zip(out.spans, local, strict=True)) or at != len(out.output):
-            return locate(template, turns, block=len(turns))
+            out.spans.append((_common(before, out.output), len(out.output)))
     return out
 
 
@@ -197,6 +195,7 @@ EXTRA = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[IN
 
 
 def with_extra(convs: DataFrame) -> DataFrame:
+    """``convs`` and conversation -1; where the input has one of that number, the added rows join its turns in order."""
     spark = convs.sparkSession
     extra = spark.createDataFrame(EXTRA, "conv_id bigint, turn bigint, role string, text string")
     return convs.select("conv_id", "turn", "role", "text").unionByName(extra)
