@@ -41,11 +41,45 @@ def test_counts_and_base_scores(spark, monkeypatch):
 def test_probabilities_add_up(spark):
     docs = documents(spark, _docs(120))
     counts = lm.word_counts(docs.where(~lm.held_out(docs.doc_id)).select("text"))
-    model = lm.fit(docs, counts)
-    n = len(model.parameters.bias)
-    for context in ([], [2], [2, 3], [lm.OTHER, 5]):
-        total = sum(math.exp(model.log_probability(np.array([*context, c]), np.zeros(len(context) + 1, int))[-1]) for c in range(n))
-        assert abs(total - 1) < 1e-3
+    for words in (None, 40):
+        model = lm.fit(docs, counts, words=words)
+        n = len(model.parameters.leaf_bias)
+        assert n == len(model.words) + len(model.buckets) and (words or model.distinct) >= len(model.words)
+        for context in ([], [2], [2, 3], [n - 1, 5]):
+            total = sum(math.exp(model.log_probability(np.array([*context, c]), np.zeros(len(context) + 1, int))[-1]) for c in range(n))
+            assert abs(total - 1) < 1e-3
+
+
+def test_words_without_a_leaf_have_a_bucket_as_target_and_context(spark):
+    rows = _docs()
+    docs = documents(spark, rows)
+    counts = lm.word_counts(docs.where(~lm.held_out(docs.doc_id)).select("text"))
+    model = lm.fit(docs, counts, words=40)
+    every = np.array([r.h for r in counts.collect()])
+    amount = {r.h: r.c for r in counts.collect()}
+    leaves, norm = model.leaves(every)
+    tail = ~model.own(every)
+    assert tail.sum() > 100 and len(set(leaves[tail].tolist())) > 10
+    # Shares within a bucket add up to one with the unseen words' half.
+    for b in set(leaves[tail].tolist()):
+        mine = tail & (leaves == b)
+        assert abs(sum((amount[h] + 0.5) for h in every[mine].tolist()) + 0.5 - math.exp(norm[mine][0])) < 1e-6
+    after = lambda c: model.log_probability(np.array([c, 3]), np.zeros(2, int))[-1]
+    assert len({round(after(b), 9) for b in set(leaves[tail].tolist())}) > 5
+
+
+def test_vocabulary_grows_and_reruns_agree(spark):
+    assert [lm.vocabulary(n) for n in (10**4, 10**8, 10**11)] == [256, 3713, 37133]
+    docs = documents(spark, _docs(150)).repartition(5, "doc_id")
+    once, again = ({(r.doc_id, r.n_tokens): r.score for r in lm.score(docs).collect()} for _ in range(2))
+    assert once == again
+
+
+def test_groups_hold_all_leaves_in_order():
+    amount = np.sort(np.random.default_rng(1).zipf(1.5, 900).astype(float))[::-1]
+    t = lm.Tree.of(amount)
+    assert t.first[0] == 0 and t.first[-1] == 900 and (np.diff(t.first) > 0).all() and t.groups <= 30
+    assert all((t.group[a:b] == g).all() for g, (a, b) in enumerate(zip(t.first[:-1], t.first[1:], strict=True)))
 
 
 def test_empty_and_untrained(spark):

@@ -1,15 +1,18 @@
 """Language-model scoring with a log-bilinear model.
 
-The frequent words are the model's classes, beside the end of a text and one
-class for all other words, within which a word has its smoothed unigram share;
-so the probabilities of all words add up to one. The next class is scored by
-the product of its vector with a context vector that is bilinear in the two
-words before. It is trained in numpy by noise-contrastive estimation, whose
-noise is the unigram distribution; a short start on a bounded sample is
-followed by a round over the whole training corpus, in which each task goes on
-from the common parameters over its own texts and the results are averaged by
-tokens. One batched matrix product over all contexts then gives the exact
-normaliser of each.
+The next word is scored by the product of its vector with a context vector
+that is bilinear in the two words before. The vocabulary grows with the
+corpus: its frequent words have vectors of their own, as targets and as
+contexts, and all other words share those of their hash bucket, within which a
+word has its smoothed unigram share; so every word gets a prediction and lends
+a context. Words and buckets are the leaves of a tree of two layers, dealt to
+groups by frequency: a group is chosen, then a leaf of it. Both choices are
+trained in numpy by noise-contrastive estimation, whose noise is the unigram
+distribution; a short start on a bounded sample is followed by a round over
+the whole training corpus, in which each task goes on from the common
+parameters over its own texts and the results are averaged by tokens. Matrix
+products over the contexts of a batch, one for the groups and one for each
+group's leaves, give the exact normalisers, so probabilities add up to one.
 """
 
 from __future__ import annotations
@@ -24,15 +27,16 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .common import cut
 
-#: Classes of the model, vector length, noise samples and texts' tokens of a step.
-CLASSES, WIDTH, NOISE, STEP = 384, 24, 48, 4096
+#: Words with vectors of their own: so many times the cube root of the corpus's tokens, this many at least; hash buckets for the rest, a share of that.
+WORDS_ROOT, LEAST_WORDS, BUCKET_SHARE = 8.0, 256, 0.25
+#: Vector length, noise samples of groups and of each group's leaves, and tokens of a step.
+WIDTH, NOISE, LEAF_NOISE, STEP = 24, 24, 6, 8192
 #: Training texts of the start, about, and steps over them at least, in whole passes.
 START_TEXTS, START_STEPS = 1500, 600
 #: Frequent words whose counts are broadcast (12 bytes each); the counts of all others meet their texts in a join.
 HEAD = 500_000
-#: Tasks' parameters are averaged in so many groups first.
-GROUPS = 16
-END, OTHER = 0, 1
+#: Numbers of a part of the parameters, and partial sums of each part, which are averaged apart.
+PART, GROUPS = 1 << 16, 16
 #: The end of a text as a token; no word has this hash but by chance.
 END_HASH = int(np.int64(np.uint64(0xE0D0_7E87_0000_0001).astype(np.int64)))
 
@@ -76,22 +80,51 @@ def _summed(parts):
     return pa.RecordBatch.from_arrays([pa.array(values), pa.array(np.bincount(where, c, len(values)).astype(np.int64))], names=["h", "c"])
 
 
+@dataclass
+class Tree:
+    """Leaves in order of frequency, and the groups of neighbours that they are dealt to."""
+
+    share: np.ndarray
+    group: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, amount: np.ndarray) -> Tree:
+        """Groups, as many as the root of the leaves, hold about equal sums of the roots of their leaves' counts."""
+        share = (amount + 0.5) / (amount + 0.5).sum()
+        upto = np.cumsum(np.sqrt(share))
+        group = np.unique(np.floor((upto - np.sqrt(share) / 2) / upto[-1] * np.ceil(np.sqrt(len(share)))), return_inverse=True)[1]
+        return cls(share, group, np.searchsorted(group, np.arange(group[-1] + 2)))
+
+    @property
+    def groups(self) -> int:
+        return len(self.first) - 1
+
+    @property
+    def group_share(self) -> np.ndarray:
+        return np.add.reduceat(self.share, self.first[:-1])
+
+
 @dataclass
 class Parameters:
-    """Class vectors, context vectors (one more for the start), weights of both places and biases."""
+    """Vectors and biases of groups and leaves, context vectors of leaves (one more for the start), weights of both places."""
 
-    target: np.ndarray
+    group: np.ndarray
+    group_bias: np.ndarray
+    leaf: np.ndarray
+    leaf_bias: np.ndarray
     context: np.ndarray
     places: np.ndarray
-    bias: np.ndarray
 
     @classmethod
-    def start(cls, share: np.ndarray) -> Parameters:
-        rng, n = np.random.default_rng(5), len(share)
-        return cls((rng.standard_normal((n, WIDTH)) * 0.1).astype(np.float32), (rng.standard_normal((n + 1, WIDTH)) * 0.1).astype(np.float32), np.ones((2, WIDTH), np.float32), np.log(share).astype(np.float32))
+    def start(cls, tree: Tree) -> Parameters:
+        rng, n = np.random.default_rng(5), len(tree.share)
+        some = lambda m: (rng.standard_normal((m, WIDTH)) * 0.1).astype(np.float32)
+        within = tree.share / tree.group_share[tree.group]
+        return cls(some(tree.groups), np.log(tree.group_share).astype(np.float32), some(n), np.log(within).astype(np.float32), some(n + 1), np.ones((2, WIDTH), np.float32))
 
     def arrays(self) -> list[np.ndarray]:
-        return [self.target, self.context, self.places, self.bias]
+        return [self.group, self.group_bias, self.leaf, self.leaf_bias, self.context, self.places]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.arrays()])
@@ -107,137 +140,202 @@ class Parameters:
         return self.context[before] * self.places[0] + self.context[last] * self.places[1]
 
 
-def _scatter(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+def _summed_rows(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct indices, sums of their rows)."""
     order = np.argsort(index, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], np.diff(index[order]) != 0)))
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[index[order][first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+    index = index[order]
+    first = np.flatnonzero(np.concatenate(([True], index[1:] != index[:-1])))
+    return index[first], np.add.reduceat(rows[order], first, axis=0)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(-x, -30, 30)))
 
 
 class Trainer:
-    """Noise-contrastive estimation with AdaGrad; a step shares its noise samples."""
+    """Noise-contrastive estimation with AdaGrad; a step shares its noise groups, and its noise leaves by group."""
 
-    def __init__(self, p: Parameters, share: np.ndarray, rate: float, seed: int, squares: list[np.ndarray] | None = None):
-        self.p, self.rate = Parameters(*[a.copy() for a in p.arrays()]), rate
-        self.share, self.upto = share, np.cumsum(share)
-        self.log_noise = np.log(NOISE * share).astype(np.float32)
+    def __init__(self, p: Parameters, tree: Tree, rate: float, seed: int, squares: list[np.ndarray] | None = None):
+        self.p, self.rate, self.tree = Parameters(*[a.copy() for a in p.arrays()]), rate, tree
         self.rng = np.random.default_rng(seed)
         self.squares = [a.copy() for a in squares] if squares else [np.full(a.shape, 1e-9, np.float32) for a in p.arrays()]
-
-    def step(self, before: np.ndarray, last: np.ndarray, word: np.ndarray) -> None:
-        p, m = self.p, len(word)
-        noise = np.minimum(np.searchsorted(self.upto, self.rng.random(NOISE)), len(self.upto) - 1)
+        share = tree.group_share
+        self.upto_group, self.upto = np.cumsum(share), np.cumsum(tree.share)
+        self.log_group = np.log(NOISE * share).astype(np.float32)
+        self.log_leaf = np.log(LEAF_NOISE * tree.share / share[tree.group]).astype(np.float32)
+        self.many = (np.diff(tree.first) > 1).astype(np.float32)
+
+    def _drawn(self) -> tuple[np.ndarray, np.ndarray]:
+        """Noise groups, and noise leaves of each group."""
+        t = self.tree
+        groups = np.minimum(np.searchsorted(self.upto_group, self.rng.random(NOISE) * self.upto_group[-1]), t.groups - 1)
+        low = self.upto_group - t.group_share
+        spot = low[:, None] + self.rng.random((t.groups, LEAF_NOISE)) * t.group_share[:, None]
+        return groups, np.clip(np.searchsorted(self.upto, spot), t.first[:-1, None], t.first[1:, None] - 1)
+
+    def _ascend(self, which: int, at, gradient: np.ndarray) -> None:
+        array, square = self.p.arrays()[which], self.squares[which]
+        gradient = gradient.astype(np.float32)
+        square[at] += gradient * gradient
+        array[at] += self.rate * gradient / np.sqrt(square[at])
+
+    def step(self, before: np.ndarray, last: np.ndarray, leaf: np.ndarray) -> None:
+        p, m = self.p, len(leaf)
+        order = np.argsort(self.tree.group[leaf], kind="stable")
+        before, last, leaf = before[order], last[order], leaf[order]
+        group = self.tree.group[leaf]
+        noise, noise_leaf = self._drawn()
         c1, c2 = p.context[before], p.context[last]
         r = c1 * p.places[0] + c2 * p.places[1]
-        q, qn = p.target[word], p.target[noise]
-        real = np.einsum("ij,ij->i", r, q) + p.bias[word] - self.log_noise[word]
-        fake = r @ qn.T + p.bias[noise] - self.log_noise[noise]
-        # Ascent: d log sigma(real) and d log(1 - sigma(fake)).
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = 1 / (1 + np.exp(np.clip(-fake, -30, 30)))
-        g_r = up[:, None] * q - down @ qn
-        n = len(p.bias)
-        g_target = _scatter(word, up[:, None] * r, n)
-        np.add.at(g_target, noise, -(down.T @ r))
-        g_bias = np.bincount(word, up, n) - np.bincount(noise, down.sum(axis=0), n)
-        g_context = _scatter(before, g_r * p.places[0], n + 1) + _scatter(last, g_r * p.places[1], n + 1)
+        # Ascent: d log sigma(real) and d log(1 - sigma(fake)); first the groups.
+        up = 1 - _sigmoid(np.einsum("ij,ij->i", r, p.group[group]) + p.group_bias[group] - self.log_group[group])
+        down = _sigmoid(r @ p.group[noise].T + p.group_bias[noise] - self.log_group[noise])
+        g_r = up[:, None] * p.group[group] - down @ p.group[noise]
+        g_group = np.zeros_like(p.group)
+        present = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        g_group[group[present]] = np.add.reduceat(up[:, None] * r, present, axis=0)
+        np.add.at(g_group, noise, -(down.T @ r))
+        g_group_bias = np.bincount(group, up, self.tree.groups) - np.bincount(noise, down.sum(axis=0), self.tree.groups)
+        # Then the leaves within them; a group of one leaves nothing to choose.
+        many = self.many[group]
+        up = many * (1 - _sigmoid(np.einsum("ij,ij->i", r, p.leaf[leaf]) + p.leaf_bias[leaf] - self.log_leaf[leaf]))
+        other = p.leaf[noise_leaf]
+        fake = np.empty((m, LEAF_NOISE), np.float32)
+        ends = np.concatenate((present[1:], [m]))
+        pushed = np.zeros((len(present), LEAF_NOISE, WIDTH), np.float32)
+        g_r += up[:, None] * p.leaf[leaf]
+        for k, (a, b) in enumerate(zip(present, ends, strict=True)):
+            g = group[a]
+            if self.many[g]:
+                fake[a:b] = _sigmoid(r[a:b] @ other[g].T + p.leaf_bias[noise_leaf[g]] - self.log_leaf[noise_leaf[g]])
+                g_r[a:b] -= fake[a:b] @ other[g]
+                pushed[k] = fake[a:b].T @ r[a:b]
+            else:
+                fake[a:b] = 0
+        drawn = noise_leaf[group[present]].ravel()
+        rows, g_leaf = _summed_rows(np.concatenate((leaf, drawn)), np.concatenate((up[:, None] * r, -pushed.reshape(-1, WIDTH))))
+        _, g_leaf_bias = _summed_rows(np.concatenate((leaf, drawn)), np.concatenate((up, -np.add.reduceat(fake, present, axis=0).ravel()))[:, None])
+        seen, g_context = _summed_rows(np.concatenate((before, last)), np.concatenate((g_r * p.places[0], g_r * p.places[1])))
         g_places = np.stack(((g_r * c1).sum(axis=0), (g_r * c2).sum(axis=0)))
-        for a, g, s in zip(p.arrays(), (g_target, g_context, g_places, g_bias), self.squares, strict=True):
-            g = (g / m).astype(np.float32)
-            s += g * g
-            a += self.rate * g / np.sqrt(s)
-
-    def texts(self, classes: np.ndarray, row: np.ndarray, size: int = STEP) -> None:
-        before, last = contexts(classes, row, len(self.p.bias))
-        for a in range(0, len(classes), size):
-            self.step(before[a : a + size], last[a : a + size], classes[a : a + size])
-
-
-def contexts(classes: np.ndarray, row: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The classes of the two tokens before each, the start's number where there is none."""
-    last, before = np.full(len(classes), start), np.full(len(classes), start)
-    last[1:] = np.where(row[1:] == row[:-1], classes[:-1], start)
-    before[2:] = np.where(row[2:] == row[:-2], classes[:-2], start)
+        every = slice(None)
+        for which, at, g in ((0, every, g_group), (1, every, g_group_bias), (2, rows, g_leaf), (3, rows, g_leaf_bias[:, 0]), (4, seen, g_context), (5, every, g_places)):
+            self._ascend(which, at, g / m)
+
+    def texts(self, leaves: np.ndarray, row: np.ndarray, size: int = STEP) -> None:
+        before, last = contexts(leaves, row, len(self.p.leaf_bias))
+        for a in range(0, len(leaves), size):
+            self.step(before[a : a + size], last[a : a + size], leaves[a : a + size])
+
+
+def contexts(leaves: np.ndarray, row: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The leaves of the two tokens before each, the start's number where there is none."""
+    last, before = np.full(len(leaves), start), np.full(len(leaves), start)
+    last[1:] = np.where(row[1:] == row[:-1], leaves[:-1], start)
+    before[2:] = np.where(row[2:] == row[:-2], leaves[:-2], start)
     return before, last
 
 
+def _log_choice(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at its chosen column."""
+    top = scores.max(axis=1)
+    return scores[np.arange(len(scores)), chosen] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
+
+
 @dataclass
 class Model:
-    #: Sorted hashes of the class words and their classes; counts of all classes' tokens.
+    #: Sorted hashes of the words that have a leaf, their leaves and counts; the leaf of each bucket.
     words: np.ndarray
     numbers: np.ndarray
-    share: np.ndarray
+    amount: np.ndarray
+    buckets: np.ndarray
+    #: Natural log of what the smoothed counts of a bucket's words are divided by.
+    bucket_norm: np.ndarray
+    tree: Tree
     parameters: Parameters
-    #: Log normaliser of each pair of context classes.
-    norm: np.ndarray
     tokens: int
     distinct: int
-    other_tokens: int
-    other_distinct: int
     #: Sums of squared gradients of the start, from which the round over all texts goes on.
     squares: list[np.ndarray] | None = None
 
-    def classes(self, h: np.ndarray) -> np.ndarray:
+    def leaves(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(leaf of each token, log of the divisor of its share within the leaf; 0 for words with a leaf of their own)."""
         at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, self.numbers[at], OTHER)
-
-    def log_probability(self, classes: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Natural log of each token's class probability after its context."""
-        p = self.parameters
-        before, last = contexts(classes, row, len(p.bias))
-        out = np.empty(len(classes))
-        for a in range(0, len(classes), 65536):
-            x, y, z = before[a : a + 65536], last[a : a + 65536], classes[a : a + 65536]
-            out[a : a + 65536] = np.einsum("ij,ij->i", p.predicted(x, y), p.target[z]) + p.bias[z] - self.norm[x, y]
+        own = self.words[at] == h
+        bucket = np.mod(h, len(self.buckets))
+        return np.where(own, self.numbers[at], self.buckets[bucket]), np.where(own, 0.0, self.bucket_norm[bucket])
+
+    def own(self, h: np.ndarray) -> np.ndarray:
+        return self.words[np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)] == h
+
+    def log_probability(self, leaves: np.ndarray, row: np.ndarray, size: int = 1 << 16) -> np.ndarray:
+        """Natural log of each token's leaf after its context."""
+        p, t = self.parameters, self.tree
+        before, last = contexts(leaves, row, len(p.leaf_bias))
+        out = np.empty(len(leaves))
+        for a in range(0, len(leaves), size):
+            order = np.argsort(t.group[leaves[a : a + size]], kind="stable") + a
+            leaf, r = leaves[order], p.predicted(before[order], last[order])
+            group = t.group[leaf]
+            told = np.empty(len(order))
+            for low in range(0, len(order), 4096):
+                told[low : low + 4096] = _log_choice(r[low : low + 4096] @ p.group.T + p.group_bias, group[low : low + 4096])
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)]))
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                first, end = t.first[group[low]], t.first[group[low] + 1]
+                # Few contexts at a time, so that the scores of a large group stay small.
+                rows = max(64, (1 << 20) // (end - first))
+                for x in range(low, high if end - first > 1 else low, rows):
+                    y = min(high, x + rows)
+                    told[x:y] += _log_choice(r[x:y] @ p.leaf[first:end].T + p.leaf_bias[first:end], leaf[x:y] - first)
+            out[order] = told
         return out
 
 
-def normalisers(p: Parameters) -> np.ndarray:
-    n = len(p.context)
-    out = np.empty((n, n), np.float32)
-    every = np.arange(n)
-    for x in range(n):
-        s = p.predicted(np.full(n, x), every) @ p.target.T + p.bias
-        top = s.max(axis=1)
-        out[x] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
-    return out
-
-
 def _mixed(texts: DataFrame, model: Model, rate: float) -> Parameters:
-    """One round over all texts: tasks train on from the common parameters; the average by tokens."""
+    """One round over all texts: tasks train on from the common parameters; the average by tokens.
+
+    Parameters travel in parts, weighted and rounded to whole numbers, whose
+    sums are the same in any order.
+    """
     held = texts.sparkSession.sparkContext.broadcast(model)
+    schema = "part int, n bigint, flat binary"
+    row = lambda part, n, raw: pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int64()), pa.array([raw], pa.binary())], names=["part", "n", "flat"])
 
     def train(batches):
         m = held.value
         trainer, n, seed = None, 0, 1
         for batch in batches:
-            for _, _, h, row in tokens(batch.column(0)):
+            for _, _, h, at in tokens(batch.column(0)):
                 if trainer is None:
                     seed = int(np.bitwise_xor.reduce(h[:100]) & 0x7FFFFFFF)
-                    trainer = Trainer(m.parameters, m.share, rate, seed, m.squares)
-                trainer.texts(m.classes(h), row)
+                    trainer = Trainer(m.parameters, m.tree, rate, seed, m.squares)
+                trainer.texts(m.leaves(h)[0], at)
                 n += len(h)
         if trainer is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([seed % GROUPS], pa.int32()), pa.array([n], pa.int64()), pa.array([trainer.p.flat().astype(np.float32).tobytes()], pa.binary())], names=["g", "n", "flat"])
+            flat, weight = trainer.p.flat(), max(1, n >> 10)
+            for i, low in enumerate(range(0, len(flat), PART)):
+                yield row(i * GROUPS + seed % GROUPS, weight, flat[low : low + PART].astype(np.float32).tobytes())
 
-    def average(batches):
-        total, n = None, 0
+    def add(batches):
+        totals, weights = {}, {}
         for batch in batches:
-            for m, raw in zip(batch.column("n").to_pylist(), batch.column("flat").to_pylist(), strict=True):
-                x = np.frombuffer(raw, np.float32).astype(np.float64) * m
-                total, n = x if total is None else total + x, n + m
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([n], pa.int64()), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())], names=["g", "n", "flat"])
-
-    schema = "g int, n bigint, flat binary"
-    parts = texts.mapInArrow(train, schema).repartition(GROUPS, "g").mapInArrow(average, schema).collect()
-    if not parts:
+            for part, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x = np.rint(np.frombuffer(raw, np.float32).astype(np.float64) * (1 << 20)).astype(np.int64) * n
+                totals[part] = totals[part] + x if part in totals else x
+                weights[part] = weights.get(part, 0) + n
+        for part, x in totals.items():
+            yield row(part, weights[part], x.tobytes())
+
+    whole = model.parameters.flat()
+    parts = -(-len(whole) // PART)
+    sums, weights = np.zeros(len(whole), object), np.zeros(parts, object)
+    for r in texts.mapInArrow(train, schema).repartition(GROUPS, "part").mapInArrow(add, schema).toLocalIterator():
+        i = r["part"] // GROUPS
+        sums[i * PART : (i + 1) * PART] += np.frombuffer(r["flat"], np.int64).astype(object)
+        weights[i] += r["n"]
+    if not weights[0]:
         return model.parameters
-    n = sum(r["n"] for r in parts)
-    # Groups come back in any order; adding them in order of their content keeps reruns equal.
-    total = sum(np.frombuffer(r["flat"], np.float32).astype(np.float64) * (r["n"] / n) for r in sorted(parts, key=lambda r: (r["n"], bytes(r["flat"]))))
-    return model.parameters.shaped(total)
+    return model.parameters.shaped(np.array([float(x) for x in sums]) / (1 << 20) / np.repeat(weights.astype(np.float64), PART)[: len(whole)])
 
 
 def frequent(counts: DataFrame, most: int, least: int = 0) -> DataFrame:
@@ -256,49 +354,60 @@ def frequent(counts: DataFrame, most: int, least: int = 0) -> DataFrame:
     return counts.where(step >= low) if low is not None else counts.limit(0)
 
 
-def fit(docs: DataFrame, counts: DataFrame, *, key: str = "doc_id", text: str = "text", classes: int = CLASSES, rate: float = 0.05) -> Model | None:
-    """Train on the rows that aren't held out; None without any token."""
+def vocabulary(n: int) -> int:
+    """Words with vectors of their own, for a corpus of so many tokens."""
+    return max(LEAST_WORDS, round(WORDS_ROOT * n ** (1 / 3)))
+
+
+def fit(docs: DataFrame, counts: DataFrame, *, key: str = "doc_id", text: str = "text", words: int | None = None, rate: float = 0.05) -> Model | None:
+    """Train on the rows that aren't held out; None without any token. ``words`` is :func:`vocabulary` of the tokens unless told."""
     told = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     if not told["n"]:
         return None
-    top = frequent(counts, 16 * classes, classes).where(F.col("h") != END_HASH).orderBy(F.desc("c"), "h").limit(classes - 2).collect()
+    words = words or vocabulary(told["n"])
+    buckets = max(16, int(words * BUCKET_SHARE))
+    known = frequent(counts, 4 * words, words).where(F.col("h") != END_HASH).orderBy(F.desc("c"), "h").limit(words - 1)
+    top = known.toArrow()
     ends = counts.where(F.col("h") == END_HASH).first()["c"]
-    hashes = np.array([END_HASH] + [r["h"] for r in top], np.int64)
-    amount = np.array([ends, 0] + [r["c"] for r in top], np.float64)
-    amount[OTHER] = told["n"] - amount.sum()
-    numbers = np.array([END, *range(2, len(top) + 2)])
+    hashes, amount = np.concatenate(([END_HASH], top.column("h").to_numpy())), np.concatenate(([ends], top.column("c").to_numpy()))
+    mine = docs.sparkSession.createDataFrame([(int(h),) for h in hashes], "h bigint")
+    rest = counts.join(F.broadcast(mine), "h", "left_anti").groupBy(F.pmod("h", F.lit(buckets)).alias("b")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).toArrow()
+    inside, kinds = np.zeros(buckets), np.zeros(buckets)
+    inside[rest.column("b").to_numpy()], kinds[rest.column("b").to_numpy()] = rest.column("n").to_numpy(), rest.column("v").to_numpy()
+    every = np.concatenate((amount, inside))
+    place = np.empty(len(every), np.int64)
+    by_count = np.argsort(-every, kind="stable")
+    place[by_count] = np.arange(len(every))
+    tree = Tree.of(every[by_count])
     order = np.argsort(hashes)
-    share = (amount + 0.5) / (amount + 0.5).sum()
-    p = Parameters.start(share)
-    model = Model(hashes[order], numbers[order], share, p, np.zeros((1, 1), np.float32), told["n"], told["v"], int(amount[OTHER]), told["v"] - len(hashes))
+    model = Model(hashes[order], place[: len(hashes)][order], amount[order].astype(np.float64), place[len(hashes) :], np.log(inside + 0.5 * (kinds + 1)), tree, Parameters.start(tree), told["n"], told["v"])
     training = docs.where(~held_out(F.col(key))).select(F.col(text).cast("string").alias("text"), F.xxhash64(F.col(key), F.lit("start")).alias("r"))
     rows = training.count()
-    limit = F.lit(min(1.0, START_TEXTS / max(1, rows)) * float(1 << 31))
-    start = training.where(F.pmod("r", F.lit(1 << 31)) < limit).select("text", "r")
-    parts = [np.array(r["c"], np.int64) for r in sorted(_class_rows(start, model).toLocalIterator(), key=lambda r: r["r"])]
+    limit = F.lit(min(1.0, START_TEXTS / max(1, rows)) * float(1 << 62))
+    start = training.where(F.pmod("r", F.lit(1 << 62)) < limit).select("text", "r")
+    parts = [np.array(r["c"], np.int64) for r in sorted(_leaf_rows(start, model).toLocalIterator(), key=lambda r: (r["r"], r["c"]))]
     if parts:
-        trainer = Trainer(p, share, rate, 1)
+        trainer = Trainer(model.parameters, tree, rate, 1)
         sequence, row = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
         size = max(256, min(STEP, len(sequence) // 64))
         for _ in range(max(1, -(-START_STEPS * size // len(sequence)))):
             trainer.texts(sequence, row, size)
         model = replace(model, parameters=trainer.p, squares=trainer.squares)
-    model = replace(model, parameters=_mixed(training.select("text"), model, rate))
-    return replace(model, norm=normalisers(model.parameters), squares=None)
+    return replace(model, parameters=_mixed(training.select("text"), model, rate), squares=None)
 
 
-def _class_rows(texts: DataFrame, model: Model) -> DataFrame:
-    """(r, c): the class sequence of each text of the start's bounded sample."""
+def _leaf_rows(texts: DataFrame, model: Model) -> DataFrame:
+    """(r, c): the leaves of each text of the start's bounded sample."""
     held = texts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
             for a, b, h, row in tokens(batch.column(0)):
-                c = held.value.classes(h).astype(np.int16)
+                c = held.value.leaves(h)[0].astype(np.int32)
                 edges = np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.ListArray.from_arrays(edges, c)], names=["r", "c"])
 
-    return texts.mapInArrow(run, "r bigint, c array<smallint>")
+    return texts.mapInArrow(run, "r bigint, c array<int>")
 
 
 def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -317,9 +426,12 @@ def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFr
     model = fit(docs, counts, key=key, text=text)
     head = frequent(counts, HEAD).toArrow()
     h, c = head.column("h").to_numpy(), head.column("c").to_numpy().astype(np.float64)
-    order = np.argsort(h)
-    held = sc.broadcast((model, h[order], c[order]))
-    schema = "doc_id bigint, held_out boolean, th bigint, n_tokens bigint, n_known bigint, logs double, n_other bigint, other_logs double, class_logs double, n_rare bigint, rare array<bigint>, times array<int>"
+    if model:
+        # Words with a leaf are always among those whose counts are broadcast.
+        h, c = np.concatenate((h, model.words)), np.concatenate((c, model.amount))
+    h, first = np.unique(h, return_index=True)
+    held = sc.broadcast((model, h, c[first]))
+    schema = "doc_id bigint, held_out boolean, th bigint, n_tokens bigint, n_known bigint, logs double, share_logs double, leaf_logs double, n_rare bigint, rare array<bigint>, times array<int>"
 
     def run(batches):
         m, words, amount = held.value
@@ -329,9 +441,10 @@ def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFr
                 at = np.minimum(np.searchsorted(words, h), len(words) - 1) if len(words) else np.zeros(len(h), np.int64)
                 common = words[at] == h if len(words) else np.zeros(len(h), bool)
                 logs = np.where(common, np.log10((amount[at] if len(words) else 0.0) + 0.5), 0.0)
-                classes = m.classes(h) if m else np.full(len(h), OTHER)
-                other = classes == OTHER
-                told = m.log_probability(classes, row) / np.log(10) if m else np.zeros(len(h))
+                shared, told = common, np.zeros(len(h))
+                if m:
+                    leaves, norm = m.leaves(h)
+                    shared, told = common & ~m.own(h), (m.log_probability(leaves, row) - norm) / np.log(10)
                 rare, rare_row = h[~common], row[~common]
                 order = np.lexsort((rare, rare_row))
                 rare, rare_row = rare[order], rare_row[order]
@@ -344,10 +457,10 @@ def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFr
                     [
                         *(batch.column(i).slice(a, n) for i in (0, 1, 2)),
                         pa.array(whole(every).astype(np.int64)), pa.array(whole(common).astype(np.int64)), pa.array(whole(common, logs).astype(float)),
-                        pa.array(whole(other).astype(np.int64)), pa.array(whole(other & common, logs).astype(float)), pa.array(whole(every, told).astype(float)), pa.array(whole(~common).astype(np.int64)),
+                        pa.array(whole(shared, logs).astype(float)), pa.array(whole(every, told).astype(float)), pa.array(whole(~common).astype(np.int64)),
                         pa.ListArray.from_arrays(edges, rare[new]), pa.ListArray.from_arrays(edges, times),
                     ],
-                    names=["doc_id", "held_out", "th", "n_tokens", "n_known", "logs", "n_other", "other_logs", "class_logs", "n_rare", "rare", "times"],
+                    names=["doc_id", "held_out", "th", "n_tokens", "n_known", "logs", "share_logs", "leaf_logs", "n_rare", "rare", "times"],
                 )
 
     rows = cut(src.select("doc_id", "held_out", "th", "text").mapInArrow(run, schema))
@@ -362,11 +475,7 @@ def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFr
     base = F.log10(F.lit(n + 0.5 * (v + 1)))
     rare_logs = F.coalesce("m.rare_logs", F.lit(0.0))
     base_score = F.col("r.logs") + rare_logs - F.col("r.n_tokens") * base
-    if model:
-        other = F.log10(F.lit(model.other_tokens + 0.5 * (model.other_distinct + 1)))
-        told = F.col("r.class_logs") + F.col("r.other_logs") + rare_logs - F.col("r.n_other") * other
-    else:
-        told = base_score
+    told = F.col("r.leaf_logs") + F.col("r.share_logs") + rare_logs if model else base_score
     return joined.select(
         "r.doc_id", "r.held_out", "r.n_tokens", (F.col("r.n_known") + F.coalesce("m.rare_known", F.lit(0))).cast("bigint").alias("n_known"),
         F.lit(n).cast("bigint").alias("train_tokens"), base_score.alias("base_score"), told.alias("score"),
