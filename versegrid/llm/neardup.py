@@ -52,7 +52,7 @@ def doc_shingles(column: pa.Array, k: int = SHINGLE):
 
 
 def _sketches(k: int):
-    """Set size, two hashes of the set and the signature of each text."""
+    """Set size, two hashes of the set and the signature of each text (second column), beside the other columns."""
 
     def run(batches):
         for batch in batches:
@@ -60,8 +60,8 @@ def _sketches(k: int):
                 sig = K.signatures(h, offsets, TOKENS)
                 s0, s1 = K.set_sums(h, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(np.diff(offsets)), pa.array((s0 ^ K.mix64(s1)).view(np.int64)), pa.array([x.tobytes() for x in sig], pa.binary())],
-                    names=["doc_id", "n_shingles", "v", "sig"],
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(np.diff(offsets)), pa.array((s0 ^ K.mix64(s1)).view(np.int64)), pa.array([x.tobytes() for x in sig], pa.binary())],
+                    names=["doc_id", "same", "n_shingles", "v", "sig"],
                 )
 
     return run
@@ -229,8 +229,8 @@ def candidates(reps: DataFrame, threshold: int, trees: int) -> DataFrame:
     return pairs.unionByName(links[0]).distinct()
 
 
-def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, threshold: int = THRESHOLD, miss: float = MISS) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
+def grouped(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, threshold: int = THRESHOLD, miss: float = MISS) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, same (the text's hash), n_shingles, label (the group's; null without one), component.
 
     Rows are linked by their texts: equal shingle sets always, others if the
     sets pass the threshold. Null and wordless texts link with nothing. Rows
@@ -238,8 +238,8 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = S
     is outside of the join and a component of its own (component_id null, kept
     true). Other columns are ignored.
     """
-    src = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = cut(src.mapInArrow(_sketches(k), "doc_id bigint, n_shingles bigint, v bigint, sig binary"))
+    src = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("same", F.xxhash64("text"))
+    rows = cut(src.mapInArrow(_sketches(k), "doc_id bigint, same bigint, n_shingles bigint, v bigint, sig binary"))
     live = rows.where("n_shingles > 0 and doc_id is not null")
     reps = cut(live.groupBy("v").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "sig"), "doc_id").alias("s")).select("v", "rep", "s.*"))
     coarse = components(candidates(reps, threshold, tree_count(threshold, miss)))
@@ -251,21 +251,45 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = S
     tasks = placed.select("v", "rep", "label", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     tasks = tasks.select("v", "rep", F.xxhash64("label", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"))
     # Rows that repeat an id bring several texts here; the confirmation takes the one whose set is the class's.
-    texts = src.join(placed.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
+    texts = src.join(placed.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id", "same"])
     work = tasks.join(texts, F.col("rep") == F.col("doc_id")).select("task", "v", "text").repartition("task").sortWithinPartitions("task", "v")
     found = components(work.mapInArrow(_confirm(threshold, k), "a bigint, b bigint"))
     groups = cut(reps.join(found, "v", "left").select("v", "rep", F.coalesce("label", "v").alias("label")))
     least = groups.groupBy("label").agg(F.min("rep").alias("component"))
-    names_of = groups.join(least, "label").select("v", "component")
-    out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("v")).alias("v"))
+    names_of = groups.join(least, "label").select("v", "label", "component")
+    out = rows.select("doc_id", "same", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("v")).alias("v"))
     # Texts without words have no class and stay out of the join.
-    alone = out.where("v is null").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component"))
-    out = out.where("v is not null").join(names_of, "v", "left").select("doc_id", "n_shingles", "component").unionByName(alone)
+    none = F.lit(None).cast("bigint")
+    alone = out.where("v is null").select("doc_id", "same", "n_shingles", none.alias("label"), none.alias("component"))
+    return out.where("v is not null").join(names_of, "v", "left").select("doc_id", "same", "n_shingles", "label", "component").unionByName(alone)
+
+
+def link(docs: DataFrame, **options) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept; options and cases as of :func:`grouped`."""
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = grouped(docs, **options).select("doc_id", "n_shingles", component.alias("component_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each group of near copies, with all columns of ``docs``.
+
+    The row of the least id stays, of versions that share an id the one whose
+    text's hash is least, whatever other groups these ids are in; rows without
+    an id come last, in order of their texts' hashes, and go like others. Rows
+    that repeat an id and a text stay once. Null and wordless texts are in no
+    group and stay.
+    """
+    # Rows without an id are told apart by their texts, behind all ids that are in use.
+    id_ = F.coalesce(F.col(key).cast("bigint"), F.lit(1 << 62) + F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(1 << 61)))
+    keyed = docs.withColumn("id_", id_).withColumn("same_", F.xxhash64(F.col(text).cast("string")))
+    rows = grouped(keyed, key="id_", text=text, **options).select(F.col("doc_id").alias("id_"), F.col("same").alias("same_"), "label")
+    first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("id_", "same_")).alias("f")).select("f.*")
+    kept = first.unionByName(rows.where("label is null").select("id_", "same_")).distinct()
+    # The join and the removal of repeated rows share one dealing by id.
+    return keyed.join(kept, ["id_", "same_"], "left_semi").dropDuplicates(["id_", "same_"]).select(*docs.columns)
+
+
 LINK_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
