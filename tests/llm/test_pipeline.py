@@ -99,3 +99,31 @@ def test_near_copies_from_080_go(spark, tmp_path):
     docs = spark.createDataFrame([(d, t, "aa", "s", len(t)) for d, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     got = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
     assert sorted(r.doc_id for r in got.collect()) == list(range(20))
+
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def test_near_copies_go_by_row(spark, tmp_path):
+    rng = random.Random(11)
+    say = lambda n=60: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    t, other, u, lone = say(), say(), say(), say()
+    rows = [
+        (2, t), (5, f"{t} more"), (5, other),  # the copy goes, the other version of its id stays
+        (7, u), (7, f"{u} more"), (7, u),  # one of two versions that are near copies stays
+        (None, f"{t} again"), (None, lone), (None, lone), (None, f"{lone} x"), (None, None), (8, None), (8, ""), (8, " "), (8, None),
+        (9, lone.upper()),
+    ]
+    docs = spark.createDataFrame([(d, x, "aa", "s", 1) for d, x in rows], SCHEMA)
+    got = sorted((str(r.doc_id), str(r.text)) for r in corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect())
+    one = [x for x in got if x[0] == "7"]
+    assert len(one) == 1 and one[0][1] in (u, f"{u} more")
+    assert [x for x in got if x[0] != "7"] == sorted([("2", t), ("5", other), ("9", lone.upper()), ("None", "None"), ("8", "None"), ("8", ""), ("8", " ")])
+
+
+def test_stages_on_empty_tables_and_extra_columns(spark, tmp_path):
+    spark.createDataFrame([(None, None), (1, " ")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, "ka ki ku mo", "aa", None, 1, "x", 0.5, 3), (None, None, None, None, None, None, None, None)], f"{SCHEMA}, label string, score double, size int")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+        assert stage(spark, docs, str(tmp_path)).columns[:5] == list(corpus_pipeline.COLUMNS), name
