@@ -45,3 +45,33 @@ def test_host_boilerplate_decides_in_main_zones(spark):
     by = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert all(by[i] == story.format(i) + f"\nteaser {i}" for i in range(5))
     assert by[10] == story.format(10) and by[11] == notice
+
+
+def test_titles_tables_and_references():
+    text = lambda page: html.certain(html.blocks(page))
+    assert text("<main><h1>T</h1><p>lead</p><article><p>x</p></article></main>") == ["T", "x"]
+    assert text("<main><h1>Site</h1><article><h1>T</h1><p>x</p></article></main>") == ["Site", "T", "x"]
+    assert text('<article><section id="related-work"><p>r</p></section><div class="share-price-table"><p>s</p></div><div class="share-buttons">go</div></article>') == ["r", "s"]
+    assert text('<article><div class="post-notice">only this</div></article>') == ["only this"]
+    assert text('<article><div class="comments">only this</div></article>') == []
+    assert text('<article><p>x</p><div class="social-share">go</div><div id="comments">c</div><div class="cookie-recipe">flour</div></article>') == ["x", "flour"]
+    assert text("<article><p>AT&<b>amp</b> &#x41;&lt;b&gt;</p></article>") == ["AT&amp A<b>"]
+
+
+def test_what_most_pages_repeat_goes_from_articles(spark):
+    notice, shared = "Support our journalism today", "A passage that some pages share as it is"
+    body = lambda i: f"<article><h1>Story {i}</h1><p>{notice}</p>{f'<p>{shared}</p>' if i % 3 == 0 else ''}<p>Text of {i}</p></article>"
+    rows = [(i, f"https://h.example/{i}", body(i)) for i in range(30)] + [(100 + i, f"https://small.example/{i}", body(i)) for i in range(5)] + [(200, "https://h.example/x", f"<article><p>{notice}</p></article>")]
+    want = {i: f"Story {i}\n" + (f"{shared}\n" if i % 3 == 0 else "") + f"Text of {i}" for i in range(30)}
+    want |= {100 + i: want[i].replace("\n", f"\n{notice}\n", 1) for i in range(5)} | {200: notice}
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == want
+
+
+def test_joined_and_broadcast_strings_agree(spark, monkeypatch):
+    menu = "Home News Sport Weather Contact and Imprint of this site"
+    rows = [(i, f"https://h.example/{i % 9}", f"<div>{menu}</div><div>Own words {i} {i} {i} a b c {i}</div>") for i in range(40)] + [(99, "https://h.example/l", f"<div>{menu}</div><p>{'long text ' * 200_000}</p>")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    once = sorted(map(tuple, html.extract(df).collect()))
+    monkeypatch.setattr(html, "BROADCAST", -1)
+    assert sorted(map(tuple, html.extract(df).collect())) == once and len(once[-1][2]) == 200_000 * 10 - 1 and once[0][2] == "Own words 0 0 0 a b c 0"

@@ -2,12 +2,13 @@
 
 A page is read into blocks of text in page order. Where the page marks its
 article, the article's blocks are the text, less what sits in menus, asides,
-forms and the like inside it. Elsewhere the blocks outside of such containers,
-those in main zones first, are uncertain, and the host's repeated strings
-decide: the token streams of all its pages are laid out as suffixes, cut to
-their first GRAM tokens and dealt by them, and strings that distinct pages share
-are boilerplate. A block mostly covered by them goes, unique runs stay. A main
-zone that has more words left than the articles is the text with them.
+forms and the like inside it, and less blocks that most pages of the host
+repeat. Elsewhere the blocks outside of such containers, those in main zones
+first, are uncertain, and the host's repeated strings decide: the token streams
+of all its pages are laid out as suffixes, cut to their first GRAM tokens and
+dealt by them, and strings that distinct pages share are boilerplate. A block
+mostly covered by them goes, unique runs stay. A main zone that has more words
+left than the articles is the text with them.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ from .common import cut
 
 #: Tokens of a repeated string, pages of distinct streams that must share it, and the covered share from which a block goes.
 GRAM, PAGES, COVERED = 6, 3, 0.8
+#: An article's block goes if this share of the host's distinct pages, and so many of them, have it in their articles.
+MOST, MOST_PAGES = 0.5, 10
+#: Bytes of repeated strings of pages up to which they are broadcast to the pages instead of joined.
+BROADCAST = 16 << 20
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page.
@@ -35,10 +40,16 @@ BLOCKS = frozenset(
     "header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
-#: Words in class or id of containers without article text.
+#: Words in class or id of containers without article text, whatever stands beside them.
 NOISE = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer "
-    "cookie cookies consent gdpr notice alert newsletter subscribe comment comments respond disqus related share sharing social popup modal login signup pagination pager widget toolbar masthead".split()
+    "ad ads advert adverts advertisement advertising sponsor sponsored sidebar nav navbar navigation breadcrumb breadcrumbs footer "
+    "gdpr newsletter subscribe comment comments respond disqus pagination pager masthead".split()
+)
+#: Words that also name things that articles are about; they tell only beside each other and beside words of layout.
+DOUBTFUL = frozenset("promo promotion banner menu cookie cookies consent notice alert related share sharing social popup modal login signup widget toolbar".split())
+LAYOUT = frozenset(
+    "area bar block body bottom box button buttons container content entry fixed group header icon icons inner item items left link links list main message more outer overlay page panel "
+    "post posts row section site small sticky text top right title up wrap wrapper js is the".split()
 )
 #: Of these, the ones that tell on an article element itself; and words of modifiers that only speak of such containers.
 ARTICLE_NOISE = frozenset("ad ads advert adverts advertisement sponsored promo comment comments related".split())
@@ -56,48 +67,65 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
-ARTICLE, MAIN, OTHER, CHROME_TEXT = range(4)
+#: Zones: an article; a main part; neither; chrome; the title of a main part outside of its articles; containers in either that only their class speaks against.
+ARTICLE, MAIN, OTHER, CHROME_TEXT, TITLE, DOUBT = range(6)
+
+
+def _noisy(value: str, strict: bool) -> bool:
+    """Whether a class or id names a container without article text; ``strict`` lets no other words stand beside."""
+    words = {w.lower() for w in _WORD.findall(value)}
+    if words & MODIFIERS:
+        return False
+    rest = {w for w in words - NOISE - DOUBTFUL - LAYOUT if not w.isdigit() and len(w) > 1}
+    return bool(words & NOISE) and not (strict and rest) or bool(words & DOUBTFUL) and not rest
 
 
 def _kind(name: str, attrs: str, inside: bool) -> int | None:
-    """What an element makes of its content: chrome, article or main; None leaves it."""
+    """What an element makes of its content: chrome, doubtful, article or main; None leaves it."""
     if name in CHROME:
         return CHROME_TEXT
-    words: set[str] = set()
-    role, whole = "", set()
+    role, own, noisy, strong, content = "", False, False, False, False
     if attrs and "=" in attrs:
         for key, a, b, c in _ATTR.findall(attrs):
-            value = a or b or c
-            if key.lower() == "role":
+            value, key = a or b or c, key.lower()
+            if key == "role":
                 role = value.strip().lower()
-            else:
-                words.update(w.lower() for w in _WORD.findall(value))
-                whole.update(re.sub(r"[^a-z]", "", v.lower()) for v in value.split())
-    noise = ARTICLE_NOISE if name == "article" else frozenset() if name in ("body", "html", "main") else NOISE
-    if role in ROLES or words & noise and not words & MODIFIERS:
+                continue
+            for part in value.split():
+                words = {w.lower() for w in _WORD.findall(part)}
+                own |= bool(words & OWN)
+                content |= re.sub(r"[^a-z]", "", part.lower()) in CONTENT
+                strong |= bool(words & ARTICLE_NOISE) and _noisy(part, strict=key == "id")
+                noisy |= _noisy(part, strict=key == "id") or "header" in words and not words & OWN and not inside
+    if role in ROLES or strong:
         return CHROME_TEXT
-    if (name == "header" or "header" in words and not words & OWN) and not inside:
+    if noisy and name not in ("article", "body", "html", "main"):
+        return DOUBT if inside else CHROME_TEXT
+    if name == "header" and not inside:
         return CHROME_TEXT
     if name == "article" or role == "article":
         return ARTICLE
-    if name == "main" or role == "main" or whole & CONTENT:
+    if name == "main" or role == "main" or content:
         return MAIN
     return None
 
 
 def blocks(html: str | None) -> list[tuple[int, str]]:
-    """(zone, text) of the page's blocks in order; character references decoded, white space single."""
+    """(zone, text) of the page's blocks in order; character references decoded between tags, white space single."""
     out: list[tuple[int, str]] = []
     run: list[str] = []
     stack: list[tuple[str, int | None]] = []
-    zones = [0, 0, 0, 0]
+    zones = [0] * 6
 
     def zone() -> int:
-        return CHROME_TEXT if zones[CHROME_TEXT] else ARTICLE if zones[ARTICLE] else MAIN if zones[MAIN] else OTHER
+        for kind in (CHROME_TEXT, DOUBT, ARTICLE):
+            if zones[kind]:
+                return kind
+        return TITLE if zones[MAIN] and zones[TITLE] else MAIN if zones[MAIN] else OTHER
 
     def end():
         if run:
-            text = " ".join(unescape("".join(run)).split())
+            text = " ".join("".join(run).split())
             if text:
                 out.append((zone(), text))
             run.clear()
@@ -124,7 +152,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     at, html = 0, html or ""
     for m in _TOKEN.finditer(html):
         if m.start() > at:
-            run.append(html[at : m.start()])
+            run.append(unescape(html[at : m.start()]))
         at = m.end()
         name = m["name"]
         if name is None:
@@ -148,42 +176,62 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
                 close(("li",), ("ul", "ol", "menu"))
         if name in VOID or (m["attrs"] or "").endswith("/"):
             continue
-        kind = _kind(name, m["attrs"], bool(zones[ARTICLE] or zones[MAIN]))
+        kind = TITLE if name == "h1" else _kind(name, m["attrs"], bool(zones[ARTICLE] or zones[MAIN]))
         if kind is not None:
             end()
             zones[kind] += 1
         stack.append((name, kind))
-    run.append(html[at:])
+    run.append(unescape(html[at:]))
     end()
     return out
 
 
 def certain(found: list[tuple[int, str]]) -> list[str] | None:
-    """The article's blocks where the page marks it, [] for a page without text, None where it is uncertain."""
-    for zone in (ARTICLE, MAIN):
-        if got := [t for z, t in found if z == zone]:
-            return got
-    return None if any(z == OTHER for z, _ in found) else []
+    """The article's blocks where the page marks it, [] for a page without text, None where it is uncertain.
+
+    A main part's title before its articles belongs to them if they have none;
+    what only its class speaks against is better than no article.
+    """
+    zones = {z for z, _ in found}
+    if ARTICLE in zones:
+        first = next(i for i, (z, _) in enumerate(found) if z == ARTICLE)
+        return [t for i, (z, t) in enumerate(found) if z == ARTICLE or z == TITLE and i < first]
+    for zone in ({MAIN, TITLE}, {DOUBT}):
+        if zones & zone:
+            return [t for z, t in found if z in zone]
+    return None if OTHER in zones else []
 
 
 def settled(found: list[tuple[int, str]]) -> list[str] | None:
-    """The text that needs no judgement by the host's repeated strings; None where there are blocks of a main zone or only uncertain ones."""
+    """The text that needs no judgement by repeated strings; None where there are blocks of a main zone or only uncertain ones."""
     return None if any(z == MAIN for z, _ in found) else certain(found)
 
 
 def judged(found: list[tuple[int, str]], known: set[int], size: int = GRAM, covered: float = COVERED) -> list[str]:
-    """The text of a page that isn't settled, given the repeated strings of its host."""
+    """The text of a page, given the repeated strings of its host: of all pages for articles' blocks, of a few for others."""
+    if settled(found) is not None:
+        kept = [(z, t) for z, t in found if z != ARTICLE or whole_block(t) not in known]
+        return certain(kept if any(z == ARTICLE for z, _ in kept) else found)
     zone = MAIN if any(z == MAIN for z, _ in found) else OTHER
-    fresh = [z == zone and _covered(t, known, size) < covered for z, t in found]
+    fresh = [(z == zone or z == TITLE) and _covered(t, known, size) < covered for z, t in found]
     words = lambda keep: sum(len(t.split()) for (_, t), k in zip(found, keep, strict=True) if k)
-    article = [z == ARTICLE for z, _ in found]
+    article = [z == ARTICLE and whole_block(t) not in known for z, t in found]
+    if not any(article):
+        article = [z == ARTICLE for z, _ in found]
     if any(article):
-        fresh = article if words(article) >= words(fresh) else [a or f for a, f in zip(article, fresh, strict=True)]
+        title = [z == TITLE and f and not any(article[:i]) for i, ((z, _), f) in enumerate(zip(found, fresh, strict=True))]
+        only = words(article) >= words([f and z != TITLE for f, (z, _) in zip(fresh, found, strict=True)])
+        fresh = [a or (t if only else f) for a, t, f in zip(article, title, fresh, strict=True)]
     elif not any(fresh):
         fresh = [z == zone for z, _ in found]
     return [t for (_, t), k in zip(found, fresh, strict=True) if k]
 
 
+def whole_block(text: str) -> int:
+    """Hash of a block as a whole, apart from those of its strings."""
+    return int.from_bytes(blake2b(text.encode(), digest_size=8, person=b"block").digest(), "little", signed=True)
+
+
 def suffixes(text: str, size: int = GRAM) -> list[int]:
     """Hashes of the first ``size`` tokens of each suffix of a block; a shorter block is one."""
     tokens = text.split()
@@ -201,71 +249,69 @@ def _covered(text: str, known: set[int], size: int) -> float:
 
 
 def _streams(size: int):
-    """Suffixes outside of articles, of each page; whether the page is uncertain."""
+    """Of each page with text: its stream's hash, suffixes outside of articles, articles' blocks, and whether it is uncertain."""
 
     def run(batches):
         for batch in batches:
-            rows, heads, stream, unsure = [], [], [], []
+            rows, heads, whole, stream, unsure = [], [], [], [], []
             for i, html in enumerate(batch.column("html").to_pylist()):
                 found = blocks(html)
-                sure = settled(found)
-                outside = [h for z, t in found if z != ARTICLE for h in suffixes(t, size)]
-                if outside:
-                    rows.append(i)
-                    heads.append(sorted(set(outside)))
-                    stream.append(int.from_bytes(blake2b(repr(outside).encode(), digest_size=8).digest(), "little", signed=True))
-                    unsure.append(sure is None)
+                if not found:
+                    continue
+                rows.append(i)
+                heads.append(sorted({h for z, t in found if z != ARTICLE for h in suffixes(t, size)}))
+                whole.append(sorted({whole_block(t) for z, t in found if z == ARTICLE}))
+                stream.append(whole_block("\n".join(t for _, t in found)))
+                unsure.append(settled(found) is None)
+            at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(pa.array(rows, pa.int64())), batch.column("host").take(pa.array(rows, pa.int64())).cast(pa.string()), pa.array(stream, pa.int64()), pa.array(unsure, pa.bool_()), pa.array(heads, pa.list_(pa.int64()))],
-                names=["row", "host", "stream", "unsure", "heads"],
+                [batch.column("row").take(at), batch.column("host").take(at).cast(pa.string()), pa.array(stream, pa.int64()), pa.array(unsure, pa.bool_()), pa.array(heads, pa.list_(pa.int64())), pa.array(whole, pa.list_(pa.int64()))],
+                names=["row", "host", "stream", "unsure", "heads", "whole"],
             )
 
     return run
 
 
-def _texts(wanted_sure: bool, size: int, covered: float):
+def _texts(size: int, covered: float):
     def run(batches):
         for batch in batches:
-            ids, urls, htmls = (batch.column(c).to_pylist() for c in ("page_id", "url", "html"))
-            known = batch.column("known").to_pylist() if not wanted_sure else [None] * len(ids)
-            out = []
-            for i, u, html, k in zip(ids, urls, htmls, known, strict=True):
-                found = blocks(html)
-                text = settled(found)
-                if (text is not None) != wanted_sure:
-                    continue
-                if text is None:
-                    text = judged(found, set(k or ()), size, covered)
-                out.append((i, u, "\n".join(text)))
-            a, b, c = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.string()), pa.array(c, pa.string())], names=["page_id", "url", "text"])
+            ids, urls, htmls, known = (batch.column(c).to_pylist() for c in ("page_id", "url", "html", "known"))
+            texts = ["\n".join(judged(blocks(html), set(k or ()), size, covered)) for html, k in zip(htmls, known, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return run
 
 
-def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: str = "html", size: int = GRAM, least_pages: int = PAGES, covered: float = COVERED) -> DataFrame:
+def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: str = "html", size: int = GRAM, least_pages: int = PAGES, covered: float = COVERED, most: float = MOST, most_pages: int = MOST_PAGES) -> DataFrame:
     """page_id, url and text of each page.
 
-    Null or empty html gives an empty text. Marked articles are kept whole,
-    also where pages share passages; blocks of main zones and uncertain ones are
-    judged by the host's repeated strings, and a page that would lose all of them keeps them.
-    Pages with equal streams count once in what distinct pages share; a null
-    url is a host of its own; repeated rows give repeated results; other
-    columns are ignored. A host is never gathered: its suffixes are dealt by
-    their first tokens.
+    Null or empty html gives an empty text. Blocks of marked articles stay,
+    also where pages share passages, unless ``most`` of the host's distinct
+    pages have them; blocks of main zones and uncertain ones are judged by what
+    ``least_pages`` share. A page that would lose all of its blocks keeps them.
+    Pages with equal texts count once; a null url is a host of its own; at
+    equal word counts the article is the text, not the main zone around it;
+    repeated rows give repeated results; other columns are ignored. A host is
+    never gathered: its suffixes are dealt by their first tokens.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
     src = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"), host.alias("host"), F.xxhash64(F.col(url), F.col(html)).alias("row"))
-    streams = cut(src.select("row", "host", "html").mapInArrow(_streams(size), "row bigint, host string, stream bigint, unsure boolean, heads array<bigint>"))
-    each = streams.select("host", "stream", F.explode("heads").alias("head")).distinct()
-    shared = each.groupBy("host", "head").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-    asked = streams.where("unsure").select("row", "host", F.explode("heads").alias("head")).distinct()
-    known = cut(asked.join(shared, ["host", "head"]).groupBy("row").agg(F.collect_list("head").alias("known")))
-    unsure = cut(streams.where("unsure").select("row").distinct())
-    schema = "page_id bigint, url string, text string"
-    sure = src.select("page_id", "url", "html").mapInArrow(_texts(True, size, covered), schema)
-    rest = src.join(unsure, "row").join(known, "row", "left").select("page_id", "url", "html", "known").mapInArrow(_texts(False, size, covered), schema)
-    return sure.unionByName(rest)
+    streams = cut(src.select("row", "host", "html").mapInArrow(_streams(size), "row bigint, host string, stream bigint, unsure boolean, heads array<bigint>, whole array<bigint>"))
+
+    def counted(column: str) -> DataFrame:
+        # What distinct pages share; a page's own repeats are gone already.
+        each = streams.select("host", "stream", F.explode(column).alias("head")).distinct()
+        return each.groupBy("host", "head").agg(F.count("*").alias("n"))
+
+    pages_of = streams.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    few = counted("heads").where(F.col("n") >= least_pages).select("host", "head")
+    many = counted("whole").where(F.col("n") >= most_pages).join(pages_of, "host").where(F.col("n") >= most * F.col("pages")).select("host", "head")
+    asked = streams.where("unsure").select("row", "host", F.explode("heads").alias("head")).distinct().join(few, ["host", "head"])
+    asked = asked.unionByName(streams.select("row", "host", F.explode("whole").alias("head")).distinct().join(many, ["host", "head"]))
+    known = cut(asked.groupBy("row").agg(F.collect_list("head").alias("known")))
+    held = known.agg(F.coalesce(F.sum(F.size("known") * 8 + 32), F.lit(0)).alias("n")).first()["n"]
+    told = src.join(F.broadcast(known) if held <= BROADCAST else known, "row", "left")
+    return told.select("page_id", "url", "html", "known").mapInArrow(_texts(size, covered), "page_id bigint, url string, text string")
 
 
 def digest(texts: DataFrame) -> DataFrame:
