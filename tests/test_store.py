@@ -32,6 +32,15 @@ def test_upsert_keeps_ids(spark):
     assert got == {"a.txt": 1, "b.txt": 2, "c.txt": 5, "d.txt": 6, "x.txt": 7}
 
 
+def test_many_new_names_get_their_own_ids(spark):
+    works, _ = _tables(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    new = spark.range(200_000).selectExpr("concat('n', lpad(id, 6, '0')) AS filename")
+    got = store.upsert(works, works.limit(0).unionByName(new, allowMissingColumns=True)).where("filename LIKE 'n%'")
+    told = got.selectExpr("count(id) AS n", "count(DISTINCT id) AS d", "min(id) AS a", "max(id) AS b", "sum(CASE WHEN id = 6 + cast(substr(filename, 2) AS int) THEN 1 ELSE 0 END) AS ordered").first()
+    assert tuple(told) == (200_000, 200_000, 6, 200_005, 200_000)
+
+
 def test_precedence_and_removal(spark):
     works, refs = _tables(spark)
     assert sorted(r.id for r in store.annotated_first(works).collect()) == [2, 5]
@@ -47,6 +56,21 @@ def test_empty_category_stays_empty_and_totals_agree(spark):
     assert rollups.in_canon(rollups.chapter_category_counts(refs, works)).count() == 1
 
 
+def test_clean_texts_are_written(spark, tmp_path):
+    from versegrid.sources import thml
+
+    docs = spark.createDataFrame([("a/b.xml", "<x><p>one &amp; two</p></x>")], "path string, content string")
+    texts.write_texts(thml.parse(docs), str(tmp_path / "texts"))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "texts")).collect()] == [("a/b.txt", "one & two")]
+
+
+def test_chapters_are_written_by_book(spark, tmp_path):
+    works, refs = _tables(spark)
+    texts.write_parquet(rollups.chapter_payloads(refs, works), str(tmp_path / "chapters"), by="book_slug")
+    assert {(r.book_slug, r.chapter, len(r.refs)) for r in spark.read.parquet(str(tmp_path / "chapters")).collect()} == {("romans", 8, 2), ("jude", 201, 1)}
+    assert {r.book_slug for r in rollups.chapter_payloads(refs, works, only="jude").collect()} == {"jude"}
+
+
 def test_sinks(spark, tmp_path):
     works, refs = _tables(spark)
     payload = rollups.book_payloads(refs, works)

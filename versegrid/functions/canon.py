@@ -161,7 +161,12 @@ def roman_to_int(text: Column) -> Column:
     digits = F.transform(F.filter(F.split(F.reverse(s), ""), lambda c: c != ""), lambda c: F.element_at(value, c))
     zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("prev"))
     done = F.aggregate(digits, zero, lambda acc, v: F.struct((acc["total"] + F.when(v < acc["prev"], -v).otherwise(v)).alias("total"), v.alias("prev")))
-    return F.when(s.rlike("^[IVXLCDM]+$"), done["total"])
+    return F.when(is_roman(text), done["total"])
+
+
+def is_roman(text: Column) -> Column:
+    """Whether a text is written in the letters of numerals alone, in any order."""
+    return F.coalesce(F.upper(F.trim(text)).rlike("^[IVXLCDM]+$"), F.lit(False))
 
 
 def int_to_roman(number: Column) -> Column:

@@ -159,7 +159,8 @@ def once(value: Column, body) -> Column:
 
 
 def _upto(sizes: Column, start: Column) -> Column:
-    zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+    # An empty array of integers, whose type shows without a cast.
+    zero = F.struct(start.alias("at"), F.slice(F.array(start), 1, 0).alias("out"))
     return F.aggregate(sizes, zero, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
 
 
@@ -171,16 +172,20 @@ def running_starts(sizes: Column, start: Column) -> Column:
     return once(blocks, lambda all_: F.flatten(F.zip_with(all_, _upto(F.transform(all_, total), start), _upto)))
 
 
+def unmarked(text: Column) -> Column:
+    """``text`` without the three characters that :func:`located` marks with; each gives way to one of its like."""
+    some = F.contains(text, F.lit("\u0001")) | F.contains(text, F.lit("\u0002")) | F.contains(text, F.lit("\u0003"))
+    return F.when(some, F.translate(text, "\u0001\u0002\u0003", "\u0004\u0004\u0004")).otherwise(text)
+
+
 def located(text: Column, regex: str, groups: int = 0) -> Column:
     """Array of (start, parts) of the leftmost non-overlapping matches: start in code points, parts the groups and last the whole.
 
-    One regex pass sets marks around every match; between them stand the gaps,
-    so running sums of lengths give the starts. Marks in the text itself give
-    way to a character of their like first.
+    One regex pass over an :func:`unmarked` text sets marks around every match;
+    between them stand the gaps, so running sums of lengths give the starts.
     """
     fields = "".join(f"${g}\u0002" for g in range(1, groups + 1))
-    clean = F.translate(text, "\u0001\u0002\u0003", "\u0004\u0004\u0004")
-    marked = F.regexp_replace(clean, F.lit(regex), F.lit(f"\u0001{fields}$0\u0003"))
+    marked = F.regexp_replace(text, F.lit(regex), F.lit(f"\u0001{fields}$0\u0003"))
     cut = lambda p: F.struct(F.split(F.substring_index(p, "\u0003", 1), "\u0002", -1).alias("parts"), F.length(F.substring_index(p, "\u0003", -1)).alias("gap"))
 
     def starts(pieces: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canon import abbreviations, canon, names, roman_to_int
-from ..functions.scalars import located, strip
+from ..functions.scalars import located, strip, unmarked
 
 # Fixed patterns: the parts of a citation.
 _PREFIX = r"(?:(?:Saint|St\.?)\s+)?"
@@ -71,7 +71,7 @@ FOUND = ("book", "book_slug", "chapter", "verse_start", "verse_end", "citation_o
 
 def _mentions(text: Column) -> Column:
     """Array of what the pattern finds with a chapter: citation_offset, book_key, chapter, v; one regex pass over the text."""
-    found = F.filter(located(text, pattern(), 3), lambda m: m["parts"][1] != "")
+    found = F.filter(located(unmarked(text), pattern(), 3), lambda m: m["parts"][1] != "")
     return F.transform(found, lambda m: F.struct(m["start"].alias("citation_offset"), book_key(m["parts"][0]).alias("book_key"), chapter_number(m["parts"][1]).alias("chapter"), verse_range(m["parts"][2]).alias("v")))
 
 
@@ -95,6 +95,14 @@ def extract(texts: DataFrame, *, key: str = "id", text: str = "text") -> DataFra
     return resolved(rows).select(key, *FOUND)
 
 
+def found_in(text: Column) -> Column:
+    """Array of the citations of one text, as :func:`extract` finds them; the names of books travel as a map."""
+    known = F.create_map(*[x for k, b in abbreviations().items() for x in (F.lit(k), F.struct(F.lit(b.name).alias("book"), F.lit(b.slug).alias("book_slug"), F.lit(b.chapters).alias("chapters")))])
+    told = F.transform(_mentions(text), lambda m: F.struct(m["citation_offset"].alias("at"), m["chapter"].alias("chapter"), m["v"].alias("v"), F.try_element_at(known, m["book_key"]).alias("b")))
+    fine = F.filter(told, lambda m: m["b"].isNotNull() & m["chapter"].between(1, m["b"]["chapters"]))
+    return F.transform(fine, lambda m: F.struct(m["b"]["book"].alias("book"), m["b"]["book_slug"].alias("book_slug"), m["chapter"].alias("chapter"), m["v"]["verse_start"].alias("verse_start"), m["v"]["verse_end"].alias("verse_end"), m["at"].alias("citation_offset")))
+
+
 def decode_attribute(hits: DataFrame, *, attribute: str = "parsed") -> DataFrame:
     """Rows of ``hits`` times the citations of their ``version|Book|ch|v|ch|v`` segments, cut at semicolons.
 

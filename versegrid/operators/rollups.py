@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.canon import canon
@@ -108,13 +108,35 @@ def last_if_null(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(2_147_483_647))
 
 
-def book_payloads(refs: DataFrame, works: DataFrame) -> DataFrame:
-    """book_slug, book, chapters: array of (ch, refs in order of verse, author, title). One pass for all books."""
-    rows = labelled(refs, works).withColumn("author_", F.coalesce("author", F.lit(""))).withColumn("title_", F.coalesce("title", F.lit("")))
+def chapter_payloads(refs: DataFrame, works: DataFrame, only: str = "") -> DataFrame:
+    """book_slug, book, chapter, refs in order of verse, author, title; of one book where ``only`` names it.
+
+    The form to write at scale, by book_slug: no row holds more than a chapter.
+    """
+    picked = refs.where(F.col("book_slug") == only) if only else refs
+    rows = labelled(picked, works).withColumn("author_", F.coalesce("author", F.lit(""))).withColumn("title_", F.coalesce("title", F.lit("")))
     by_chapter = rows.groupBy("book_slug", "chapter").agg(_listed([last_if_null("verse_start"), F.col("author_"), F.col("title_")], ["v", "w", "p"]).alias("refs"))
     c = dimension(refs).select(F.col("slug").alias("book_slug"), F.col("name").alias("book"))
+    return by_chapter.join(c, "book_slug").select("book_slug", "book", "chapter", "refs")
+
+
+def book_payloads(refs: DataFrame, works: DataFrame, only: str = "") -> DataFrame:
+    """book_slug, book, chapters: array of (ch, refs): one document a book, for files that a browser loads."""
     chapters = F.array_sort(F.collect_list(F.struct(F.col("chapter").alias("ch"), "refs"))).alias("chapters")
-    return by_chapter.join(c, "book_slug").groupBy("book_slug", "book").agg(chapters)
+    return chapter_payloads(refs, works, only).groupBy("book_slug", "book").agg(chapters)
+
+
+def work_references(refs: DataFrame, works: DataFrame) -> DataFrame:
+    """id, place (from 1, in order of book, chapter, verse), book, book_slug, chapter, v, p: one row a reference.
+
+    Places are counted from partial counts by work and book, so that a work of
+    very many references is numbered book by book.
+    """
+    rows = labelled(refs, works).select(F.col("manuscript_id").alias("id"), "book", "book_slug", "chapter", "v", "p", last_if_null("verse_start").alias("s"))
+    sizes = rows.groupBy("id", "book_slug").agg(F.count("*").alias("n"))
+    first = sizes.select("id", "book_slug", (F.sum("n").over(Window.partitionBy("id").orderBy("book_slug")) - F.col("n")).alias("first"))
+    at = F.row_number().over(Window.partitionBy("id", "book_slug").orderBy("chapter", "s", "book", "v", "p"))
+    return rows.withColumn("at", at).join(first, ["id", "book_slug"]).select("id", (F.col("first") + F.col("at")).cast("bigint").alias("place"), "book", "book_slug", "chapter", "v", "p")
 
 
 def work_payloads(refs: DataFrame, works: DataFrame) -> DataFrame:

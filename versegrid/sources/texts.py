@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.canon import canon
 
+# Works that no index lists, which are local only.
+LOCAL_WORKS = [
+    ("Meister Eckhart", "Sermons", "sermons.txt"),
+    ("John Owen", "Of the Mortification of Sin in Believers", "mort.txt"),
+    ("Richard Allestree", "The Government of the Tongue", "government.txt"),
+    ("Alvin Plantinga", "Warranted Christian Belief", "warrant3.txt"),
+]
 #: Smallest file of a corpus, in bytes; smallest download, and where its first tag must be.
 LEAST_TEXT, LEAST_XML, TAG_WITHIN = 1000, 500, 200
 MANIFEST = "author_id string, book_id string, title string, work_url string, status string, local_path string, source_url string"
@@ -69,7 +76,11 @@ def text_index(found: DataFrame, prefix: str = "/ccel/") -> DataFrame:
     return _first(rows, ["author_id", "book_id"]).select("author_id", "book_id", S.or_else(F.col("label"), F.concat_ws("/", "author_id", "book_id")).alias("title"))
 
 
-def xml_index(found: DataFrame, pattern: str = r"^/ccel/([^/]+)/([^/]+?)(?:\.[a-z]+)?$") -> DataFrame:
+# Fixed pattern: addresses of works in the annotated index.
+XML_WORK = r"^/ccel/([^/]+)/([^/]+?)(?:\.[a-z]+)?$"
+
+
+def xml_index(found: DataFrame, pattern: str = XML_WORK) -> DataFrame:
     """Works of the annotated index: query, fragment and trailing slashes off, first link of each pair."""
     href = F.regexp_replace(F.substring_index(F.substring_index("href", "?", 1), "#", 1), "/+$", "")
     rows = found.withColumn("href", href).where(F.col("href").rlike(pattern))
@@ -83,6 +94,25 @@ def text_link(found: DataFrame, site: str) -> DataFrame:
     return rows.select("page_id", F.when(F.col("f.href").startswith("http"), F.col("f.href")).otherwise(F.concat(F.lit(site), F.col("f.href"))).alias("url"))
 
 
+def all_works(discovered: DataFrame) -> DataFrame:
+    """author, title, filename, txt_url of discovered works, then of the local ones; repeats stay."""
+    local = discovered.sparkSession.createDataFrame([(*w, None) for w in LOCAL_WORKS], "author string, title string, filename string, txt_url string")
+    return discovered.select(*local.columns).unionByName(local)
+
+
+def crawl(index: DataFrame, manifest: DataFrame, limit: int = 0, force: bool = False) -> DataFrame:
+    """The index's first ``limit`` works (0: all) in its order (page_id, pos), with the status that the manifest lets them have.
+
+    Works that are downloaded or cached already are ``cached`` with their paths
+    and need nothing, unless ``force`` is set; all others are ``wanted``.
+    """
+    rows = index.orderBy("page_id", "pos").limit(limit) if limit else index
+    done = manifest.where(F.col("status").isin("downloaded", "cached")).select("author_id", "book_id", "local_path", "source_url", F.lit("cached").alias("status"))
+    if force:
+        done = done.limit(0)
+    return rows.join(done, ["author_id", "book_id"], "left").withColumn("status", F.coalesce("status", F.lit("wanted")))
+
+
 def first_download(candidates: DataFrame) -> DataFrame:
     """work, url of the first candidate (by pos) with status 200, enough bytes and a tag near its start."""
     fine = candidates.where((F.col("status") == 200) & (F.length("content") > LEAST_XML) & F.contains(F.substring(F.col("content").cast("string"), 1, TAG_WITHIN), F.lit("<")))
@@ -109,6 +139,11 @@ def manifest_summary(rows: DataFrame) -> DataFrame:
     return rows.agg(count("downloaded").alias("downloaded"), count("cached").alias("cached"), count("failed").alias("failed"))
 
 
+def write_texts(parsed: DataFrame, path: str) -> None:
+    """The clean texts of walked documents beside their names, for builds that read passages by offset."""
+    parsed.select(F.regexp_replace("path", r"\.[^./]*$", ".txt").alias("filename"), F.col("clean_text").alias("text")).write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
 VERSES = "struct<book:string,chapters:array<struct<chapter:string,verses:array<struct<verse:string,text:string>>>>>"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,6 +100,18 @@ _WALKED = pa.schema([
 ])
 
 
+def walk_function():
+    """:func:`walk` as a function of a column of XML texts, for SQL."""
+    names = [f.name for f in _WALKED if f.name != "path"]
+
+    @F.pandas_udf(WALKED.removeprefix("path string, "))
+    def walked(contents: pd.Series) -> pd.DataFrame:
+        rows = [walk(x or "") for x in contents]
+        return pd.DataFrame({n: [r[n] for r in rows] for n in names})
+
+    return walked
+
+
 def parse(docs: DataFrame, *, path: str = "path", content: str = "content") -> DataFrame:
     """Walks each document (string or binary content) once."""
 
