@@ -2,46 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import cut, shared_dir  # noqa: F401 - cut is for the operators
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; only Spark's reader touches the path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``; where that is unset
-    (tests on one machine) a temporary folder is made and registered.
-    """
-    told = spark.conf.get("spark.checkpoint.dir", None)
-    if told:
-        return told
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: materialise ``df`` in the shared folder.
-
-    Uses a reliable checkpoint, whose files survive lost executors and are
-    removed by Spark's cleaner once nothing refers to them.
-    """
-    spark = df.sparkSession
-    where = shared_dir(spark)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, for a table that is written and reread."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

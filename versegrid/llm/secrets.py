@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import located, unmarked
 from .common import cut, sha256_hex
 
 #: Fixed patterns. Group 2 of ``assign`` is the value; only its keyword ignores case.
@@ -25,34 +26,16 @@ MOST_OWNERS = 2
 REDACTED = "<SECRET>"
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Array of (start, text) of the leftmost non-overlapping matches, in code points.
-
-    The gaps between matches come from ``split`` with the same pattern, so the
-    running sum of gap and match lengths gives each start without leaving the JVM.
-    """
-    p = F.lit(pattern)
-    hits = F.regexp_extract_all(text, p, F.lit(0))
-    gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.greatest(F.size(hits), F.lit(0))), lambda g: F.length(g))
-    # Each step keeps the running end and the starts so far.
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,hit:string>>").alias("out"))
-    step = lambda acc, e: F.struct(
-        (acc["at"] + e["gap"] + F.length(e["hit"])).alias("at"),
-        F.concat(acc["out"], F.array(F.struct((acc["at"] + e["gap"]).alias("start"), e["hit"].alias("hit")))).alias("out"),
-    )
-    return F.aggregate(F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit"))), zero, step)["out"]
-
-
 _NONE = "array<struct<start:int,kind:int,end:int,hash:string>>"
 
 
-def _spans(text: Column, pattern: str, kind: int, value=lambda hit: hit, keep=None) -> Column:
-    """Spans of one pattern with the hash of each value; texts without a match skip the work."""
-    found = located(text, pattern)
+def _spans(text: Column, pattern: str, kind: int, groups: int = 0, keep=None) -> Column:
+    """Spans of one pattern over an unmarked text, with the hash of each match's last group, or of the whole match without groups."""
+    found = located(text, pattern, groups)
     if keep is not None:
         found = F.filter(found, keep)
-    out = F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), (m["start"] + F.length(m["hit"])).alias("end"), F.sha2(value(m["hit"]).cast("binary"), 256).alias("hash")))
-    return F.when(text.rlike(pattern), out).otherwise(F.array().cast(_NONE))
+    whole, value = (lambda m: m["parts"][groups]), (lambda m: m["parts"][max(groups - 1, 0)])
+    return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), (m["start"] + F.length(whole(m))).alias("end"), F.sha2(value(m).cast("binary"), 256).alias("hash")))
 
 
 KINDS = ("assign", "access", "hex", "token")
@@ -64,10 +47,9 @@ def joined(spans: Column) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """Spans of the base patterns by start, then kind, with the hash of the value that each holds."""
-    value = lambda hit: F.regexp_extract(hit, ASSIGN, 2)
-    long_value = lambda m: F.length(value(m["hit"])) >= 8
-    return F.array_sort(F.concat(_spans(text, ASSIGN, 0, value, long_value), _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
+    """Spans of the base patterns in an unmarked text by start, then kind, with the hash of the value that each holds."""
+    long_value = lambda m: F.length(m["parts"][1]) >= 8
+    return F.array_sort(F.concat(_spans(text, ASSIGN, 0, 2, long_value), _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -94,10 +76,10 @@ def scan(docs: DataFrame, *, carry: tuple[str, ...] = ("doc_id",), text: str = "
     carried columns are small enough to keep with the spans; otherwise the
     texts are scanned again rather than stored.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = unmarked(F.coalesce(F.col(text), F.lit("")))
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     src = docs.select(*[F.col(c).alias(f"carry_{c}") for c in carry], name(repo).alias("repo"), name(owner).alias("owner"), body.alias("body"))
-    looks = lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Z]") & m["hit"].rlike("[a-z]")
+    looks = lambda m: m["parts"][0].rlike("[0-9]") & m["parts"][0].rlike("[A-Z]") & m["parts"][0].rlike("[a-z]")
     kept = [f"carry_{c}" for c in carry] + ["repo", "owner"]
     rows = src.select(*kept, base_spans(F.col("body")).alias("base"), _spans(F.col("body"), CANDIDATE, 3, keep=looks).alias("more"))
     free = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
