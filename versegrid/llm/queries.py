@@ -72,6 +72,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_secret_ownership": secrets.SCAN_SQL,
         "op3_suffix_dedup": suffix.DIGEST_SQL,
         "op4_mix_sources": mixing.MIX_SQL,
         "op5_embedding_neardup": vectors.LINK_SQL,

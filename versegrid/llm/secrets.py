@@ -122,3 +122,37 @@ def redact(text: Column, spans: Column) -> Column:
     ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
     done = F.aggregate(F.array_sort(spans), zero, step)
     return F.when(F.size(spans) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def _placed_sql(name: str, pattern: str, kind: int, value: str, keep: str) -> str:
+    """Matches of one pattern with their places: texts are cut at the matches, and lengths are summed up."""
+    p = pattern.replace("'", "''")
+    return f"""{name} AS (
+  SELECT doc, {kind} AS kind, place AS start, place + length(hit) AS stop, hit, {value.format(p=p)} AS value FROM (
+    SELECT doc, hit, CAST(sum(length(gap) + length(coalesce(hit, ''))) OVER (PARTITION BY doc ORDER BY i) - length(coalesce(hit, '')) AS BIGINT) AS place FROM (
+      SELECT doc, unnest(regexp_extract_all(body, '{p}')) AS hit, unnest(gaps) AS gap, generate_subscripts(gaps, 1) AS i FROM (
+        SELECT doc, body, string_split(regexp_replace(body, '{p}', chr(1), 'g'), chr(1)) AS gaps FROM docs WHERE regexp_matches(body, '{p}'))))
+  WHERE hit IS NOT NULL AND {keep})"""
+
+
+_ASSIGN_SQL = ASSIGN.replace("((?i)password|passwd|secret|token|api_?key)", "(?i:password|passwd|secret|token|api_?key)")
+SCAN_SQL = (
+    "WITH docs AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(source, '') AS owner, regexp_replace(coalesce(text, ''), '[\\x01-\\x03]', chr(4), 'g') AS body FROM documents),\n"
+    + ",\n".join([
+        _placed_sql("assigned", _ASSIGN_SQL, 0, "regexp_extract(hit, '{p}', 1)", "length(value) >= 8"), _placed_sql("access", ACCESS, 1, "hit", "TRUE"), _placed_sql("hexed", HEX, 2, "hit", "TRUE"),
+        _placed_sql("runs", CANDIDATE, 3, "hit", "regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')"),
+    ])
+    + f""", base AS (SELECT * FROM assigned UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hexed),
+found AS (SELECT * FROM base UNION ALL SELECT * FROM runs r WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc = r.doc AND b.start < r.stop AND r.start < b.stop)),
+owned AS (SELECT value, count(DISTINCT owner) AS owners FROM found JOIN docs USING (doc) GROUP BY value),
+told AS (
+  SELECT doc, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(n || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+    string_agg(n || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3 OR owners <= {MOST_OWNERS}) AS spans,
+    count(*) FILTER (owners <= {MOST_OWNERS}) AS n_live, count(*) FILTER (owners > {MOST_OWNERS}) AS n_examples
+  FROM (SELECT *, (['assign', 'access', 'hex', 'token'])[kind + 1] AS n FROM found JOIN owned USING (value)) GROUP BY doc
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_examples, 0) AS n_examples
+FROM docs LEFT JOIN told USING (doc)"""
+)
