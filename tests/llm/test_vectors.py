@@ -81,3 +81,18 @@ def test_stated_miss_holds_in_large_plans():
         bits, tables = vectors.plan(rows, d)
         missed = (vectors.bucket_keys(x, bits, tables) != vectors.bucket_keys(y, bits, tables)).all(axis=1).mean()
         assert missed < 2 * vectors.MISS
+
+
+def test_packed_codes_leave_every_link_open():
+    rng = np.random.default_rng(5)
+    for d in (2, 3, 17, 64, 100):
+        x = rng.standard_normal((4000, d))
+        y = x + rng.standard_normal((4000, d)) * 0.25 * np.linalg.norm(x, axis=1, keepdims=True) / np.sqrt(d)
+        x, y = (a / np.linalg.norm(a, axis=1, keepdims=True) for a in (x, y))
+        cosine = (x * y).sum(axis=1)
+        near = np.flatnonzero(cosine >= vectors.THRESHOLD)
+        a, b = (vectors.unpack(vectors.pack(*vectors.encode(z[near])), d) for z in (x, y))
+        opened = np.concatenate([vectors.may_reach(tuple(c[i : i + 500] for c in a), tuple(c[i : i + 500] for c in b), vectors.THRESHOLD).diagonal() for i in range(0, len(near), 500)])
+        assert len(near) > 50 and opened.mean() > 0.999
+    # Most pairs that are far apart aren't fetched.
+    assert vectors.may_reach(tuple(c[:400] for c in a), tuple(c[:400] for c in a), vectors.THRESHOLD).mean() < 0.05

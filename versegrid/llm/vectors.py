@@ -3,7 +3,9 @@
 Vectors are normalised and rotated at random; the signs are a vector's code,
 stored with its correction factor <code, vector>. From a code, its factor and
 another vector in full, the inner product has an unbiased estimate with a
-confidence bound, and only pairs whose upper bound reaches the threshold are
+confidence bound. A vector travels as its code, factor and rotated form in
+eight bits; bounds over these tell which vectors of a bucket have a pair that
+may reach the threshold, and only these are fetched in full to have such pairs
 recomputed in double precision. Buckets over the signs of random planes, in as
 many tables as the wanted recall takes, bring the pairs together. Each table
 has planes of its own, so its misses are independent of the others'.
@@ -62,33 +64,101 @@ def upper_bounds(codes: np.ndarray, factors: np.ndarray, queries: np.ndarray, si
     return estimate + sigmas * error
 
 
+def pack(y: np.ndarray, code: np.ndarray, factors: np.ndarray) -> list[bytes]:
+    """Of each vector: factor and step (float32), the code's bits, and the rotated vector in whole steps of one byte."""
+    step = np.maximum(np.abs(y).max(axis=1), 1e-30) / 127
+    head = np.stack((factors, step), axis=1).astype("<f4").view(np.uint8)
+    rows = np.concatenate((head, np.packbits(code > 0, axis=1), np.rint(y / step[:, None]).astype(np.int8).view(np.uint8)), axis=1)
+    return [r.tobytes() for r in np.ascontiguousarray(rows)]
+
+
+def unpack(blobs: list[bytes], d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, factors, rotated vectors within half a step, steps)."""
+    raw = np.frombuffer(b"".join(blobs), np.uint8).reshape(len(blobs), -1)
+    head = np.ascontiguousarray(raw[:, :8]).view("<f4")
+    bits = -(-d // 8)
+    code = np.unpackbits(raw[:, 8 : 8 + bits], axis=1)[:, :d].astype(np.float32) * 2 - 1
+    steps = head[:, 1]
+    return code, head[:, 0], raw[:, 8 + bits :].view(np.int8).astype(np.float32) * steps[:, None], steps
+
+
+def may_reach(left, right, threshold: float) -> np.ndarray:
+    """Which pairs of packed vectors an upper bound of either direction leaves open; rounding to steps is bounded too."""
+    def bounds(coded, full):
+        code, factor = coded[0], coded[1]
+        d = code.shape[1]
+        rounding = math.sqrt(d) / 2 * full[3][None, :] / np.maximum(factor, 1e-9)[:, None]
+        return upper_bounds(code, factor, full[2]) + rounding
+
+    slack = 1e-4  # of the packed numbers' precision
+    return np.minimum(bounds(left, right), bounds(right, left).T) >= threshold - slack
+
+
 def _matrix(column: pa.Array) -> list[np.ndarray]:
     return [np.array(v, np.float64) for v in column.to_pylist()]
 
 
 def _buckets(threshold: float, miss: float, total: int):
-    """For each vector, its bucket in each table."""
+    """For each vector, its packed code and its bucket in each table."""
 
     def run(batches):
         for batch in batches:
             vecs = _matrix(batch.column(1))
-            ids, keys = [], []
             dims = np.array([len(v) for v in vecs])
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
                 x = np.array([vecs[i] for i in at])
-                scale = np.abs(x).max(axis=1, keepdims=True)
-                x = x / scale
+                x /= np.abs(x).max(axis=1, keepdims=True)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
-                out = bucket_keys(x, *plan(total, int(d), threshold, miss))
-                ids.extend(at.tolist())
-                keys.extend(out.tolist())
-            order = np.argsort(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([ids[i] for i in order], pa.int64())).cast(pa.int64()), pa.array([len(vecs[ids[i]]) for i in order], pa.int32()), pa.array([keys[i] for i in order], pa.list_(pa.int64()))], names=["v", "d", "keys"])
+                keys = bucket_keys(x, *plan(total, int(d), threshold, miss))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)).cast(pa.int64()), pa.array(np.full(len(at), d, np.int32)), pa.array(pack(*encode(x)), pa.binary()), pa.array(list(keys), pa.list_(pa.int64()))], names=["v", "d", "c", "keys"])
+
+    return run
+
+
+def _screen(threshold: float):
+    """Of each block pair's vectors, those that the bounds leave a pair; rows arrive sorted by task."""
+
+    def judge(rows):
+        d, i, j = rows[0][3], rows[0][5], rows[0][6]
+        packed = unpack([r[7] for r in rows], d)
+        block = np.array([r[4] for r in rows])
+        left = np.arange(len(rows)) if i == j else np.flatnonzero(block == i)
+        right = left if i == j else np.flatnonzero(block != i)
+        open_ = np.zeros(len(rows), bool)
+        others = tuple(a[right] for a in packed)
+        for low in range(0, len(left), 512):
+            part = left[low : low + 512]
+            maybe = may_reach(tuple(a[part] for a in packed), others, threshold)
+            if i == j:
+                maybe[np.arange(len(part)), np.arange(low, low + len(part))] = False
+            open_[part] |= maybe.any(axis=1)
+            open_[right] |= maybe.any(axis=0)
+        return [rows[n][:7] for n in np.flatnonzero(open_)]
+
+    def told(rows):
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if n in ("task", "v") else pa.int32()) for c, n in zip(columns, _TASK, strict=True)], names=_TASK)
+
+    def run(batches):
+        now, rows = None, []
+        for batch in batches:
+            out = []
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r[0] != now:
+                    out.extend(judge(rows) if len(rows) > 1 else ())
+                    now, rows = r[0], []
+                rows.append(r)
+            yield told(out)
+        yield told(judge(rows) if len(rows) > 1 else [])
 
     return run
 
 
+#: Columns of a vector's part in a block pair's comparison.
+_TASK = ["task", "t", "v", "d", "mine", "i", "j"]
+
+
 @lru_cache(4)
 def planes(d: int, bits: int, tables: int) -> np.ndarray:
     """d x tables x bits: the normals of each table's planes."""
@@ -176,12 +246,14 @@ def link(vecs: DataFrame, *, key: str = "vec_id", vector: str = "embedding", thr
     live = src.where(fine)
     classes = cut(live.groupBy("x").agg(F.min("vec_id").alias("v"), F.count("*").alias("w")))
     total = classes.count()
-    spread = classes.select("v", "x").mapInArrow(_buckets(threshold, miss, total), "v bigint, d int, keys array<bigint>")
-    placed = spread.select("v", "d", F.posexplode("keys").alias("t", "k"))
+    spread = cut(classes.select("v", "x").mapInArrow(_buckets(threshold, miss, total), "v bigint, d int, c binary, keys array<bigint>"))
+    placed = spread.select("v", "d", "c", F.posexplode("keys").alias("t", "k"))
     sizes = placed.groupBy("d", "t", "k").agg(F.count("*").alias("n")).where("n > 1")
     there = placed.join(sizes, ["d", "t", "k"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("mine", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-    tasks = there.select("v", "d", "t", "k", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
-    work = tasks.withColumn("task", F.xxhash64("d", "t", "k", "i", "j")).join(classes, "v").select("task", "t", "v", "mine", "i", "j", "w", "x")
+    tasks = there.select("v", "d", "c", "t", "k", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
+    tasks = tasks.select(F.xxhash64("d", "t", "k", "i", "j").alias("task"), "t", "v", "d", "mine", "i", "j", "c").repartition("task").sortWithinPartitions("task")
+    opened = tasks.mapInArrow(_screen(threshold), "task bigint, t int, v bigint, d int, mine int, i int, j int")
+    work = opened.join(classes, "v").select("task", "t", "v", "mine", "i", "j", "w", "x")
     found = cut(work.repartition("task").sortWithinPartitions("task").mapInArrow(_compare(threshold, miss, total), "a bigint, b bigint, n bigint"))
     gained = found.where("b is null").groupBy(F.col("a").alias("v")).agg(F.sum("n").alias("gained"))
     joined = components(found.where("b is not null"))
