@@ -1,3 +1,5 @@
+import random
+
 from versegrid.llm import html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header>Site head</header>
@@ -75,3 +77,60 @@ def test_joined_and_broadcast_strings_agree(spark, monkeypatch):
     once = sorted(map(tuple, html.extract(df).collect()))
     monkeypatch.setattr(html, "BROADCAST", -1)
     assert sorted(map(tuple, html.extract(df).collect())) == once and len(once[-1][2]) == 200_000 * 10 - 1 and once[0][2] == "Own words 0 0 0 a b c 0"
+
+
+def _brute(rows, size=6):
+    """Texts of pages by sets of whole strings per host, straight from the definition."""
+    host = lambda u: (u or "").split("://")[-1].split("/")[0].lower()
+    grams = lambda t: {tuple(t.split()[i : i + size]) for i in range(max(1, len(t.split()) - size + 1))}
+    pages = {}
+    for _, u, h in rows:
+        pages.setdefault(host(u), set()).add(tuple(html.blocks(h)))
+    out = []
+    for i, u, h in rows:
+        mine, others = html.blocks(h), [p for p in pages[host(u)] if p]
+        # Pages of equal texts count once.
+        distinct = {"\n".join(t for _, t in p): p for p in others}.values()
+        shares = lambda found, some: sum(any(found(z, t) for z, t in p) for p in some)  # noqa: E731, B023
+        many = {t for z, t in mine if z == html.ARTICLE and (n := shares(lambda y, s, t=t: y == html.ARTICLE and s == t, distinct)) >= 10 and n >= 0.5 * len(distinct)}
+        common = {g for z, t in mine if z != html.ARTICLE for g in grams(t) if shares(lambda y, s, g=g: y != html.ARTICLE and g in grams(s), distinct) >= 3}
+
+        def covered(t):
+            words = t.split()
+            marks = set()
+            for a in range(max(1, len(words) - size + 1)):
+                if tuple(words[a : a + size]) in common:  # noqa: B023
+                    marks |= set(range(a, min(a + size, len(words))))
+            return len(marks) / len(words)
+
+        article = [t for z, t in mine if z == html.ARTICLE and t not in many] or [t for z, t in mine if z == html.ARTICLE]
+        main = [t for z, t in mine if z == html.MAIN and covered(t) < 0.8]
+        other = [t for z, t in mine if z == html.OTHER]
+        if article and any(z == html.MAIN for z, _ in mine) and sum(len(t.split()) for t in main) > sum(len(t.split()) for t in article):
+            keep = {*article, *main}
+            text = [t for z, t in mine if z in (html.ARTICLE, html.MAIN) and t in keep]
+        elif article:
+            text = [t for z, t in mine if z == html.ARTICLE and t in article]
+        elif any(z == html.MAIN for z, _ in mine):
+            text = main or [t for z, t in mine if z == html.MAIN]
+        else:
+            text = [t for t in other if covered(t) < 0.8] or other
+        out.append((i, "\n".join(text)))
+    return sorted(out)
+
+
+def test_pages_match_brute_force(spark):
+    rng = random.Random(4)
+    say = lambda n: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(40)) for _ in range(n))
+    shared = [say(rng.randrange(3, 25)) for _ in range(8)]
+    part = lambda: rng.choice([say(rng.randrange(1, 30)), rng.choice(shared), f"{rng.choice(shared)} {say(2)}"])
+    rows = []
+    for i in range(140):
+        blocks = "".join(f"<p>{part()}</p>" for _ in range(rng.randrange(1, 6)))
+        notice = f"<p>{shared[0]}</p>"
+        rows.append((i, f"https://h{i % 4}.example/{i}", rng.choice([f"<article>{notice}{blocks}</article><div>{part()}</div>", f"<main>{notice}{blocks}</main>", f"<main><p>{part()}</p><article>{blocks}</article></main>", f"<div>{shared[1]}</div>{blocks}<footer>{part()}</footer>"])))
+    rows += [(500, *rows[1][1:]), (501, rows[1][1], None), (502, None, rows[3][2])]
+    got = html.digest(html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))).collect()
+    want = _brute(rows)
+    assert sorted((r.page_id, r.text) for r in got) == want and all(r.n_chars == len(r.text) for r in got)
+    assert sum(shared[0] not in t and shared[0] in h for (_, t), (_, _, h) in zip(want, sorted(rows), strict=True) if h) > 10

@@ -1,4 +1,7 @@
+import math
 import random
+import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -63,3 +66,34 @@ def test_no_language_is_left_out(spark):
     assert set(model.languages) == set(sounds)
     got = language.identify(docs, model, carry=("doc_id", "lang")).collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got)
+
+
+def test_predictions_match_brute_force(spark):
+    docs, _ = _docs(spark, 120)
+    model = language.fit(docs)
+
+    def grams(text):
+        low = "".join(c.lower() if c.isascii() else c for c in text).encode()
+        spaced = re.sub(rb"[^a-z\x80-\xff]+", b" ", low)
+        return Counter(spaced[i : i + k] for k in language.GRAMS for i in range(len(spaced) - k + 1))
+
+    def bucket(gram):
+        h = gram[0]
+        for b in gram[1:]:
+            h = (h * 0x01000193 & 0xFFFFFFFF) ^ b
+        return ((h * 0x9E3779B1 + len(gram)) * 0x85EBCA6B & 0xFFFFFFFF) >> 19
+
+    for r in language.identify(docs, model, carry=("doc_id", "text")).collect():
+        weights = {}
+        for gram, n in grams(r.text or "").items():
+            weights[bucket(gram)] = weights.get(bucket(gram), 0) + n
+        weights = {b: math.log1p(n) * float(model.idf[b]) for b, n in weights.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        if not re.search(r"[^\W\d_]", r.text or ""):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        cosines = [sum(w * float(c[b]) for b, w in weights.items()) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert abs(r.score - max(0.0, cosines[best])) < 1e-4
+        if sorted(cosines)[-2] < cosines[best] - 1e-4:
+            assert r.lang_pred == model.languages[best] and (abs(cosines[best] - model.floor[best]) < 1e-4 or r.rejected == (cosines[best] < model.floor[best]))

@@ -6,6 +6,7 @@ from zlib import crc32
 
 import numpy as np
 
+from versegrid.llm import kernels as K
 from versegrid.llm import lm
 
 from .fixtures import documents
@@ -87,3 +88,37 @@ def test_empty_and_untrained(spark):
     only_held = [(d, "a b") for d in range(50) if crc32(str(d).encode()) % 5 == 1]
     got = lm.score(documents(spark, only_held)).collect()
     assert all((r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and r.score == r.base_score for r in got)
+
+
+def test_scores_match_brute_force(spark):
+    rows = _docs(120)
+    docs = documents(spark, rows)
+    counts = lm.word_counts(docs.where(~lm.held_out(docs.doc_id)).select("text"))
+    model = lm.fit(docs, counts)
+    p, t = model.parameters, model.tree
+    train = Counter(x for d, text in rows if crc32(str("" if d is None else d).encode()) % 5 != 1 for x in _tokens(text))
+    hashed = lambda word: lm.END_HASH if word is None else int(np.int64(np.uint64(K.one_word_hash(word)).astype(np.int64)))
+    own = dict(zip(model.words.tolist(), model.numbers.tolist(), strict=True))
+
+    def softmax(scores):
+        e = np.exp(scores - scores.max())
+        return e / e.sum()
+
+    def probability(before, last, word):
+        h = hashed(word)
+        leaf = own.get(h, int(model.buckets[h % len(model.buckets)]))
+        r = p.context[before] * p.places[0] + p.context[last] * p.places[1]
+        g = t.group[leaf]
+        a, b = t.first[g], t.first[g + 1]
+        q = softmax(p.group @ r + p.group_bias)[g] * softmax(p.leaf[a:b] @ r + p.leaf_bias[a:b])[leaf - a]
+        return leaf, q if h in own else q * (train[word] + 0.5) / math.exp(model.bucket_norm[h % len(model.buckets)])
+
+    start = len(p.leaf_bias)
+    got = {(r.doc_id, r.n_tokens): r.score for r in lm.score(docs).collect()}
+    for d, text in rows[:40] + rows[-5:]:
+        before, last, total = start, start, 0.0
+        for word in _tokens(text):
+            leaf, q = probability(before, last, word)
+            total += math.log10(q)
+            before, last = last, leaf
+        assert abs(got[d, len(_tokens(text))] - total) < 1e-3 * max(1, len(_tokens(text)) / 20)
