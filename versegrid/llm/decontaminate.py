@@ -40,8 +40,6 @@ class SuffixAutomaton:
             for word in item:
                 last = self._extend(last, word)
                 ends.append((last, k))
-            if 0 < len(item) < window:
-                self._short = True
         # Items of each state: those of the states below it in the link tree.
         self.items: list[set[int]] = [set() for _ in self.next]
         for state, k in ends:
@@ -185,13 +183,18 @@ def parts(benchmark: DataFrame, key: str = "item_id", text: str = "text", window
     spaces = F.greatest(F.lit(1), F.length("text") / 2)
     total = items.agg(F.coalesce(F.sum(spaces), F.lit(0)).alias("n")).first()["n"]
     count = max(1, -(-int(total) // part_words))
-    out = []
-    for n in range(count):
-        mine = items if count == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == n)
-        rows = [(r.id, item_words(r.text)) for r in mine.toLocalIterator()]
-        rows = [(i, w) for i, w in rows if len(w)]
-        out.append(Part([i for i, _ in rows], [w for _, w in rows], window))
-    return out
+    numbered = items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(count)))
+    if count > 1:
+        # Dealt by part once, so that each part is read when its turn comes.
+        numbered = numbered.repartition("part").sortWithinPartitions("part")
+    held: dict[int, tuple[list, list]] = {}
+    for r in numbered.toLocalIterator():
+        words = item_words(r.text)
+        if len(words):
+            ids, all_words = held.setdefault(r.part, ([], []))
+            ids.append(r.id)
+            all_words.append(words)
+    return [Part(ids, words, window) for ids, words in held.values()] or [Part([], [], window)]
 
 
 _HITS = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("char_from", pa.int32()), ("char_to", pa.int32())]))
