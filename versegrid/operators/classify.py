@@ -5,16 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import header
+from ..functions.scalars import subjects as header_subjects
+
 # The rules in order. A rule is (category, field, test, values); the first that holds decides.
 # Fields: f file name, a author, t title (all lower-case), s subjects, y year.
-_EARLY = "augustine athanasius cassian chrysostom origen jerome ambrose basil gregory cyprian tertullian irenaeus clement eusebius lactantius hilary leo cyril ephrem ignatius polycarp papias dionysius".split()
-_MIDDLE = "eckhart bonaventure bernard anselm matelda aquinas guyon tauler rolle hilton kempe kempis fenelon law".split()
-_REFORMERS = "calvin luther melanchthon zwingli knox tyndale cranmer beza bucer bullinger erasmus".split()
-_PURITANS = "owen baxter bunyan flavel goodwin watson boston manton howe gurnall charnock sibbes allestree mason rutherford mead vincent swinnock love edwards shepard fisher arndt".split()
-_PREACHERS = "spurgeon maclaren moody whyte dods".split()
-_SYSTEMATIC = "berkhof bavinck hodge warfield turretin dabney kuyper forsyth".split()
-_DEFENDERS = "chesterton macdonald kierkegaard plantinga lewis pascal newman sayers coleridge".split()
-_DEVOUT = "murray pink torrey smith gordon havergal underhill fenelon wesley newton moule orr quadrupani steele upham pasko inge oman".split()
+_EARLY = [
+    "augustine", "athanasius", "cassian", "chrysostom", "origen", "jerome", "ambrose", "basil", "gregory", "cyprian", "tertullian", "irenaeus",
+    "clement", "eusebius", "lactantius", "hilary", "leo", "cyril", "ephrem", "ignatius", "polycarp", "papias", "dionysius",
+]
+_MIDDLE = [
+    "eckhart", "bonaventure", "bernard", "anselm", "matelda", "aquinas", "guyon", "tauler", "rolle", "hilton", "kempe", "kempis", "fenelon", "law",
+]
+_REFORMERS = [
+    "calvin", "luther", "melanchthon", "zwingli", "knox", "tyndale", "cranmer", "beza", "bucer", "bullinger", "erasmus",
+]
+_PURITANS = [
+    "owen", "baxter", "bunyan", "flavel", "goodwin", "watson", "boston", "manton", "howe", "gurnall", "charnock", "sibbes", "allestree", "mason",
+    "rutherford", "mead", "vincent", "swinnock", "love", "edwards", "shepard", "fisher", "arndt",
+]
+_PREACHERS = [
+    "spurgeon", "maclaren", "moody", "whyte", "dods",
+]
+_SYSTEMATIC = [
+    "berkhof", "bavinck", "hodge", "warfield", "turretin", "dabney", "kuyper", "forsyth",
+]
+_DEFENDERS = [
+    "chesterton", "macdonald", "kierkegaard", "plantinga", "lewis", "pascal", "newman", "sayers", "coleridge",
+]
+_DEVOUT = [
+    "murray", "pink", "torrey", "smith", "gordon", "havergal", "underhill", "fenelon", "wesley", "newton", "moule", "orr", "quadrupani", "steele",
+    "upham", "pasko", "inge", "oman",
+]
 RULES: tuple[tuple[str, str, str, list[str]], ...] = (
     ("Patristics", "f", "has", ["anf", "npnf"]),
     ("Biblical Commentary", "f", "has", ["expositor", "commentary"]),
@@ -86,6 +108,13 @@ def category(filename: Column, author: Column, title: Column, year: Column, subj
     return out.otherwise(OTHER)
 
 
+def subjects_of(texts: DataFrame, archived: DataFrame | None = None) -> DataFrame:
+    """(filename, subjects) from the headers of (filename, text); a work whose text isn't there has its archived text's."""
+    if archived is not None:
+        texts = texts.select("filename", "text").unionByName(archived.join(texts.select("filename"), "filename", "left_anti").select("filename", "text"))
+    return texts.select("filename", header_subjects(header(F.col("text"))).alias("subjects"))
+
+
 def categorise(works: DataFrame, subjects: DataFrame | None = None) -> DataFrame:
     """``works`` with their category; subjects by filename where they are known."""
     if subjects is None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.canon import int_to_roman, is_roman, roman_to_int
 from ..functions.registry import register
-from ..operators import explore, rollups, store, windows
+from ..operators import classify, explore, rollups, store, windows
 from ..sources import texts
 from .catalog import _CATEGORY, _COUNTED, _IN, _JOINED, _LABEL, CHOSEN, query
 from .synth import _ONES, _TENS, Views
@@ -255,3 +255,69 @@ def citations_by_sql(v: Views) -> DataFrame:
     register(v.spark)
     v.citation_texts.createOrReplaceTempView("citation_texts_")
     return v.spark.sql("SELECT id.*, c.book_slug, c.chapter, c.verse_start, c.verse_end, c.citation_offset FROM citation_texts_, LATERAL extract_citations(text) c")
+
+
+# --- Every rule of the classifier ------------------------------------------------------------------------------------
+
+
+def _cases() -> list[tuple]:
+    """(id, filename, author, title, year, subject): each value of each rule in its field, others neutral, and mixtures of neighbours."""
+    out = []
+    for _, field, test, values in classify.RULES:
+        for v in values:
+            said = {"like": f"exposition of {v[-3:]}", "saint": f"Of St. Xy of {v}", "below": None, "between": None}.get(test, f"Q {v.upper()} q")
+            year = int(v) - 1 if test == "below" else int(v) if test == "between" else None
+            out.append((f"{v if field == 'f' else 'x'}.txt", said if field == "a" else None, said if field == "t" else None, year, v if field == "s" else None))
+    mixed = [(a[0], b[1] or a[1], a[2] or b[2], b[3] or 1700, a[4]) for a, b in zip(out, out[7:] + out[:7], strict=True)]
+    return [(i, *r) for i, r in enumerate(out + mixed)]
+
+
+def _rules_sql() -> str:
+    quoted = lambda v: "'" + v.replace("'", "''") + "'"
+    column = {"f": "lower(filename)", "a": "lower(coalesce(author, ''))", "t": "lower(coalesce(title, ''))"}
+    cases = []
+    for name, field, test, values in classify.RULES:
+        if test == "in":
+            holds = f"coalesce(subject IN ({', '.join(map(quoted, values))}), FALSE)"
+        elif test in ("below", "between"):
+            holds = f"coalesce(year < {values[0]}, FALSE)" if test == "below" else f"coalesce(year BETWEEN {values[0]} AND {values[1]}, FALSE)"
+        elif test == "like":
+            holds = " OR ".join(f"regexp_matches({column[field]}, {quoted(v)})" for v in values)
+        else:
+            holds = " OR ".join(f"contains({column[field]}, {quoted(v)})" for v in values)
+            if test == "saint":
+                holds = f"({holds}) AND regexp_matches({column[field]}, '\\bst\\.?\\s+\\w+ of \\w+')"
+        cases.append(f"WHEN {holds} THEN {quoted(name)}")
+    null = lambda v: "NULL" if v is None else quoted(v) if isinstance(v, str) else str(v)
+    rows = ", ".join("(" + ", ".join(map(null, r)) + ")" for r in _cases())
+    return f"SELECT id, CASE {' '.join(cases)} ELSE 'Other' END AS category FROM (VALUES {rows}) t(id, filename, author, title, year, subject)"
+
+
+@query(_rules_sql())
+def classify_every_rule(v: Views) -> DataFrame:
+    """Each rule by each of its values, alone and beside others'."""
+    rows = v.spark.createDataFrame(_cases(), "id int, filename string, author string, title string, year int, subject string")
+    subjects = F.when(F.col("subject").isNotNull(), F.array("subject"))
+    return rows.select("id", classify.category(F.col("filename"), F.col("author"), F.col("title"), F.col("year"), subjects).alias("category"))
+
+
+@query("SELECT filename, CASE WHEN id % 3 = 0 THEN 'history' WHEN id % 3 = 1 THEN 'early,mysticism' ELSE '' END AS subjects FROM works")
+def subjects_with_archive(v: Views) -> DataFrame:
+    """Subjects of works from their texts, of every third from the archive, where others' older texts are passed over."""
+    rule = F.lit("_" * 10 + "\n")
+    text = lambda said: F.concat(F.lit("x\n"), rule, F.lit(" Title: T\n"), said, rule, F.lit("body\n"))
+    there = v.works.where("id % 3 <> 0").select("filename", text(F.when(F.col("id") % 3 == 1, F.lit("CCEL Subjects: Early; Mysticism; early\n")).otherwise(F.lit(""))).alias("text"))
+    archived = v.works.where("id % 3 <> 1").select("filename", text(F.lit("ccel subjects: History;\n")).alias("text"))
+    return classify.subjects_of(there, archived).select("filename", F.array_join("subjects", ",").alias("subjects"))
+
+
+@query("SELECT id, CASE id % 7 WHEN 0 THEN 'F' || id || ' L' || id WHEN 1 THEN 'L' || id WHEN 2 THEN 'L' || id WHEN 3 THEN 'Anonymous' WHEN 4 THEN 'F' || id || ' L' || id WHEN 5 THEN 'St. L' || id END AS author FROM works")
+def creators(v: Views) -> DataFrame:
+    """Names in the shapes that headers have them in: honorifics, roles, dates, anonyms, one part, none."""
+    n = F.col("id").cast("string")
+    shapes = [("L", ", Rev. F", " (1600-1650)"), ("L", "", " (fl. 900)"), ("L", ", Archbishop of X", ""), ("Anon. ", "", ""), ("L", ", Saint, F", " "), ("L", ", St. (d. 3)", None)]
+    made = F.lit(None).cast("string")
+    for i, (first, second, end) in enumerate(shapes):
+        parts = [F.lit(first), n, F.lit(second)] + ([] if end is None or not second or "of" in second else [n]) + [F.lit(end or "")]
+        made = F.when(F.col("id") % 7 == i, F.concat(*parts)).otherwise(made)
+    return v.works.select("id", S.creator(made).alias("author"))
