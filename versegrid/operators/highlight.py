@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.canon import int_to_roman
-from ..functions.scalars import escaped, once, strip
+from ..functions.scalars import escaped, once, strip, unmarked
 
 # Fixed patterns: a sentence starts behind a stop that a capital, quote or bracket follows, or behind a blank line;
 # it ends with such a stop, closing quotes apart, with the text's last stop, or with a blank line.
@@ -23,22 +23,27 @@ def _reference(chapter: Column, verse_key: Column) -> Column:
 
 def highlight_passage(text: Column, chapter: Column, verse_key: Column) -> Column:
     """Escaped text with the sentence around the first ``chapter . verse`` in a mark; unmarked where there is none."""
-    regex = _reference(chapter, verse_key)
-    found = F.struct(F.split(text, regex, 2)[0].alias("before"), F.regexp_substr(text, regex).alias("hit"))
+    plain = escaped(text)
 
-    def marked(m: Column) -> Column:
-        before, hit = m["before"], m["hit"]
+    def marked(pieces: Column) -> Column:
+        # The pieces tell lengths alone; the text itself is cut, whatever characters it has.
+        before, hit = F.left(text, F.length(pieces[0])), F.substring(text, F.length(pieces[0]) + 1, F.length(pieces[1]))
         # A start can only be told with the character that follows it, the hit's first at the latest.
         start = F.length(F.regexp_extract(F.concat(before, F.left(hit, F.lit(1))), _UPTO_START, 1))
-        after = F.substring(text, F.length(before) + F.length(hit) + 1, F.length(text))
+        after = F.substring(text, F.length(pieces[0]) + F.length(pieces[1]) + 1, F.length(text))
 
         def put(x: Column) -> Column:
-            lead = F.substring(before, x["start"] + 1, F.length(before))
+            lead = F.substring(x["before"], x["start"] + 1, F.length(x["before"]))
             skipped = x["start"] + F.length(lead) - F.length(F.ltrim(lead))
             size = F.when(x["told"] != "", F.length(x["told"])).otherwise(F.length(x["after"]))
-            inside = F.concat(F.substring(before, skipped + 1, F.length(before)), hit, F.left(x["after"], size))
-            return F.concat(escaped(F.left(before, skipped)), F.lit("<mark>"), escaped(inside), F.lit("</mark>"), escaped(F.substring(x["after"], size + 1, F.length(x["after"]))))
+            inside = F.concat(F.substring(x["before"], skipped + 1, F.length(x["before"])), x["hit"], F.left(x["after"], size))
+            return F.concat(escaped(F.left(x["before"], skipped)), F.lit("<mark>"), escaped(inside), F.lit("</mark>"), escaped(F.substring(x["after"], size + 1, F.length(x["after"]))))
 
-        return once(F.struct(start.alias("start"), after.alias("after"), F.regexp_extract(after, _UPTO_END, 1).alias("told")), put)
+        return once(F.struct(before.alias("before"), hit.alias("hit"), start.alias("start"), after.alias("after"), F.regexp_extract(after, _UPTO_END, 1).alias("told")), put)
 
-    return F.when(F.coalesce(F.rlike(text, regex), F.lit(False)), once(found, marked)).otherwise(escaped(F.coalesce(text, F.lit(""))))
+    def found(regex: Column) -> Column:
+        # One pass of the row's own pattern; the first two marks stand around the first match.
+        pieces = F.split(F.regexp_replace(unmarked(text), regex, F.lit("\u0001$0\u0001")), "\u0001", 3)
+        return once(pieces, lambda p: F.when(F.size(p) > 1, marked(p)))
+
+    return F.coalesce(once(_reference(chapter, verse_key), found), plain)

@@ -410,6 +410,8 @@ def _passage_works(v: Views) -> DataFrame:
     first = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"), F.sum("n").over(Window.partitionBy()).alias("documents"))
     place = F.row_number().over(Window.partitionBy("part").orderBy("doc_id", "text")) - 1
     placed = docs.withColumn("place", place).join(F.broadcast(first), "part").withColumn("slot", F.col("first") + F.col("place"))
+    # The join's own dealing, by a number that isn't cut down where the texts are small: reading them is the work.
+    placed = placed.repartition(int(v.spark.conf.get("spark.sql.shuffle.partitions")), "slot")
     known = v.citation_texts.crossJoin(F.broadcast(sizes.agg(F.sum("n").alias("documents"))))
     said = known.groupBy(F.pmod(F.xxhash64("id"), F.col("documents")).alias("slot")).agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda x: x["text"]).alias("said"))
     rows = placed.join(said, "slot", "left").withColumn("parts", F.split("text", "\n", -1)).withColumn("said", F.coalesce("said", F.array().cast("array<string>")))
