@@ -56,6 +56,7 @@ def test_components_match_brute_force(spark):
 def test_large_nodes_blocks_and_long_texts(spark, monkeypatch):
     monkeypatch.setattr(neardup, "SMALL", 4)
     monkeypatch.setattr(neardup, "BLOCK_DOCS", 3)
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", 5)
     rows = _corpus(2, families=4, copies=20) + [(80000 + i, " ".join(f"x{j}" for j in range(30_000)) + f" end{i}") for i in range(3)]
     got = sorted(tuple(r)[:3] for r in neardup.link(documents(spark, rows)).collect())
     assert got == brute(rows)

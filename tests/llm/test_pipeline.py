@@ -4,7 +4,9 @@ import random
 import re
 
 import corpus_pipeline
-from versegrid.llm import language, secrets
+import pytest
+
+from versegrid.llm import language, neardup, secrets
 
 from .test_decontaminate import _words
 from .test_language import _text
@@ -104,7 +106,9 @@ def test_near_copies_from_080_go(spark, tmp_path):
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-def test_near_copies_go_by_row(spark, tmp_path):
+@pytest.mark.parametrize("most", [neardup.BROADCAST_IDS, 2])
+def test_near_copies_go_by_row(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", most)
     rng = random.Random(11)
     say = lambda n=60: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
     t, other, u, lone = say(), say(), say(), say()

@@ -35,6 +35,8 @@ SMALL = 64
 MARGIN = 4.0
 #: Documents and shingles of a block in the exact comparison.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 4_000_000
+#: Ids up to which they are broadcast to the texts; more of them meet the texts in a shuffle.
+BROADCAST_IDS = 500_000
 
 
 def tree_count(threshold: int = THRESHOLD, miss: float = MISS) -> int:
@@ -169,7 +171,19 @@ def exact_links(h: np.ndarray, offsets: np.ndarray, threshold: int) -> list[tupl
     return [(a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True) if forest.join(a, b)]
 
 
-def _confirm(threshold: int, k: int):
+def hub_links(h: np.ndarray, offsets: np.ndarray, threshold: int, hub: int) -> list[tuple[int, int]]:
+    """Links of one set of a block with the others, from full sets."""
+    sizes = np.diff(offsets)
+    mine = h[offsets[hub] : offsets[hub + 1]]
+    at = np.minimum(np.searchsorted(mine, h), len(mine) - 1)
+    both = np.bincount(np.repeat(np.arange(len(sizes)), sizes), mine[at] == h, len(sizes)).astype(np.int64)
+    near = (100 * both >= threshold * (sizes + len(mine) - both)) & (both > 0)
+    return [(min(x, hub), max(x, hub)) for x in np.flatnonzero(near).tolist() if x != hub]
+
+
+def _confirm(threshold: int, k: int, hubs: bool = False):
+    """Links within each task's documents; with ``hubs`` those of the document that the task's rows name as theirs."""
+
     def links(rows):
         parts, ends, docs = [], [0], []
         names = [r[0] for r in rows]
@@ -181,7 +195,11 @@ def _confirm(threshold: int, k: int):
                     docs.append(names[a + r])
                     parts.append(h[offsets[r] : offsets[r + 1]])
                     ends.append(ends[-1] + len(parts[-1]))
-        return [(docs[a], docs[b]) for a, b in exact_links(np.concatenate(parts), np.array(ends), threshold)] if len(docs) > 1 else []
+        if len(docs) < 2:
+            return []
+        h, ends = np.concatenate(parts), np.array(ends)
+        found = hub_links(h, ends, threshold, docs.index(rows[0][2])) if hubs else exact_links(h, ends, threshold)
+        return [(docs[a], docs[b]) for a, b in found]
 
     def batch_of(pairs):
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([x for _, x in pairs], pa.int64())], names=["a", "b"])
@@ -190,11 +208,11 @@ def _confirm(threshold: int, k: int):
         now, rows = None, []
         for batch in batches:
             out = []
-            for key, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for key, doc, text, hub in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if key != now:
                     out.extend(links(rows) if len(rows) > 1 else ())
                     now, rows = key, []
-                rows.append((doc, text))
+                rows.append((doc, text, hub))
             yield batch_of(out)
         yield batch_of(links(rows) if len(rows) > 1 else [])
 
@@ -229,6 +247,51 @@ def candidates(reps: DataFrame, threshold: int, trees: int) -> DataFrame:
     return pairs.unionByName(links[0]).distinct()
 
 
+def _blocked(sized: DataFrame) -> DataFrame:
+    """v, rep, label, blocks, mine: the documents of each label dealt to blocks of bounded size."""
+    blocks = sized.groupBy("label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total")).select(
+        "label", F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    return sized.join(blocks, "label").select("v", "rep", "label", "n_shingles", "blocks", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("mine"))
+
+
+def _confirmed(sized: DataFrame, texts: DataFrame, threshold: int, k: int) -> DataFrame:
+    """Links (a, b) within coarse components that span what full sets connect.
+
+    A component of one block is compared as a whole. In a larger one all
+    documents are compared with its least first; those that it links are
+    connected already, so that only pairs with one of the rest are left: in
+    a group of copies of one text these are few, and the work grows with the
+    group and not with its square.
+    """
+    none = F.lit(None).cast("bigint").alias("hub")
+
+    def compared(tasks: DataFrame, hubs: bool = False) -> DataFrame:
+        work = tasks.join(texts, F.col("rep") == F.col("doc_id")).select("task", "v", "text", "hub").repartition("task").sortWithinPartitions("task", "v")
+        return work.mapInArrow(_confirm(threshold, k, hubs), "a bigint, b bigint")
+
+    placed = cut(_blocked(sized))
+    whole = placed.where("blocks = 1").select("v", "rep", F.xxhash64("label").alias("task"), none)
+    large = placed.where("blocks > 1")
+    hub = F.col("label").alias("hub")
+    others = large.where("v <> label").select("v", "rep", F.xxhash64("label", "mine").alias("task"), hub)
+    first = large.where("v = label").select("v", "rep", "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("mine")).select("v", "rep", F.xxhash64("label", "mine").alias("task"), hub)
+    starred = cut(compared(others.unionByName(first), hubs=True))
+    joined = starred.select(F.explode(F.array("a", "b")).alias("v")).distinct().withColumn("near", F.lit(True))
+    told = large.select("v", "rep", "label", "n_shingles").join(joined, "v", "left").withColumn("near", F.coalesce("near", F.lit(False)))
+    # The hub counts as joined to itself.
+    told = cut(told.withColumn("near", F.col("near") | (F.col("v") == F.col("label"))))
+    rest = _blocked(told.where("not near").select("v", "rep", "label", "n_shingles"))
+    sizes = rest.select("label", "blocks").distinct()
+    near = _blocked(told.where("near").select("v", "rep", "label", "n_shingles")).join(sizes.withColumnRenamed("blocks", "rests"), "label")
+    nears = near.select("label", F.col("blocks").alias("nears")).distinct()
+    range_ = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    own = rest.select("v", "rep", "label", "mine", F.explode(range_("blocks")).alias("other")).select("v", "rep", F.xxhash64("label", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), none)
+    across = rest.join(nears, "label").select("v", "rep", "label", "mine", F.explode(range_("nears")).alias("other")).select("v", "rep", F.xxhash64("label", "mine", "other", F.lit("near")).alias("task"), none)
+    met = near.select("v", "rep", "label", "mine", F.explode(range_("rests")).alias("other")).select("v", "rep", F.xxhash64("label", "other", "mine", F.lit("near")).alias("task"), none)
+    return compared(whole.unionByName(own).unionByName(across).unionByName(met)).unionByName(starred)
+
+
 def grouped(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, threshold: int = THRESHOLD, miss: float = MISS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, same (the text's hash), n_shingles, label (the group's; null without one), component.
 
@@ -243,17 +306,12 @@ def grouped(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int
     live = rows.where("n_shingles > 0 and doc_id is not null")
     reps = cut(live.groupBy("v").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "sig"), "doc_id").alias("s")).select("v", "rep", "s.*"))
     coarse = components(candidates(reps, threshold, tree_count(threshold, miss)))
-    sized = coarse.join(reps.select("v", "rep", "n_shingles"), "v")
-    blocks = sized.groupBy("label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total")).select(
-        "label", F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    )
-    placed = sized.join(blocks, "label").select("v", "rep", "label", "blocks", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("mine"))
-    tasks = placed.select("v", "rep", "label", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    tasks = tasks.select("v", "rep", F.xxhash64("label", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"))
-    # Rows that repeat an id bring several texts here; the confirmation takes the one whose set is the class's.
-    texts = src.join(placed.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id", "same"])
-    work = tasks.join(texts, F.col("rep") == F.col("doc_id")).select("task", "v", "text").repartition("task").sortWithinPartitions("task", "v")
-    found = components(work.mapInArrow(_confirm(threshold, k), "a bigint, b bigint"))
+    # Rows that repeat an id bring several texts; the confirmation takes the one whose set is the class's.
+    sized = cut(coarse.join(reps.select("v", "rep", "n_shingles"), "v"))
+    wanted = sized.select("rep")
+    wanted = F.broadcast(wanted) if sized.count() <= BROADCAST_IDS else wanted
+    texts = cut(src.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id", "same"]))
+    found = components(cut(_confirmed(sized, texts, threshold, k)))
     groups = cut(reps.join(found, "v", "left").select("v", "rep", F.coalesce("label", "v").alias("label")))
     least = groups.groupBy("label").agg(F.min("rep").alias("component"))
     names_of = groups.join(least, "label").select("v", "label", "component")
@@ -283,11 +341,17 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **o
     # Rows without an id are told apart by their texts, behind all ids that are in use.
     id_ = F.coalesce(F.col(key).cast("bigint"), F.lit(1 << 62) + F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(1 << 61)))
     keyed = docs.withColumn("id_", id_).withColumn("same_", F.xxhash64(F.col(text).cast("string")))
-    rows = grouped(keyed, key="id_", text=text, **options).select(F.col("doc_id").alias("id_"), F.col("same").alias("same_"), "label")
+    rows = cut(grouped(keyed, key="id_", text=text, **options).select(F.col("doc_id").alias("id_"), F.col("same").alias("same_"), "label"))
     first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("id_", "same_")).alias("f")).select("f.*")
     kept = first.unionByName(rows.where("label is null").select("id_", "same_")).distinct()
-    # The join and the removal of repeated rows share one dealing by id.
-    return keyed.join(kept, ["id_", "same_"], "left_semi").dropDuplicates(["id_", "same_"]).select(*docs.columns)
+    times = rows.groupBy("id_", "same_").agg((F.count("*") > 1).alias("again_"))
+    kept = cut(times.join(kept, ["id_", "same_"]))
+    if kept.count() > BROADCAST_IDS:
+        # The join and the removal of repeated rows share one dealing by id.
+        return keyed.join(kept, ["id_", "same_"], "left_semi").dropDuplicates(["id_", "same_"]).select(*docs.columns)
+    there = keyed.join(F.broadcast(kept), ["id_", "same_"])
+    # Only rows that repeat are dealt anew.
+    return there.where("not again_").unionByName(there.where("again_").dropDuplicates(["id_", "same_"])).select(*docs.columns)
 
 
 LINK_SQL = r"""
