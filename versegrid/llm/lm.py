@@ -32,7 +32,7 @@ WORDS_ROOT, LEAST_WORDS, BUCKET_SHARE = 8.0, 256, 0.25
 #: Vector length, noise samples of groups and of each group's leaves, and tokens of a step.
 WIDTH, NOISE, LEAF_NOISE, STEP = 24, 24, 6, 8192
 #: Training texts of the start, about, and steps over them at least, in whole passes.
-START_TEXTS, START_STEPS = 1500, 600
+START_TEXTS, START_STEPS = 1500, 300
 #: Frequent words whose counts are broadcast (12 bytes each); the counts of all others meet their texts in a join.
 HEAD = 500_000
 #: Numbers of a part of the parameters, and partial sums of each part, which are averaged apart.
