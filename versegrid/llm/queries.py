@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, language, lm, mixing, neardup, secrets, suffix, vectors
+from . import balls, chat, codes, decontaminate, html, language, lm, mixing, neardup, secrets, suffix, vectors
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balls.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
@@ -67,6 +75,8 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_minhash_neardup": op10_minhash_neardup,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_ball_kmeans": op13_ball_kmeans,
     }
 
 
@@ -79,4 +89,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontaminate": decontaminate.DIGEST_SQL,
         "op9_chat_format": chat.DIGEST_SQL,
         "op10_minhash_neardup": neardup.LINK_SQL,
+        "op12_vector_codes": codes.COMPRESS_SQL,
+        "op13_ball_kmeans": balls.CLUSTER_SQL,
     }
