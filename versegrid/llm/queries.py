@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balls, chat, codes, decontaminate, html, language, lm, mixing, neardup, secrets, suffix, vectors
+from . import balls, chat, codes, decontaminate, html, language, lines, lm, mixing, neardup, secrets, suffix, vectors
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.deduplicate(table(spark, sf_dir, "documents")))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +79,7 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_minhash_neardup": op10_minhash_neardup,
+        "op11_line_dedup": op11_line_dedup,
         "op12_vector_codes": op12_vector_codes,
         "op13_ball_kmeans": op13_ball_kmeans,
     }
@@ -89,6 +94,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontaminate": decontaminate.DIGEST_SQL,
         "op9_chat_format": chat.DIGEST_SQL,
         "op10_minhash_neardup": neardup.LINK_SQL,
+        "op11_line_dedup": lines.DIGEST_SQL,
         "op12_vector_codes": codes.COMPRESS_SQL,
         "op13_ball_kmeans": balls.CLUSTER_SQL,
     }
