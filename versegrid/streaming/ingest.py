@@ -5,36 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.citations import extract
-from ..operators.windows import spans
+from ..operators import windows
+from .runs import Runs
+
+CITED = "filename string, book string, book_slug string, chapter int, verse_start int, verse_end int, citation_offset int, passage_start_offset int, passage_end_offset int"
 
 
 def citations_of(texts: DataFrame) -> DataFrame:
-    """References with passages of (filename, text) rows."""
+    """References with passages of (filename, text) rows; each text is read where it stands."""
     rows = texts.select(F.col("filename").alias("id"), "text")
-    return spans(rows, extract(rows)).withColumnRenamed("id", "filename")
+    return windows.cited(rows).withColumnRenamed("id", "filename")
+
+
+def references(spark: SparkSession, store: str, **options) -> Runs:
+    """The stored references: a log-structured table by filename."""
+    return Runs(spark, store, CITED, **options)
 
 
-def start(spark: SparkSession, source: str, store: str, checkpoint: str):
-    """Watches a folder of parquet files of (filename, text) and stores what each batch holds.
+def take(store: Runs, texts: DataFrame, number: int) -> bool:
+    """Batch ``number`` of texts; a batch that comes again changes nothing.
 
-    The names that a batch brought are stored beside its citations, so that a
-    re-parse without any removes the old ones; a batch that runs again
-    overwrites its own folder.
+    A re-parse without citations removes the file's old ones. Null texts cite
+    nothing; of a name that comes twice in a batch all rows count.
     """
+    return store.append(number, citations_of(texts), texts.select("filename"))
 
-    def batch(rows: DataFrame, number: int) -> None:
-        path = f"{store}/batch={number:09d}"
-        citations_of(rows).write.mode("overwrite").parquet(f"{path}/refs")
-        rows.select("filename").distinct().write.mode("overwrite").parquet(f"{path}/seen")
 
+def start(spark: SparkSession, source: str, store: str, checkpoint: str, **options):
+    """Watches a folder of parquet files of (filename, text) and stores what each batch holds."""
+    table = references(spark, store, **options)
     stream = spark.readStream.schema("filename string, text string").parquet(source)
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(lambda rows, number: take(table, rows, number) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def current(spark: SparkSession, store: str) -> DataFrame:
     """The references of each file's last batch."""
-    refs = spark.read.option("basePath", store).parquet(f"{store}/batch=*/refs")
-    seen = spark.read.option("basePath", store).parquet(f"{store}/batch=*/seen")
-    last = seen.groupBy("filename").agg(F.max("batch").alias("batch"))
-    return refs.join(last, ["filename", "batch"], "left_semi").drop("batch")
+    return references(spark, store).current()
