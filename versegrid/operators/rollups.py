@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.canon import canon
 from ..functions.scalars import or_else, passage_key, verse_label
+from .places import numbered
 
 
 def dimension(refs: DataFrame) -> DataFrame:
@@ -146,11 +147,25 @@ def work_payloads(refs: DataFrame, works: DataFrame) -> DataFrame:
     return meta.join(listed, "id")
 
 
-def index_payload(refs: DataFrame, works: DataFrame) -> DataFrame:
-    """The index: books with chapter counts in canonical order, and all works."""
+def index_books(refs: DataFrame, works: DataFrame) -> DataFrame:
+    """book_order, book_slug, book, chapters, place, chapter, n, by_cat (as JSON): one row a chapter that is cited, in canonical order."""
     totals = in_canon(chapter_totals(chapter_category_counts(refs, works)))
-    chapters = F.array_sort(F.collect_list(F.struct(F.col("chapter").alias("ch"), F.col("n").alias("count"), F.to_json("by_cat").alias("by_cat"))))
-    books = totals.groupBy("book_order", "book_slug", "book", "chapters").agg(chapters.alias("counts"))
+    place = F.row_number().over(Window.partitionBy("book_slug").orderBy("chapter"))
+    return totals.select("book_order", "book_slug", "book", "chapters", place.alias("place"), "chapter", "n", F.to_json("by_cat").alias("by_cat"))
+
+
+def index_works(refs: DataFrame, works: DataFrame) -> DataFrame:
+    """place (from 1, by author, title, id), id, author, title, year, ccel_url, category, ref_count: one row a work that cites.
+
+    The form to write at scale: places come from ranges, and no row or task holds all works.
+    """
+    return numbered(work_counts(refs, works), ["author", "title", "id"])
+
+
+def index_payload(refs: DataFrame, works: DataFrame) -> DataFrame:
+    """:func:`index_books` and :func:`index_works` nested into one row, as a small viewer loads them."""
+    counts = F.array_sort(F.collect_list(F.struct(F.col("chapter").alias("ch"), F.col("n").alias("count"), "by_cat")))
+    books = index_books(refs, works).groupBy("book_order", "book_slug", "book", "chapters").agg(counts.alias("counts"))
     all_books = books.agg(F.array_sort(F.collect_list(F.struct("book_order", "book_slug", "book", "chapters", "counts"))).alias("books"))
     listed = work_counts(refs, works).agg(F.array_sort(F.collect_list(F.struct("author", "title", "id", "year", "ccel_url", "category", "ref_count"))).alias("works"))
     return all_books.crossJoin(listed)

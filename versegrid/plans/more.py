@@ -182,17 +182,14 @@ def work_references(v: Views) -> DataFrame:
 )
 def index_works(v: Views) -> DataFrame:
     """The works of the index in its order."""
-    row = rollups.index_payload(v.refs, v.works).select(F.posexplode("works").alias("at", "w"))
-    return row.select("w.id", "w.author", "w.title", "w.ref_count", (F.col("at") + 1).alias("place"))
+    return rollups.index_works(v.refs, v.works).select("id", "author", "title", "ref_count", F.col("place").cast("int").alias("place"))
 
 
 @query(f"""SELECT book_slug, CAST(row_number() OVER (PARTITION BY book_slug ORDER BY chapter) AS INT) AS place, chapter, n FROM (
   SELECT book_slug, chapter, count(*) AS n FROM {_JOINED} JOIN canon c ON c.slug = book_slug WHERE chapter BETWEEN 1 AND c.chapters GROUP BY ALL)""")
 def index_books(v: Views) -> DataFrame:
     """The chapter counts of the index's books, in its order."""
-    book = rollups.index_payload(v.refs, v.works).select(F.explode("books").alias("b"))
-    row = book.select("b.book_slug", F.posexplode("b.counts").alias("at", "c"))
-    return row.select("book_slug", (F.col("at") + 1).alias("place"), F.col("c.ch").alias("chapter"), F.col("c.count").alias("n"))
+    return rollups.index_books(v.refs, v.works).select("book_slug", "place", "chapter", "n")
 
 
 @query(f"SELECT book_slug, book, chapter, count(*) AS n_refs, sha256(string_agg(coalesce({_LABEL}, '-') || '/' || manuscript_id, ',' ORDER BY coalesce(verse_start, 2147483647), coalesce(author, ''), coalesce(title, ''), coalesce({_LABEL}, ''), manuscript_id)) AS listed FROM {_JOINED} WHERE book_slug = 'romans' GROUP BY ALL")
