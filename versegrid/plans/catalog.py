@@ -443,6 +443,16 @@ def footnote_hop(v: Views) -> DataFrame:
     return windows.cited(rows).select("id.*", "citation_offset", "passage_start_offset", "passage_end_offset")
 
 
+def _wrapped(v: Views) -> DataFrame:
+    """(id, text) of each citation in a sentence of a paragraph of up to 27, between two others."""
+    number = lambda text: lambda i: F.concat(F.lit(text.split("{}")[0]), F.lpad(i.cast("string"), 2, "0"), F.lit(text.split("{}")[1]))
+    many = lambda n, text: F.array_join(F.transform(F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.array().cast("array<int>")), number(text)), "")
+    a, b = F.col("id.l_orderkey") % 15, (F.col("id.l_orderkey") + F.col("id.l_linenumber") * 4) % 13
+    citing = F.concat(F.lit(_CITING.split("{}")[0]), F.col("text"), F.lit(_CITING.split("{}")[1]))
+    body = F.concat(F.lit("Head.\n \n"), many(a, _BEFORE), citing, many(b, _BEHIND), F.lit("\n\nLast part."))
+    return v.citation_texts.select("id", body.alias("text"))
+
+
 #: Sentences before and behind the citing one, which a joined break and a short sentence make harder; all have lengths that SQL can sum.
 _BEFORE, _BEHIND, _CITING = "Words of line {} go. ", " After {} it is.", "Dr. Zzed cites {} here. Ok."
 
@@ -460,12 +470,7 @@ _BEFORE, _BEHIND, _CITING = "Words of line {} go. ", " After {} it is.", "Dr. Zz
 )
 def sentence_windows(v: Views) -> DataFrame:
     """Windows of ten sentences in a paragraph of up to 27, between two others, and their texts."""
-    number = lambda text: lambda i: F.concat(F.lit(text.split("{}")[0]), F.lpad(i.cast("string"), 2, "0"), F.lit(text.split("{}")[1]))
-    many = lambda n, text: F.array_join(F.transform(F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.array().cast("array<int>")), number(text)), "")
-    a, b = F.col("id.l_orderkey") % 15, (F.col("id.l_orderkey") + F.col("id.l_linenumber") * 4) % 13
-    citing = F.concat(F.lit(_CITING.split("{}")[0]), F.col("text"), F.lit(_CITING.split("{}")[1]))
-    body = F.concat(F.lit("Head.\n \n"), many(a, _BEFORE), citing, many(b, _BEHIND), F.lit("\n\nLast part."))
-    rows = v.citation_texts.select("id", body.alias("text"))
+    rows = _wrapped(v)
     found = windows.cited(rows.select(F.struct("id", "text").alias("id"), "text"))
     made = windows.passage_text(F.col("id.text"), F.col("passage_start_offset"), F.col("passage_end_offset"), F.lit("x"))
     return found.select("id.id.*", "citation_offset", "passage_start_offset", "passage_end_offset", made.alias("passage"))
