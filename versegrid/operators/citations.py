@@ -17,7 +17,7 @@ _VERSES = r"\d+(?:\s*[-–]\s*\d+)?(?:\s*,\s*\d+)*"
 _BETWEEN = r"[\s.:]+"
 
 
-def _longest_first(words: list[str]) -> str:
+def letter_tree(words: list[str]) -> str:
     """A pattern of the words that tries longer ones first.
 
     Words that match at one place are prefixes of each other, so a tree of
@@ -44,7 +44,7 @@ def _longest_first(words: list[str]) -> str:
 @lru_cache(maxsize=1)
 def pattern() -> str:
     """The citation pattern: group 1 the book, 2 the chapter, 3 the verses; longest book names first."""
-    book = rf"\b{_PREFIX}{_longest_first(list(abbreviations()))}\.?(?=\W|$)"
+    book = rf"\b{_PREFIX}{letter_tree(list(abbreviations()))}\.?(?=\W|$)"
     return rf"(?iU)({book})(?:{_BETWEEN}({_CHAPTER})(?:{_BETWEEN}({_VERSES}))?)?"
 
 

@@ -1,12 +1,19 @@
-"""First-match-wins classification of works, as one ordered case expression."""
+"""First-match-wins classification of works by one multi-pattern pass over each field.
+
+All fragments of a field form one letter tree, which a single pass tries at
+every place. What it finds is looked up as a set of bits, one for each rule
+that the fragment fulfils; the sets of all fields are united, and the lowest
+bit is the first rule that holds.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import header
+from ..functions.scalars import header, once
 from ..functions.scalars import subjects as header_subjects
+from .citations import letter_tree
 
 # The rules in order. A rule is (category, field, test, values); the first that holds decides.
 # Fields: f file name, a author, t title (all lower-case), s subjects, y year.
@@ -84,28 +91,71 @@ RULES: tuple[tuple[str, str, str, list[str]], ...] = (
 OTHER = "Other"
 
 
+# Fixed patterns: what a title must show as a whole once one of a rule's fragments is in it. A rule of kind "like" has its
+# pattern; its fragment is the words that every match of it holds.
+_SAINT = r"(?U)\bst\.?\s+\w+ of \w+"
+_HELD = {r"^(an? )?exposition of\b": ["exposition of"], r"^(life of|lives of)\b": ["life of", "lives of"]}
+
+
+def fragments(field: str) -> dict[str, int]:
+    """The fragments of a field, each with the bits of the rules that it speaks for."""
+    out: dict[str, int] = {}
+    for rule, (_, where, test, values) in enumerate(RULES):
+        if where == field:
+            for v in [w for x in values for w in _HELD[x]] if test == "like" else values:
+                out[v] = out.get(v, 0) | 1 << rule
+    # The tree tells the longest fragment at a place, which speaks for those that it starts with too.
+    return {w: sum({bit for x, bits in out.items() if w.startswith(x) for bit in _bits(bits)}) for w in out}
+
+
+def _bits(n: int) -> list[int]:
+    return [1 << i for i in range(n.bit_length()) if n >> i & 1]
+
+
+def _united(found: Column, known: dict[str, int]) -> Column:
+    """The union of the bits of an array's values; unknown values have none."""
+    bits = F.create_map(*[F.lit(x).cast(t) for w, n in known.items() for x, t in ((w, "string"), (n, "bigint"))])
+    return F.aggregate(found, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(F.coalesce(F.try_element_at(bits, w), F.lit(0).cast("bigint"))))
+
+
+def told_by(text: Column, field: str) -> Column:
+    """Bits of the rules that a lower-case field speaks for, by one pass over it."""
+    known = fragments(field)
+    # Looked ahead and not consumed, so that fragments may overlap.
+    found = F.regexp_extract_all(text, F.lit(f"(?s)(?=({letter_tree(list(known))}))"), F.lit(1))
+    return _united(found, known)
+
+
+def _checked(bits: Column, text: Column, field: str) -> Column:
+    """``bits`` without those rules whose pattern the field doesn't show; only where a fragment has set one."""
+    for rule, (_, where, test, values) in enumerate(RULES):
+        if where == field and test in ("like", "saint"):
+            shown = text.rlike(_SAINT if test == "saint" else "|".join(values))
+            bits = F.when((bits.bitwiseAND(F.lit(1 << rule)) != 0) & ~shown, bits.bitwiseAND(F.lit(~(1 << rule)))).otherwise(bits)
+    return bits
+
+
 def category(filename: Column, author: Column, title: Column, year: Column, subjects: Column) -> Column:
     """The category by the first rule that holds; null fields hold nothing, and year 0 is no year."""
     low = lambda c: F.coalesce(F.lower(c), F.lit(""))
-    fields = {"f": low(filename), "a": low(author), "t": low(title)}
-    no_subjects = F.array().cast("array<string>")
-    told = F.coalesce(subjects, no_subjects)
-    known_year = F.coalesce(F.nullif(year, F.lit(0)), F.lit(99999))
 
-    def holds(field: str, test: str, values: list[str]) -> Column:
-        if test == "in":
-            return F.arrays_overlap(told, F.array(*[F.lit(v) for v in values]))
-        if test == "below":
-            return known_year < int(values[0])
-        if test == "between":
-            return known_year.between(int(values[0]), int(values[1]))
-        any_of = fields[field].rlike("|".join(values))
-        return any_of & fields[field].rlike(r"(?U)\bst\.?\s+\w+ of \w+") if test == "saint" else any_of
-
-    out = None
-    for name, field, test, values in RULES:
-        out = F.when(holds(field, test, values), name) if out is None else out.when(holds(field, test, values), name)
-    return out.otherwise(OTHER)
+    def of(field: str, value: Column) -> Column:
+        return once(low(value), lambda text: once(told_by(text, field), lambda b: _checked(b, text, field)))
+
+    bits = [of("f", filename), of("a", author), of("t", title)]
+    bits.append(_united(F.coalesce(subjects, F.array().cast("array<string>")), fragments("s")))
+    known_year = F.coalesce(F.nullif(year, F.lit(0)), F.lit(99999))
+    for rule, (_, _, test, values) in enumerate(RULES):
+        if test in ("below", "between"):
+            holds = known_year < int(values[0]) if test == "below" else known_year.between(int(values[0]), int(values[1]))
+            bits.append(F.when(holds, F.lit(1 << rule).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    all_ = bits[0]
+    for b in bits[1:]:
+        all_ = all_.bitwiseOR(b)
+    names = F.array(*[F.lit(r[0]) for r in RULES])
+    # The lowest bit alone is a one and as many zeros as rules come before.
+    first = lambda b: F.element_at(names, F.length(F.bin(b.bitwiseAND(-b))))
+    return once(all_, lambda b: F.when(b == 0, OTHER).otherwise(first(b)))
 
 
 def subjects_of(texts: DataFrame, archived: DataFrame | None = None) -> DataFrame:

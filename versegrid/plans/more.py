@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -256,46 +256,116 @@ def citations_by_sql(v: Views) -> DataFrame:
 
 # --- Every rule of the classifier ------------------------------------------------------------------------------------
 
-
-def _cases() -> list[tuple]:
-    """(id, filename, author, title, year, subject): each value of each rule in its field, others neutral, and mixtures of neighbours."""
-    out = []
-    for _, field, test, values in classify.RULES:
-        for v in values:
-            said = {"like": f"exposition of {v[-3:]}", "saint": f"Of St. Xy of {v}", "below": None, "between": None}.get(test, f"Q {v.upper()} q")
-            year = int(v) - 1 if test == "below" else int(v) if test == "between" else None
-            out.append((f"{v if field == 'f' else 'x'}.txt", said if field == "a" else None, said if field == "t" else None, year, v if field == "s" else None))
-    mixed = [(a[0], b[1] or a[1], a[2] or b[2], b[3] or 1700, a[4]) for a, b in zip(out, out[7:] + out[:7], strict=True)]
-    return [(i, *r) for i, r in enumerate(out + mixed)]
+# The classifier's rules once more, as SQL in their order and apart from the library's own list, so that a value that is wrong in either shows.
+_RULES = [
+    ("Patristics", "f", "anf|npnf"),
+    ("Biblical Commentary", "f", "expositor|commentary"),
+    ("Biblical Commentary", "t", "expositor|commentary|^(an? )?exposition of\\b|word pictures|bible studies|synthetic bible"),
+    ("Scripture", "s", "bibles|bible"),
+    ("Scripture", "t", "catechism|confession of faith|heidelberg|westminster|book of jasher|book of common prayer|augsburg confession|apology of the augsburg|scottish confession|scots confession"),
+    ("Patristics", "s", "early|early church"),
+    ("Patristics", "y", "year < 600"),
+    ("Patristics", "a", "augustine|athanasius|cassian|chrysostom|origen|jerome|ambrose|basil|gregory|cyprian|tertullian|irenaeus|clement|eusebius|lactantius|hilary|leo|cyril|ephrem|ignatius|polycarp|papias|dionysius"),
+    ("Patristics", "t", "apostolic fathers|early christian|early church"),
+    ("Patristics", "saint", "alexandria|hippo|antioch|carthage|caesarea"),
+    ("Medieval", "s", "mysticism"),
+    ("Medieval", "y", "year >= 600 AND year < 1500"),
+    ("Medieval", "a", "eckhart|bonaventure|bernard|anselm|matelda|aquinas|guyon|tauler|rolle|hilton|kempe|kempis|fenelon|law"),
+    ("Medieval", "f", "cloud"),
+    ("Systematic Theology", "a", "berkhof|bavinck|hodge|warfield|turretin|dabney|kuyper|forsyth"),
+    ("Systematic Theology", "t", "systematic theology|dogmatics|dogmatic theology"),
+    ("Church History", "s", "history"),
+    ("Church History", "t", "history|historical|huguenot"),
+    ("Church History", "f", "history|huguenot"),
+    ("Church History", "a", "menno simon"),
+    ("Church History", "t", "^(life of|lives of)\\b|eirenicon|primitive christianity|rise and progress|american religious movement"),
+    ("Reformation", "a", "calvin|luther|melanchthon|zwingli|knox|tyndale|cranmer|beza|bucer|bullinger|erasmus"),
+    ("Reformation", "t", "institutes|bondage of the will|small catechism|large catechism|smalcald|formula of concord|thirty-nine articles|confutatio|pulpit of the reformation"),
+    ("Puritan", "a", "owen|baxter|bunyan|flavel|goodwin|watson|boston|manton|howe|gurnall|charnock|sibbes|allestree|mason|rutherford|mead|vincent|swinnock|love|edwards|shepard|fisher|arndt"),
+    ("Sermons", "a", "spurgeon|maclaren|moody|whyte|dods"),
+    ("Sermons", "t", "sermon"),
+    ("Sermons", "f", "sermon"),
+    ("Apologetics", "a", "chesterton|macdonald|kierkegaard|plantinga|lewis|pascal|newman|sayers|coleridge"),
+    ("Apologetics", "t", "apologetics|defence of|defense of"),
+    ("Devotional", "a", "murray|pink|torrey|smith|gordon|havergal|underhill|fenelon|wesley|newton|moule|orr|quadrupani|steele|upham|pasko|inge|oman"),
+    ("Devotional", "s", "christian life"),
+    ("Devotional", "t", "devotion|prayer|meditation|spiritual|way of peace|way of holiness|holy living|mortification|imitation|uniformity|piety|the soul of|waiting on|with christ|comfort for|christian's secret|kept for|love enthroned|plain account of christian"),
+    ("Devotional", "t", "hymn|hymns|psalms and hymns|spiritual songs|sacred songs|night thoughts|religious poems|poetical works|divine songs|sacred hymns"),
+    ("Devotional", "f", "hymn"),
+    ("Devotional", "t", "light and peace|holy life|in his steps|to my younger|comfort against|sufferings of christ|maxims of the saints|meditating on scripture|reflections on the christian|quiet talks"),
+    ("Biblical Commentary", "t", "helps to the study|revision revised|genesis to revelation|notes on the bible|bible gallery"),
+    ("Medieval", "t", "eckhart"),
+    ("Church History", "t", "thomas boston|psalmody|william carey"),
+    ("Patristics", "a", "philo"),
+]
+
+
+def _quoted(said: str) -> str:
+    return "'" + said.replace("'", "''") + "'"
 
 
 def _rules_sql() -> str:
-    quoted = lambda v: "'" + v.replace("'", "''") + "'"
     column = {"f": "lower(filename)", "a": "lower(coalesce(author, ''))", "t": "lower(coalesce(title, ''))"}
     cases = []
-    for name, field, test, values in classify.RULES:
-        if test == "in":
-            holds = f"coalesce(subject IN ({', '.join(map(quoted, values))}), FALSE)"
-        elif test in ("below", "between"):
-            holds = f"coalesce(year < {values[0]}, FALSE)" if test == "below" else f"coalesce(year BETWEEN {values[0]} AND {values[1]}, FALSE)"
-        elif test == "like":
-            holds = " OR ".join(f"regexp_matches({column[field]}, {quoted(v)})" for v in values)
+    for name, field, said in _RULES:
+        if field == "y":
+            holds = f"coalesce(year <> 0 AND {said}, FALSE)"
+        elif field == "s":
+            holds = f"coalesce(subject IN ({', '.join(map(_quoted, said.split('|')))}), FALSE)"
+        elif field == "saint":
+            holds = f"regexp_matches({column['t']}, {_quoted(said)}) AND regexp_matches({column['t']}, '\\bst\\.?\\s+\\w+ of \\w+')"
         else:
-            holds = " OR ".join(f"contains({column[field]}, {quoted(v)})" for v in values)
-            if test == "saint":
-                holds = f"({holds}) AND regexp_matches({column[field]}, '\\bst\\.?\\s+\\w+ of \\w+')"
-        cases.append(f"WHEN {holds} THEN {quoted(name)}")
-    null = lambda v: "NULL" if v is None else quoted(v) if isinstance(v, str) else str(v)
-    rows = ", ".join("(" + ", ".join(map(null, r)) + ")" for r in _cases())
-    return f"SELECT id, CASE {' '.join(cases)} ELSE 'Other' END AS category FROM (VALUES {rows}) t(id, filename, author, title, year, subject)"
+            holds = f"regexp_matches({column[field]}, {_quoted(said)})"
+        cases.append(f"WHEN {holds} THEN {_quoted(name)}")
+    return f"CASE {' '.join(cases)} ELSE 'Other' END"
+
+
+def _said(fields: str) -> list[str]:
+    """All fragments of some fields; patterns stand as an example and what nearly is one."""
+    plain = {"^(an? )?exposition of\\b": ["exposition of x", "an exposition of x", "the exposition of x", "exposition often"], "^(life of|lives of)\\b": ["life of x", "the lives of x", "life often"]}
+    out = []
+    for _, field, said in _RULES:
+        if field in fields.split():
+            rest = said
+            for pattern, shown in plain.items():
+                if pattern in rest:
+                    out, rest = out + shown, rest.replace(pattern, "").strip("|")
+            words = rest.split("|")
+            out += words + ([f"st. xy of {w}" for w in words] + [f"st xy to {w}" for w in words] if field == "saint" else [])
+    return out
+
+
+def _pick(words: list[str], n: str) -> str:
+    """SQL of the list's element by a number, none at every third."""
+    return f"CASE WHEN ({n}) % 3 > 0 THEN ([{', '.join(map(_quoted, words))}])[CAST(({n}) // 3 % {len(words)} + 1 AS INT)] END"
+
+
+def _planted_sql() -> str:
+    near = lambda words, n: f"CASE WHEN ({n}) % 2 = 0 THEN upper({_pick(words, n)}) ELSE 'Q' || ({_pick(words, n)}) || 'q' END"
+    return f"""planted AS (SELECT l_orderkey, l_linenumber, id, {near(_said('f'), 'l_orderkey')} || '_' || w.filename AS filename,
+    coalesce(w.author || ' and ', '') || {near(_said('a'), 'l_orderkey * 7 + l_partkey')} AS author, {near(_said('t saint'), 'l_partkey * 5 + l_orderkey * 3 + l_linenumber')} AS title,
+    CASE WHEN l_partkey % 4 = 0 THEN w.year WHEN l_partkey % 4 = 1 THEN CAST(l_orderkey % 2 * 599 + l_linenumber // 4 AS INT) WHEN l_partkey % 8 = 2 THEN 1499 END AS year, {_pick(_said('s'), 'l_partkey + l_linenumber')} AS subject
+  FROM lineitem JOIN works w ON w.id = l_suppkey)"""
 
 
-@query(_rules_sql())
+@query(f"SELECT l_orderkey, l_linenumber, id, {_rules_sql()} AS category FROM (SELECT * REPLACE (coalesce(filename, 'x') AS filename) FROM planted)", _planted_sql())
 def classify_every_rule(v: Views) -> DataFrame:
-    """Each rule by each of its values, alone and beside others'."""
-    rows = v.spark.createDataFrame(_cases(), "id int, filename string, author string, title string, year int, subject string")
-    subjects = F.when(F.col("subject").isNotNull(), F.array("subject"))
-    return rows.select("id", classify.category(F.col("filename"), F.col("author"), F.col("title"), F.col("year"), subjects).alias("category"))
+    """All works, with every fragment of every rule planted in their names, authors and titles, alone and beside others'."""
+
+    def pick(words: list[str], n: Column) -> Column:
+        return F.when(n % 3 > 0, F.element_at(F.array(*map(F.lit, words)), (F.floor(n / 3) % len(words) + 1).cast("int")))
+
+    def near(words: list[str], n: Column) -> Column:
+        return F.when(n % 2 == 0, F.upper(pick(words, n))).otherwise(F.concat(F.lit("Q"), pick(words, n), F.lit("q")))
+
+    key, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    rows = v.raw("lineitem").join(v.works.withColumnRenamed("id", "l_suppkey"), "l_suppkey")
+    author = F.concat(F.coalesce(F.concat("author", F.lit(" and ")), F.lit("")), near(_said("a"), key * 7 + part))
+    year = F.when(part % 4 == 0, F.col("year")).when(part % 4 == 1, (key % 2 * 599 + F.floor(line / 4)).cast("int")).when(part % 8 == 2, 1499)
+    name = F.coalesce(F.concat(near(_said("f"), key), F.lit("_"), F.col("filename")), F.lit("x"))
+    subject = pick(_said("s"), part + line)
+    told = classify.category(name, author, near(_said("t saint"), part * 5 + key * 3 + line), year, F.when(subject.isNotNull(), F.array(F.lit("none"), subject)))
+    return rows.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("id"), told.alias("category"))
 
 
 @query("SELECT filename, CASE WHEN id % 3 = 0 THEN 'history' WHEN id % 3 = 1 THEN 'early,mysticism' ELSE '' END AS subjects FROM works")
