@@ -21,6 +21,7 @@ def test_whole_texts_are_escaped(spark):
 def test_all_works_meet_their_verses(spark):
     got = catalog.QUERIES["verse_text_join_all"](spark, DATA)
     assert got.count() == Views(spark, DATA).refs.count() > catalog.QUERIES["verse_text_join"](spark, DATA).count()
+    assert 0 < got.where("verse_text is null").count() < got.count()
 
 
 def test_all_citations_are_placed_and_no_document_is_lost(spark, tmp_path):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.canon import abbreviations, canon, int_to_roman, roman_to_int
+from ..functions.storage import shared_dir
 from ..operators import citations, classify, explore, highlight, rollups, store, windows
 from ..sources import texts, thml
-from .synth import SAID, Views, oracle
+from .synth import _ONES, _TENS, SAID, Views, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -307,10 +309,11 @@ def parsed_attr_decode(v: Views) -> DataFrame:
     return citations.decode_attribute(v.attributes).select("l_orderkey", "l_linenumber", "book_slug", "chapter", "verse_start", "verse_end")
 
 
-@query("SELECT n, n AS back FROM (SELECT CAST(unnest(range(1, 151)) AS INT) AS n)")
+@query(f"SELECT o_orderkey, n, repeat('c', CAST(n // 100 AS INT)) || ({_TENS})[n // 10 % 10 + 1] || ({_ONES})[n % 10 + 1] AS roman, n AS back FROM (SELECT o_orderkey, CAST(o_orderkey % 299 + 1 AS INT) AS n FROM orders)")
 def roman_numerals(v: Views) -> DataFrame:
-    n = v.spark.range(1, 151).select(F.col("id").cast("int").alias("n"))
-    return n.select("n", roman_to_int(int_to_roman(F.col("n"))).alias("back"))
+    n = v.raw("orders").select("o_orderkey", (F.col("o_orderkey") % 299 + 1).cast("int").alias("n"))
+    told = n.select("o_orderkey", "n", int_to_roman(F.col("n")).alias("roman"))
+    return told.select("o_orderkey", "n", "roman", roman_to_int(F.upper("roman")).alias("back"))
 
 
 @query("SELECT w.id, CAST(coalesce(y.year, w.year) AS INT) AS year FROM works w LEFT JOIN years y USING (filename)")
@@ -550,20 +553,24 @@ def document_citations(v: Views) -> DataFrame:
     return citations.extract(v.dealt("documents"), key="doc_id")
 
 
-@query("SELECT name AS book, slug AS book_slug, book_order, chapters, book_group FROM canon")
+@query("SELECT name AS book, slug AS book_slug, book_order, chapters, book_group, count(manuscript_id) AS n FROM canon LEFT JOIN refs ON book_slug = slug GROUP BY ALL")
 def book_dimension(v: Views) -> DataFrame:
-    return canon(v.spark).select(F.col("name").alias("book"), F.col("slug").alias("book_slug"), "book_order", "chapters", "book_group")
+    """All books, with how often they are cited."""
+    n = v.refs.groupBy("book_slug").agg(F.count("*").alias("n"))
+    books = canon(v.spark).select(F.col("name").alias("book"), F.col("slug").alias("book_slug"), "book_order", "chapters", "book_group")
+    return books.join(n, "book_slug", "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
 
 
-@query("SELECT doc_id, replace(left(text, 80), chr(10), ' ') AS preview, CASE WHEN length(text) > 140 THEN left(text, 139) || '…' ELSE text END AS short, replace(replace(replace(replace(left(text, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM documents")
+@query("SELECT doc_id, replace(left(text, 80), chr(10), ' ') AS preview, CASE WHEN length(text) > 140 THEN left(text, 139) || '…' ELSE text END AS short FROM documents")
 def text_previews(v: Views) -> DataFrame:
+    """Previews and shortened texts, which are what a list shows of a text."""
     text = F.col("text")
-    return v.raw("documents").select("doc_id", S.preview(text).alias("preview"), S.shortened(text, 140).alias("short"), S.escaped(F.substring(text, 1, 200)).alias("escaped"))
+    return v.raw("documents").select("doc_id", S.preview(text).alias("preview"), S.shortened(text, 140).alias("short"))
 
 
 @query("SELECT doc_id, replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM documents")
 def text_escaped(v: Views) -> DataFrame:
-    """Whole texts; ``text_previews`` escapes their first 200 characters."""
+    """Whole texts."""
     return v.raw("documents").select("doc_id", S.escaped(F.col("text")).alias("escaped"))
 
 
@@ -582,18 +589,26 @@ def header_fields(v: Views) -> DataFrame:
     return rows.select("id", S.header_author(head).alias("author"), S.field(head, "Title").alias("title"), S.header_year(head).alias("year"), F.array_join(S.subjects(head), ",").alias("subjects"))
 
 
-@query("""SELECT span, CAST(CASE WHEN span / mag BETWEEN 2 AND 8 THEN mag WHEN span / (2 * mag) BETWEEN 2 AND 8 THEN 2 * mag WHEN span / (5 * mag) BETWEEN 2 AND 8 THEN 5 * mag ELSE 10 * mag END AS BIGINT) AS step
-FROM (SELECT span, pow(10, floor(log10(span / 5.0))) AS mag FROM (SELECT unnest(range(10, 3000, 7)) AS span))""")
+@query("""SELECT l_orderkey, l_linenumber, span, CAST(CASE WHEN span / mag BETWEEN 2 AND 8 THEN mag WHEN span / (2 * mag) BETWEEN 2 AND 8 THEN 2 * mag WHEN span / (5 * mag) BETWEEN 2 AND 8 THEN 5 * mag ELSE 10 * mag END AS BIGINT) AS step
+FROM (SELECT *, pow(10, floor(log10(span / 5.0))) AS mag FROM (SELECT l_orderkey, l_linenumber, 10 + (l_orderkey * 7 + l_partkey) % 3000 AS span FROM lineitem))""")
 def tick_steps(v: Views) -> DataFrame:
-    return v.spark.range(10, 3000, 7).select(F.col("id").alias("span"), S.tick_step(F.col("id").cast("double")).cast("bigint").alias("step"))
+    rows = v.raw("lineitem").select("l_orderkey", "l_linenumber", (10 + (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 3000).alias("span"))
+    return rows.withColumn("step", S.tick_step(F.col("span").cast("double")).cast("bigint"))
 
 
-@query("SELECT slug, CAST(ch AS INT) AS chapter, CAST(vs AS INT) AS verse, name || ' ' || ch || ':' || vs AS text FROM (SELECT name, slug, unnest(range(1, least(3, chapters) + 1)) AS ch FROM canon) CROSS JOIN (VALUES (1), (2)) AS t(vs)")
+#: A dictionary of the cited verses, but every third, in one document a book.
+_VERSES = "verses AS (SELECT DISTINCT book_slug AS slug, chapter, verse_start AS verse, book || ' ' || chapter || ':' || verse_start AS text FROM refs WHERE (chapter + verse_start) % 3 > 0)"
+
+
+@query("SELECT slug, chapter, verse, text FROM verses", _VERSES)
 def verse_dictionary(v: Views) -> DataFrame:
-    label = lambda b, c, n: F.struct(F.lit(str(n)).alias("verse"), F.concat(F.lit(" "), b, F.lit(" "), c.cast("string"), F.lit(f":{n}")).alias("text"))
-    chapters = F.transform(F.sequence(F.lit(1), F.least(F.lit(3), F.col("chapters"))), lambda c: F.struct(c.cast("string").alias("chapter"), F.array(label(F.col("name"), c, 1), label(F.col("name"), c, 2)).alias("verses")))
-    docs = v.canon.select(F.to_json(F.struct(F.col("name").alias("book"), chapters.alias("chapters"))).alias("value"))
-    return texts.verse_texts(docs)
+    """The dictionary's rows, written for joins and read again."""
+    text = F.concat(F.lit(" "), "book", F.lit(" "), F.col("chapter").cast("string"), F.lit(":"), F.col("verse_start").cast("string"))
+    cited = v.refs.where("(chapter + verse_start) % 3 > 0").select("book", F.col("chapter").cast("string").alias("chapter"), F.struct(F.col("verse_start").cast("string").alias("verse"), text.alias("text")).alias("v")).distinct()
+    chapters = cited.groupBy("book", "chapter").agg(F.collect_list("v").alias("verses")).groupBy("book").agg(F.collect_list(F.struct("chapter", "verses")).alias("chapters"))
+    path = f"{shared_dir(v.spark).rstrip('/')}/verses-{uuid.uuid4().hex}"
+    texts.write_verses(texts.verse_texts(chapters.select(F.to_json(F.struct("book", "chapters")).alias("value"))), path)
+    return texts.read_verses(v.spark, path)
 
 
 @query(f"SELECT l_orderkey, l_linenumber, rpad(label, CAST(greatest(30, length(label)) AS INT), ' ') AS label FROM (SELECT l_orderkey, l_linenumber, book || ' ' || chapter || CASE WHEN verse_start > 0 THEN ':' || verse_start || CASE WHEN verse_end > 0 THEN '-' || verse_end ELSE '' END ELSE '' END AS label FROM said)")
@@ -602,14 +617,18 @@ def reference_labels(v: Views) -> DataFrame:
     return said.select("l_orderkey", "l_linenumber", S.reference_label(F.col("book"), F.col("chapter"), F.col("verse_start"), F.col("verse_end")).alias("label"))
 
 
-@query(f"SELECT book_slug, chapter, {_LABEL} AS v, text AS verse_text FROM refs LEFT JOIN (SELECT slug, CAST(ch AS INT) AS ch, vs, name || ' ' || ch || ':' || vs AS text FROM (SELECT name, slug, unnest(range(1, least(3, chapters) + 1)) AS ch FROM canon) CROSS JOIN (VALUES (1), (2)) AS t(vs)) t ON t.slug = book_slug AND t.ch = chapter AND t.vs = verse_start WHERE manuscript_id = 11")
+_WITH_TEXT = f"FROM (SELECT *, {_LABEL} AS v FROM refs) LEFT JOIN verses t ON t.slug = book_slug AND t.chapter = ref_chapter AND t.verse = verse_start".replace("SELECT *,", "SELECT *, chapter AS ref_chapter,")
+
+
+@query(f"SELECT book_slug, ref_chapter AS chapter, v, text AS verse_text, count(*) AS n {_WITH_TEXT} GROUP BY ALL", _VERSES)
 def verse_text_join(v: Views) -> DataFrame:
-    return _verse_texts(v, v.refs.where("manuscript_id = 11"))
+    """The distinct places of all works with their verses."""
+    return _verse_texts(v, v.refs).groupBy("book_slug", "chapter", "v", "verse_text").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT book_slug, chapter, {_LABEL} AS v, text AS verse_text FROM refs LEFT JOIN (SELECT slug, CAST(ch AS INT) AS ch, vs, name || ' ' || ch || ':' || vs AS text FROM (SELECT name, slug, unnest(range(1, least(3, chapters) + 1)) AS ch FROM canon) CROSS JOIN (VALUES (1), (2)) AS t(vs)) t ON t.slug = book_slug AND t.ch = chapter AND t.vs = verse_start")
+@query(f"SELECT book_slug, ref_chapter AS chapter, v, text AS verse_text {_WITH_TEXT}", _VERSES)
 def verse_text_join_all(v: Views) -> DataFrame:
-    """The references of all works; ``verse_text_join`` has one work's."""
+    """The references of all works."""
     return _verse_texts(v, v.refs)
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.canon import int_to_roman, is_roman, roman_to_int
+from ..functions.canon import is_roman, roman_to_int
 from ..functions.registry import register
 from ..operators import classify, explore, rollups, store, windows
 from ..sources import texts
 from .catalog import _CATEGORY, _COUNTED, _IN, _JOINED, _LABEL, CHOSEN, query
-from .synth import _ONES, _TENS, Views
+from .synth import Views
 
 
 def placed(ordered: DataFrame) -> DataFrame:
@@ -234,16 +234,26 @@ def known_year_update(v: Views) -> DataFrame:
     return store.update_years(works, known).select("filename", "year")
 
 
-@query(f"""SELECT n, repeat('c', CAST(n // 100 AS INT)) || ({_TENS})[n // 10 % 10 + 1] || ({_ONES})[n % 10 + 1] AS roman, n AS back, TRUE AS spelled, regexp_full_match('x' || n, '[ivxlcdm]+') AS other FROM (SELECT CAST(unnest(range(1, 300)) AS INT) AS n)""")
+_DIGITS = "list_transform(string_split(upper(w), ''), lambda x: CASE x WHEN 'I' THEN 1 WHEN 'V' THEN 5 WHEN 'X' THEN 10 WHEN 'L' THEN 50 WHEN 'C' THEN 100 WHEN 'D' THEN 500 ELSE 1000 END)"
+
+
+@query(
+    "SELECT doc_id, count(*) AS words, count(*) FILTER (spelled) AS spelled, CAST(coalesce(sum(list_sum(list_transform(range(1, len(d) + 1), lambda i: CASE WHEN i < len(d) AND d[i] < d[i + 1] THEN -d[i] ELSE d[i] END))) FILTER (spelled), 0) AS BIGINT) AS total FROM worded GROUP BY doc_id",
+    rf"""worded AS (SELECT doc_id, regexp_full_match(w, '[ivxlcdmIVXLCDM]+') AS spelled, {_DIGITS} AS d FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM documents))""",
+)
 def roman_spelling(v: Views) -> DataFrame:
-    n = v.spark.range(1, 300).select(F.col("id").cast("int").alias("n"))
-    roman = int_to_roman(F.col("n"))
-    return n.select("n", roman.alias("roman"), roman_to_int(F.upper(roman)).alias("back"), is_roman(roman).alias("spelled"), is_roman(F.concat(F.lit("x"), F.col("n").cast("string"))).alias("other"))
+    """Words of the documents that are written in numerals, and the sum of their values."""
+    words = v.raw("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("w"))
+    told = words.select("doc_id", is_roman(F.col("w")).alias("spelled"), roman_to_int(F.col("w")).cast("bigint").alias("value"))
+    return told.groupBy("doc_id").agg(F.count("*").alias("words"), F.count_if("spelled").alias("spelled"), F.coalesce(F.sum("value"), F.lit(0)).cast("bigint").alias("total"))
 
 
-@query("SELECT n, greatest(3.0, least(13.0, 3 + n / 400.0 * 10))::DOUBLE AS radius FROM (SELECT unnest(range(0, 900, 7)) AS n)")
+@query("SELECT id, ref_count, greatest(3.0, least(13.0, 3 + ref_count / (max(ref_count) OVER ()) * 10))::DOUBLE AS radius FROM counted", _COUNTED)
 def marker_radii(v: Views) -> DataFrame:
-    return v.spark.range(0, 900, 7).select(F.col("id").alias("n"), S.marker_radius(F.col("id").cast("double"), F.lit(400.0)).alias("radius"))
+    """The marker of each work on the timeline."""
+    n = rollups.work_counts(v.refs, v.works).select("id", "ref_count")
+    most = n.agg(F.max("ref_count").alias("most"))
+    return n.crossJoin(F.broadcast(most)).select("id", "ref_count", S.marker_radius(F.col("ref_count"), F.col("most")).alias("radius"))
 
 
 @query("SELECT l_orderkey, l_linenumber, manuscript_id, book_slug, chapter, verse_start, verse_end, citation_offset FROM cited")

@@ -155,6 +155,16 @@ def verse_texts(documents: DataFrame, value: str = "value") -> DataFrame:
     return rows.join(known, F.lower("book") == F.col("k")).select("slug", F.col("chapter").try_cast("int").alias("chapter"), F.col("v.verse").try_cast("int").alias("verse"), S.strip(F.col("v.text")).alias("text"))
 
 
+def write_verses(verses: DataFrame, path: str) -> None:
+    """The verse dictionary for joins: a folder a book, in order of place, so that one book's or chapter's verses are read alone."""
+    dealt = verses.repartitionByRange("slug", "chapter").sortWithinPartitions("slug", "chapter", "verse")
+    dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("slug").parquet(path)
+
+
+def read_verses(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("chapter int, verse int, text string, slug string").parquet(path).select("slug", "chapter", "verse", "text")
+
+
 def as_json(payload: DataFrame, *, explicit_nulls: bool = True) -> DataFrame:
     """One JSON string a row; without nulls where they are not wanted."""
     return payload.select(F.to_json(F.struct(*payload.columns), {"ignoreNullFields": str(not explicit_nulls).lower()}).alias("value"))
