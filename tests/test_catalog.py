@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from versegrid.plans import lookups, more, passages, stores  # noqa: F401
+from versegrid.plans import corpora, lookups, more, passages, stores  # noqa: F401
 from versegrid.plans.catalog import ORACLES, QUERIES
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

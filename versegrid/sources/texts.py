@@ -144,6 +144,15 @@ def write_texts(parsed: DataFrame, path: str) -> None:
     parsed.select(F.regexp_replace("path", r"\.[^./]*$", ".txt").alias("filename"), F.col("clean_text").alias("text")).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def write_text_files(parsed: DataFrame, folder: str) -> None:
+    """The clean texts of walked documents as files under their names, by the data source of texts."""
+    from .files import register
+
+    register(parsed.sparkSession)
+    name = F.regexp_replace("path", r"\.[^./]*$", ".txt").alias("filename")
+    parsed.select(name, F.col("clean_text").alias("text")).write.format("texts").mode("append").save(folder)
+
+
 VERSES = "struct<book:string,chapters:array<struct<chapter:string,verses:array<struct<verse:string,text:string>>>>>"
 
 
@@ -175,6 +184,24 @@ def write_parquet(payload: DataFrame, path: str, by: str | None = None, level: s
     (writer.partitionBy(by) if by else writer).parquet(path)
 
 
+def write_documents(payload: DataFrame, folder: str, name: Column) -> None:
+    """One compressed JSON document a row, as a file under the row's name: what a viewer loads one by one. Nulls are written."""
+    from .files import register
+
+    register(payload.sparkSession)
+    value = F.to_json(F.struct(*payload.columns), {"ignoreNullFields": "false"})
+    payload.select(F.concat(name, F.lit(".json.zst")).alias("filename"), value.alias("text")).write.format("texts").mode("append").save(folder)
+
+
+def read_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(filename, value) of the documents of a folder, unpacked."""
+    from .files import register
+
+    register(spark)
+    rows = spark.read.format("texts").option("path", folder).option("pattern", "*.json.zst").option("leastBytes", 0).load()
+    return rows.select("filename", F.col("text").alias("value"))
+
+
 def packed(payload: DataFrame, name: Column, level: int = 19) -> DataFrame:
     """(name, content) with each row's JSON zstd-compressed, for a file sink."""
     @F.pandas_udf("binary")

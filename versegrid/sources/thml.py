@@ -112,6 +112,15 @@ def walk_function():
     return walked
 
 
+@F.udtf(returnType="parsed string, citation_offset int")
+class ThmlHits:
+    """The annotations of one document as a table: a row a hit, as they are met."""
+
+    def eval(self, content: str):
+        if content:
+            yield from walk(content)["hits"]
+
+
 def parse(docs: DataFrame, *, path: str = "path", content: str = "content") -> DataFrame:
     """Walks each document (string or binary content) once."""
 
