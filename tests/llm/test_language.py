@@ -97,3 +97,15 @@ def test_predictions_match_brute_force(spark):
         assert abs(r.score - max(0.0, cosines[best])) < 1e-4
         if sorted(cosines)[-2] < cosines[best] - 1e-4:
             assert r.lang_pred == model.languages[best] and (abs(cosines[best] - model.floor[best]) < 1e-4 or r.rejected == (cosines[best] < model.floor[best]))
+
+
+def test_rows_that_share_an_id_or_a_text_teach_their_language(spark):
+    """Whatever id or text most rows of a language share, the language is learned, and copies don't fill the sample."""
+    shared = [(i, f"der und die {n} das ist nicht wahr", "de", "x") for i in (3, 5, 11, 12) for n in range(200)]
+    copies = [(i * 4, "the one text that all have", "en", "x") for i in range(2000)]
+    rows = documents(spark, [*shared, *copies])
+    told = {r.lang: r["count"] for r in language.training_sample(rows, "doc_id", "text", "lang", 50).groupBy("lang").count().collect()}
+    assert told["en"] == 1 and 20 < told["de"] < 110
+    assert set(language.fit(rows).languages) == {"de", "en"}
+    one = documents(spark, [(i, f"wort {n}", f"l{i}", "x") for i in (3, 5, 11, 12) for n in range(100)])
+    assert len(set(language.fit(one).languages)) == len({r.lang for r in one.where(~language.held_out(F.col("doc_id"))).collect()})

@@ -48,3 +48,16 @@ def test_many_sources_take_the_salted_way(spark, monkeypatch):
     monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
     monkeypatch.setattr(mixing, "SALTS", 3)
     assert sorted(map(str, mixing.mix(documents(spark, rows)).collect())) == want
+
+
+def test_rows_that_share_an_id_meet_their_targets(spark):
+    same = [(1, "w " * 5, "en", f"s{i % 3}") for i in range(3000)]
+    versions = [(None, f"v{i} w w w w", "en", f"s{i % 3}") for i in range(3000)]
+    for rows in (same, versions, same + versions):
+        got = mixing.mix(documents(spark, rows)).collect()
+        sizes = {f"s{k}": sum(r["size"] for r in got if r.source == f"s{k}") for k in range(3)}
+        want = _targets(sizes)
+        for s in sizes:
+            assert abs(sum(r.taken for r in got if r.source == s) - want[s]) <= 5
+        assert all(0 <= r.taken <= 3 * r["size"] for r in got)
+        assert sorted(map(str, mixing.mix(documents(spark, rows[::-1])).collect())) == sorted(map(str, got))

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from ..functions.scalars import once
 from . import kernels as K
+from .common import without
 
 WINDOW = 10
 #: Words of items that one automaton holds, so that what is broadcast is bounded; more items take more automata.
@@ -293,11 +295,9 @@ def cleaned(found: DataFrame, *, most_length: int = 0, most_coverage: float = 0.
     Texts of which more than ``most_coverage`` of the words are hit go.
     """
     kept = found.where(n_hit() <= most_coverage * F.col("n_words"))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    spans = F.filter("hits", lambda h: h["to"] - h["from"] > most_length)
-    done = F.aggregate(spans, zero, lambda acc, h: F.struct(h["char_to"].alias("at"), F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, h["char_from"] - acc["at"])).alias("out")))
-    rest = F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))
-    return kept.withColumn("text", F.when(F.size(spans) > 0, rest).otherwise(F.col("text")))
+    # Hits are runs in order, apart.
+    spans = F.transform(F.filter("hits", lambda h: h["to"] - h["from"] > most_length), lambda h: F.struct(h["char_from"].alias("start"), h["char_to"].alias("end")))
+    return kept.withColumn("text", once(spans, lambda runs: without(F.col("text"), runs)))
 
 
 DIGEST_SQL = r"""

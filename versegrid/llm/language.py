@@ -101,17 +101,23 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, key: str, text: str, lang: str, rows: int) -> DataFrame:
-    """About ``rows`` labelled training rows of each language, chosen by a hash of the key, whatever its size."""
+    """About ``rows`` distinct labelled training texts of each language, one at least, chosen by a hash of the text, whatever its size.
+
+    Copies count once, so neither rows that share an id nor those that share a
+    text can crowd out a language, or fill it.
+    """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key))).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), (F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 53)) / F.lit(float(1 << 53))).alias("h")
+        F.col(lang).alias("lang"), F.col(text).alias("text"), (F.pmod(F.xxhash64(F.col(text), F.lit("sample")), F.lit(1 << 53)) / F.lit(float(1 << 53))).alias("h")
     )
-    sizes = cut(labelled.groupBy("lang").agg(F.count("*").alias("n")))
-    # A language's share lets about ``rows`` of its rows through; shares are doubles, so none is rounded to nothing.
-    fits = sampled(F.col("h"), F.col("n"), rows)
+    sizes = cut(labelled.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")))
+    # A language's share lets about ``rows`` of its texts through; shares are doubles, so none is rounded to nothing.
+    fits = sampled(F.col("h"), F.col("n"), rows) | (F.col("h") == F.col("least"))
     if sizes.count() <= FEW_LANGUAGES:
-        return labelled.join(F.broadcast(sizes), "lang").where(fits).select("lang", "text")
-    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return labelled.withColumn("salt", F.floor(F.col("h") * SALTS).cast("int")).join(salted, ["lang", "salt"]).where(fits).select("lang", "text")
+        some = labelled.join(F.broadcast(sizes), "lang").where(fits)
+    else:
+        salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        some = labelled.withColumn("salt", F.floor(F.col("h") * SALTS).cast("int")).join(salted, ["lang", "salt"]).where(fits)
+    return some.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def sampled(h: Column, n: Column, rows: int) -> Column:

@@ -1,6 +1,6 @@
 """Mixing sources to target weights with hash-threshold histograms (native).
 
-Every row has a stable 60-bit hash. Words are summed by source and hash
+Every row has a stable 60-bit hash of its id, source and text. Words are summed by source and hash
 bucket, cumulative sums locate the bucket in which a source's budget runs
 out, and only the rows of that boundary bucket are summed again by the next
 12 bits of their hash. After five rounds the threshold is exact to one hash
@@ -115,8 +115,24 @@ def hash_thresholds(rows: DataFrame, budgets: DataFrame, bounded: bool) -> DataF
 
 
 def sized(docs: DataFrame, carry: tuple[str, ...], key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """source, size and h of each row, and the carried columns."""
-    return docs.select(F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), row_key(F.col(key)).alias("h"), *[F.col(c).alias(f"carry_{c}") for c in carry])
+    """source, size and h of each row, and the carried columns. Rows that share an id but not the text have hashes of their own."""
+    told = row_key(F.col(key), F.col(source), F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
+    return docs.select(F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), told.alias("h"), *[F.col(c).alias(f"carry_{c}") for c in carry])
+
+
+def equals(rows: DataFrame) -> DataFrame | None:
+    """The hashes that several rows share: rows equal in id, source and text. None where there are none."""
+    again = cut(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    return again if again.limit(1).count() else None
+
+
+def apart(rows: DataFrame, again: DataFrame | None) -> DataFrame:
+    """``rows``, equal ones with hashes by their rank, so that a mix may take some of them; which of them is the same."""
+    if again is None:
+        return rows
+    ranked = rows.join(again, "h", "left_semi").withColumn("rank_", F.row_number().over(Window.partitionBy("h").orderBy("size")))
+    ranked = ranked.withColumn("h", F.when(F.col("rank_") > 1, row_key(F.col("h"), F.col("rank_"))).otherwise(F.col("h"))).drop("rank_")
+    return rows.join(again, "h", "left_anti").unionByName(ranked)
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST_COPIES) -> tuple[DataFrame, bool]:
@@ -143,21 +159,26 @@ def mix(docs: DataFrame, *, carry: tuple[str, ...] = ("doc_id", "source"), key:
     hashes are kept between the rounds; carried columns are read at the end.
 
     Defined cases: a null text has size 0; null sources form one source, the
-    last; rows of one key share a hash and move together (a null key counts as
-    the empty string); a table without words takes nothing; an empty table
-    gives an empty result; other columns are ignored.
+    last; rows that share a key (a null one counts as the empty string) are
+    rows of their own, and of rows equal in key, source and text some may be
+    taken more often than others (such a group is ranked in one task); a table
+    without words takes nothing; an empty table gives an empty result; other
+    columns are ignored.
     """
     narrow = cut(sized(docs, (), key, text, source))
-    planned, bounded = plan(narrow, weights, most)
-    return take(sized(docs, carry, key, text, source), planned, bounded, carry)
+    again = equals(narrow)
+    planned, bounded = plan(apart(narrow, again), weights, most)
+    return take(apart(sized(docs, carry, key, text, source), again), planned, bounded, carry)
 
 
 MIX_SQL = r"""
-WITH sized AS (
+WITH hashed AS (
   SELECT doc_id, CAST(source AS VARCHAR) AS source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) AS BIGINT) AS h
+         CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(CAST(source AS VARCHAR), '') || '|' || md5(coalesce(text, ''))), 1, 15)) AS BIGINT) AS h0
   FROM documents
+), sized AS (
+  SELECT doc_id, source, size, CASE WHEN k > 1 THEN CAST(('0x' || substr(md5(h0 || '|' || k), 1, 15)) AS BIGINT) ELSE h0 END AS h FROM (SELECT *, row_number() OVER (PARTITION BY h0) AS k FROM hashed)
 ), totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighted AS (SELECT *, (row_number() OVER (ORDER BY encode(source) ASC NULLS LAST) - 1) % 3 + 1 AS weight FROM totals),
 ordered AS (

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import located, unmarked
-from .common import cut, sha256_hex
+from ..functions.scalars import located, once, unmarked
+from .common import cut, merged, sha256_hex, without
 
 #: Fixed patterns. Group 2 of ``assign`` is the value; only its keyword ignores case.
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -115,13 +115,12 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def redact(text: Column, spans: Column) -> Column:
     """``text`` with each maximal covered run replaced by a marker."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda acc, s: F.when(
-        s["start"] >= acc["at"],
-        F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(REDACTED)).alias("out")),
-    ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-    done = F.aggregate(F.array_sort(spans), zero, step)
-    return F.when(F.size(spans) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+
+    def run(sorted_: Column) -> Column:
+        starts, ends = F.transform(sorted_, lambda s: s["start"]), F.transform(sorted_, lambda s: s["end"])
+        return once(starts, lambda a: once(ends, lambda b: once(merged(a, b), lambda r: without(text, r, REDACTED))))
+
+    return F.when(F.size(spans) > 0, once(F.array_sort(spans), run)).otherwise(text)
 
 
 def _placed_sql(name: str, pattern: str, kind: int, value: str, keep: str) -> str:
