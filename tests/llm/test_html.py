@@ -60,6 +60,26 @@ def test_titles_tables_and_references():
     assert text("<article><p>AT&<b>amp</b> &#x41;&lt;b&gt;</p></article>") == ["AT&amp A<b>"]
 
 
+def test_words_of_classes_are_no_proof_inside_an_article():
+    text = lambda inner: html.certain(html.blocks(f"<article><p>x</p>{inner}<p>y</p></article>"))
+    prose = "<p>The temple fell, and what was written of it is told here.</p>"
+    for names in ('section id="ad-70"', 'div class="footer-notes"', 'div class="how-to-respond"', 'div id="comments-on-the-text"', 'div class="sponsor-history"', 'div class="celestial navigation"', 'div class="no-sidebar"', 'section class="AD 70"'):
+        assert text(f"<{names}>{prose}</{names.split()[0]}>") == ["x", prose[3:-4], "y"], names
+    for names in ('div class="ad"', 'div id="ad-slot-3"', 'div class="comments-area"', 'section class="comments"', 'div class="sidebar primary wide"', 'div id="respond"', 'ul class="breadcrumbs"', 'div class="site-footer"', 'div class="reader comments"'):
+        assert text(f"<{names}>{prose}</{names.split()[0]}>") == ["x", "y"], names
+    # A suspect part that is all links is a menu, one that quotes a link is not.
+    assert text('<ul class="celestial navigation"><li><a href="/a">Stars</a></li><li><a href="/b">Moons</a></li></ul>') == ["x", "y"]
+    assert text('<div class="celestial navigation"><p>By the <a href="/a">stars</a> alone they sailed.</p></div>') == ["x", "By the stars alone they sailed.", "y"]
+
+
+def test_suspect_parts_that_a_host_repeats_go(spark):
+    said = "Write to the editors of these pages if you have more to tell of it"
+    page = lambda i, own: f"<article><h1>Story {i}</h1><p>Text of {i}</p><div class='how-to-respond'><p>{own}</p></div></article><div>More from here {i}</div>"
+    rows = [(i, "https://h.example/", page(i, said)) for i in range(4)] + [(9, "https://h.example/", page(9, "Nine answers in its own words and no others are like them")), (20, "https://o.example/", page(20, said))]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {**{i: f"Story {i}\nText of {i}" for i in range(4)}, 9: "Story 9\nText of 9\nNine answers in its own words and no others are like them", 20: f"Story 20\nText of 20\n{said}"}
+
+
 def test_what_most_pages_repeat_goes_from_articles(spark):
     notice, shared = "Support our journalism today", "A passage that some pages share as it is"
     body = lambda i: f"<article><h1>Story {i}</h1><p>{notice}</p>{f'<p>{shared}</p>' if i % 3 == 0 else ''}<p>Text of {i}</p></article>"

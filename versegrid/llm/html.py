@@ -3,7 +3,9 @@
 A page is read into blocks of text in page order. Where the page marks its
 article, the article's blocks are the text, less what sits in menus, asides,
 forms and the like inside it, and less blocks that most pages of the host
-repeat. Elsewhere the blocks outside of such containers, those in main zones
+repeat. A container inside whose name has such a word beside words of its own
+is only suspect: its blocks go where links fill them or the host repeats them.
+Elsewhere the blocks outside of such containers, those in main zones
 first, are uncertain, and the host's repeated strings decide: the token streams
 of all its pages are laid out as suffixes, cut to their first GRAM tokens and
 dealt by them, and strings that distinct pages share are boilerplate. A block
@@ -40,7 +42,7 @@ BLOCKS = frozenset(
     "header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
-#: Words in class or id of containers without article text, whatever stands beside them.
+#: Words in class or id of containers without article text: outside of articles whatever stands beside them, inside where only words of layout do.
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored sidebar nav navbar navigation breadcrumb breadcrumbs footer "
     "gdpr newsletter subscribe comment comments respond disqus pagination pager masthead".split()
@@ -48,8 +50,10 @@ NOISE = frozenset(
 #: Words that also name things that articles are about; they tell only beside each other and beside words of layout.
 DOUBTFUL = frozenset("promo promotion banner menu cookie cookies consent notice alert related share sharing social popup modal login signup widget toolbar".split())
 LAYOUT = frozenset(
-    "area bar block body bottom box button buttons container content entry fixed group header icon icons inner item items left link links list main message more outer overlay page panel "
-    "post posts row section site small sticky text top right title up wrap wrapper js is the".split()
+    "area article bar block body bottom box button buttons center clearfix col column component container content count dark default desktop entry first fixed flex float fluid footer form free global google grid "
+    "group header hidden icon icons in inline inner item items js label last lead leaderboard left lg light link links list main md message mid mobile module more mpu native now our outer overlay page panel "
+    "placeholder post posts primary reader rectangle region reply right row secondary section site skyscraper slot sm small standard sticky template text the theme thread title top unit up us user visitor "
+    "wide wp wrap wrapper xl xs your is".split()
 )
 #: Of these, the ones that tell on an article element itself; and words of modifiers that only speak of such containers.
 ARTICLE_NOISE = frozenset("ad ads advert adverts advertisement sponsored promo comment comments related".split())
@@ -67,40 +71,56 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
-#: Zones: an article; a main part; neither; chrome; the title of a main part outside of its articles; containers in either that only their class speaks against.
-ARTICLE, MAIN, OTHER, CHROME_TEXT, TITLE, DOUBT = range(6)
+#: Zones: an article; a main part; neither; chrome; the title of a main part outside of its articles; containers in either that only their class speaks against;
+#: containers in an article whose class has words against it beside others.
+ARTICLE, MAIN, OTHER, CHROME_TEXT, TITLE, DOUBT, SUSPECT = range(7)
+#: Share of a suspect block's characters that are links, from which it is none of the article's.
+LINKED = 0.5
 
 
-def _noisy(value: str, strict: bool) -> bool:
-    """Whether a class or id names a container without article text; ``strict`` lets no other words stand beside."""
-    words = {w.lower() for w in _WORD.findall(value)}
-    if words & MODIFIERS:
-        return False
-    rest = {w for w in words - NOISE - DOUBTFUL - LAYOUT if not w.isdigit() and len(w) > 1}
-    return bool(words & NOISE) and not (strict and rest) or bool(words & DOUBTFUL) and not rest
+def _words(value: str) -> set[str]:
+    return {w.lower() for w in _WORD.findall(value)}
+
+
+def _unknown(words: set[str]) -> set[str]:
+    """Words that are neither of layout nor against article text."""
+    return {w for w in words - NOISE - DOUBTFUL - LAYOUT if not w.isdigit() and len(w) > 1}
+
+
+def _told(value: str, name: str) -> int:
+    """What a class or id says: 2, a container without article text; 1, perhaps one, as other words stand beside; 0, nothing of the kind."""
+    parts = [w for p in value.split() if not (w := _words(p)) & MODIFIERS]
+    every = set().union(*parts)
+    if every & NOISE:
+        # Sections are parts of a document, which may well be about the year 70.
+        return 1 if _unknown(every) or name == "section" and every & NOISE <= {"ad", "ads"} else 2
+    return 2 if any(w & DOUBTFUL and not _unknown(w) for w in parts) else 0
 
 
 def _kind(name: str, attrs: str, inside: bool) -> int | None:
-    """What an element makes of its content: chrome, doubtful, article or main; None leaves it."""
+    """What an element makes of its content: chrome, doubtful, suspect, article or main; None leaves it."""
     if name in CHROME:
         return CHROME_TEXT
-    role, own, noisy, strong, content = "", False, False, False, False
+    role, noisy, strong, content, head = "", 0, False, False, False
     if attrs and "=" in attrs:
         for key, a, b, c in _ATTR.findall(attrs):
             value, key = a or b or c, key.lower()
             if key == "role":
                 role = value.strip().lower()
                 continue
+            told = _told(value, name)
+            noisy = max(noisy, told)
             for part in value.split():
-                words = {w.lower() for w in _WORD.findall(part)}
-                own |= bool(words & OWN)
+                words = _words(part)
                 content |= re.sub(r"[^a-z]", "", part.lower()) in CONTENT
-                strong |= bool(words & ARTICLE_NOISE) and _noisy(part, strict=key == "id")
-                noisy |= _noisy(part, strict=key == "id") or "header" in words and not words & OWN and not inside
+                strong |= told == 2 and bool(words & ARTICLE_NOISE) and not words & MODIFIERS
+                head |= "header" in words and not words & OWN
+    if head and not inside:
+        noisy = 2
     if role in ROLES or strong:
         return CHROME_TEXT
     if noisy and name not in ("article", "body", "html", "main"):
-        return DOUBT if inside else CHROME_TEXT
+        return (DOUBT if noisy == 2 else SUSPECT) if inside else CHROME_TEXT
     if name == "header" and not inside:
         return CHROME_TEXT
     if name == "article" or role == "article":
@@ -115,20 +135,30 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     run: list[str] = []
     stack: list[tuple[str, int | None]] = []
-    zones = [0] * 6
+    zones = [0] * 7
+    linked, link = 0, False
 
-    def zone() -> int:
+    def zone(share: float) -> int:
+        if zones[SUSPECT] and share >= LINKED:
+            return CHROME_TEXT
         for kind in (CHROME_TEXT, DOUBT, ARTICLE):
             if zones[kind]:
-                return kind
+                return SUSPECT if kind == ARTICLE and zones[SUSPECT] else kind
         return TITLE if zones[MAIN] and zones[TITLE] else MAIN if zones[MAIN] else OTHER
 
     def end():
+        nonlocal linked, link
         if run:
             text = " ".join("".join(run).split())
             if text:
-                out.append((zone(), text))
+                out.append((zone(linked / len(text)), text))
             run.clear()
+        linked, link = 0, False
+
+    def say(text: str):
+        nonlocal linked
+        run.append(text)
+        linked += len(text.strip()) * link
 
     def pop(to: int):
         end()
@@ -152,7 +182,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     at, html = 0, html or ""
     for m in _TOKEN.finditer(html):
         if m.start() > at:
-            run.append(unescape(html[at : m.start()]))
+            say(unescape(html[at : m.start()]))
         at = m.end()
         name = m["name"]
         if name is None:
@@ -160,6 +190,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
                 run.append(" ")
             continue
         name = name.lower()
+        link = not m["close"] if name == "a" else link
         if m["close"]:
             if name in BLOCKS:
                 end()
@@ -181,11 +212,14 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
             end()
             zones[kind] += 1
         stack.append((name, kind))
-    run.append(unescape(html[at:]))
+    say(unescape(html[at:]))
     end()
     return out
 
 
+OF_ARTICLE = {ARTICLE, SUSPECT}
+
+
 def certain(found: list[tuple[int, str]]) -> list[str] | None:
     """The article's blocks where the page marks it, [] for a page without text, None where it is uncertain.
 
@@ -193,9 +227,9 @@ def certain(found: list[tuple[int, str]]) -> list[str] | None:
     what only its class speaks against is better than no article.
     """
     zones = {z for z, _ in found}
-    if ARTICLE in zones:
-        first = next(i for i, (z, _) in enumerate(found) if z == ARTICLE)
-        return [t for i, (z, t) in enumerate(found) if z == ARTICLE or z == TITLE and i < first]
+    if zones & OF_ARTICLE:
+        first = next(i for i, (z, _) in enumerate(found) if z in OF_ARTICLE)
+        return [t for i, (z, t) in enumerate(found) if z in OF_ARTICLE or z == TITLE and i < first]
     for zone in ({MAIN, TITLE}, {DOUBT}):
         if zones & zone:
             return [t for z, t in found if z in zone]
@@ -203,8 +237,8 @@ def certain(found: list[tuple[int, str]]) -> list[str] | None:
 
 
 def settled(found: list[tuple[int, str]]) -> list[str] | None:
-    """The text that needs no judgement by repeated strings; None where there are blocks of a main zone or only uncertain ones."""
-    return None if any(z == MAIN for z, _ in found) else certain(found)
+    """The text that needs no judgement by repeated strings; None where there are blocks of a main zone, suspect ones, or only uncertain ones."""
+    return None if any(z in (MAIN, SUSPECT) for z, _ in found) else certain(found)
 
 
 def judged(found: list[tuple[int, str]], known: set[int], size: int = GRAM, covered: float = COVERED) -> list[str]:
@@ -212,12 +246,13 @@ def judged(found: list[tuple[int, str]], known: set[int], size: int = GRAM, cove
     if settled(found) is not None:
         kept = [(z, t) for z, t in found if z != ARTICLE or whole_block(t) not in known]
         return certain(kept if any(z == ARTICLE for z, _ in kept) else found)
-    zone = MAIN if any(z == MAIN for z, _ in found) else OTHER
+    zones = {z for z, _ in found}
+    zone = MAIN if MAIN in zones else None if zones & OF_ARTICLE else OTHER
     fresh = [(z == zone or z == TITLE) and _covered(t, known, size) < covered for z, t in found]
     words = lambda keep: sum(len(t.split()) for (_, t), k in zip(found, keep, strict=True) if k)
-    article = [z == ARTICLE and whole_block(t) not in known for z, t in found]
+    article = [z == ARTICLE and whole_block(t) not in known or z == SUSPECT and _covered(t, known, size) < covered for z, t in found]
     if not any(article):
-        article = [z == ARTICLE for z, _ in found]
+        article = [z in OF_ARTICLE for z, _ in found]
     if any(article):
         title = [z == TITLE and f and not any(article[:i]) for i, ((z, _), f) in enumerate(zip(found, fresh, strict=True))]
         only = words(article) >= words([f and z != TITLE for f, (z, _) in zip(fresh, found, strict=True)])
