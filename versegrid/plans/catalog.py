@@ -402,21 +402,13 @@ def manifest_merge(v: Views) -> DataFrame:
     return texts.merged_manifest(old, new).select("author_id", "event_id")
 
 
-#: Groups in which documents are numbered.
-DEALT = 256
-
-
 def _passage_works(v: Views) -> DataFrame:
-    """Documents as texts of paragraphs, each with citations behind it; all citation texts are dealt over all documents."""
-    docs = v.raw("documents").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(DEALT)).alias("part"))
-    sizes = docs.groupBy("part").agg(F.count("*").alias("n"))
-    first = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"), F.sum("n").over(Window.partitionBy()).alias("documents"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy("doc_id", "text")) - 1
-    placed = docs.withColumn("place", place).join(F.broadcast(first), "part").withColumn("slot", F.col("first") + F.col("place"))
-    # The join's own dealing, by a number that isn't cut down where the texts are small: reading them is the work.
-    placed = placed.repartition(int(v.spark.conf.get("spark.sql.shuffle.partitions")), "slot")
-    known = v.citation_texts.crossJoin(F.broadcast(sizes.agg(F.sum("n").alias("documents"))))
-    said = known.groupBy(F.pmod(F.xxhash64("id"), F.col("documents")).alias("slot")).agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda x: x["text"]).alias("said"))
+    """Documents as texts of paragraphs, each with citations behind it; all citation texts are dealt over the documents by number."""
+    docs = v.raw("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    many = F.broadcast(docs.agg(F.count("*").alias("documents")))
+    key = F.col("id.l_orderkey")
+    said = v.citation_texts.crossJoin(many).groupBy((key % F.col("documents")).alias("slot")).agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda x: x["text"]).alias("said"))
+    placed = docs.crossJoin(many).withColumn("slot", F.col("doc_id") % F.col("documents"))
     rows = placed.join(said, "slot", "left").withColumn("parts", F.split("text", "\n", -1)).withColumn("said", F.coalesce("said", F.array().cast("array<string>")))
     # Citations go round the paragraphs, or paragraphs round the citations, until each has met one.
     last, step = F.greatest(F.size("parts"), F.size("said")) - 1, F.size("parts")
@@ -528,14 +520,14 @@ def _highlighted(v: Views, text: Column) -> DataFrame:
     return rows.select("id.*", highlight.highlight_passage(F.col("text"), F.col("chapter"), key).alias("marked"))
 
 
-def _citation_sql() -> str:
-    """The extraction over documents: characters beyond ASCII become one letter or one sign each, so that word bounds are ASCII's."""
+def _citation_sql(source: str = "documents") -> str:
+    """The extraction over (doc_id, text) of a table: characters beyond ASCII become one letter or one sign each, so that word bounds are ASCII's."""
     known = abbreviations()
     book = "|".join(re.escape(k).replace("\\ ", " ") for k in known)
     p = rf"(?i)\b((?:(?:saint|st\.?)\s+)?(?:{book}))\b(?:[\s.:]+([ivxlcdm]+|\d+)(?:[\s.:]+(\d+(?:\s*[-–]\s*\d+)?(?:\s*,\s*\d+)*))?)?"
     rows = ", ".join(f"('{k}', '{b.slug}', '{b.name}', {b.chapters})" for k, b in known.items())
     digit = "list_transform(string_split(upper(ch), ''), lambda x: CASE x WHEN 'I' THEN 1 WHEN 'V' THEN 5 WHEN 'X' THEN 10 WHEN 'L' THEN 50 WHEN 'C' THEN 100 WHEN 'D' THEN 500 ELSE 1000 END)"
-    return rf"""plain AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '\p{{Z}}', ' ', 'g'), '[^\x00-\x7F\P{{L}}]', 'q', 'g'), '[^\x00-\x7F–]', '~', 'g') AS t FROM documents),
+    return rf"""plain AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '\p{{Z}}', ' ', 'g'), '[^\x00-\x7F\P{{L}}]', 'q', 'g'), '[^\x00-\x7F–]', '~', 'g') AS t FROM {source}),
   hits AS (SELECT doc_id, unnest(regexp_extract_all(t, '{p}')) AS hit, unnest(string_split(regexp_replace(t, '{p}', chr(1), 'g'), chr(1))) AS gap, generate_subscripts(string_split(regexp_replace(t, '{p}', chr(1), 'g'), chr(1)), 1) AS i FROM plain),
   placed AS (SELECT doc_id, hit, sum(length(gap) + length(coalesce(hit, ''))) OVER (PARTITION BY doc_id ORDER BY i) - length(coalesce(hit, '')) AS place FROM hits),
   parts AS (SELECT doc_id, place, regexp_extract(hit, '{p}', 1) AS raw, regexp_extract(hit, '{p}', 2) AS ch, regexp_extract_all(regexp_extract(hit, '{p}', 3), '\d+') AS vs FROM placed WHERE hit IS NOT NULL),
