@@ -60,3 +60,39 @@ def test_cleaned_removes_the_passage(spark):
     empty = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.find(docs, empty).where("size(hits) > 0").count() == 0
     assert decontaminate.find(docs.limit(0), bench).count() == 0
+
+
+def test_many_parts_equal_one(spark, monkeypatch):
+    """Parts dealt on the executors, split and salted ones too, give what one automaton gives."""
+    rng = random.Random(7)
+    words = [f"v{i}" for i in range(400)]
+    passage = " ".join(rng.choice(words) for _ in range(60))
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, say(rng.choice([2, 5, 10, 25, 80])) + (" " + passage if i % 3 == 0 else "")) for i in range(300)]
+    items += [(1000, "same " * 3000), (1000, "same " * 12), (None, passage), (1, items[1][1])]
+    docs = []
+    for i in range(400):
+        own = items[rng.randrange(300)][1].split()
+        at = rng.randrange(len(own))
+        middle = passage if i % 3 == 0 else " ".join(own[at : at + rng.choice([4, 12, 60])])
+        docs.append((i, f"É {say(20)} {middle.upper()}! {say(20)}"))
+    docs += [(1000 + i, docs[0][1]) for i in range(200)] + [(2000, "same " * 5000), (2001, None), (2002, "")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = lambda found: sorted((r.doc_id, r.n_words, [tuple(h) for h in r.hits], r.items) for r in found.collect())
+    want = rows(decontaminate.find(documents(spark, docs), bench))
+    assert sum(bool(h) for _, _, h, _ in want) > 400
+    monkeypatch.setattr(decontaminate, "TASK_WORDS", 3000)
+    for part_words in (300, 5000):
+        assert rows(decontaminate.find(documents(spark, docs), bench, part_words=part_words)) == want
+
+
+def test_nothing_of_the_benchmark_is_held_by_the_driver(spark, monkeypatch):
+    """Beyond one automaton's size no item reaches the driver."""
+    def refuse(*_):
+        raise AssertionError("items were gathered")
+
+    monkeypatch.setattr(decontaminate, "one_part", refuse)
+    bench = spark.range(200).selectExpr("id item_id", "concat_ws(' ', transform(sequence(1, 500), i -> concat('t', id, 'x', i))) text")
+    docs = documents(spark, [(1, " ".join(f"t7x{i}" for i in range(40, 60))), (2, "t7x1 t8x2")])
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.digest(decontaminate.find(docs, bench, part_words=10_000)).collect()}
+    assert got == {1: (20, 1), 2: (0, 0)}

@@ -5,6 +5,11 @@ streamed through it while the longest matching length is tracked; wherever it
 reaches the window length, the window's words are hit and the state tells the
 items. Tokens are hashed in array passes first, and only stretches whose every
 word pair occurs in some item are walked, since a match can lie nowhere else.
+
+Items beyond one automaton's size are never gathered. Windows of items and of
+documents are dealt alike, by the least hash of their word pairs, so that each
+part has an automaton of its own runs of windows, and only the stretches of
+documents that a filter of all items' word pairs passes meet it.
 """
 
 from __future__ import annotations
@@ -20,12 +25,18 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from ..functions.scalars import once
 from . import kernels as K
-from .common import without
+from .common import cut, without
 
 WINDOW = 10
 #: Words of items that one automaton holds, so that what is broadcast is bounded; more items take more automata.
 PART_WORDS = 100_000
 _BITS = 22
+#: Bits of the filter of all word pairs at most (16 MB); a fuller one passes more stretches and loses none.
+FILTER_BITS = 27
+#: Words of documents that one task matches with one part, and windows of one run of them.
+TASK_WORDS, RUN_WINDOWS = 2_000_000, 4096
+#: Bytes of sizes of parts up to which they are broadcast.
+SIZES = 16 << 20
 
 
 class SuffixAutomaton:
@@ -113,9 +124,28 @@ class SuffixAutomaton:
                     yield i + 1, self.sizes[k], (k,)
 
 
+def word_pairs(words: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of neighbouring words; the words themselves where a window may be a single one."""
+    return words if least < 2 else K.mix64(words[:-1] * K._ODD + words[1:])
+
+
+def stretches(maybe: np.ndarray, row: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(first word, end word) of runs of passed pairs within a row, of ``least`` words or more."""
+    if least > 1:
+        maybe = maybe & (row[1:] == row[:-1])
+    at = np.flatnonzero(maybe)
+    if not len(at):
+        return []
+    breaks = np.flatnonzero((np.diff(at) != 1) | (row[at[1:]] != row[at[:-1]]))
+    first, last = np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(at) - 1]))
+    extra = 1 if least < 2 else 2
+    long = last - first + extra >= least
+    return list(zip(at[first[long]].tolist(), (at[last[long]] + extra).tolist(), strict=True))
+
+
 @dataclass
 class Part:
-    """What is broadcast for some items: their ids and word hashes."""
+    """What one automaton is made of: ids and word hashes of items."""
 
     ids: list
     words: list[np.ndarray]
@@ -129,32 +159,20 @@ class Matcher:
         self.automaton = SuffixAutomaton([[vocabulary[int(h)] for h in w] for w in part.words], part.window)
         self.vocabulary = np.array(sorted(vocabulary), K.U)
         self.least = min((min(len(w), part.window) for w in part.words), default=1)
-        grams = [self._grams(w) for w in part.words]
+        grams = [word_pairs(w, self.least) for w in part.words]
         self.grams = np.unique(np.concatenate(grams)) if grams else np.zeros(0, K.U)
         self.filter = np.zeros(1 << _BITS, bool)
         self.filter[(self.grams >> K.U(64 - _BITS)).astype(np.int64)] = True
 
-    def _grams(self, words: np.ndarray) -> np.ndarray:
-        return words if self.least < 2 else K.mix64(words[:-1] * K._ODD + words[1:])
-
     def hits(self, words: np.ndarray, row: np.ndarray):
         """(first word, end word, items) of matches, by word of the pass."""
         if len(words) < self.least or not len(self.grams):
             return
-        grams = self._grams(words)
+        grams = word_pairs(words, self.least)
         maybe = self.filter[(grams >> K.U(64 - _BITS)).astype(np.int64)]
-        if self.least > 1:
-            maybe &= row[1:] == row[:-1]
         at = np.flatnonzero(maybe)
-        at = at[self.grams[np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)] == grams[at]]
-        if not len(at):
-            return
-        breaks = np.flatnonzero((np.diff(at) != 1) | (row[at[1:]] != row[at[:-1]]))
-        first, last = np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(at) - 1]))
-        extra = 1 if self.least < 2 else 2
-        long = last - first + extra >= self.least
-        for a, b in zip(at[first[long]], at[last[long]] + extra, strict=True):
-            a, b = int(a), int(b)
+        maybe[at] = self.grams[np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)] == grams[at]
+        for a, b in stretches(maybe, row, self.least):
             ids = np.searchsorted(self.vocabulary, words[a:b]).tolist()
             for end, size, items in self.automaton.matches(ids):
                 yield a + end - size, a + end, items
@@ -179,24 +197,11 @@ def item_words(text: str | None) -> np.ndarray:
     return K.word_hashes(data, starts, ends)
 
 
-def parts(benchmark: DataFrame, key: str = "item_id", text: str = "text", window: int = WINDOW, part_words: int = PART_WORDS) -> list[Part]:
-    """Items in parts of about ``part_words`` words; each is collected and broadcast on its own."""
-    items = benchmark.select(F.col(key).cast("string").alias("id"), F.col(text).cast("string").alias("text"))
-    spaces = F.greatest(F.lit(1), F.length("text") / 2)
-    total = items.agg(F.coalesce(F.sum(spaces), F.lit(0)).alias("n")).first()["n"]
-    count = max(1, -(-int(total) // part_words))
-    numbered = items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(count)))
-    if count > 1:
-        # Dealt by part once, so that each part is read when its turn comes.
-        numbered = numbered.repartition("part").sortWithinPartitions("part")
-    held: dict[int, tuple[list, list]] = {}
-    for r in numbered.toLocalIterator():
-        words = item_words(r.text)
-        if len(words):
-            ids, all_words = held.setdefault(r.part, ([], []))
-            ids.append(r.id)
-            all_words.append(words)
-    return [Part(ids, words, window) for ids, words in held.values()] or [Part([], [], window)]
+def one_part(items: DataFrame, window: int) -> Part:
+    """All items; only for those of a checked size."""
+    told = [(r.id, item_words(r.text)) for r in items.toLocalIterator()]
+    told = [(k, w) for k, w in told if len(w)]
+    return Part([k for k, _ in told], [w for _, w in told], window)
 
 
 _HITS = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("char_from", pa.int32()), ("char_to", pa.int32())]))
@@ -219,32 +224,227 @@ def find(docs: DataFrame, benchmark: DataFrame, *, carry: tuple[str, ...] = ("do
     An item of fewer words than the window, but not none, is one window. Null
     or empty texts have no words; repeated documents give repeated rows; items
     that share an id count once; null item ids stand as the empty string; other
-    columns are ignored. All items meet all documents: items beyond one
-    automaton's size go into further ones, through which the rows pass in turn.
+    columns are ignored. Items of up to ``part_words`` words are broadcast as
+    one automaton; more are dealt to parts on the executors.
     """
-    sc = docs.sparkSession.sparkContext
-    told = parts(benchmark, item_key, item_text, window, part_words)
+    items = benchmark.select(F.col(item_key).cast("string").alias("id"), F.col(item_text).cast("string").alias("text"))
+    # Half of the characters bounds the words.
+    total = int(items.agg(F.coalesce(F.sum(F.ceil((F.length("text") + 1) / 2)), F.lit(0)).alias("n")).first()["n"])
     rows = docs.select(F.col(text).cast("string").alias("text_"), *[F.col(c).alias(f"carry_{c}") for c in carry])
-    for n, part in enumerate(told):
-        held = sc.broadcast(part)
-        keep = n < len(told) - 1
-        before = [f for f in rows.schema.fields if f.name.startswith("carry_")] + ([rows.schema["text_"]] if keep else [])
-        schema = StructType(before + _ADDED)
-
-        def run(batches, held=held, again=n > 0, names=tuple(f.name for f in before), told=to_arrow_schema(schema)):
-            matcher = _matcher(held)
-            for batch in batches:
-                counts, hits, items = _scan(matcher, *K.text_bytes(batch.column("text_")))
-                if again:
-                    for r, (was, ids) in enumerate(zip(batch.column("hits").to_pylist(), batch.column("items").to_pylist(), strict=True)):
-                        if was:
-                            at, to = {h["from"]: h["char_from"] for h in was + hits[r]}, {h["to"]: h["char_to"] for h in was + hits[r]}
-                            hits[r] = [{"from": x, "to": y, "char_from": at[x], "char_to": to[y]} for x, y in _merge([(h["from"], h["to"]) for h in was + hits[r]])]
-                            items[r] = sorted({*ids, *items[r]})
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).cast(told.field(c).type) for c in names), pa.array(counts, pa.int64()), pa.array(hits, _HITS), pa.array(items, pa.list_(pa.string()))], schema=told)
-
-        rows = rows.mapInArrow(run, schema)
-    return rows.select(*[F.col(f"carry_{c}").alias(c) for c in carry], "n_words", "hits", "items")
+    told = [F.col(f"carry_{c}").alias(c) for c in carry]
+    if total > part_words:
+        return _dealt_hits(rows, items, total, window, part_words).select(*told, "n_words", "hits", "items")
+    held = docs.sparkSession.sparkContext.broadcast(one_part(items, window))
+    schema = StructType([f for f in rows.schema.fields if f.name.startswith("carry_")] + _ADDED)
+
+    def run(batches, names=tuple(f"carry_{c}" for c in carry), told=to_arrow_schema(schema)):
+        matcher = _matcher(held)
+        for batch in batches:
+            counts, hits, items = _scan(matcher, *K.text_bytes(batch.column("text_")))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).cast(told.field(c).type) for c in names), pa.array(counts, pa.int64()), pa.array(hits, _HITS), pa.array(items, pa.list_(pa.string()))], schema=told)
+
+    return rows.mapInArrow(run, schema).select(*told, "n_words", "hits", "items")
+
+
+def runs_of_windows(words: np.ndarray, size: int, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, end window, part) of runs of windows of ``size`` words that go to one part: by the least hash of their pairs."""
+    pairs = word_pairs(words, size)
+    if size > 2:
+        pairs = np.lib.stride_tricks.sliding_window_view(pairs, size - 1).min(axis=1)
+    part = (K.mix64(pairs) % K.U(count)).astype(np.int64)
+    firsts = np.unique(np.concatenate((np.arange(0, len(part), RUN_WINDOWS), np.flatnonzero(np.diff(part)) + 1)))
+    return firsts, np.append(firsts[1:], len(part)), part[firsts]
+
+
+def _lists(pieces: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, pieces)])
+    values = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
+
+
+def _item_runs(window: int, count: int):
+    """(size, part, id, words) of the runs of windows of each item."""
+
+    def told(out):
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), _lists(out[3], pa.int64())], names=["size", "part", "id", "words"])
+
+    def run(batches):
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            held = 0
+            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = item_words(text)
+                n = min(len(words), window)
+                for a, b, part in zip(*runs_of_windows(words, n, count), strict=True) if n else ():
+                    for column, value in zip(out, (n, int(part), key, words[a : b + n - 1].view(np.int64)), strict=True):
+                        column.append(value)
+                held += len(words)
+                if held > TASK_WORDS:
+                    yield told(out)
+                    out, held = [[], [], [], []], 0
+            yield told(out)
+
+    return run
+
+
+def _bits(least: int, bits: int):
+    """(place, mask) of the filter's bits, 64 in a mask."""
+
+    def run(batches):
+        for batch in batches:
+            for words in batch.column("words"):
+                slots = np.unique(word_pairs(words.values.to_numpy().view(K.U), least) >> K.U(64 - bits))
+                at, first = np.unique(slots >> K.U(6), return_index=True)
+                masks = np.bitwise_or.reduceat(K.U(1) << (slots & K.U(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64)), pa.array(masks.view(np.int64))], names=["at", "mask"])
+
+    return run
+
+
+def _document_runs(held, sizes: tuple[int, ...], bits: int, count: int):
+    """(size, part, key, from, words, starts, ends) of the runs of windows of what the filter passes; starts and ends are characters."""
+    least = sizes[0]
+
+    def run(batches):
+        bitmap = held.value
+        for batch in batches:
+            keys = batch.column("key").to_pylist()
+            data, offsets = K.text_bytes(batch.column("text_"))
+            for a, b in K.passes(offsets):
+                local, here = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                starts, ends, row = K.word_spans(local, here, K.ALNUM)
+                if len(starts) < least:
+                    continue
+                words = K.word_hashes(local, starts, ends)
+                slots = word_pairs(words, least) >> K.U(64 - bits)
+                passed = stretches((bitmap[slots >> K.U(6)] >> (slots & K.U(63)) & K.U(1)).astype(bool), row, least)
+                if not passed:
+                    continue
+                chars = np.concatenate(([0], np.cumsum((local & 0xC0) != 0x80)))
+                first_word = np.searchsorted(row, np.arange(b - a))
+                out: list[list] = [[] for _ in range(7)]
+                for x, y in passed:
+                    r = int(row[x])
+                    for n in sizes:
+                        if y - x < n:
+                            break
+                        for f, e, part in zip(*runs_of_windows(words[x:y], n, count), strict=True):
+                            f, e = x + int(f), x + int(e) + n - 1
+                            told = (n, int(part), keys[a + r], f - int(first_word[r]), words[f:e].view(np.int64), chars[starts[f:e]] - chars[here[r]], chars[ends[f:e]] - chars[here[r]])
+                            for column, value in zip(out, told, strict=True):
+                                column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()), _lists(out[4], pa.int64()), _lists(out[5], pa.int32()), _lists(out[6], pa.int32())],
+                    names=["size", "part", "key", "from", "words", "starts", "ends"],
+                )
+
+    return run
+
+
+_GROUP = ("part", "size", "sub", "salt")
+
+
+def _match(batches):
+    """Hits by run of a document. Rows come by group, the items' runs first; a group's automaton stays until the next one begins."""
+    group, ids, held, matcher = None, [], [], None
+    for batch in batches:
+        told = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (*_GROUP, "kind")])
+        edges = [0, *(np.flatnonzero((np.diff(told) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
+        keys, hits, items = [], [], []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if a == b:
+                continue
+            now, kind = tuple(told[:-1, a].tolist()), told[-1, a]
+            if now != group:
+                group, ids, held, matcher = now, [], [], None
+            lists = batch.column("words").slice(a, b - a)
+            flat = lists.flatten().to_numpy().view(K.U)
+            at = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+            if not kind:
+                ids += batch.column("id").slice(a, b - a).to_pylist()
+                held += [flat[x:y].copy() for x, y in zip(at[:-1], at[1:], strict=True)]
+                continue
+            if matcher is None:
+                matcher = Matcher(Part(ids, held, now[1]))
+            key, from_ = (batch.column(c).slice(a, b - a).to_pylist() for c in ("key", "from"))
+            starts, ends = (batch.column(c).slice(a, b - a).flatten().to_numpy() for c in ("starts", "ends"))
+            found: dict[int, tuple[list, set]] = {}
+            row = np.repeat(np.arange(b - a), np.diff(at))
+            for x, y, which in matcher.hits(flat, row):
+                spans, names = found.setdefault(int(row[x]), ([], set()))
+                spans.append((x, y))
+                names.update(which)
+            for r, (spans, names) in found.items():
+                move = from_[r] - int(at[r])
+                keys.append(key[r])
+                hits.append([{"from": x + move, "to": y + move, "char_from": int(starts[x]), "char_to": int(ends[y - 1])} for x, y in _merge(spans)])
+                items.append(sorted({matcher.ids[k] or "" for k in names}))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hits, _HITS), pa.array(items, pa.list_(pa.string()))], names=["key", "hits", "items"])
+
+
+def _joined_hits(batches):
+    for batch in batches:
+        out = []
+        for hits in batch.column("hits").to_pylist():
+            at, to = {h["from"]: h["char_from"] for h in hits}, {h["to"]: h["char_to"] for h in hits}
+            out.append([{"from": x, "to": y, "char_from": at[x], "char_to": to[y]} for x, y in _merge([(h["from"], h["to"]) for h in hits])])
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, _HITS), batch.column("items").cast(pa.list_(pa.string()))], names=["key", "hits", "items"])
+
+
+def _dealt_hits(rows: DataFrame, items: DataFrame, total: int, window: int, part_words: int) -> DataFrame:
+    """The rows with n_words, hits and items, by parts on the executors.
+
+    A part whose items or documents are many is split: its items' runs into
+    further automata, its documents' runs over tasks that each get the items.
+    """
+    sc = rows.sparkSession.sparkContext
+    count = -(-3 * total // part_words)
+    ours = items.distinct().mapInArrow(_item_runs(window, count), "size int, part bigint, id string, words array<bigint>")
+    ours = cut(ours.distinct())
+    # Sizes are window lengths, ten at most.
+    sizes = tuple(sorted(r["size"] for r in ours.select("size").distinct().collect()))
+    none = F.array().cast(_ADDED[1].dataType), F.array().cast("array<string>")
+    width = min(max(total.bit_length() + 4, 16), FILTER_BITS)
+    counted = rows.withColumn("key", F.xxhash64("text_"))
+    names = [c for c in rows.columns if c.startswith("carry_")]
+    schema = StructType([*(rows.schema[c] for c in names), StructField("key", LongType()), StructField("n_words", LongType())])
+
+    def count_words(batches, told=to_arrow_schema(schema)):
+        for batch in batches:
+            data, offsets = K.text_bytes(batch.column("text_"))
+            n = np.zeros(batch.num_rows, np.int64)
+            for a, b in K.passes(offsets):
+                _, _, row = K.word_spans(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], K.ALNUM)
+                n[a:b] = np.bincount(row, minlength=b - a)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).cast(told.field(c).type) for c in (*names, "key")), pa.array(n)], schema=told)
+
+    with_counts = counted.mapInArrow(count_words, schema)
+    if not sizes:
+        return with_counts.select("*", none[0].alias("hits"), none[1].alias("items"))
+    set_bits = ours.mapInArrow(_bits(sizes[0], width), "at bigint, mask bigint").groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bitmap = np.zeros(1 << (width - 6), K.U)
+    bitmap[set_bits.column("at").to_numpy()] = set_bits.column("mask").to_numpy().view(K.U)
+    held = sc.broadcast(bitmap)
+    theirs = counted.select("key", "text_").mapInArrow(_document_runs(held, sizes, width, count), "size int, part bigint, key bigint, from int, words array<bigint>, starts array<int>, ends array<int>")
+    # Copies of a text are matched once.
+    theirs = cut(theirs.dropDuplicates(["key", "from", "size", "part"]))
+    weight = lambda df, name: df.groupBy("part", "size").agg(F.sum(F.size("words")).alias(name))
+    split = weight(ours, "in_items").join(weight(theirs, "in_texts"), ["part", "size"]).select(
+        "part", "size", F.ceil(F.col("in_items") / part_words).alias("subs"), F.ceil(F.col("in_texts") / TASK_WORDS).alias("salts")
+    )
+    if count * len(sizes) * 64 <= SIZES:
+        split = F.broadcast(split)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
+    own = lambda n, *c: F.pmod(F.xxhash64(*c), F.col(n)).cast("int")
+    ints = F.lit(None).cast("array<int>")
+    dealt = ours.join(split, ["part", "size"]).select("part", "size", own("subs", "id", "words").alias("sub"), each("salts").alias("salt"), F.lit(0).alias("kind"), "id", F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("int").alias("from"), "words", ints.alias("starts"), ints.alias("ends"))
+    met = theirs.join(split, ["part", "size"]).select("part", "size", each("subs").alias("sub"), own("salts", "key", "from").alias("salt"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("id"), "key", "from", "words", "starts", "ends")
+    grouped = dealt.unionByName(met).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "kind")
+    found = grouped.mapInArrow(_match, StructType([StructField("key", LongType()), *_ADDED[1:]])).groupBy("key").agg(
+        F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    )
+    found = found.mapInArrow(_joined_hits, StructType([StructField("key", LongType()), *_ADDED[1:]]))
+    return with_counts.join(found, "key", "left").select(*names, "n_words", F.coalesce("hits", none[0]).alias("hits"), F.coalesce("items", none[1]).alias("items"))
 
 
 def _scan(matcher: Matcher, data: np.ndarray, offsets: np.ndarray) -> tuple[list, list, list]:
