@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from versegrid.llm import html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header>Site head</header>
@@ -139,7 +141,9 @@ def _brute(rows, size=6):
     return sorted(out)
 
 
-def test_pages_match_brute_force(spark):
+@pytest.mark.parametrize("most", [html.BROADCAST, -1])
+def test_pages_match_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(html, "BROADCAST", most)
     rng = random.Random(4)
     say = lambda n: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(40)) for _ in range(n))
     shared = [say(rng.randrange(3, 25)) for _ in range(8)]

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import once
 from ..functions.storage import cut, shared_dir  # noqa: F401 - cut is for the operators
+from . import kernels as K
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +31,29 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Bits of a :func:`bitmap` at most (16 MB); a fuller one lets more pass and loses none.
+MOST_BITS = 27
+
+
+def bitmap(df: DataFrame, hashes, count: int) -> tuple[np.ndarray, int]:
+    """(64-bit words, bits) of a bitmap of all hashes that ``hashes`` takes from a batch of ``df``, for about ``count`` of them.
+
+    Its size is bounded whatever ``df`` holds: masks are merged on the
+    executors, and the driver gets the bitmap alone.
+    """
+    bits = min(max(int(count).bit_length() + 4, 16), MOST_BITS)
+
+    def masks(bits, batches):
+        for batch in batches:
+            at, mask = K.bit_masks(hashes(batch), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64)), pa.array(mask.view(np.int64))], names=["at", "mask"])
+
+    told = df.mapInArrow(partial(masks, bits), "at bigint, mask bigint").groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(1 << (bits - 6), K.U)
+    out[told.column("at").to_numpy()] = told.column("mask").to_numpy().view(K.U)
+    return out, bits
+
+
 def sha256_hex(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 

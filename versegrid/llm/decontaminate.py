@@ -25,14 +25,12 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from ..functions.scalars import once
 from . import kernels as K
-from .common import cut, without
+from .common import bitmap, cut, without
 
 WINDOW = 10
 #: Words of items that one automaton holds, so that what is broadcast is bounded; more items take more automata.
 PART_WORDS = 100_000
 _BITS = 22
-#: Bits of the filter of all word pairs at most (16 MB); a fuller one passes more stretches and loses none.
-FILTER_BITS = 27
 #: Words of documents that one task matches with one part, and windows of one run of them.
 TASK_WORDS, RUN_WINDOWS = 2_000_000, 4096
 #: Bytes of sizes of parts up to which they are broadcast.
@@ -287,16 +285,11 @@ def _item_runs(window: int, count: int):
     return run
 
 
-def _bits(least: int, bits: int):
-    """(place, mask) of the filter's bits, 64 in a mask."""
+def _pairs_of(least: int):
+    """Hashes of the word pairs of a batch of runs."""
 
-    def run(batches):
-        for batch in batches:
-            for words in batch.column("words"):
-                slots = np.unique(word_pairs(words.values.to_numpy().view(K.U), least) >> K.U(64 - bits))
-                at, first = np.unique(slots >> K.U(6), return_index=True)
-                masks = np.bitwise_or.reduceat(K.U(1) << (slots & K.U(63)), first)
-                yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64)), pa.array(masks.view(np.int64))], names=["at", "mask"])
+    def run(batch: pa.RecordBatch) -> np.ndarray:
+        return np.concatenate([np.zeros(0, K.U), *(word_pairs(words.values.to_numpy().view(K.U), least) for words in batch.column("words"))])
 
     return run
 
@@ -306,7 +299,7 @@ def _document_runs(held, sizes: tuple[int, ...], bits: int, count: int):
     least = sizes[0]
 
     def run(batches):
-        bitmap = held.value
+        bits_held = held.value
         for batch in batches:
             keys = batch.column("key").to_pylist()
             data, offsets = K.text_bytes(batch.column("text_"))
@@ -316,8 +309,7 @@ def _document_runs(held, sizes: tuple[int, ...], bits: int, count: int):
                 if len(starts) < least:
                     continue
                 words = K.word_hashes(local, starts, ends)
-                slots = word_pairs(words, least) >> K.U(64 - bits)
-                passed = stretches((bitmap[slots >> K.U(6)] >> (slots & K.U(63)) & K.U(1)).astype(bool), row, least)
+                passed = stretches(K.bits_set(bits_held, word_pairs(words, least), bits), row, least)
                 if not passed:
                     continue
                 chars = np.concatenate(([0], np.cumsum((local & 0xC0) != 0x80)))
@@ -404,7 +396,6 @@ def _dealt_hits(rows: DataFrame, items: DataFrame, total: int, window: int, part
     # Sizes are window lengths, ten at most.
     sizes = tuple(sorted(r["size"] for r in ours.select("size").distinct().collect()))
     none = F.array().cast(_ADDED[1].dataType), F.array().cast("array<string>")
-    width = min(max(total.bit_length() + 4, 16), FILTER_BITS)
     counted = rows.withColumn("key", F.xxhash64("text_"))
     names = [c for c in rows.columns if c.startswith("carry_")]
     schema = StructType([*(rows.schema[c] for c in names), StructField("key", LongType()), StructField("n_words", LongType())])
@@ -421,10 +412,8 @@ def _dealt_hits(rows: DataFrame, items: DataFrame, total: int, window: int, part
     with_counts = counted.mapInArrow(count_words, schema)
     if not sizes:
         return with_counts.select("*", none[0].alias("hits"), none[1].alias("items"))
-    set_bits = ours.mapInArrow(_bits(sizes[0], width), "at bigint, mask bigint").groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
-    bitmap = np.zeros(1 << (width - 6), K.U)
-    bitmap[set_bits.column("at").to_numpy()] = set_bits.column("mask").to_numpy().view(K.U)
-    held = sc.broadcast(bitmap)
+    filled, width = bitmap(ours, _pairs_of(sizes[0]), total)
+    held = sc.broadcast(filled)
     theirs = counted.select("key", "text_").mapInArrow(_document_runs(held, sizes, width, count), "size int, part bigint, key bigint, from int, words array<bigint>, starts array<int>, ends array<int>")
     # Copies of a text are matched once.
     theirs = cut(theirs.dropDuplicates(["key", "from", "size", "part"]))

@@ -23,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from . import kernels as K
+from .common import bitmap, cut
 
 #: Tokens of a repeated string, pages of distinct streams that must share it, and the covered share from which a block goes.
 GRAM, PAGES, COVERED = 6, 3, 0.8
 #: An article's block goes if this share of the host's distinct pages, and so many of them, have it in their articles.
 MOST, MOST_PAGES = 0.5, 10
-#: Bytes of repeated strings of pages up to which they are broadcast to the pages instead of joined.
+#: Bytes of repeated strings of pages up to which they are broadcast to the pages; beyond it the blocks of the pages that have such strings are shuffled to meet them.
 BROADCAST = 16 << 20
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -307,12 +308,26 @@ def _streams(size: int):
     return run
 
 
+def _parsed(batches):
+    """Each page's blocks that may be its text; what can't be, and the markup, is left behind before anything is shuffled."""
+    for batch in batches:
+        zones, texts = [], []
+        for html in batch.column("html").to_pylist():
+            found = [(z, t) for z, t in blocks(html) if z != CHROME_TEXT]
+            zones.append([z for z, _ in found])
+            texts.append([t for _, t in found])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url").cast(pa.string()), batch.column("row"), pa.array(zones, pa.list_(pa.int8())), pa.array(texts, pa.list_(pa.string()))],
+            names=["page_id", "url", "row", "zones", "texts"],
+        )
+
+
 def _texts(size: int, covered: float):
     def run(batches):
         for batch in batches:
-            ids, urls, htmls, known = (batch.column(c).to_pylist() for c in ("page_id", "url", "html", "known"))
-            texts = ["\n".join(judged(blocks(html), set(k or ()), size, covered)) for html, k in zip(htmls, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+            zones, blocks_, known = (batch.column(c).to_pylist() for c in ("zones", "texts", "known"))
+            texts = ["\n".join(judged(list(zip(z, t, strict=True)), set(k or ()), size, covered)) for z, t, k in zip(zones, blocks_, known, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url").cast(pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return run
 
@@ -345,8 +360,24 @@ def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: s
     asked = asked.unionByName(streams.select("row", "host", F.explode("whole").alias("head")).distinct().join(many, ["host", "head"]))
     known = cut(asked.groupBy("row").agg(F.collect_list("head").alias("known")))
     held = known.agg(F.coalesce(F.sum(F.size("known") * 8 + 32), F.lit(0)).alias("n")).first()["n"]
-    told = src.join(F.broadcast(known) if held <= BROADCAST else known, "row", "left")
-    return told.select("page_id", "url", "html", "known").mapInArrow(_texts(size, covered), "page_id bigint, url string, text string")
+    schema = "page_id bigint, url string, row bigint, zones array<tinyint>, texts array<string>"
+    final = lambda told: told.select("page_id", "url", "zones", "texts", "known").mapInArrow(_texts(size, covered), "page_id bigint, url string, text string")
+    rows = src.select("page_id", "url", "row", "html")
+    if held <= BROADCAST:
+        return final(rows.mapInArrow(_parsed, schema).join(F.broadcast(known), "row", "left"))
+    # Pages that no repeated string reaches are done where they stand; of the others, blocks alone are shuffled.
+    filled, bits = bitmap(known.select("row"), lambda batch: batch.column("row").to_numpy().view(K.U), known.count())
+    filter_ = pages.sparkSession.sparkContext.broadcast(filled)
+
+    def those(asked: bool):
+        def run(batches):
+            for batch in batches:
+                here = K.bits_set(filter_.value, batch.column("row").to_numpy().view(K.U), bits)
+                yield batch.filter(pa.array(here == asked))
+
+        return rows.mapInArrow(run, rows.schema).mapInArrow(_parsed, schema)
+
+    return final(those(True).join(known, "row", "left")).unionByName(final(those(False).withColumn("known", F.lit(None).cast("array<bigint>"))))
 
 
 def digest(texts: DataFrame) -> DataFrame:

@@ -32,6 +32,18 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def bit_masks(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, mask) of a bitmap's words of 64 bits in which a bit is set for the leading bits of each hash."""
+    slots = np.unique(hashes >> U(64 - bits))
+    at, first = np.unique(slots >> U(6), return_index=True)
+    return at, np.bitwise_or.reduceat(U(1) << (slots & U(63)), first) if len(slots) else slots
+
+
+def bits_set(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    slots = hashes >> U(64 - bits)
+    return (bitmap[slots >> U(6)] >> (slots & U(63)) & U(1)).astype(bool)
+
+
 def _table(*ranges: tuple[int, int]) -> np.ndarray:
     out = np.zeros(256, bool)
     for a, b in ranges:
