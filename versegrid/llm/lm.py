@@ -480,3 +480,27 @@ def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFr
         "r.doc_id", "r.held_out", "r.n_tokens", (F.col("r.n_known") + F.coalesce("m.rare_known", F.lit(0))).cast("bigint").alias("n_known"),
         F.lit(n).cast("bigint").alias("train_tokens"), base_score.alias("base_score"), told.alias("score"),
     )
+
+
+def base_digest(scored: DataFrame) -> DataFrame:
+    """What of :func:`score` SQL can tell: the fold, the counts and the smoothed unigram score, in millionths."""
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
+#: The checksum is worked out bit by bit, as DuckDB has none; a space stands for the end, which no word can be.
+BASE_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda d, i: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) % 5 = 1 AS held_out,
+    list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS w
+  FROM documents
+), tok AS (SELECT r, held_out, unnest(w) AS t FROM doc),
+counts AS (SELECT t, count(*) AS c FROM tok WHERE NOT held_out GROUP BY t),
+total AS (SELECT coalesce(CAST(sum(c) AS BIGINT), 0) AS n, count(*) AS v FROM counts),
+scored AS (
+  SELECT r, count(*) AS n_tokens, count(c) AS n_known, any_value(n) AS train_tokens, round(sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))), 6) AS base_score
+  FROM tok LEFT JOIN counts USING (t) CROSS JOIN total GROUP BY r
+)
+SELECT doc_id, held_out, n_tokens, n_known, train_tokens, base_score FROM doc JOIN scored USING (r)
+"""

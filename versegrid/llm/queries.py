@@ -49,6 +49,11 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op7_lm_score that SQL can tell, from the same operator."""
+    return lm.base_digest(op7_lm_score(spark, sf_dir))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = language.identify(docs, language.fit(docs))
@@ -76,6 +81,7 @@ def queries() -> dict[str, Query]:
         "op5_embedding_neardup": op5_embedding_neardup,
         "op6_decontaminate": op6_decontaminate,
         "op7_lm_score": op7_lm_score,
+        "lm_base_scores": lm_base_scores,
         "op8_language_id": op8_language_id,
         "op9_chat_format": op9_chat_format,
         "op10_minhash_neardup": op10_minhash_neardup,
@@ -92,6 +98,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_mix_sources": mixing.MIX_SQL,
         "op5_embedding_neardup": vectors.LINK_SQL,
         "op6_decontaminate": decontaminate.DIGEST_SQL,
+        "lm_base_scores": lm.BASE_SQL,
         "op9_chat_format": chat.DIGEST_SQL,
         "op10_minhash_neardup": neardup.LINK_SQL,
         "op11_line_dedup": lines.DIGEST_SQL,
