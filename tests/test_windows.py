@@ -1,6 +1,8 @@
+import os
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -8,6 +10,8 @@ from versegrid.operators import citations, windows
 from pyspark.sql import functions as F
 
 from versegrid.operators.highlight import highlight_passage
+from versegrid.plans import passages
+from versegrid.plans.synth import Views
 
 
 def test_sentences():
@@ -106,3 +110,28 @@ def test_many_citations_in_one_text(spark):
     text = "x " + "Rom. 8. 1; " * 3000
     got = sorted(r.citation_offset for r in citations.extract(spark.createDataFrame([(1, text)], "id int, text string")).collect())
     assert got == [2 + 11 * i for i in range(3000)]
+
+
+def test_joined_texts_give_the_same_windows(spark):
+    rng = random.Random(6)
+    say = lambda: rng.choice(["Rom. 8. 1", "Dr. No", "vol. 3 went", "So [2] it is", "Gen. i. 1, 2", "Ok", "John 3:16"]) + rng.choice([". ", "! ", "? (", '." ', "\n", "\n\n", "\n[2] ", " "])
+    by = {i: "".join(say() for _ in range(rng.randrange(120))) for i in range(30)}
+    rows = spark.createDataFrame([*by.items(), (99, None), (98, "")], "id int, text string")
+    found = citations.extract(rows)
+    # References that are stored twice, of no known text, and without a place.
+    refs = found.unionByName(found).unionByName(found.limit(1).withColumn("id", F.lit(77))).unionByName(found.limit(1).withColumn("citation_offset", F.lit(None).cast("int")))
+    order = sorted(found.columns) + ["passage_start_offset", "passage_end_offset"]
+    want = windows.spans(rows, refs).select(order)
+    got = windows.joined(rows, refs, passage=True)
+    assert sorted(map(str, got.select(order).collect())) == sorted(map(str, want.collect())) and want.count() > 400
+    said = rows.join(got, "id").select("passage", windows.passage_text(F.col("text"), F.col("passage_start_offset"), F.col("passage_end_offset"), F.lit("")).alias("made"))
+    assert said.where("not passage <=> made").count() == 0
+
+
+def test_stored_texts_are_no_keys(spark):
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("no tables")
+    plan = passages.stored_windows(Views(spark, data))._jdf.queryExecution().executedPlan().toString()
+    # Every shuffle of texts or of what refers to them is by a short hash, and no text becomes a row a sentence.
+    assert "hashpartitioning(text" not in plan and "bin_" not in plan

@@ -31,17 +31,17 @@ def document_sentences(v: Views) -> DataFrame:
     return rows.select("doc_id", F.size("s").cast("bigint").alias("n"), F.array_max(F.transform("s", F.length)).cast("bigint").alias("longest"), F.sha2(F.array_join("s", "\u0001").cast("binary"), 256).alias("told"))
 
 
-def _stored(rows: DataFrame) -> DataFrame:
-    """The references of (id, text) rows with their windows; a text is its own key, as ids repeat."""
-    refs = citations.extract(rows.select(F.struct("id", "text").alias("id"), "text")).select(F.col("id.text").alias("id"), F.col("id.id").alias("ref_"), "citation_offset")
-    return windows.spans(rows.select(F.col("text").alias("id"), "text").distinct(), refs)
+def _stored(rows: DataFrame, passage: bool = False) -> DataFrame:
+    """The references of (id, text) rows with their windows; a text's hash is its key, as ids repeat."""
+    keyed = rows.select("id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key_"), "text")
+    refs = citations.extract(keyed.select(F.struct("key_", "id").alias("id"), "text")).select(F.col("id.key_").alias("id"), F.col("id.id").alias("ref_"), "citation_offset")
+    # Dealt by key, which serves equal texts and the join alike.
+    return windows.joined(keyed.select(F.col("key_").alias("id"), "text").repartition("id").distinct(), refs, passage=passage)
 
 
 def stored_windows(v: Views) -> DataFrame:
-    """The windows of ``sentence_windows`` for references that are stored, by the interval join."""
-    found = _stored(_wrapped(v))
-    made = windows.passage_text(F.col("id"), F.col("passage_start_offset"), F.col("passage_end_offset"), F.lit("x"))
-    return found.select("ref_.*", "citation_offset", "passage_start_offset", "passage_end_offset", made.alias("passage"))
+    """The windows of ``sentence_windows`` for references that are stored, by a join with their texts."""
+    return _stored(_wrapped(v), passage=True).select("ref_.*", "citation_offset", "passage_start_offset", "passage_end_offset", "passage")
 
 
 query()(stored_windows)
@@ -95,9 +95,9 @@ ORACLES["passage_texts"] = oracle(
 
 
 def stored_passage_windows(v: Views) -> DataFrame:
-    """The windows of ``passage_windows`` for references that are stored, by the interval join."""
+    """The windows of ``passage_windows`` for references that are stored, by a join with their texts."""
     rows = _passage_works(v)
-    return windows.spans(rows, citations.extract(rows))
+    return windows.joined(rows, citations.extract(rows))
 
 
 query()(stored_passage_windows)
