@@ -18,6 +18,12 @@ def test_whole_texts_are_escaped(spark):
     assert max(map(len, got.values())) > 1000
 
 
+def test_previews_keep_their_escaped_texts(spark):
+    got = {r.doc_id: r.escaped for r in catalog.QUERIES["text_previews"](spark, DATA).collect()}
+    want = {r.doc_id: r.escaped for r in catalog.QUERIES["text_escaped"](spark, DATA).collect()}
+    assert got == want and "AS escaped" in catalog.ORACLES["text_previews"] and "left(text, 200)" not in catalog.ORACLES["text_previews"]
+
+
 def test_all_works_meet_their_verses(spark):
     got = catalog.QUERIES["verse_text_join_all"](spark, DATA)
     assert got.count() == Views(spark, DATA).refs.count() > catalog.QUERIES["verse_text_join"](spark, DATA).count()

@@ -553,11 +553,11 @@ def book_dimension(v: Views) -> DataFrame:
     return books.join(n, "book_slug", "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
 
 
-@query("SELECT doc_id, replace(left(text, 80), chr(10), ' ') AS preview, CASE WHEN length(text) > 140 THEN left(text, 139) || '…' ELSE text END AS short FROM documents")
+@query("SELECT doc_id, replace(left(text, 80), chr(10), ' ') AS preview, CASE WHEN length(text) > 140 THEN left(text, 139) || '…' ELSE text END AS short, replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM documents")
 def text_previews(v: Views) -> DataFrame:
-    """Previews and shortened texts, which are what a list shows of a text."""
+    """Previews and shortened texts, which are what a list shows of a text, and the whole texts as they are written into a page."""
     text = F.col("text")
-    return v.raw("documents").select("doc_id", S.preview(text).alias("preview"), S.shortened(text, 140).alias("short"))
+    return v.raw("documents").select("doc_id", S.preview(text).alias("preview"), S.shortened(text, 140).alias("short"), S.escaped(text).alias("escaped"))
 
 
 @query("SELECT doc_id, replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped FROM documents")
