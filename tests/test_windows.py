@@ -78,6 +78,15 @@ def test_passages(spark):
     assert got == [("a.txt", -5, "a"), ("a.txt", 0, "ab\n\ncd"), ("a.txt", 9, ""), ("b.txt", 0, "[source file not found: b.txt]")]
 
 
+def test_texts_of_passages_are_not_broadcast(spark):
+    refs = spark.createDataFrame([(1, 0, 50)], "manuscript_id int, passage_start_offset int, passage_end_offset int")
+    works = spark.createDataFrame([(1, "a.txt")], "id int, filename string")
+    # Few bytes by the plan's guess, many as they are.
+    texts = works.select("filename", F.repeat("filename", 1000).alias("text"))
+    plan = windows.passages(refs, works, texts)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [filename" in plan and "BroadcastHashJoin [filename" not in plan
+
+
 def _marked(spark, *rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, text string, chapter int, key string")
     return [r.m for r in df.select("i", highlight_passage(F.col("text"), F.col("chapter"), F.col("key")).alias("m")).orderBy("i").collect()]
