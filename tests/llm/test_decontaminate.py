@@ -96,3 +96,13 @@ def test_nothing_of_the_benchmark_is_held_by_the_driver(spark, monkeypatch):
     docs = documents(spark, [(1, " ".join(f"t7x{i}" for i in range(40, 60))), (2, "t7x1 t8x2")])
     got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.digest(decontaminate.find(docs, bench, part_words=10_000)).collect()}
     assert got == {1: (20, 1), 2: (0, 0)}
+
+
+def test_carried_texts_travel_once(spark, monkeypatch):
+    """In the pipeline, each text went to Python and back twice, in one batch."""
+    items, docs = _case(3)
+    df, bench = documents(spark, docs), spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.find(df, bench, carry=("doc_id", "text"))
+    assert "text_#" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.doc_id, r.text): (r.n_words, sum(h["to"] - h["from"] for h in r.hits), list(r["items"])) for r in found.collect()}
+    assert got == {d: _brute(d[1], items) for d in docs}

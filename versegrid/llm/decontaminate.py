@@ -234,12 +234,21 @@ def find(docs: DataFrame, benchmark: DataFrame, *, carry: tuple[str, ...] = ("do
         return _dealt_hits(rows, items, total, window, part_words).select(*told, "n_words", "hits", "items")
     held = docs.sparkSession.sparkContext.broadcast(one_part(items, window))
     schema = StructType([f for f in rows.schema.fields if f.name.startswith("carry_")] + _ADDED)
+    # A text that is carried anyway travels once.
+    read = f"carry_{text}" if text in carry and isinstance(rows.schema[f"carry_{text}"].dataType, StringType) else "text_"
+    rows = rows.drop("text_") if read != "text_" else rows
 
     def run(batches, names=tuple(f"carry_{c}" for c in carry), told=to_arrow_schema(schema)):
         matcher = _matcher(held)
         for batch in batches:
-            counts, hits, items = _scan(matcher, *K.text_bytes(batch.column("text_")))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).cast(told.field(c).type) for c in names), pa.array(counts, pa.int64()), pa.array(hits, _HITS), pa.array(items, pa.list_(pa.string()))], schema=told)
+            data, offsets = K.text_bytes(batch.column(read))
+            # A batch for each pass, so that no more is held of what goes back.
+            for a, b in K.passes(offsets):
+                counts, hits, items = _scan(matcher, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a).cast(told.field(c).type) for c in names), pa.array(counts, pa.int64()), pa.array(hits, _HITS), pa.array(items, pa.list_(pa.string()))], schema=told)
+            # What the next batch doesn't need isn't kept beside it.
+            del batch, data, offsets
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema).select(*told, "n_words", "hits", "items")
 
