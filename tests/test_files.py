@@ -63,3 +63,13 @@ def test_hits_as_a_table(spark):
     got = sorted(map(tuple, spark.sql("SELECT id, h.* FROM hit_texts, LATERAL thml_hits(content) h").collect()), key=str)
     want = sorted(((i, *h) for i, x in ((1, xml), (5, xml * 2)) for h in thml.walk(x)["hits"]), key=str)
     assert got == want and len(got) == 6
+
+
+def test_hits_come_by_batches(spark):
+    """A call in Python for each document, with its rows handed over one by one, was most of the time."""
+    registry.register(spark)
+    spark.range(3).selectExpr("id", "'<a><scripRef parsed=\"q\"/></a>' AS content").createOrReplaceTempView("hit_batches")
+    found = spark.sql("SELECT id, h.* FROM hit_batches, LATERAL thml_hits(content) h")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "UDTF" not in plan and "Join" not in plan
+    assert sorted(map(tuple, found.collect())) == [(i, "q", 0) for i in range(3)]

@@ -66,7 +66,7 @@ def register(spark: SparkSession) -> None:
     """Temporary functions ``highlight_passage`` and ``thml_walk``, and table functions of one text, ``extract_citations`` and ``thml_hits``."""
     from ..operators.citations import FOUND, found_in
     from ..operators.highlight import highlight_passage
-    from ..sources.thml import ThmlHits, walk_function
+    from ..sources.thml import HIT, hits_function, walk_function
 
     marked = sql_of(highlight_passage(F.col("passage"), F.col("chapter"), F.col("verse_key")))
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION highlight_passage(passage STRING, chapter INT, verse_key STRING) RETURNS STRING RETURN {marked}")
@@ -76,4 +76,6 @@ def register(spark: SparkSession) -> None:
     fields = ", ".join(f"m.{c}" for c in FOUND)
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION extract_citations(body STRING) RETURNS TABLE({columns}) RETURN SELECT {fields} FROM (SELECT explode({found}) AS m)")
     spark.udf.register("thml_walk", walk_function())
-    spark.udtf.register("thml_hits", ThmlHits)
+    spark.udf.register("thml_hit_list", hits_function())
+    # A table by explode: a table function in Python would be called, and hand its rows over, for each document.
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION thml_hits(content STRING) RETURNS TABLE({HIT}) RETURN SELECT h.* FROM (SELECT explode(thml_hit_list(content)) AS h)")
