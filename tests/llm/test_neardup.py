@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from versegrid.llm import neardup
 
 from .fixtures import documents
@@ -68,3 +70,22 @@ def test_repeats_nulls_and_empty(spark):
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in neardup.link(documents(spark, rows)).collect())
     assert got == [("2", 37, "2", True), ("5", 2, "5", True), ("5", 36, "2", False), ("5", 36, "2", False), ("None", 0, "None", True), ("None", 36, "None", True)]
     assert neardup.link(documents(spark, [])).count() == 0
+
+
+def test_links_of_a_node_grow_with_its_documents():
+    """Near copies give a link a document from each node, not one a pair, and stay connected as all pairs connect them."""
+    rng = np.random.default_rng(3)
+    alike = np.zeros((neardup.SMALL, neardup.TOKENS), np.uint32)
+    # Chains, stars and strangers: documents of a node that agree with some of its others only.
+    mixed = rng.integers(0, 2, (300, neardup.TOKENS), np.uint32)
+    sig, node = np.concatenate((alike, mixed)), np.concatenate((np.full(neardup.SMALL, 1), 2 + np.sort(rng.integers(0, 20, 300))))
+    doc = rng.permutation(len(node)) * 7
+    order = np.lexsort((doc, node))
+    node, doc, sig = node[order], doc[order], sig[order]
+    links = [(a, b) for batch in neardup._pairs(node, doc, sig, 0.6) for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+    at = {d: i for i, d in enumerate(doc.tolist())}
+    got, want = neardup.Forest(len(doc)), neardup.Forest(len(doc))
+    assert all(a < b and node[at[a]] == node[at[b]] for a, b in links)
+    assert all(got.join(at[a], at[b]) for a, b in links) and sum(node[at[a]] == 1 for a, _ in links) == neardup.SMALL - 1
+    joined = [want.join(i, j) for i in range(len(doc)) for j in range(i) if node[i] == node[j] and (sig[i] == sig[j]).mean() >= 0.6]
+    assert [got.find(i) for i in range(len(doc))] == [want.find(i) for i in range(len(doc))] and neardup.SMALL <= len(links) < len(joined)

@@ -89,7 +89,7 @@ def _paths(trees: int):
 
 
 def _node_pairs(least: float):
-    """Pairs of a node's documents whose signatures agree often enough; rows arrive sorted by node."""
+    """Pairs that span what a node's documents with signatures that agree often enough connect; rows arrive sorted by node and document."""
 
     def run(batches):
         tail = None
@@ -109,18 +109,36 @@ def _node_pairs(least: float):
 
 
 def _pairs(node, doc, sig, least):
-    out_a, out_b = [], []
+    """Pairs that span what the agreeing pairs of each node connect, one to a document at most.
+
+    Only what is connected counts for the coarse components; all pairs of a
+    group of near copies would be 32 rows a document from each tree.
+    """
+    label = np.arange(len(node))
     for step in range(1, SMALL + 1):
         at = np.flatnonzero(node[step:] == node[:-step]) if step < len(node) else ()
         if not len(at):
             break
+        # Those that are connected already needn't be compared.
+        at = at[label[at] != label[at + step]]
         for low in range(0, len(at), 50_000):
             x = at[low : low + 50_000]
             x = x[(sig[x] == sig[x + step]).mean(axis=1) >= least]
-            out_a.append(np.minimum(doc[x], doc[x + step]))
-            out_b.append(np.maximum(doc[x], doc[x + step]))
-    if out_a:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+            label = _merged(label, x, x + step)
+    if len(x := np.flatnonzero(label != np.arange(len(label)))):
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[x], doc[label[x]])), pa.array(np.maximum(doc[x], doc[label[x]]))], names=["a", "b"])
+
+
+def _merged(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels (the first place of each component) after the places x and y are linked."""
+    while len(x):
+        a, b = label[x], label[y]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(up := label[label], label):
+            label = up
+        apart = label[x] != label[y]
+        x, y = x[apart], y[apart]
+    return label
 
 
 class Forest:
@@ -220,9 +238,9 @@ def _confirm(threshold: int, k: int, hubs: bool = False):
 
 
 def candidates(reps: DataFrame, threshold: int, trees: int) -> DataFrame:
-    """Candidate links (a, b) between classes from all trees.
+    """Candidate links (a, b) between classes from all trees, as many as connect what all candidates would.
 
-    Small nodes give the pairs that their signatures leave possible; a node
+    Small nodes give links that span the pairs which their signatures leave possible; a node
     that is still large at the last level gives a link from each document to
     its least one, whatever the signatures say, so that it stays together.
     """
@@ -243,7 +261,7 @@ def candidates(reps: DataFrame, threshold: int, trees: int) -> DataFrame:
     for x in small[1:]:
         nodes = nodes.unionByName(x)
     signed = nodes.join(reps.select(F.col("v").alias("doc"), "sig"), "doc").select("node", "doc", "sig")
-    pairs = signed.repartition("node").sortWithinPartitions("node").mapInArrow(_node_pairs(least), "a bigint, b bigint")
+    pairs = signed.repartition("node").sortWithinPartitions("node", "doc").mapInArrow(_node_pairs(least), "a bigint, b bigint")
     return pairs.unionByName(links[0]).distinct()
 
 
