@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from versegrid.functions.scalars import mentions
@@ -38,3 +39,23 @@ def test_many_rows_and_blocks(spark, tmp_path, monkeypatch):
 def test_empty_tables(spark, tmp_path):
     assert _both(spark, tmp_path / "a", [], ["", "a", "abc"]) == []
     assert _both(spark, tmp_path / "b", ROWS, []) == []
+
+
+def test_lists_are_made_where_the_texts_stand(spark, tmp_path, monkeypatch):
+    """A row for each gram of each text, shuffled and gathered, was most of the time: lists come by blocks, long texts in parts."""
+    monkeypatch.setattr(search, "BYTES", 50)
+    rows = [(i, ("long é " * 40 + f"n{i}") if i % 3 else f"short{i}", None) for i in range(60)]
+    assert len(_both(spark, tmp_path / "a", rows, ["g é l", "é", "n1", "t5", "ong", "LONG É LONG", "g n", "\u0000", "9\u0000", "short57 "])) > 60
+    monkeypatch.setattr(search, "BYTES", 1 << 20)
+    TextIndex(spark, str(tmp_path / "b")).build(spark.createDataFrame(rows, "id int, a string, b string").coalesce(1), "id", F.col("a"))
+    lists = spark.read.parquet(str(tmp_path / "b" / "postings"))
+    assert lists.groupBy("gram").count().agg(F.max("count")).first()[0] == 1 and lists.agg(F.max("n")).first()[0] == 40
+    made = search._postings(4096, 1 << 20)
+
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([b"aaaa\xff\xff", b"\xff\xff"], pa.binary())], names=["key", "raw"])
+    assert [b.column(2).to_pylist() for b in made([batch])] == [[[7], [7], [7]]]
+
+
+def test_many_grams_meet_the_lists_in_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "BROADCAST_GRAMS", 0)
+    assert len(_both(spark, tmp_path, ROWS, ["john", "aa", "É", "owen of sin", ""])) > 5

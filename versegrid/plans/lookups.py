@@ -42,7 +42,7 @@ _ITEM_TERMS = """terms AS (SELECT DISTINCT unnest([substr(text, CAST(1 + item_id
 @query("SELECT term, doc_id FROM terms JOIN documents ON contains(lower(coalesce(text, '')), lower(term))", _ITEM_TERMS)
 def search_documents(v: Views) -> DataFrame:
     """Pieces of the benchmark's items over the whole documents."""
-    index = _index(v).build(v.raw("documents"), "doc_id", F.col("text"))
+    index = _index(v).build(v.dealt("documents"), "doc_id", F.col("text"))
     number, text = F.col("item_id"), F.col("text")
     pieces = F.array(F.substring(text, (1 + number % 20).cast("int"), (8 + number % 40).cast("int")), F.substring(text, 30, 5))
     return index.search(v.raw("benchmark").where("text is not null").select(F.explode(pieces).alias("term"))).withColumnRenamed("key", "doc_id")
