@@ -73,3 +73,17 @@ def test_hits_come_by_batches(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "UDTF" not in plan and "Join" not in plan
     assert sorted(map(tuple, found.collect())) == [(i, "q", 0) for i in range(3)]
+
+
+def test_partitions_of_large_folders_grow(spark, tmp_path):
+    """A task for 16 small files each was most of the time of a folder of many."""
+    many = [(f"d/{i}", 2000) for i in range(50_000)]
+    parts = files.planned(many, files.roomy(many, 1 << 20))
+    assert sorted(f for part in parts for f in part) == sorted(many) and len(parts) <= files.PARTS + 2
+    assert files.roomy(many[:100], 1 << 20) == 1 << 20 and files.roomy([], 5) == 5 and files.roomy(many, files.GROWN * 2) == files.GROWN * 2
+    assert files.roomy([("a", files.GROWN * files.PARTS * 4)], 1) == files.GROWN
+    files.register(spark)
+    for i in range(600):
+        (tmp_path / f"{i}.txt").write_text(f"text {i}")
+    rows = spark.read.format("texts").options(path=str(tmp_path), leastBytes=0, partitionBytes=1).load()
+    assert rows.rdd.getNumPartitions() <= files.PARTS + 50 and sorted(r.text for r in rows.collect()) == sorted(f"text {i}" for i in range(600))

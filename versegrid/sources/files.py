@@ -1,6 +1,7 @@
 """Text files as a data source of their own: ``spark.read.format("texts")`` and ``df.write.format("texts")``.
 
-Reading plans partitions by bytes: small files share one, a file is never cut.
+Reading plans partitions by bytes: small files share one, a file is never cut;
+partitions of a large folder are larger, so that tasks don't grow as its files.
 Texts come as valid UTF-8 with single line ends. Writing puts a file a row,
 whole or not at all. Files whose name ends in .zst are compressed. Paths are those that pyarrow's file systems open (local or
 mounted folders, HDFS, object stores).
@@ -24,6 +25,8 @@ from .texts import LEAST_TEXT
 
 #: Bytes of files that make up a partition, and bytes of texts that make up a batch.
 PARTITION, BATCH = 32 << 20, 8 << 20
+#: Partitions beyond which they are made larger instead of more, and the bytes up to which they grow so.
+PARTS, GROWN = 256, 256 << 20
 #: The ending of compressed files, and how hard they are compressed.
 PACKED, LEVEL = ".zst", 19
 #: What a file costs beyond its bytes, so that very many small ones are spread.
@@ -51,6 +54,11 @@ def planned(files: list[tuple[str, int]], most: int) -> list[list[tuple[str, int
     return parts
 
 
+def roomy(files: list[tuple[str, int]], most: int) -> int:
+    """Bytes of a partition: ``most``, or more where that would make very many of them. Files are read one by one, whatever a partition holds."""
+    return max(most, min(GROWN, sum(size + OPENED for _, size in files) // PARTS))
+
+
 def decoded(raw: bytes) -> str:
     """Valid UTF-8, with a sign for what isn't, and single line ends."""
     return raw.decode("utf-8", "replace").replace("\r\n", "\n").replace("\r", "\n")
@@ -68,7 +76,7 @@ class TextsReader(DataSourceReader):
         store, folder = fs.FileSystem.from_uri(self.where)
         found = store.get_file_info(fs.FileSelector(folder, recursive=self.deep))
         files = [(f.path, f.size) for f in found if f.type == fs.FileType.File and f.size >= self.least and fnmatch.fnmatch(f.base_name, self.pattern) and f.base_name[0] not in "._"]
-        return [Files(p) for p in planned(files, self.most)]
+        return [Files(p) for p in planned(files, roomy(files, self.most))]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(self.where)
