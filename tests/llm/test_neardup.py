@@ -89,3 +89,15 @@ def test_links_of_a_node_grow_with_its_documents():
     assert all(got.join(at[a], at[b]) for a, b in links) and sum(node[at[a]] == 1 for a, _ in links) == neardup.SMALL - 1
     joined = [want.join(i, j) for i in range(len(doc)) for j in range(i) if node[i] == node[j] and (sig[i] == sig[j]).mean() >= 0.6]
     assert [got.find(i) for i in range(len(doc))] == [want.find(i) for i in range(len(doc))] and neardup.SMALL <= len(links) < len(joined)
+
+
+def test_confirmed_links_of_a_large_group_are_told_once(spark, monkeypatch):
+    """Blocks that the least document links gave their own links again to each block of the rest."""
+    monkeypatch.setattr(neardup, "BLOCK_DOCS", 4)
+    told, real = [], neardup._confirmed
+    monkeypatch.setattr(neardup, "_confirmed", lambda *a: told.append(neardup.cut(real(*a))) or told[0])
+    base = [f"w{i}" for i in range(100)]
+    # A row of drifting copies: the least document links the first ones, these the next, and so on.
+    rows = [(n, " ".join([f"z{i}" for i in range(n)] + base[n:])) for n in range(40)]
+    got = sorted(tuple(r)[:3] for r in neardup.link(documents(spark, rows)).collect())
+    assert got == brute(rows) and {c for _, _, c in got} == {0} and told[0].count() <= 3 * len(rows)

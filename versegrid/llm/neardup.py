@@ -159,9 +159,12 @@ class Forest:
         return a != b
 
 
-def exact_links(h: np.ndarray, offsets: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+def exact_links(h: np.ndarray, offsets: np.ndarray, threshold: int, side: np.ndarray | None = None, near=()) -> list[tuple[int, int]]:
     """Links that span the components of a block, from full sets; every pair of the block is judged.
 
+    With ``side`` only links between two sides are given, those within one are
+    told elsewhere; the documents ``near`` are known to be connected.
+
     Intersections come from products of 0/1 matrices over slices of the
     block's vocabulary, so no pair of sets is merged by itself.
     """
@@ -186,6 +189,13 @@ def exact_links(h: np.ndarray, offsets: np.ndarray, threshold: int) -> list[tupl
     union = sizes[:, None] + sizes[None, :] - both
     x, y = np.nonzero(np.triu((100 * both >= threshold * union) & (both > 0), 1))
     forest = Forest(n)
+    for a, b in zip(near, near[1:]):  # noqa: RUF007
+        forest.join(a, b)
+    if side is not None:
+        within = side[x] == side[y]
+        for a, b in zip(x[within].tolist(), y[within].tolist(), strict=True):
+            forest.join(a, b)
+        x, y = x[~within], y[~within]
     return [(a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True) if forest.join(a, b)]
 
 
@@ -200,10 +210,14 @@ def hub_links(h: np.ndarray, offsets: np.ndarray, threshold: int, hub: int) -> l
 
 
 def _confirm(threshold: int, k: int, hubs: bool = False):
-    """Links within each task's documents; with ``hubs`` those of the document that the task's rows name as theirs."""
+    """Links within each task's documents; with ``hubs`` those of the document that the task's rows name as theirs.
+
+    Without, a document whose row names a hub is connected with it already, and
+    the hub stands for it; documents of two sides give links across alone.
+    """
 
     def links(rows):
-        parts, ends, docs = [], [0], []
+        parts, ends, docs, whose = [], [0], [], []
         names = [r[0] for r in rows]
         for a, b, h, offsets in doc_shingles(pa.array([r[1] for r in rows], pa.string()), k):
             s0, s1 = K.set_sums(h, offsets)
@@ -211,13 +225,18 @@ def _confirm(threshold: int, k: int, hubs: bool = False):
             for r in range(b - a):
                 if int(sums[r]) == names[a + r] and (not docs or docs[-1] != names[a + r]):
                     docs.append(names[a + r])
+                    whose.append(rows[a + r])
                     parts.append(h[offsets[r] : offsets[r + 1]])
                     ends.append(ends[-1] + len(parts[-1]))
         if len(docs) < 2:
             return []
         h, ends = np.concatenate(parts), np.array(ends)
-        found = hub_links(h, ends, threshold, docs.index(rows[0][2])) if hubs else exact_links(h, ends, threshold)
-        return [(docs[a], docs[b]) for a, b in found]
+        if hubs:
+            return [(docs[a], docs[b]) for a, b in hub_links(h, ends, threshold, docs.index(rows[0][2]))]
+        side, near = np.array([r[3] for r in whose]), [i for i, r in enumerate(whose) if r[2] is not None]
+        told = [doc if r[2] is None else r[2] for doc, r in zip(docs, whose, strict=True)]
+        found = exact_links(h, ends, threshold, side if side.min() < side.max() else None, near)
+        return [(min(told[a], told[b]), max(told[a], told[b])) for a, b in found]
 
     def batch_of(pairs):
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([x for _, x in pairs], pa.int64())], names=["a", "b"])
@@ -226,11 +245,11 @@ def _confirm(threshold: int, k: int, hubs: bool = False):
         now, rows = None, []
         for batch in batches:
             out = []
-            for key, doc, text, hub in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for key, doc, text, hub, side in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if key != now:
                     out.extend(links(rows) if len(rows) > 1 else ())
                     now, rows = key, []
-                rows.append((doc, text, hub))
+                rows.append((doc, text, hub, side))
             yield batch_of(out)
         yield batch_of(links(rows) if len(rows) > 1 else [])
 
@@ -280,20 +299,22 @@ def _confirmed(sized: DataFrame, texts: DataFrame, threshold: int, k: int) -> Da
     documents are compared with its least first; those that it links are
     connected already, so that only pairs with one of the rest are left: in
     a group of copies of one text these are few, and the work grows with the
-    group and not with its square.
+    group and not with its square. Links within a block are told by the task
+    that has the block alone; a link with a document that the least one links
+    is told as one with the least, so that it is told once.
     """
     none = F.lit(None).cast("bigint").alias("hub")
 
     def compared(tasks: DataFrame, hubs: bool = False) -> DataFrame:
-        work = tasks.join(texts, F.col("rep") == F.col("doc_id")).select("task", "v", "text", "hub").repartition("task").sortWithinPartitions("task", "v")
+        work = tasks.join(texts, F.col("rep") == F.col("doc_id")).select("task", "v", "text", "hub", "side").repartition("task").sortWithinPartitions("task", "v")
         return work.mapInArrow(_confirm(threshold, k, hubs), "a bigint, b bigint")
 
     placed = cut(_blocked(sized))
-    whole = placed.where("blocks = 1").select("v", "rep", F.xxhash64("label").alias("task"), none)
+    whole = placed.where("blocks = 1").select("v", "rep", F.xxhash64("label").alias("task"), none, F.lit(0).alias("side"))
     large = placed.where("blocks > 1")
     hub = F.col("label").alias("hub")
-    others = large.where("v <> label").select("v", "rep", F.xxhash64("label", "mine").alias("task"), hub)
-    first = large.where("v = label").select("v", "rep", "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("mine")).select("v", "rep", F.xxhash64("label", "mine").alias("task"), hub)
+    others = large.where("v <> label").select("v", "rep", F.xxhash64("label", "mine").alias("task"), hub, F.lit(0).alias("side"))
+    first = large.where("v = label").select("v", "rep", "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("mine")).select("v", "rep", F.xxhash64("label", "mine").alias("task"), hub, F.lit(0).alias("side"))
     starred = cut(compared(others.unionByName(first), hubs=True))
     joined = starred.select(F.explode(F.array("a", "b")).alias("v")).distinct().withColumn("near", F.lit(True))
     told = large.select("v", "rep", "label", "n_shingles").join(joined, "v", "left").withColumn("near", F.coalesce("near", F.lit(False)))
@@ -304,10 +325,10 @@ def _confirmed(sized: DataFrame, texts: DataFrame, threshold: int, k: int) -> Da
     near = _blocked(told.where("near").select("v", "rep", "label", "n_shingles")).join(sizes.withColumnRenamed("blocks", "rests"), "label")
     nears = near.select("label", F.col("blocks").alias("nears")).distinct()
     range_ = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
-    own = rest.select("v", "rep", "label", "mine", F.explode(range_("blocks")).alias("other")).select("v", "rep", F.xxhash64("label", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), none)
-    across = rest.join(nears, "label").select("v", "rep", "label", "mine", F.explode(range_("nears")).alias("other")).select("v", "rep", F.xxhash64("label", "mine", "other", F.lit("near")).alias("task"), none)
-    met = near.select("v", "rep", "label", "mine", F.explode(range_("rests")).alias("other")).select("v", "rep", F.xxhash64("label", "other", "mine", F.lit("near")).alias("task"), none)
-    return compared(whole.unionByName(own).unionByName(across).unionByName(met)).unionByName(starred)
+    own = rest.select("v", "rep", "label", "mine", F.explode(range_("blocks")).alias("other")).select("v", "rep", F.xxhash64("label", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), none, F.col("mine").alias("side"))
+    across = rest.join(nears, "label").select("v", "rep", "label", "mine", F.explode(range_("nears")).alias("other")).select("v", "rep", F.xxhash64("label", "mine", "other", F.lit("near")).alias("task"), none, F.lit(0).alias("side"))
+    met = near.select("v", "rep", "label", "mine", F.explode(range_("rests")).alias("other")).select("v", "rep", F.xxhash64("label", "other", "mine", F.lit("near")).alias("task"), hub, F.lit(1).alias("side"))
+    return compared(whole.unionByName(own).unionByName(across).unionByName(met)).distinct().unionByName(starred)
 
 
 def grouped(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = SHINGLE, threshold: int = THRESHOLD, miss: float = MISS) -> DataFrame:
