@@ -144,3 +144,35 @@ def test_stored_texts_are_no_keys(spark):
     plan = passages.stored_windows(Views(spark, data))._jdf.queryExecution().executedPlan().toString()
     # Every shuffle of texts or of what refers to them is by a short hash, and no text becomes a row a sentence.
     assert "hashpartitioning(text" not in plan and "bin_" not in plan
+
+
+def _sentences(text):
+    """Straight from the definition: pieces between stops, those behind abbreviations joined, short ones added."""
+    pieces, at = [""], 0
+    for m in windows._STOP.finditer(text):
+        word = re.search(r"\w+\Z", text[at : m.start()].rstrip())
+        pieces[-1] += text[at : m.end("mark")]
+        at = m.end()
+        if word is None or word[0].lower() not in windows.NO_END:
+            pieces.append("")
+    pieces[-1] += text[at:]
+    out = []
+    for said in filter(None, map(str.strip, pieces)):
+        out[-1:] = [f"{out[-1]} {said}"] if out and len(said) < windows.SHORT else [*out[-1:], said]
+    return out
+
+
+@given(st.lists(st.sampled_from(["Dr", "no", "No", "i", "iii", "thess", "Xthess", "\u212a", " ", "  ", ". ", ".", "! ", " . ", "\n", "\x1c", "\u3000", "A", "(", '"', '") ', "abcdefgh", "_"]), max_size=25).map("".join))
+@settings(max_examples=400, deadline=None)
+def test_sentences_by_definition(text):
+    assert windows.sentences(text) == _sentences(text)
+
+
+def test_stored_references_are_found_once(spark):
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("no tables")
+    for query in (passages.stored_windows,):
+        plan = query(Views(spark, data))._jdf.queryExecution().executedPlan().toString()
+        # The join reads references that are stored; it matches no text again.
+        assert "(?iU)" not in plan

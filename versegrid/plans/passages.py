@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.storage import cut
 from ..operators import citations, sentences, windows
 from .catalog import ORACLES, _citation_sql, _passage_works, _wrapped, query
 from .synth import Views, oracle
@@ -32,9 +33,16 @@ def document_sentences(v: Views) -> DataFrame:
 
 
 def _stored(rows: DataFrame, passage: bool = False) -> DataFrame:
-    """The references of (id, text) rows with their windows; a text's hash is its key, as ids repeat."""
-    keyed = rows.select("id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key_"), "text")
+    """The references of (id, text) rows with their windows; a text's hash is its key, as ids repeat.
+
+    Neither the key nor the text is null (an empty text has no citations
+    either), so no filter for nulls makes them once more below the joins.
+    """
+    whole = rows.select("id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = whole.select("id", F.coalesce(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), F.lit(b"")).alias("key_"), "text")
     refs = citations.extract(keyed.select(F.struct("key_", "id").alias("id"), "text")).select(F.col("id.key_").alias("id"), F.col("id.id").alias("ref_"), "citation_offset")
+    # Stored in fact, as the join reads them twice; texts would be matched twice otherwise.
+    refs = cut(refs)
     # Dealt by key, which serves equal texts and the join alike.
     return windows.joined(keyed.select(F.col("key_").alias("id"), "text").repartition("id").distinct(), refs, passage=passage)
 
