@@ -170,9 +170,9 @@ def is_roman(text: Column) -> Column:
 
 
 def int_to_roman(number: Column) -> Column:
-    """Lower-case numeral, greedily from 100 down (nothing above 100 has a sign of its own)."""
-    signs = ((100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
-    table = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(s).alias("s")) for n, s in signs])
-    zero = F.struct(number.cast("int").alias("left"), F.lit("").alias("out"))
-    done = F.aggregate(table, zero, lambda acc, e: F.struct((acc["left"] % e["n"]).alias("left"), F.concat(acc["out"], F.repeat(e["s"], (acc["left"] / e["n"]).cast("int"))).alias("out")))
-    return F.when(number > 0, done["out"]).otherwise(F.lit(""))
+    """Lower-case numeral: a sign for each hundred (nothing above 100 has one of its own), then those of the tens and of the ones."""
+    n = number.cast("int")
+    digit = lambda signs, at: F.get(F.array(*[F.lit(s) for s in signs.split(",")]), at)
+    tens, ones = F.floor(n / 10).cast("int") % 10, n % 10
+    out = F.concat(F.repeat(F.lit("c"), F.floor(n / 100).cast("int")), digit(",x,xx,xxx,xl,l,lx,lxx,lxxx,xc", tens), digit(",i,ii,iii,iv,v,vi,vii,viii,ix", ones))
+    return F.when(number > 0, out).otherwise(F.lit(""))
