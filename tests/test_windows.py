@@ -172,7 +172,7 @@ def test_stored_references_are_found_once(spark):
     data = "/root/testdata/sf0.001"
     if not os.path.isdir(data):
         pytest.skip("no tables")
-    for query in (passages.stored_windows, passages.stored_footnotes):
+    for query in (passages.stored_windows, passages.stored_footnotes, passages.stored_passage_windows):
         plan = query(Views(spark, data))._jdf.queryExecution().executedPlan().toString()
         # The join reads references that are stored; it matches no text again.
         assert "(?iU)" not in plan

@@ -105,7 +105,7 @@ ORACLES["passage_texts"] = oracle(
 def stored_passage_windows(v: Views) -> DataFrame:
     """The windows of ``passage_windows`` for references that are stored, by a join with their texts."""
     rows = _passage_works(v)
-    return windows.joined(rows, citations.extract(rows))
+    return windows.joined(rows, cut(citations.extract(rows)))
 
 
 query()(stored_passage_windows)
