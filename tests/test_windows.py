@@ -176,3 +176,14 @@ def test_stored_references_are_found_once(spark):
         plan = query(Views(spark, data))._jdf.queryExecution().executedPlan().toString()
         # The join reads references that are stored; it matches no text again.
         assert "(?iU)" not in plan
+
+
+def test_texts_are_made_once(spark):
+    made = spark.range(3).select("id", F.concat(F.lit("Rom. 8. "), F.col("id").cast("string")).alias("text"))
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "id bigint, name string")
+    plan = windows.cited(made.join(names, "id").select("id", "text"))._jdf.queryExecution().optimizedPlan().toString()
+    nullable = spark.createDataFrame([(1, "8. 1"), (2, None)], "id int, tail string").select("id", F.concat(F.lit("Rom. "), F.col("tail")).alias("text"))
+    assert "isnotnull(concat" not in plan and "isnotnull(concat" not in windows.cited(nullable)._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.id for r in windows.cited(nullable).collect()] == [1]
+    asked = spark.createDataFrame([(1, 0), (2, 0), (2, 5)], "id int, citation_offset int")
+    assert [(r.id, r.passage_end_offset) for r in windows.joined(nullable, asked).collect()] == [(1, 9)]
